@@ -91,13 +91,13 @@ def first_seen_with_ttl(df: DataFrame, keys, time_col: str, ttl_seconds: int,
         .distinct()
     pending = reliable_checkpoint(pending)
     rounds = []
-    n = 0
     while True:
+        # Round frontier: earliest pending arrival per key (an emission).  It is
+        # re-derived from the checkpointed ``pending`` when needed, so each round
+        # costs one job: the join below, materialised by the checkpoint.
         frontier = pending.groupBy(*keys).agg(F.min("__t").alias("__e"))
-        frontier = reliable_checkpoint(frontier)
         rounds.append(frontier)
-        n += 1
-        if max_rounds is not None and n >= max_rounds:
+        if max_rounds is not None and len(rounds) >= max_rounds:
             break
         p, f = pending.alias("p"), frontier.alias("f")
         on = [F.col(f"p.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]

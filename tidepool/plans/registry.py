@@ -369,3 +369,24 @@ def q_k4_publish_keys(spark, sf_dir):
     from ..sinks.publish import keyed_records
     ev = V.table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol"), "event_id", "ts")
     return keyed_records(ev, "symbol", order_cols=["ts", "event_id"]).select("key", "event_id", "ts")
+
+
+# ------------------------------------------------------ partition projection
+S7_SYMBOLS = ("CLICK", "VIEW", "PURCHASE", "SIGNUP", "ERROR", "REFUND")
+
+
+@register("s7_missing_partitions", f"""
+WITH b AS (SELECT min(h) AS lo, max(h) AS hi
+           FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS h FROM events)),
+exp AS (SELECT s.symbol, g.slot
+        FROM (VALUES {", ".join(f"('{s}')" for s in S7_SYMBOLS)}) s(symbol),
+             (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS slot FROM b) g),
+found AS (SELECT DISTINCT upper(event_type) AS symbol, time_bucket(INTERVAL 1 HOUR, ts) AS slot
+          FROM events)
+SELECT symbol, strftime(slot, '%Y') AS year, strftime(slot, '%m') AS month,
+       strftime(slot, '%d') AS day, strftime(slot, '%H') AS hour
+FROM exp ANTI JOIN found USING (symbol, slot)""", ("S7", "P21"))
+def q_s7_missing_partitions(spark, sf_dir):
+    from ..sources.projection import missing_partitions
+    ev = V.table(spark, sf_dir, "events").select(F.upper("event_type").alias("symbol"), "ts")
+    return missing_partitions(ev, list(S7_SYMBOLS), "symbol", "ts", "hour")
