@@ -5,7 +5,7 @@ decoded (undecodable → a bad row, skipped and not counted as processed),
 keyed ``symbol|window_start``, and emitted as an alert only the first time
 its key is seen within the expiry (30 days).
 
-Three interchangeable dedup forms:
+Two interchangeable dedup forms:
 - ``alerts_foreach_batch``: per micro-batch, a left-anti join against the
   alerts already stored and not yet expired (the stored table *is* the
   keyed state, like the conditional put it replaces); the key is stored
@@ -13,8 +13,9 @@ Three interchangeable dedup forms:
 - ``dedup_event_time``: ``dropDuplicatesWithinWatermark`` on the key with
   a 30-day watermark on the window start (event-time expiry, state purged
   by the watermark).
-- ``FirstSeenProcessor``: ``transformWithStateInPandas`` with a value
-  state whose TTL is 30 days (processing-time expiry, RocksDB state).
+
+(``transformWithStateInPandas`` with a TTL value state would be a third form;
+it runs a separate Python state server per task and is left out, see README.)
 """
 
 from __future__ import annotations
@@ -108,34 +109,3 @@ def dedup_event_time(alerts: DataFrame, ttl: str = f"{TTL_DAYS} days") -> DataFr
     ts = F.to_timestamp(F.col("window_start"))
     return (alerts.withColumn("__ws", ts).withWatermark("__ws", ttl)
                   .dropDuplicatesWithinWatermark(["dedup_key"]).drop("__ws"))
-
-
-try:  # transformWithStateInPandas needs pandas/pyarrow on the workers
-    import pandas as pd
-    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-
-    class FirstSeenProcessor(StatefulProcessor):
-        """D4 with processing-time expiry: emit a key's first row, remember
-        the key for ``ttl_ms``; after expiry the key emits again."""
-
-        ttl_ms = TTL_DAYS * 86400 * 1000
-
-        def init(self, handle) -> None:
-            self.seen = handle.getValueState("seen", "first_seen_ms LONG", self.ttl_ms)
-
-        def handleInputRows(self, key, rows, timerValues):
-            if self.seen.exists():
-                for _ in rows:
-                    pass
-                return
-            emitted = False
-            for pdf in rows:
-                if not emitted and len(pdf):
-                    self.seen.update((int(timerValues.getCurrentProcessingTimeInMs()),))
-                    emitted = True
-                    yield pdf.head(1)
-
-        def close(self) -> None:
-            pass
-except Exception:  # pragma: no cover
-    FirstSeenProcessor = None
