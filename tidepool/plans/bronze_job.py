@@ -45,6 +45,26 @@ def run_batch(spark: SparkSession, raw_path: str, bronze_path: str, table: str |
         raw.unpersist()
 
 
+def skip_written(spark: SparkSession, out: DataFrame, bronze_path: str) -> DataFrame:
+    """Drop rows whose (partition, key) is already in bronze.
+
+    A micro-batch replayed after a failure between its write and its commit
+    then writes nothing twice.  Only the partitions this batch touches are
+    read (the semi join on partition columns prunes the rest), and only the
+    key column.
+    """
+    parts = S.BRONZE_NEWS_PARTITIONS
+    try:
+        existing = spark.read.parquet(bronze_path).select(*parts, "dedup_key")
+    except Exception as e:  # no bronze table yet
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER" in str(e):
+            return out
+        raise
+    touched = out.select(*parts).distinct()
+    seen = existing.join(touched, parts, "left_semi")
+    return out.join(seen, [*parts, "dedup_key"], "left_anti")
+
+
 def start_incremental(spark: SparkSession, raw_path: str, bronze_path: str, checkpoint: str,
                       errors_path: str | None = None, max_files_per_trigger: int | None = None,
                       available_now: bool = True, processing_time: str | None = None):
@@ -55,7 +75,7 @@ def start_incremental(spark: SparkSession, raw_path: str, bronze_path: str, chec
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.cache()
         try:
-            out = transform_batch(batch, errors_path)
+            out = skip_written(spark, transform_batch(batch, errors_path), bronze_path)
             write_if_nonempty(out, lambda df: write_bronze(df, bronze_path,
                                                            S.BRONZE_NEWS_PARTITIONS))
         finally:

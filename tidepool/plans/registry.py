@@ -390,3 +390,18 @@ def q_s7_missing_partitions(spark, sf_dir):
     from ..sources.projection import missing_partitions
     ev = V.table(spark, sf_dir, "events").select(F.upper("event_type").alias("symbol"), "ts")
     return missing_partitions(ev, list(S7_SYMBOLS), "symbol", "ts", "hour")
+
+
+# --------------------------------------------------------- malformed records
+from pyspark.sql.types import LongType, StructField, StructType  # noqa: E402
+
+_PROPS_STRUCT = StructType([StructField("k", LongType())])
+
+@register("f3_parse_payloads", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+WHERE json_valid(props) AND json_type(props) = 'OBJECT'""", ("F3", "P19"))
+def q_f3_parse_payloads(spark, sf_dir):
+    from ..streaming.detector import parse_records
+    ev = V.table(spark, sf_dir, "events").select("event_id", F.col("props").alias("value"))
+    good, _bad = parse_records(ev, schema=_PROPS_STRUCT, keep=["event_id"])
+    return good.select("event_id", "k")

@@ -26,16 +26,22 @@ WATERMARK_DELAY = "30 seconds"
 
 
 def parse_records(stream: DataFrame, schema: StructType = S.DETECTOR_SOURCE,
-                  value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """JSON text → typed rows; (good, bad) with bad keeping the text."""
+                  value_col: str = "value", keep=()) -> tuple[DataFrame, DataFrame]:
+    """JSON text → typed rows; (good, bad) with bad keeping the text.
+
+    ``keep`` names columns carried through unchanged (e.g. a record id).
+    Truncated text, wrong types, arrays and plain text all land in ``bad``.
+    """
     full = StructType(list(schema.fields) + [StructField(S.CORRUPT_COL, StringType())])
-    parsed = stream.select(F.from_json(F.col(value_col), full, {
+    parsed = stream.select(*keep, F.from_json(F.col(value_col), full, {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT_COL}).alias("r"),
         F.col(value_col).alias("__raw"))
-    good = parsed.where(F.col(f"r.{S.CORRUPT_COL}").isNull() & F.col("r").isNotNull()) \
-        .select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
-    bad = parsed.where(F.col(f"r.{S.CORRUPT_COL}").isNotNull() | F.col("r").isNull()) \
-        .select(F.col("__raw").alias(S.CORRUPT_COL))
+    is_obj = F.ltrim(F.col("__raw")).startswith("{")
+    ok = F.col(f"r.{S.CORRUPT_COL}").isNull() & F.col("r").isNotNull() & is_obj
+    good = parsed.where(ok).select(*keep, *[F.col(f"r.{f.name}").alias(f.name)
+                                            for f in schema.fields])
+    bad = parsed.where(~F.coalesce(ok, F.lit(False))).select(
+        *keep, F.col("__raw").alias(S.CORRUPT_COL))
     return good, bad
 
 
