@@ -134,3 +134,16 @@ def test_asof_join_brute_force(spark):
         cands = [(rt, rid) for rk, rt, rid in right if rk == k and rt <= t]
         want[i] = max(cands)[1] if cands else None
     assert got == want
+
+
+def test_next_in_sequence_brute_force(spark):
+    rows = _rows(4, n=400, keys=3)
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, id long")
+    got = {r["id"]: r["next_ts"] for r in
+           cdc.next_in_sequence(df, ["k"], "t", ["id"], bucket_seconds=3 * 86400).collect()}
+    want = {}
+    for k in {r[0] for r in rows}:
+        seq = sorted((t, i) for kk, t, i in rows if kk == k)
+        for j, (t, i) in enumerate(seq):
+            want[i] = seq[j + 1][0] if j + 1 < len(seq) else None
+    assert got == want

@@ -30,14 +30,39 @@ def current_state(changes: DataFrame, keys: Sequence[str], order: Sequence[str],
     return latest
 
 
+def next_in_sequence(df: DataFrame, keys: Sequence[str], ts_col: str,
+                     tiebreak: Sequence[str] = (), bucket_seconds: int = 86400,
+                     out_col: str = "next_ts") -> DataFrame:
+    """``lead(ts_col)`` per key in (time, tiebreak) order, without a per-key window.
+
+    Level 1 is a window per (key, time bucket); the last row of a bucket takes
+    the first row of the key's next non-empty bucket, found by a window over
+    one row per (key, bucket) (a partial aggregate).  A hot key is spread
+    over its buckets, and the level-2 window sees keys × buckets rows.
+    """
+    keys = list(keys)
+    b = F.floor(F.unix_timestamp(F.col(ts_col)) / bucket_seconds).cast("bigint")
+    x = df.withColumn("__b", b)
+    w1 = Window.partitionBy(*keys, "__b").orderBy(ts_col, *tiebreak)
+    local = x.withColumn("__next", F.lead(ts_col).over(w1))
+    firsts = (x.groupBy(*keys, "__b")
+               .agg(F.min(F.struct(F.col(ts_col).alias("t"), *[F.col(c) for c in tiebreak]))["t"]
+                    .alias("__first")))
+    w2 = Window.partitionBy(*keys).orderBy("__b")
+    following = firsts.withColumn("__after", F.lead("__first").over(w2)).drop("__first")
+    out = local.join(following, [*keys, "__b"], "left")
+    return (out.withColumn(out_col, F.coalesce(F.col("__next"), F.col("__after")))
+               .drop("__b", "__next", "__after"))
+
+
 def scd2_intervals(changes: DataFrame, keys: Sequence[str], ts_col: str,
-                   tiebreak: Sequence[str] = ()) -> DataFrame:
+                   tiebreak: Sequence[str] = (), bucket_seconds: int = 86400) -> DataFrame:
     """SCD-2 rows with ``valid_from``/``valid_to`` (null = current) and
-    ``is_current``.  Versions per key are ordered by (time, tiebreak)."""
-    w = Window.partitionBy(*keys).orderBy(ts_col, *tiebreak)
-    return (changes.withColumn("valid_from", F.col(ts_col))
-                   .withColumn("valid_to", F.lead(ts_col).over(w))
-                   .withColumn("is_current", F.col("valid_to").isNull()))
+    ``is_current``.  Versions per key are ordered by (time, tiebreak); the
+    next version is found with ``next_in_sequence`` (skew-safe)."""
+    nxt = next_in_sequence(changes, keys, ts_col, tiebreak, bucket_seconds, "valid_to")
+    return (nxt.withColumn("valid_from", F.col(ts_col))
+               .withColumn("is_current", F.col("valid_to").isNull()))
 
 
 def snapshot_as_of(changes: DataFrame, keys: Sequence[str], ts_col: str, as_of,

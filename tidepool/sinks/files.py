@@ -22,11 +22,15 @@ DEFAULT_MAX_RECORDS_PER_FILE = 5_000_000
 
 def spread_by_partition(df: DataFrame, partition_cols: Sequence[str], files_per_partition: int = 1,
                         spread_col: str | None = None) -> DataFrame:
-    """Cluster rows by output folder; split each folder over N writer tasks."""
+    """Cluster rows by output folder; split each folder over N writer tasks.
+
+    The spread is a hash of ``spread_col`` (or of the whole row), never a
+    random number: a retried task must send each row to the same partition.
+    """
     cols = [F.col(c) for c in partition_cols]
     if files_per_partition > 1:
-        spread = F.col(spread_col) if spread_col else F.rand(seed=17)
-        bucket = F.pmod(F.xxhash64(spread), F.lit(files_per_partition))
+        spread = F.xxhash64(F.col(spread_col)) if spread_col else F.xxhash64(*df.columns)
+        bucket = F.pmod(spread, F.lit(files_per_partition))
         return df.repartition(*cols, bucket)
     return df.repartition(*cols)
 
