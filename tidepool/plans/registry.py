@@ -405,3 +405,7 @@ def q_f3_parse_payloads(spark, sf_dir):
     ev = V.table(spark, sf_dir, "events").select("event_id", F.col("props").alias("value"))
     good, _bad = parse_records(ev, schema=_PROPS_STRUCT, keep=["event_id"])
     return good.select("event_id", "k")
+
+
+# The extension queries register themselves into REGISTRY on import.
+from . import extensions as _extensions  # noqa: E402,F401
