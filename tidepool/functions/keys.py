@@ -11,15 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..fixed import (ALERT_SUBJECT_MAX, KEY_HEX_DIGITS, KEY_SEPARATOR, MISSING_DATETIME,
+                     MISSING_URL, UNKNOWN_SYMBOL)
 from .util import as_col, py_text
 
-# Fixed values that must match the data producers for keys to agree.
-KEY_SEPARATOR = "|"
-KEY_HEX_DIGITS = 16
-MISSING_URL = ""          # an article without a url is keyed with ''
-MISSING_DATETIME = "0"    # an article without a datetime is keyed with 0
-UNKNOWN_SYMBOL = "UNKNOWN"
-
 
 def short_sha256(*parts) -> Column:
     """First 16 hex digits of SHA-256 of the ``|``-joined parts."""
@@ -72,8 +67,8 @@ def alert_key(symbol, window_start, window_start_is_text: bool = False) -> Colum
     return F.concat(py_text(symbol), F.lit(KEY_SEPARATOR), F.coalesce(ws_text, F.lit("None")))
 
 
+# Our product prefix for alert subjects.
 ALERT_SUBJECT_PREFIX = "[tidepool] Anomaly: "
-ALERT_SUBJECT_MAX = 99
 
 
 def alert_subject(symbol, event_count, prefix: str = ALERT_SUBJECT_PREFIX) -> Column:

@@ -13,10 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import (DAILY_SERIES_FIELD, PROJECTION_DAYS, PROJECTION_HOURS,  # noqa: F401
+                     PROJECTION_MONTHS, PROJECTION_YEARS, RATE_LIMIT_FIELDS, TRADE_TYPE)
 from ..schemas import CORRUPT_COL
 
-TRADE_TYPE = "trade"
-
 
 def only_type(df: DataFrame, type_col: str = "type", value: str = TRADE_TYPE) -> DataFrame:
     """keep messages of one type (``type = 'trade'`` for the tick relay)."""
@@ -41,8 +41,8 @@ def split_malformed(df: DataFrame, corrupt_col: str = CORRUPT_COL) -> tuple[Data
 SERIES_OK, RATE_LIMITED, UNEXPECTED = "ok", "rate_limited", "unexpected"
 
 
-def payload_status(series_col: str = "Time Series (Daily)", note_col: str = "Note",
-                   info_col: str = "Information") -> Column:
+def payload_status(series_col: str = DAILY_SERIES_FIELD, note_col: str = RATE_LIMIT_FIELDS[0],
+                   info_col: str = RATE_LIMIT_FIELDS[1]) -> Column:
     """classify a daily-series payload: series present, rate-limited, or unexpected."""
     return (F.when(F.col(f"`{series_col}`").isNotNull(), F.lit(SERIES_OK))
              .when(F.col(note_col).isNotNull() | F.col(info_col).isNotNull(), F.lit(RATE_LIMITED))
@@ -72,13 +72,6 @@ def partition_predicate(symbols: Sequence[str] | None = None, year: int | None =
     return cond
 
 
-# The projection domain the raw tables declare.
-PROJECTION_YEARS = (2024, 2030)
-PROJECTION_MONTHS = (1, 12)
-PROJECTION_DAYS = (1, 31)
-PROJECTION_HOURS = (0, 23)
-
-
 def in_projection_domain(df: DataFrame, symbols: Sequence[str] | Column, symbol_col: str = "symbol",
                          year_col: str = "year", years=PROJECTION_YEARS) -> DataFrame:
     """rows a projected table can see: symbol in the enum and year in range.

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..fixed import (ASSET_CLASS, BAR_COLUMNS, BAR_FIELDS, BARS_SOURCE, DAILY_SERIES_FIELD,
+                     NEWS_SOURCE, RATE_LIMIT_FIELDS, TICKS_SOURCE, TRADE_TYPE)
 from ..functions import keys
 from .filters import SERIES_OK, payload_status
 
@@ -20,8 +22,8 @@ NEWS_ENVELOPE = ("source", "asset_class", "symbol", "dedup_key", "fetched_at")
 
 
 def normalize_news(articles: DataFrame, request_symbol: str = "request_symbol",
-                   fetched_at: Column | None = None, source: str = "finnhub",
-                   asset_class: str = "equity") -> DataFrame:
+                   fetched_at: Column | None = None, source: str = NEWS_SOURCE,
+                   asset_class: str = ASSET_CLASS) -> DataFrame:
     """P9 + P11: key each article and wrap it in the envelope; article fields win.
 
     The key uses the *requested* symbol with the article's ``datetime`` (0 if
@@ -54,26 +56,26 @@ def merge_envelope_maps(envelope: Column, article: Column) -> Column:
     return F.map_concat(envelope, article)
 
 
-BAR_RENAMES = {"1. open": "open", "2. high": "high", "3. low": "low", "4. close": "close",
-               "5. volume": "volume"}
+BAR_RENAMES = dict(zip(BAR_FIELDS, BAR_COLUMNS))
 
 
 def classify_payloads(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
     """add ``status`` = ok / rate_limited / unexpected."""
     p = F.col(payload_col)
-    status = (F.when(p["Time Series (Daily)"].isNotNull(), F.lit(SERIES_OK))
-               .when(p["Note"].isNotNull() | p["Information"].isNotNull(), F.lit("rate_limited"))
+    status = (F.when(p[DAILY_SERIES_FIELD].isNotNull(), F.lit(SERIES_OK))
+               .when(p[RATE_LIMIT_FIELDS[0]].isNotNull() | p[RATE_LIMIT_FIELDS[1]].isNotNull(),
+                     F.lit("rate_limited"))
                .otherwise(F.lit("unexpected")))
     return payloads.withColumn("status", status)
 
 
 def normalize_bars(payloads: DataFrame, symbol_col: str = "symbol", payload_col: str = "payload",
-                   fetched_at: Column | None = None, source: str = "alpha_vantage",
-                   asset_class: str = "equity") -> DataFrame:
+                   fetched_at: Column | None = None, source: str = BARS_SOURCE,
+                   asset_class: str = ASSET_CLASS) -> DataFrame:
     """F4 + P13 + P8: ok payloads → one flat record per (symbol, date), text kept."""
     ok = classify_payloads(payloads, payload_col).where(F.col("status") == SERIES_OK)
     rows = ok.select(F.col(symbol_col).alias("symbol"),
-                     F.explode(F.col(payload_col)["Time Series (Daily)"]).alias("date", "bar"))
+                     F.explode(F.col(payload_col)[DAILY_SERIES_FIELD]).alias("date", "bar"))
     fetched = fetched_at if fetched_at is not None else F.date_format(
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     return rows.select(
@@ -83,8 +85,8 @@ def normalize_bars(payloads: DataFrame, symbol_col: str = "symbol", payload_col:
 
 
 def normalize_ticks(messages: DataFrame, text_col: str = "value",
-                    fetched_at: Column | None = None, source: str = "finnhub_ws",
-                    asset_class: str = "equity") -> DataFrame:
+                    fetched_at: Column | None = None, source: str = TICKS_SOURCE,
+                    asset_class: str = ASSET_CLASS) -> DataFrame:
     """F2 + P14 + P12 + P10: relay messages (JSON text) → one record per trade tick.
 
     Non-trade messages (pings) are dropped, a message without ``data`` yields
@@ -92,7 +94,7 @@ def normalize_ticks(messages: DataFrame, text_col: str = "value",
     ``[]``.  The key uses the number text as read from the message.
     """
     msg = messages.select(F.from_json(F.col(text_col), S.TICK_MESSAGE).alias("m"))
-    trades = msg.where(F.col("m.type") == F.lit("trade"))
+    trades = msg.where(F.col("m.type") == F.lit(TRADE_TYPE))
     t = trades.select(F.explode(F.coalesce(F.col("m.data"), F.array())).alias("t"))
     sym = keys.symbol_or_unknown(F.col("t.s"))
     fetched = fetched_at if fetched_at is not None else F.date_format(

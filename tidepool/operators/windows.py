@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_WINDOW = "5 minutes"
-DEFAULT_THRESHOLD = 3
+from ..fixed import THRESHOLD as DEFAULT_THRESHOLD
+from ..fixed import WINDOW as DEFAULT_WINDOW
 
 
 def tumbling_count(df: DataFrame, time_col: str = "published_at", key_col: str = "symbol",

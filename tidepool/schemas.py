@@ -6,6 +6,7 @@ scale and silently changes types when one file drifts.
 
 from __future__ import annotations
 
+from .fixed import BAR_FIELDS, DAILY_SERIES_FIELD, RATE_LIMIT_FIELDS
 from pyspark.sql.types import (
     ArrayType, DoubleType, IntegerType, LongType, MapType, StringType,
     StructField, StructType, TimestampType,
@@ -63,11 +64,9 @@ TICK_MESSAGE = StructType([
 ])
 
 # The daily-series payload of the bars provider.
-BAR_FIELDS = ("1. open", "2. high", "3. low", "4. close", "5. volume")
 DAILY_SERIES_PAYLOAD = StructType([
-    StructField("Time Series (Daily)", MapType(S, _struct(*[(f, S) for f in BAR_FIELDS]))),
-    StructField("Note", S),
-    StructField("Information", S),
+    StructField(DAILY_SERIES_FIELD, MapType(S, _struct(*[(f, S) for f in BAR_FIELDS]))),
+    *[StructField(f, S) for f in RATE_LIMIT_FIELDS],
 ])
 
 # ------------------------------------------------------------- bronze zone

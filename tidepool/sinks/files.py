@@ -73,7 +73,7 @@ def write_bronze(df: DataFrame, path: str, partition_cols: Sequence[str],
 
 
 def write_errors(bad: DataFrame, path: str, error_type: str, date_col: str | None = None,
-                 day: str | None = None) -> None:
+                 day: str | None = None, files_per_partition: int = 4) -> None:
     """K6: malformed rows under ``error_type=<type>/date=<yyyy-MM-dd>``.
 
     The date is taken from ``date_col``, else ``day``, else the processing day.
@@ -83,7 +83,7 @@ def write_errors(bad: DataFrame, path: str, error_type: str, date_col: str | Non
     else:
         date = F.lit(day) if day else F.date_format(F.current_date(), "yyyy-MM-dd")
     out = bad.withColumn("error_type", F.lit(error_type)).withColumn("date", date)
-    (out.repartition("error_type", "date").write.mode("append")
+    (spread_by_partition(out, ["error_type", "date"], files_per_partition).write.mode("append")
         .partitionBy("error_type", "date").json(path))
 
 

@@ -13,11 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import PUBLISH_CHUNK  # noqa: F401  (chunking is the sink client's job)
 from ..functions.keys import symbol_or_unknown
 
-# Fixed value: records per publish call of the stream API.
-PUBLISH_CHUNK = 500
-
 
 def keyed_records(df: DataFrame, symbol_col: str = "symbol", order_cols: Sequence[str] = (),
                   num_partitions: int | None = None) -> DataFrame:

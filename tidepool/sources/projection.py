@@ -18,9 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: location template of the raw news table.
-NEWS_LOCATION_TEMPLATE = ("source=finnhub/asset_class=equity/symbol={symbol}/year={year}"
-                          "/month={month}/day={day}/hour={hour}/")
+from ..fixed import NEWS_LOCATION_TEMPLATE
 
 _STEP = {"hour": "1 hour", "day": "1 day"}
 

@@ -24,10 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..fixed import ALERT_TTL_DAYS as TTL_DAYS
 from ..functions import keys, timecols
 
-TTL_DAYS = 30
-
 # The anomaly as the alerter decodes it: timestamps stay text.
 ANOMALY_TEXT = StructType([
     StructField("symbol", StringType()), StructField("window_start", StringType()),
@@ -75,22 +74,39 @@ def new_alerts(batch: DataFrame, seen: DataFrame | None, now_epoch: int | None =
     return first.join(live.select("dedup_key").distinct(), "dedup_key", "left_anti")
 
 
+def _live_alerts(spark, alerts_path: str, now_epoch: int):
+    """Stored alerts that can still suppress: only the first-seen days inside
+    the expiry are read (partition pruning on ``seen_day``)."""
+    try:
+        stored = spark.read.parquet(alerts_path)
+    except Exception as e:  # first batch: no alerts stored yet
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER" in str(e) or "does not exist" in str(e):
+            return None
+        raise
+    oldest = F.date_format(F.timestamp_seconds(F.lit(now_epoch - TTL_DAYS * 86400 - 86400)),
+                           "yyyy-MM-dd")
+    return stored.where(F.col("seen_day") >= oldest)
+
+
 def alerts_foreach_batch(alerts_path: str, summary_path: str | None = None, data_col: str = "data"):
-    """K8 + A2 as a ``foreachBatch`` function over raw anomaly records."""
+    """K8 + A2 as a ``foreachBatch`` function over raw anomaly records.
+
+    Alerts are stored partitioned by first-seen day, so each micro-batch reads
+    only the last 30 days of keys, however long the alert history grows.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         decoded = decode(batch, data_col).cache()
         try:
-            try:
-                seen = spark.read.parquet(alerts_path)
-            except Exception:  # first batch: no alerts stored yet
-                seen = None
             now_epoch = int(spark.sql("SELECT unix_timestamp()").first()[0])
-            fresh = new_alerts(alert_rows(decoded), seen, now_epoch).withColumn(
-                "batch_id", F.lit(batch_id).cast("bigint")).cache()
+            now = F.timestamp_seconds(F.lit(now_epoch))
+            seen = _live_alerts(spark, alerts_path, now_epoch)
+            fresh = (new_alerts(alert_rows(decoded, now), seen, now_epoch)
+                     .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                     .withColumn("seen_day", F.date_format(now, "yyyy-MM-dd"))).cache()
             n_new = fresh.count()
             if n_new:
-                fresh.write.mode("append").parquet(alerts_path)
+                fresh.write.mode("append").partitionBy("seen_day").parquet(alerts_path)
             if summary_path:
                 s = decoded.agg(F.count_if("ok").alias("records_processed"),
                                 F.count(F.lit(1)).alias("batch_size")) \

@@ -20,10 +20,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .. import schemas as S
 from ..functions.timecols import epoch_seconds_to_timestamp_millis
 from ..operators.windows import DEFAULT_THRESHOLD, DEFAULT_WINDOW, detect_anomalies
+from ..fixed import WATERMARK_DELAY
 from ..sinks.publish import anomaly_records
 
-WATERMARK_DELAY = "30 seconds"
-
 
 def parse_records(stream: DataFrame, schema: StructType = S.DETECTOR_SOURCE,
                   value_col: str = "value", keep=()) -> tuple[DataFrame, DataFrame]:
