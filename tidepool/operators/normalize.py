@@ -16,7 +16,7 @@ from .. import schemas as S
 from ..fixed import (ASSET_CLASS, BAR_COLUMNS, BAR_FIELDS, BARS_SOURCE, DAILY_SERIES_FIELD,
                      NEWS_SOURCE, RATE_LIMIT_FIELDS, TICKS_SOURCE, TRADE_TYPE)
 from ..functions import keys
-from .filters import SERIES_OK, payload_status
+from .filters import SERIES_OK
 
 NEWS_ENVELOPE = ("source", "asset_class", "symbol", "dedup_key", "fetched_at")
 
