@@ -1,11 +1,11 @@
 """File and table sinks.
 
-Writes repartition by the output partition columns first, so each output
-folder is written by a bounded number of tasks instead of one small file
-per (task, folder).  A folder that holds a third of the data would then sit
-in one task, so rows are additionally spread by a hash of a row key over
-``files_per_partition`` buckets: hot folders get that many writers, cold
-ones get at most that many files.
+Writes cluster rows by the output partition columns first, so each output
+folder is written by few tasks instead of one small file per (task,
+folder).  By default this is a ``REBALANCE`` hint: AQE then splits a folder
+that holds a third of the data over several tasks and merges small ones,
+from the real shuffle sizes.  ``files_per_partition`` instead fixes the
+spread: rows go to N hash buckets per folder.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ def spread_by_partition(df: DataFrame, partition_cols: Sequence[str], files_per_
         spread = F.xxhash64(F.col(spread_col)) if spread_col else F.xxhash64(*df.columns)
         bucket = F.pmod(spread, F.lit(files_per_partition))
         return df.repartition(*cols, bucket)
-    return df.repartition(*cols)
+    return df.hint("rebalance", *partition_cols)
 
 
 def write_partitioned_ndjson(df: DataFrame, path: str, partition_cols: Sequence[str],
