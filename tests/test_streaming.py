@@ -40,6 +40,7 @@ def test_detector_stream_equals_batch(spark, tmp_path):
     q = detector.start_detector(stream, sink, ckpt, threshold=3, width="5 minutes",
                                 trigger={"availableNow": True})
     q.awaitTermination(300)
+    assert detector.input_metrics(q) == {"rows": 10000, "null_event_time": 0}
     got = spark.read.json(sink)
     batch = REGISTRY["a1_anomaly_5m"].build(spark, SF_ORACLE)
     assert got.count() == batch.count() == 62
@@ -60,6 +61,9 @@ def test_detector_stream_equals_batch(spark, tmp_path):
     q.awaitTermination(300)
     assert spark.read.json(sink).where(F.col("key") == "LATE").count() == 0
     assert spark.read.json(sink).count() == 62
+    # counted after the map-side partial aggregate: 5 late rows in one window → 1
+    assert detector.watermark_drops(q) == 1
+    assert detector.input_metrics(q)["rows"] == 5  # the malformed line never reaches the window
 
 
 def test_detector_null_time_and_threshold_edges(spark):

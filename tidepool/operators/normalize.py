@@ -69,6 +69,17 @@ def classify_payloads(payloads: DataFrame, payload_col: str = "payload") -> Data
     return payloads.withColumn("status", status)
 
 
+def flatten_map(df: DataFrame, json_col: str, map_type: str, keep=(), key_name: str = "key",
+                value_name: str = "value") -> DataFrame:
+    """P13 (generic form): a JSON object column → one row per entry.
+
+    The daily series is such a map (date → bar); ``normalize_bars`` applies
+    the same ``explode`` and then renames the bar fields.
+    """
+    return df.select(*keep, F.explode(F.from_json(F.col(json_col), map_type))
+                     .alias(key_name, value_name))
+
+
 def normalize_bars(payloads: DataFrame, symbol_col: str = "symbol", payload_col: str = "payload",
                    fetched_at: Column | None = None, source: str = BARS_SOURCE,
                    asset_class: str = ASSET_CLASS) -> DataFrame:

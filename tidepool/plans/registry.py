@@ -407,5 +407,15 @@ def q_f3_parse_payloads(spark, sf_dir):
     return good.select("event_id", "k")
 
 
+
+# ------------------------------------------------------------ nested payloads
+@register("p13_flatten_payload", """
+SELECT event_id, unnest(map_keys(m)) AS field, unnest(map_values(m)) AS value
+FROM (SELECT event_id, CAST(props::JSON AS MAP(VARCHAR, BIGINT)) AS m FROM events)""", ("P13",))
+def q_p13_flatten_payload(spark, sf_dir):
+    from ..operators.normalize import flatten_map
+    ev = V.table(spark, sf_dir, "events").select("event_id", "props")
+    return flatten_map(ev, "props", "map<string,bigint>", ["event_id"], "field", "value")
+
 # The extension queries register themselves into REGISTRY on import.
 from . import extensions as _extensions  # noqa: E402,F401

@@ -111,6 +111,22 @@ def start_detector(source: DataFrame, sink_path: str, checkpoint: str,
 
 
 def watermark_drops(query) -> int:
-    """Rows dropped as late by the stateful operator, last micro-batch."""
-    p = query.lastProgress or {}
-    return sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
+    """Rows dropped as late by the stateful operator over the recent
+    micro-batches of ``query``.
+
+    Spark counts at the state operator, i.e. after the map-side partial
+    aggregate: late raw rows of one (window, symbol) in one task count once.
+    """
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in (query.recentProgress or []) for op in p.get("stateOperators", []))
+
+
+def input_metrics(query, name: str = "detector_input") -> dict:
+    """Rows seen and rows without event time, summed over recent micro-batches."""
+    out = {"rows": 0, "null_event_time": 0}
+    for p in query.recentProgress or []:
+        m = (p.get("observedMetrics") or {}).get(name) or {}
+        m = m.asDict() if hasattr(m, "asDict") else m
+        for k in out:
+            out[k] += int(m.get(k) or 0)
+    return out
