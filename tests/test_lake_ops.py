@@ -147,3 +147,17 @@ def test_next_in_sequence_brute_force(spark):
         for j, (t, i) in enumerate(seq):
             want[i] = seq[j + 1][0] if j + 1 < len(seq) else None
     assert got == want
+
+
+def test_zones_and_adhoc_sql(spark, tmp_path):
+    from tidepool.plans import catalog
+    zones = catalog.create_zones(spark, str(tmp_path / "lake"), prefix="tp")
+    assert set(zones) == {"raw", "bronze", "silver", "gold"}
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("A", 1), ("B", 2)], "symbol string, n int").write.partitionBy("symbol") \
+        .parquet(path)
+    t = catalog.register_parquet_table(spark, "tp_bronze.t", path)
+    assert t.count() == 2
+    assert catalog.sql(spark, "SELECT sum(n) FROM tp_bronze.t WHERE symbol = 'B'").first()[0] == 2
+    for z in zones.values():
+        spark.sql(f"DROP DATABASE {z} CASCADE")

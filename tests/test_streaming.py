@@ -95,9 +95,8 @@ def test_alerter_first_seen_and_summary(spark, tmp_path):
         p.write_text("\n".join(json.dumps({"data": x}) for x in lines) + "\n")
         os.utime(p, (time.time() - 100 + i, time.time() - 100 + i))
     alerts, summ, ckpt = str(tmp_path / "alerts"), str(tmp_path / "summary"), str(tmp_path / "ck")
-    stream = spark.readStream.schema("data string").option("maxFilesPerTrigger", 1).json(str(src))
-    q = (stream.writeStream.foreachBatch(alerter.alerts_foreach_batch(alerts, summ))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q = alerter.start_alerter(spark, str(src), alerts, ckpt, summ, trigger={"availableNow": True},
+                              max_files_per_trigger=1)
     q.awaitTermination(300)
     out = spark.read.parquet(alerts)
     keys = sorted(r["dedup_key"] for r in out.collect())

@@ -87,3 +87,27 @@ def start_incremental(spark: SparkSession, raw_path: str, bronze_path: str, chec
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     return w.start()
+
+
+def main(argv=None) -> None:
+    """``python -m tidepool.plans.bronze_job --raw R --bronze B [--checkpoint C]``."""
+    import argparse
+
+    ap = argparse.ArgumentParser(description="raw news → bronze")
+    ap.add_argument("--raw", required=True)
+    ap.add_argument("--bronze", required=True)
+    ap.add_argument("--errors")
+    ap.add_argument("--table")
+    ap.add_argument("--checkpoint", help="incremental mode: checkpoint folder of the file stream")
+    ap.add_argument("--modified-after", help="batch mode: only files changed after this time")
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("raw_to_bronze_news").getOrCreate()
+    if a.checkpoint:
+        start_incremental(spark, a.raw, a.bronze, a.checkpoint, a.errors).awaitTermination()
+    else:
+        run_batch(spark, a.raw, a.bronze, table=a.table, errors_path=a.errors,
+                  modified_after=a.modified_after)
+
+
+if __name__ == "__main__":
+    main()

@@ -125,3 +125,41 @@ def dedup_event_time(alerts: DataFrame, ttl: str = f"{TTL_DAYS} days") -> DataFr
     ts = F.to_timestamp(F.col("window_start"))
     return (alerts.withColumn("__ws", ts).withWatermark("__ws", ttl)
                   .dropDuplicatesWithinWatermark(["dedup_key"]).drop("__ws"))
+
+
+def start_alerter(spark, source_path: str, alerts_path: str, checkpoint: str,
+                  summary_path: str | None = None, trigger: dict | None = None,
+                  max_files_per_trigger: int | None = None):
+    """Anomaly records (JSON lines with a base64 ``data`` field) → alerts.
+
+    Micro-batches every 30 s by default (the reference's batching window).
+    """
+    r = spark.readStream.schema("data string")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return (r.json(source_path).writeStream
+            .foreachBatch(alerts_foreach_batch(alerts_path, summary_path))
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
+
+
+def main(argv=None) -> None:
+    """``python -m tidepool.streaming.alerter --source S --alerts A --checkpoint C``."""
+    import argparse
+
+    from pyspark.sql import SparkSession
+
+    ap = argparse.ArgumentParser(description="anomaly alerter")
+    ap.add_argument("--source", required=True)
+    ap.add_argument("--alerts", required=True)
+    ap.add_argument("--checkpoint", required=True)
+    ap.add_argument("--summary")
+    ap.add_argument("--available-now", action="store_true")
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("anomaly_alerter").getOrCreate()
+    trigger = {"availableNow": True} if a.available_now else None
+    start_alerter(spark, a.source, a.alerts, a.checkpoint, a.summary, trigger).awaitTermination()
+
+
+if __name__ == "__main__":
+    main()

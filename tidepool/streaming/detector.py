@@ -130,3 +130,28 @@ def input_metrics(query, name: str = "detector_input") -> dict:
         for k in out:
             out[k] += int(m.get(k) or 0)
     return out
+
+
+def main(argv=None) -> None:
+    """``python -m tidepool.streaming.detector --source S --sink K --checkpoint C``."""
+    import argparse
+
+    ap = argparse.ArgumentParser(description="streaming anomaly detector")
+    ap.add_argument("--source", required=True, help="folder of stream records (JSON lines)")
+    ap.add_argument("--sink", required=True)
+    ap.add_argument("--checkpoint", required=True)
+    ap.add_argument("--errors")
+    ap.add_argument("--threshold", type=int, default=DEFAULT_THRESHOLD)
+    ap.add_argument("--window", default=DEFAULT_WINDOW)
+    ap.add_argument("--start-after", help="skip files written before this time (start at latest)")
+    ap.add_argument("--available-now", action="store_true")
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("anomaly_detector").getOrCreate()
+    trigger = {"availableNow": True} if a.available_now else {"processingTime": "60 seconds"}
+    q = start_detector(file_event_stream(spark, a.source, start_after=a.start_after), a.sink,
+                       a.checkpoint, a.threshold, a.window, errors_path=a.errors, trigger=trigger)
+    q.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()
