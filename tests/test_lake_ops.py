@@ -161,3 +161,12 @@ def test_zones_and_adhoc_sql(spark, tmp_path):
     assert catalog.sql(spark, "SELECT sum(n) FROM tp_bronze.t WHERE symbol = 'B'").first()[0] == 2
     for z in zones.values():
         spark.sql(f"DROP DATABASE {z} CASCADE")
+
+
+def test_cluster_conf_sizes_partitions():
+    from tidepool.session import cluster_conf
+    c = cluster_conf(shuffle_bytes=20 * (1 << 40), total_cores=8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 20 * (1 << 40) // (256 << 20) + 1
+    small = cluster_conf(shuffle_bytes=1 << 20, total_cores=8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24000
+    assert c["spark.sql.adaptive.enabled"] == "true"

@@ -41,6 +41,34 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
     return spark
 
 
+MB = 1 << 20
+
+
+def cluster_conf(shuffle_bytes: int, total_cores: int, target_partition_mb: int = 256,
+                 max_partitions: int = 200_000) -> dict[str, str]:
+    """Settings for a large cluster, sized from the expected shuffle volume.
+
+    Initial shuffle partitions are sized so each holds about
+    ``target_partition_mb`` at the expected volume (at least 3 per core);
+    AQE then coalesces small ones and splits skewed ones from runtime sizes.
+    Scan splits match the target, so one task reads about that much.  Large
+    streaming state (the detector's windows) goes to RocksDB, off the heap.
+    """
+    parts = max(3 * total_cores, min(max_partitions, shuffle_bytes // (target_partition_mb * MB) + 1))
+    conf = dict(BASE_CONF)
+    conf.update({
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    })
+    conf.pop("spark.ui.enabled", None)
+    return conf
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
