@@ -65,7 +65,6 @@ def cluster_conf(shuffle_bytes: int, total_cores: int, target_partition_mb: int
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     })
-    conf.pop("spark.ui.enabled", None)
     return conf
 
 
