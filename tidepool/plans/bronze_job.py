@@ -34,15 +34,27 @@ def transform_batch(raw: DataFrame, errors_path: str | None = None,
 def run_batch(spark: SparkSession, raw_path: str, bronze_path: str, table: str | None = None,
               errors_path: str | None = None, modified_after: str | None = None,
               ingestion_ts=None, files_per_partition: int = 1) -> bool:
-    """Run one batch; returns False when there was nothing new to write."""
-    raw = read_raw_news(spark, raw_path, modified_after=modified_after).cache()
+    """Run one batch; returns False when there was nothing new to write.
+
+    Emptiness is tested on the raw input (stops at the first row found), not
+    on the deduplicated output, so the dedup runs once, inside the write.
+    The raw rows are cached only when malformed rows must also be written
+    (two consumers of one scan; Spark also refuses a raw JSON scan that
+    reads nothing but the corrupt-record column).
+    """
+    raw = read_raw_news(spark, raw_path, modified_after=modified_after)
+    if raw.isEmpty():
+        return False
+    if errors_path is not None:
+        raw = raw.cache()
     try:
         out = transform_batch(raw, errors_path, ingestion_ts)
-        return write_if_nonempty(out, lambda df: write_bronze(
-            df, bronze_path, S.BRONZE_NEWS_PARTITIONS, table=table,
-            files_per_partition=files_per_partition, spread_col="dedup_key"))
+        write_bronze(out, bronze_path, S.BRONZE_NEWS_PARTITIONS, table=table,
+                     files_per_partition=files_per_partition, spread_col="dedup_key")
+        return True
     finally:
-        raw.unpersist()
+        if errors_path is not None:
+            raw.unpersist()
 
 
 def skip_written(spark: SparkSession, out: DataFrame, bronze_path: str) -> DataFrame:
@@ -73,11 +85,12 @@ def start_incremental(spark: SparkSession, raw_path: str, bronze_path: str, chec
                                max_files_per_trigger)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():  # K9: nothing new, no write
+            return
         batch = batch.cache()
         try:
             out = skip_written(spark, transform_batch(batch, errors_path), bronze_path)
-            write_if_nonempty(out, lambda df: write_bronze(df, bronze_path,
-                                                           S.BRONZE_NEWS_PARTITIONS))
+            write_bronze(out, bronze_path, S.BRONZE_NEWS_PARTITIONS)
         finally:
             batch.unpersist()
 
