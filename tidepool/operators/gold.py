@@ -98,7 +98,10 @@ def delivery_summary(compared: DataFrame, approx_percentiles: bool = True) -> Da
 
 
 def daily_anomalies(anomalies: DataFrame) -> DataFrame:
-    """Anomalies per symbol and day (count and largest window count)."""
-    return (anomalies.groupBy("symbol", F.to_date("window_start").alias("day"))
+    """Anomalies per symbol and day (count and largest window count).
+
+    ``day`` is the day's start, in the type of ``window_start``."""
+    day = F.to_date("window_start").cast(anomalies.schema["window_start"].dataType)
+    return (anomalies.groupBy("symbol", day.alias("day"))
                      .agg(F.count(F.lit(1)).alias("n_anomalies"),
                           F.max("event_count").alias("max_event_count")))

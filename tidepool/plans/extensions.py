@@ -44,7 +44,7 @@ WITH raw AS (
          props ->> '$.k' AS vol, ts AS fetched_at, event_id,
          substr(sha256(event_type || '|' || strftime(ts, '%Y-%m-%d')), 1, 16) AS dedup_key
   FROM events)
-SELECT symbol, TRY_CAST(date AS DATE) AS date, TRY_CAST(px AS DOUBLE) AS open,
+SELECT symbol, CAST(TRY_CAST(date AS DATE) AS TIMESTAMP) AS date, TRY_CAST(px AS DOUBLE) AS open,
        TRY_CAST(px AS DOUBLE) AS high, TRY_CAST(px AS DOUBLE) AS low, TRY_CAST(px AS DOUBLE) AS close,
        TRY_CAST(vol AS BIGINT) AS volume, dedup_key
 FROM (SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY fetched_at DESC, event_id DESC) rn
@@ -62,7 +62,8 @@ def q_x1_bars_bronze(spark, sf_dir):
                     F.col("ts").alias("fetched_at"), "event_id")
     raw = raw.withColumn("dedup_key", keys.bar_key("symbol", "date"))
     latest = latest_per_key(raw, ["dedup_key"], ["fetched_at", "event_id"])
-    return latest.select("symbol", F.col("date").try_cast("date").alias("date"),
+    # the bar date is returned as its midnight (timestamp_ntz), the type the checks compare
+    return latest.select("symbol", F.col("date").try_cast("date").cast("timestamp_ntz").alias("date"),
                          *[F.col(c).try_cast("double").alias(c) for c in ("open", "high", "low", "close")],
                          F.col("volume").try_cast("bigint").alias("volume"), "dedup_key")
 
@@ -335,9 +336,9 @@ def q_x15_compare(spark, sf_dir):
 # ----------------------------------------------------------------- X17
 @register("x17_gold_daily_anomalies", f"""
 WITH a AS ({_tumble_sql("1 HOUR", 3)})
-SELECT symbol, CAST(window_start AS DATE) AS day, count(*) AS n_anomalies,
+SELECT symbol, CAST(CAST(window_start AS DATE) AS TIMESTAMP) AS day, count(*) AS n_anomalies,
        max(event_count) AS max_event_count
-FROM a GROUP BY symbol, CAST(window_start AS DATE)""", ("X17", "A1", "F1"))
+FROM a GROUP BY symbol, CAST(CAST(window_start AS DATE) AS TIMESTAMP)""", ("X17", "A1", "F1"))
 def q_x17_gold(spark, sf_dir):
     return gold.daily_anomalies(_anomalies(spark, sf_dir, "1 hour", 3))
 

@@ -278,16 +278,16 @@ def q_d4_first_seen_ttl(spark, sf_dir):
 # ------------------------------------------------------------ summaries
 @register("a2_alert_batches", f"""
 WITH RECURSIVE {D4_CTE}
-SELECT CAST(r.ts AS DATE) AS batch_date,
+SELECT CAST(CAST(r.ts AS DATE) AS TIMESTAMP) AS batch_date,
        count(*) FILTER (WHERE json_extract(ev.props, '$.k') IS NOT NULL) AS records_processed,
        count(x.event_id) AS alerts_sent, count(*) AS batch_size
 FROM rec r JOIN events ev ON ev.event_id = r.event_id
 LEFT JOIN emitted x ON x.event_id = r.event_id
-GROUP BY CAST(r.ts AS DATE)""", ("A2", "D4", "P19"))
+GROUP BY CAST(CAST(r.ts AS DATE) AS TIMESTAMP)""", ("A2", "D4", "P19"))
 def q_a2_alert_batches(spark, sf_dir):
     ev = V.table(spark, sf_dir, "events")
     emitted = _d4_emitted(spark, sf_dir).select("event_id", F.lit(True).alias("alerted"))
-    rec = ev.select("event_id", F.to_date("ts").alias("batch_date"),
+    rec = ev.select("event_id", F.to_date("ts").cast("timestamp_ntz").alias("batch_date"),
                     F.from_json("props", V.TICK_PROPS_SCHEMA)["k"].isNotNull().alias("processed"))
     flagged = rec.join(emitted, "event_id", "left").withColumn(
         "alerted", F.coalesce(F.col("alerted"), F.lit(False)))
