@@ -170,3 +170,19 @@ def test_cluster_conf_sizes_partitions():
     small = cluster_conf(shuffle_bytes=1 << 20, total_cores=8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 24000
     assert c["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_convert_archive_to_parquet(spark, tmp_path):
+    import gzip
+    import json as _json
+    from tidepool.streaming.archive import convert_archive
+    d = tmp_path / "arch" / "year=2026" / "month=06" / "day=05" / "hour=09"
+    d.mkdir(parents=True)
+    with gzip.open(d / "p.gz", "wb") as f:
+        f.write((_json.dumps({"dedup_key": "a"}) + _json.dumps({"dedup_key": "b"}) + "{bad").encode())
+    out = str(tmp_path / "pq")
+    convert_archive(spark, str(tmp_path / "arch"), out)
+    back = spark.read.parquet(out)
+    assert back.count() == 3
+    assert back.where("_corrupt_record IS NULL").count() == 2
+    assert back.select("hour").distinct().first()[0] == 9

@@ -155,3 +155,27 @@ def main(argv=None) -> None:
 
 if __name__ == "__main__":
     main()
+
+
+def kafka_event_stream(spark: SparkSession, servers: str, topic: str,
+                       starting_offsets: str = "latest",
+                       max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """S8/W6 on a Kafka topic: ``value`` as text, starting at the latest offset.
+
+    Needs the Spark Kafka connector on the classpath (not in this image; the
+    tests use the file source).  ``max_offsets_per_trigger`` bounds a
+    micro-batch (W5).
+    """
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic).option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return r.load().select(F.col("value").cast("string").alias("value"))
+
+
+def to_kafka(records: DataFrame, servers: str, topic: str, checkpoint: str,
+             trigger: dict | None = None):
+    """K3 on a Kafka topic: ``key``/``value`` records, keyed by symbol."""
+    return (records.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+            .option("topic", topic).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "60 seconds"})).start())
