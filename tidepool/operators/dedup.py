@@ -2,8 +2,9 @@
 
 Scale notes
 - "Latest per key" is a grouped ``max(struct(order..., payload...))``, not
-  a ``row_number`` window: the aggregate has a map-side partial step, so a
-  key holding a third of all rows is reduced to one row per input task
+  a ``row_number`` window: the aggregate has a map-side partial step
+  (planned as partial + final sort aggregates, the buffer being a struct),
+  so a key holding a third of all rows is reduced to one row per input task
   before anything is shuffled, and no task ever sorts a whole key group.
 - First-seen-with-expiry (D4) is a greedy chain per key (an emission
   blocks the key for the TTL, the next arrival after that re-emits).  It
