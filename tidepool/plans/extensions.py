@@ -361,5 +361,5 @@ def q_x18_features(spark, sf_dir):
         "momentum", "is_spike")
     t = V.ticks(spark, sf_dir).select("event_id", "symbol", "ts")
     out = asof_join(t, feats, ["symbol"], "ts", "bar_end", ["bar_start", "momentum", "is_spike"],
-                    bucket_seconds=6 * 3600)
+                    bucket_seconds=3600)  # buckets aligned with the hourly bars
     return out.withColumn("momentum", F.round("momentum", 6))
