@@ -8,22 +8,20 @@ Scale notes
   before anything is shuffled, and no task ever sorts a whole key group.
 - First-seen-with-expiry (D4) is a greedy chain per key (an emission
   blocks the key for the TTL, the next arrival after that re-emits).  It
-  is computed in rounds of "min arrival per key at or after the frontier",
-  each round a partial aggregate plus a join against one row per key;
-  the number of rounds is bounded by (time span / TTL) + 1, independent of
-  the data volume, and each round's input is checkpointed to the shared
-  checkpoint folder so lineage stays short and lost executors recompute
-  only one round.
+  is computed as one time-ordered pass over TTL-wide buckets (see
+  ``first_seen_with_ttl``): linear in the data, one small join per bucket,
+  every round written to the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from ..session import checkpoint_dir
 
 
 def _names(cols) -> list[str]:
@@ -77,40 +75,56 @@ def copies_per_key(df: DataFrame, keys) -> DataFrame:
 
 
 def first_seen_with_ttl(df: DataFrame, keys, time_col: str, ttl_seconds: int,
-                        order: Sequence | None = None, max_rounds: int | None = None) -> DataFrame:
+                        order: Sequence | None = None) -> DataFrame:
     """D4 (batch): emit a record iff its key is unseen or its entry expired.
 
     An emission at ``t`` stores the key until ``t + ttl``; the first arrival
     at or after that re-emits.  Returns the emitted rows (the earliest record
     at each emission time, ties by ``order``) plus ``first_seen`` and
     ``expires_at`` (epoch seconds, the stored item's ``ttl``).
+
+    Algorithm (linear in the data).  Emissions of a key are at least one TTL
+    apart, so with time cut into TTL-wide buckets a key emits at most once per
+    bucket, and its emission in bucket ``b`` depends only on its emission in
+    bucket ``b-1``: arrivals before that emission + TTL are suppressed; with
+    no emission in ``b-1`` the first arrival in ``b`` is emitted.  The
+    distinct (key, arrival) rows are written once to the shared checkpoint
+    folder, partitioned by bucket; then buckets are processed in time order,
+    each round reading only its own bucket (partition pruning) and the
+    previous round's emissions (at most one row per key).  Total work is one
+    pass over the arrivals plus one small join per bucket; the number of
+    rounds is the time span / TTL, set by the calendar, not by the volume.
+    Every round's emissions are written to the shared folder, so a lost
+    executor recomputes at most one round.
     """
     keys = _names(keys)
-    ttl = F.expr(f"INTERVAL {int(ttl_seconds)} SECONDS")
-    # One row per (key, arrival time): exact duplicates collapse map-side.
-    pending = df.where(F.col(time_col).isNotNull()).select(*keys, F.col(time_col).alias("__t")) \
-        .distinct()
-    pending = reliable_checkpoint(pending)
-    rounds = []
-    while True:
-        # Round frontier: earliest pending arrival per key (an emission).  It is
-        # re-derived from the checkpointed ``pending`` when needed, so each round
-        # costs one job: the join below, materialised by the checkpoint.
-        frontier = pending.groupBy(*keys).agg(F.min("__t").alias("__e"))
-        rounds.append(frontier)
-        if max_rounds is not None and len(rounds) >= max_rounds:
-            break
-        p, f = pending.alias("p"), frontier.alias("f")
-        on = [F.col(f"p.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]
-        pending = (p.join(f, on)
-                    .where(F.col("p.__t") >= F.col("f.__e") + ttl)
-                    .select(*[F.col(f"p.{k}").alias(k) for k in keys], F.col("p.__t").alias("__t")))
-        pending = reliable_checkpoint(pending)
-        if pending.isEmpty():
-            break
-    emitted = rounds[0]
-    for r in rounds[1:]:
-        emitted = emitted.unionByName(r)
+    spark = df.sparkSession
+    ttl = int(ttl_seconds)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/first_seen_{uuid.uuid4().hex}"
+    arrivals = (df.where(F.col(time_col).isNotNull())
+                  .select(*keys, F.col(time_col).alias("__t")).distinct()
+                  .withColumn("__b", F.floor(F.unix_timestamp("__t") / ttl).cast("bigint")))
+    arrivals.write.partitionBy("__b").parquet(f"{base}/arrivals")
+    stored = spark.read.parquet(f"{base}/arrivals")
+    buckets = sorted(r[0] for r in stored.select("__b").distinct().collect())
+    prev_bucket = None
+    for b in buckets:
+        cur = stored.where(F.col("__b") == F.lit(b)).drop("__b")
+        if prev_bucket == b - 1:
+            prev = spark.read.parquet(f"{base}/emitted/__b={prev_bucket}")
+            p = prev.select(*[F.col(k).alias(f"__p{i}") for i, k in enumerate(keys)], "__e")
+            on = [cur[k].eqNullSafe(p[f"__p{i}"]) for i, k in enumerate(keys)]
+            cur = (cur.join(p, on, "left")
+                      .where(F.col("__e").isNull() |
+                             (F.col("__t") >= F.col("__e") + F.expr(f"INTERVAL {ttl} SECONDS")))
+                      .select(*keys, "__t"))
+        emitted_b = cur.groupBy(*keys).agg(F.min("__t").alias("__e"))
+        emitted_b.write.mode("overwrite").parquet(f"{base}/emitted/__b={b}")
+        prev_bucket = b
+    if not buckets:
+        return df.limit(0).withColumn("first_seen", F.col(time_col)) \
+            .withColumn("expires_at", F.unix_timestamp(F.col(time_col)) + F.lit(ttl))
+    emitted = spark.read.parquet(f"{base}/emitted").select(*keys, "__e")
     # Attach the record that arrived at each emission time (ties by order).
     d, e = df.alias("d"), emitted.alias("e")
     hits = d.join(e, [*(F.col(f"d.{k}").eqNullSafe(F.col(f"e.{k}")) for k in keys),
@@ -118,7 +132,7 @@ def first_seen_with_ttl(df: DataFrame, keys, time_col: str, ttl_seconds: int,
     tie = list(order) if order else [time_col]
     first = earliest_per_key(hits, [*keys, time_col], tie)
     return (first.withColumn("first_seen", F.col(time_col))
-                 .withColumn("expires_at", F.unix_timestamp(F.col(time_col)) + F.lit(int(ttl_seconds))))
+                 .withColumn("expires_at", F.unix_timestamp(F.col(time_col)) + F.lit(ttl)))
 
 
 def first_seen_keys(df: DataFrame, seen: DataFrame, keys) -> DataFrame:
