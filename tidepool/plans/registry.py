@@ -13,9 +13,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions import keys, timecols
 from ..operators import bronze, dedup, filters, summary, windows
+from ..sinks.publish import keyed_records
 from . import driver_views as V
 
 
@@ -366,7 +368,6 @@ def q_a5_bronze_count(spark, sf_dir):
 @register("k4_publish_keys", """
 SELECT COALESCE(event_type, 'UNKNOWN') AS key, event_id, ts FROM events""", ("K4",))
 def q_k4_publish_keys(spark, sf_dir):
-    from ..sinks.publish import keyed_records
     ev = V.table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol"), "event_id", "ts")
     return keyed_records(ev, "symbol", order_cols=["ts", "event_id"]).select("key", "event_id", "ts")
 
@@ -393,8 +394,6 @@ def q_s7_missing_partitions(spark, sf_dir):
 
 
 # --------------------------------------------------------- malformed records
-from pyspark.sql.types import LongType, StructField, StructType  # noqa: E402
-
 _PROPS_STRUCT = StructType([StructField("k", LongType())])
 
 @register("f3_parse_payloads", """
