@@ -95,7 +95,9 @@ def first_seen_with_ttl(df: DataFrame, keys, time_col: str, ttl_seconds: int,
     pass over the arrivals plus one small join per bucket; the number of
     rounds is the time span / TTL, set by the calendar, not by the volume.
     Every round's emissions are written to the shared folder, so a lost
-    executor recomputes at most one round.
+    executor recomputes at most one round.  These scratch tables live under
+    ``<spark.checkpoint.dir>/first_seen_<id>``; the returned frame reads
+    them, so remove them only after it has been consumed.
     """
     keys = _names(keys)
     spark = df.sparkSession
