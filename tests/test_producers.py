@@ -104,3 +104,24 @@ def test_partitioned_ndjson_rerun_is_idempotent(spark, tmp_path):
     back = spark.read.json(out)
     assert back.count() == 2
     assert sorted(r["dedup_key"] for r in back.collect()) == ["k1", "k2"]
+
+
+def test_envelope_map_merge_article_wins(spark):
+    prev = spark.conf.get("spark.sql.mapKeyDedupPolicy")
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    try:
+        df = spark.createDataFrame([({"source": "finnhub", "symbol": "AAPL"},
+                                     {"source": "Reuters", "url": "u"})],
+                                   "env map<string,string>, art map<string,string>")
+        m = df.select(normalize.merge_envelope_maps(F.col("env"), F.col("art"))).first()[0]
+        assert m == {"source": "Reuters", "symbol": "AAPL", "url": "u"}
+    finally:
+        spark.conf.set("spark.sql.mapKeyDedupPolicy", prev)
+
+
+def test_observe_batch_counters(spark, tmp_path):
+    from tidepool.operators.summary import observe_batch
+    df = spark.createDataFrame([(True, True), (True, False), (False, False)], "ok boolean, new boolean")
+    out, obs = observe_batch(df, "ok", "new")
+    out.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"records_processed": 2, "alerts_sent": 1, "batch_size": 3}
