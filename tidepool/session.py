@@ -33,6 +33,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = "16g"
+    # keep local catalog tables out of the working directory
+    conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="tidepool-warehouse-")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
