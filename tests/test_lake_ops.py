@@ -186,3 +186,34 @@ def test_convert_archive_to_parquet(spark, tmp_path):
     assert back.count() == 3
     assert back.where("_corrupt_record IS NULL").count() == 2
     assert back.select("hour").distinct().first()[0] == 9
+
+
+def test_projection_location_and_grid(spark):
+    from tidepool.sources.projection import expected_partitions, location
+    bounds = spark.createDataFrame([("2026-06-05 22:00:00", "2026-06-06 01:00:00")], "lo string, hi string") \
+        .select(F.col("lo").cast("timestamp_ntz").alias("lo"), F.col("hi").cast("timestamp_ntz").alias("hi"))
+    grid = expected_partitions(bounds, ["AAPL", "MSFT"])
+    assert grid.count() == 8
+    row = spark.createDataFrame([("AAPL", "2026", "06", "05", "09")],
+                                "symbol string, year string, month string, day string, hour string")
+    assert row.select(location()).first()[0] == \
+        "source=finnhub/asset_class=equity/symbol=AAPL/year=2026/month=06/day=05/hour=09/"
+
+
+def test_write_bronze_registers_table(spark, tmp_path):
+    from tidepool.sinks.files import write_bronze
+    df = spark.createDataFrame([("A", 2026, "k1"), ("B", 2026, "k2")], "symbol string, event_year int, k string")
+    path = str(tmp_path / "bronze_t")
+    write_bronze(df, path, ["symbol", "event_year"], table="bronze_news_t")
+    write_bronze(df.limit(1), path, ["symbol", "event_year"], table="bronze_news_t")  # update
+    assert spark.table("bronze_news_t").count() == 3
+    spark.sql("DROP TABLE bronze_news_t")
+
+
+def test_iso_utc_and_ttl(spark):
+    from tidepool.functions import timecols
+    r = spark.createDataFrame([("2026-06-05 09:00:00.5",)], "t string").select(
+        timecols.iso_utc(F.col("t").cast("timestamp")).alias("iso"),
+        timecols.ttl_epoch(F.col("t").cast("timestamp")).alias("ttl")).first()
+    assert r["iso"] == "2026-06-05T09:00:00.500000+00:00"
+    assert r["ttl"] == 1780650000 + 30 * 86400

@@ -161,3 +161,20 @@ def test_signals_on_a_tick_stream_equal_batch(spark, tmp_path):
     live = {r["symbol"]: r["event_id"] for r in spark.table("quotes_live").collect()}
     batch = {r["symbol"]: r["event_id"] for r in latest_quote(ticks, tiebreak="event_id").collect()}
     assert live == batch
+
+
+def test_file_stream_starts_at_latest(spark, tmp_path):
+    src = tmp_path / "recs"
+    src.mkdir()
+    old, new = src / "old.json", src / "new.json"
+    old.write_text(json.dumps({"symbol": "OLD", "datetime": 1}) + "\n")
+    new.write_text(json.dumps({"symbol": "NEW", "datetime": 2}) + "\n")
+    now = time.time()
+    os.utime(old, (now - 7200, now - 7200))
+    os.utime(new, (now - 60, now - 60))
+    cut = time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(now - 3600))
+    s = detector.file_event_stream(spark, str(src), start_after=cut)
+    q = s.writeStream.format("memory").queryName("latest_only").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    got = [json.loads(r["value"])["symbol"] for r in spark.table("latest_only").collect()]
+    assert got == ["NEW"]
