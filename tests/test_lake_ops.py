@@ -217,3 +217,11 @@ def test_iso_utc_and_ttl(spark):
         timecols.ttl_epoch(F.col("t").cast("timestamp")).alias("ttl")).first()
     assert r["iso"] == "2026-06-05T09:00:00.500000+00:00"
     assert r["ttl"] == 1780650000 + 30 * 86400
+
+
+def test_first_seen_keys_against_seen_table(spark):
+    seen = spark.createDataFrame([("a",)], "k string")
+    df = spark.createDataFrame([("a", 1, 10), ("b", 2, 11), ("b", 1, 12), ("c", 5, 13)],
+                               "k string, t int, id int")
+    got = {r["k"]: r["id"] for r in dedup.first_seen_keys(df, seen, "k", "t", ["id"]).collect()}
+    assert got == {"b": 12, "c": 13}

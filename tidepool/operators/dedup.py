@@ -18,7 +18,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -137,13 +137,15 @@ def first_seen_with_ttl(df: DataFrame, keys, time_col: str, ttl_seconds: int,
                  .withColumn("expires_at", F.unix_timestamp(F.col(time_col)) + F.lit(ttl)))
 
 
-def first_seen_keys(df: DataFrame, seen: DataFrame, keys) -> DataFrame:
-    """D4 (batch, no expiry): records whose key is not in the ``seen`` table,
-    one per key (earliest in the incoming data wins)."""
-    keys = _names(keys)
-    return df.join(seen.select(*keys), keys, "left_anti")
-
+def first_seen_keys(df: DataFrame, seen: DataFrame, keys, time_col: str | None = None,
+                    order: Sequence = ()) -> DataFrame:
+    """D4 (batch, no expiry): records whose key is not in the ``seen`` table.
 
-def with_ttl_column(df: DataFrame, time_col: str, days: int = 30) -> Column:
-    """The stored item's ``ttl`` in epoch seconds."""
-    return F.unix_timestamp(F.col(time_col)) + F.lit(days * 86400)
+    With ``time_col`` only the earliest such record per key is kept (ties by
+    ``order``), i.e. what a first-seen store would emit for this batch.
+    """
+    keys = _names(keys)
+    fresh = df.join(seen.select(*keys).distinct(), keys, "left_anti")
+    if time_col is None:
+        return fresh
+    return earliest_per_key(fresh, keys, [time_col, *order])
