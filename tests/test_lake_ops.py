@@ -225,3 +225,9 @@ def test_first_seen_keys_against_seen_table(spark):
                                "k string, t int, id int")
     got = {r["k"]: r["id"] for r in dedup.first_seen_keys(df, seen, "k", "t", ["id"]).collect()}
     assert got == {"b": 12, "c": 13}
+
+
+def test_checkpoint_dir_prefers_the_sessions_setting(spark, tmp_path):
+    from tidepool.session import checkpoint_dir
+    d = checkpoint_dir(spark)
+    assert d and d == checkpoint_dir(spark)  # stable once chosen

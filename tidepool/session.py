@@ -78,18 +78,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     pick a fresh scratch folder; on a cluster an unset value is an error,
     since a machine-local folder would not survive losing an executor.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no context: the conf is all there is
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
-        sc.setCheckpointDir(conf)
-        return sc.getCheckpointDir() or conf
-    if sc.master.startswith("local"):
+        if sc is not None:
+            sc.setCheckpointDir(conf)
+            return sc.getCheckpointDir() or conf
+        return conf
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if master.startswith("local"):
         path = tempfile.mkdtemp(prefix="tidepool-ckpt-")
-        sc.setCheckpointDir(path)
-        return sc.getCheckpointDir() or path
+        if sc is not None:
+            sc.setCheckpointDir(path)
+            return sc.getCheckpointDir() or path
+        return path
     raise RuntimeError(
         "spark.checkpoint.dir is not set; set it to a shared folder (HDFS/object store) "
         "so iterative operators can cut lineage reliably")
