@@ -15,6 +15,7 @@ Scale notes
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -108,7 +109,9 @@ def first_seen_with_ttl(df: DataFrame, keys, time_col: str, ttl_seconds: int,
                   .withColumn("__b", F.floor(F.unix_timestamp("__t") / ttl).cast("bigint")))
     arrivals.write.partitionBy("__b").parquet(f"{base}/arrivals")
     stored = spark.read.parquet(f"{base}/arrivals")
-    buckets = sorted(r[0] for r in stored.select("__b").distinct().collect())
+    # bucket numbers from the partition folders (file-index metadata, no job)
+    buckets = sorted({int(m.group(1)) for f in stored.inputFiles()
+                      for m in [re.search(r"__b=(-?\d+)", f)] if m})
     prev_bucket = None
     for b in buckets:
         cur = stored.where(F.col("__b") == F.lit(b)).drop("__b")
