@@ -63,3 +63,19 @@ def test_trap02_replayed_batch_writes_nothing_twice(spark, tmp_path):
     q.awaitTermination(120)
     assert spark.read.parquet(bronze).count() == 1
     assert os.path.isdir(os.path.join(bronze, "symbol=AAPL"))
+
+
+def test_trap02_replay_check_with_catalog_table(spark, tmp_path):
+    raw = tmp_path / "raw" / "symbol=MSFT" / "year=2026" / "month=06" / "day=05" / "hour=09"
+    raw.mkdir(parents=True)
+    rows = [{"source": "x", "dedup_key": f"k{i}", "datetime": 1780650000 + 86400 * i, "headline": "h",
+             "fetched_at": "2026-06-05T09:00:00+00:00", "id": i} for i in range(3)]
+    (raw / "a.jsonl").write_text("\n".join(json.dumps(r) for r in rows) + "\n")
+    bronze = str(tmp_path / "bronze")
+    for ck in ("ck1", "ck2"):  # the second run replays the same file
+        q = bronze_job.start_incremental(spark, str(tmp_path / "raw"), bronze, str(tmp_path / ck),
+                                         table="bronze_replay_t")
+        q.awaitTermination(120)
+    assert spark.table("bronze_replay_t").count() == 3
+    assert spark.table("bronze_replay_t").select("event_day").distinct().count() == 3
+    spark.sql("DROP TABLE bronze_replay_t")

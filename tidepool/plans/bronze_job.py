@@ -13,6 +13,7 @@ the last committed batch, so no file is processed twice and none is lost.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.bronze import bronze_news
@@ -57,30 +58,46 @@ def run_batch(spark: SparkSession, raw_path: str, bronze_path: str, table: str |
             raw.unpersist()
 
 
-def skip_written(spark: SparkSession, out: DataFrame, bronze_path: str) -> DataFrame:
+def skip_written(spark: SparkSession, out: DataFrame, bronze_path: str,
+                 table: str | None = None) -> DataFrame:
     """Drop rows whose (partition, key) is already in bronze.
 
     A micro-batch replayed after a failure between its write and its commit
     then writes nothing twice.  Only the partitions this batch touches are
-    read (the semi join on partition columns prunes the rest), and only the
-    key column.
+    read, and only their key column: the touched partition values (bounded
+    by one micro-batch: symbols × event days in it) become a static
+    partition filter.  With a catalog ``table`` the pruning happens in the
+    catalog, so no listing of the whole table's folders is needed.
     """
     parts = S.BRONZE_NEWS_PARTITIONS
     try:
-        existing = spark.read.parquet(bronze_path).select(*parts, "dedup_key")
+        existing = (spark.table(table) if table and spark.catalog.tableExists(table)
+                    else spark.read.parquet(bronze_path))
+        existing = existing.select(*parts, "dedup_key")
     except Exception as e:  # no bronze table yet
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER" in str(e):
             return out
         raise
-    touched = out.select(*parts).distinct()
-    seen = existing.join(touched, parts, "left_semi")
+    touched = [tuple(r) for r in out.select(*parts).distinct().collect()]
+    if not touched:
+        return out
+    wanted = F.struct(*[F.col(c) for c in parts]).isin(
+        [F.struct(*[F.lit(v).cast(existing.schema[c].dataType).alias(c) for c, v in zip(parts, t)])
+         for t in touched])
+    seen = existing.where(wanted)
     return out.join(seen, [*parts, "dedup_key"], "left_anti")
 
 
 def start_incremental(spark: SparkSession, raw_path: str, bronze_path: str, checkpoint: str,
                       errors_path: str | None = None, max_files_per_trigger: int | None = None,
-                      available_now: bool = True, processing_time: str | None = None):
-    """Start the checkpointed incremental job; returns the ``StreamingQuery``."""
+                      available_now: bool = True, processing_time: str | None = None,
+                      table: str | None = None):
+    """Start the checkpointed incremental job; returns the ``StreamingQuery``.
+
+    Give ``table`` (a catalog table over ``bronze_path``) at scale: appends
+    then register their partitions in the catalog, and the replay check
+    prunes partitions there instead of listing every bronze folder.
+    """
     stream = stream_json_table(spark, raw_path, S.RAW_NEWS_DATA, S.RAW_NEWS_PARTITIONS,
                                max_files_per_trigger)
 
@@ -89,8 +106,12 @@ def start_incremental(spark: SparkSession, raw_path: str, bronze_path: str, chec
             return
         batch = batch.cache()
         try:
-            out = skip_written(spark, transform_batch(batch, errors_path), bronze_path)
-            write_bronze(out, bronze_path, S.BRONZE_NEWS_PARTITIONS)
+            rows = transform_batch(batch, errors_path).cache()  # read twice: check + write
+            try:
+                out = skip_written(spark, rows, bronze_path, table)
+                write_bronze(out, bronze_path, S.BRONZE_NEWS_PARTITIONS, table=table)
+            finally:
+                rows.unpersist()
         finally:
             batch.unpersist()
 
@@ -116,7 +137,8 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("raw_to_bronze_news").getOrCreate()
     if a.checkpoint:
-        start_incremental(spark, a.raw, a.bronze, a.checkpoint, a.errors).awaitTermination()
+        start_incremental(spark, a.raw, a.bronze, a.checkpoint, a.errors,
+                          table=a.table).awaitTermination()
     else:
         run_batch(spark, a.raw, a.bronze, table=a.table, errors_path=a.errors,
                   modified_after=a.modified_after)
