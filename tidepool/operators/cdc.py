@@ -82,10 +82,16 @@ def merge_partitions(spark, target_path: str, updates: DataFrame, keys: Sequence
     """
     from ..session import reliable_checkpoint
 
-    touched = updates.select(*partition_cols).distinct()
+    parts = list(partition_cols)
     try:
         target = spark.read.parquet(target_path)
-        current = target.join(touched, list(partition_cols), "left_semi")
+        # the partitions the updates touch (bounded by the update batch) as a
+        # static partition filter: untouched partitions are never read
+        touched = [tuple(r) for r in updates.select(*parts).distinct().collect()]
+        wanted = F.struct(*[F.col(c) for c in parts]).isin(
+            [F.struct(*[F.lit(v).cast(target.schema[c].dataType).alias(c) for c, v in zip(parts, t)])
+             for t in touched])
+        current = target.where(wanted)
         merged = latest_per_key(current.unionByName(updates, allowMissingColumns=True),
                                 list(keys), list(order))
     except Exception as e:  # first write: no table yet
@@ -93,6 +99,6 @@ def merge_partitions(spark, target_path: str, updates: DataFrame, keys: Sequence
             raise
         merged = latest_per_key(updates, list(keys), list(order))
     merged = reliable_checkpoint(merged)
-    (merged.repartition(*partition_cols).write.mode("overwrite")
+    (merged.hint("rebalance", *partition_cols).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
            .parquet(target_path))
