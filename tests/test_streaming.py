@@ -178,3 +178,21 @@ def test_file_stream_starts_at_latest(spark, tmp_path):
     q.awaitTermination(120)
     got = [json.loads(r["value"])["symbol"] for r in spark.table("latest_only").collect()]
     assert got == ["NEW"]
+
+
+def test_dual_write_stream_lands_both_sinks(spark, tmp_path):
+    from tidepool.sinks.publish import batch_scoped_writer
+    src = tmp_path / "in"
+    src.mkdir()
+    for i in range(2):
+        p = src / f"r{i}.txt"
+        p.write_text(f'{{"n": {i}}}\n{{"n": {i + 10}}}\n')
+        os.utime(p, (time.time() - 100 + i, time.time() - 100 + i))
+    files, stream_copy = str(tmp_path / "files"), str(tmp_path / "stream")
+    q = archive.start_dual_write(
+        spark.readStream.option("maxFilesPerTrigger", 1).text(str(src)), str(tmp_path / "ck"),
+        [batch_scoped_writer(files), batch_scoped_writer(stream_copy, fmt="parquet")],
+        trigger={"availableNow": True})
+    q.awaitTermination(120)
+    assert spark.read.json(files).count() == 4
+    assert spark.read.parquet(stream_copy).select("batch_id").distinct().count() == 2
