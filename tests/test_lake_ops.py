@@ -231,3 +231,38 @@ def test_checkpoint_dir_prefers_the_sessions_setting(spark, tmp_path):
     from tidepool.session import checkpoint_dir
     d = checkpoint_dir(spark)
     assert d and d == checkpoint_dir(spark)  # stable once chosen
+
+
+def test_asof_join_strictly_before_brute_force(spark):
+    rnd = random.Random(5)
+    t0 = dt.datetime(2024, 1, 1)
+    # coarse times so that equal left/right times occur often
+    left = [(rnd.choice("xy"), t0 + dt.timedelta(hours=rnd.randint(0, 200)), i) for i in range(150)]
+    right = [(rnd.choice("xy"), t0 + dt.timedelta(hours=rnd.randint(0, 200)), 1000 + i) for i in range(150)]
+    L = spark.createDataFrame(left, "k string, ts timestamp_ntz, lid long")
+    R = spark.createDataFrame(right, "k string, rts timestamp_ntz, rid long")
+    got = {r["lid"]: r["rid"] for r in
+           asof_join(L, R, ["k"], "ts", "rts", ["rid"], tiebreak=["rid"], bucket_seconds=86400,
+                     allow_equal=False).collect()}
+    want = {}
+    for k, t, i in left:
+        cands = [(rt, rid) for rk, rt, rid in right if rk == k and rt < t]
+        want[i] = max(cands)[1] if cands else None
+    assert got == want
+
+
+def test_first_seen_ttl_with_null_keys(spark):
+    rnd = random.Random(6)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(rnd.choice(["a", None]), t0 + dt.timedelta(hours=rnd.randint(0, 24 * 30)), i)
+            for i in range(200)]
+    ttl = dt.timedelta(days=5)
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, id long")
+    got = sorted((r["k"] or "", r["first_seen"], r["id"]) for r in
+                 dedup.first_seen_with_ttl(df, ["k"], "t", 5 * 86400, order=["t", "id"]).collect())
+    want, last = [], {}
+    for k, t, i in sorted(rows, key=lambda r: (r[1], r[2])):
+        if k not in last or t >= last[k] + ttl:
+            last[k] = t
+            want.append((k or "", t, i))
+    assert got == sorted(want)
