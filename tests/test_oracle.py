@@ -34,3 +34,11 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert df.columns == ["symbol", "window_start", "window_end", "event_count"]
     assert len(rows) == 11
+
+
+@pytest.mark.parametrize("name", sorted(REGISTRY))
+def test_schema_is_stable_across_scales(spark, name):
+    from conftest import SF_SMALL
+    a = REGISTRY[name].build(spark, SF_SMALL).schema
+    b = REGISTRY[name].build(spark, SF_ORACLE).schema
+    assert [(f.name, f.dataType) for f in a] == [(f.name, f.dataType) for f in b]
