@@ -49,6 +49,13 @@ def test_detector_stream_equals_batch(spark, tmp_path):
     assert vals.agg(F.sum("n")).first()[0] == batch.agg(F.sum("event_count")).first()[0]
     assert set(r["key"] for r in got.select("key").collect()) <= {
         "click", "view", "purchase", "signup", "error"}
+    # the record's window_start text is the alert-key text of the batch path
+    from tidepool.functions import keys as K
+    streamed = got.select(F.concat_ws("|", F.get_json_object("value", "$.symbol"),
+                                      F.get_json_object("value", "$.window_start")).alias("k"))
+    batch_keys = batch.select(K.alert_key(F.col("symbol"),
+                                          F.col("window_start").cast("timestamp")).alias("k"))
+    assert streamed.exceptAll(batch_keys).count() == 0
 
     # a late file (an hour before the watermark) adds nothing; restart resumes
     late = os.path.join(src, "part-late.json")

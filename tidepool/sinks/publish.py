@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import PUBLISH_CHUNK  # noqa: F401  (chunking is the sink client's job)
-from ..functions.keys import symbol_or_unknown
+from ..functions.keys import ALERT_TS_FORMAT, symbol_or_unknown
 
 
 def keyed_records(df: DataFrame, symbol_col: str = "symbol", order_cols: Sequence[str] = (),
@@ -31,18 +31,25 @@ def keyed_records(df: DataFrame, symbol_col: str = "symbol", order_cols: Sequenc
     return parts.sortWithinPartitions("key", *order_cols)
 
 
-def to_stream_records(df: DataFrame, key_col: str = "key") -> DataFrame:
+def to_stream_records(df: DataFrame, key_col: str = "key",
+                      timestamp_format: str | None = None) -> DataFrame:
     """K3/K4: ``key`` + JSON ``value`` — the shape of a keyed stream record."""
     payload = [c for c in df.columns if c != key_col]
+    opts = {"timestampFormat": timestamp_format} if timestamp_format else {}
     return df.select(F.col(key_col).cast("string").alias("key"),
-                     F.to_json(F.struct(*payload)).alias("value"))
+                     F.to_json(F.struct(*payload), opts).alias("value"))
 
 
 def anomaly_records(anomalies: DataFrame) -> DataFrame:
-    """K3: anomaly rows → stream records keyed by symbol."""
+    """K3: anomaly rows → stream records keyed by symbol.
+
+    Timestamps are written as ``yyyy-MM-dd HH:mm:ss`` (session zone, UTC), the
+    text the alerter keys on, so an alert key built from a streamed record
+    equals the one built from the batch anomaly table (P15).
+    """
     rec = anomalies.select(symbol_or_unknown(F.col("symbol")).alias("key"), "symbol",
                            "window_start", "window_end", "event_count", "detected_at")
-    return to_stream_records(rec)
+    return to_stream_records(rec, timestamp_format=ALERT_TS_FORMAT)
 
 
 def dual_write(batch: DataFrame, batch_id: int, writers: Sequence) -> None:
