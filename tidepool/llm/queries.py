@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship_package, table
+from .common import pick, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +58,17 @@ def op10(spark, sf_dir):
     return r.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
                     F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
                     "contaminated")
+
+
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+@register("op2_sentencepiece")
+def op2(spark, sf_dir):
+    import public_tokenizers
+
+    from . import sentencepiece_bpe
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
+    r = sentencepiece_bpe.encode_documents(docs, public_tokenizers.path(PIECE_MODEL))
+    return r.select("doc_id", "n_tokens", "ids_sha256",
+                    F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
