@@ -34,6 +34,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SPACE = "▁"
 CACHED_SEGMENTS = 150_000
@@ -321,8 +322,6 @@ def encode_documents(docs: DataFrame, model_path: str, *, id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(rest))] + cols,
                                              [*b.schema.names[:len(rest)], *added])
 
+    new = "n_tokens bigint, ids_sha256 string, decoded string" + ", ids array<int>" * with_ids
     kept = src.select(*[F.col(f"`{c}`") for c in rest]).schema
-    schema = kept.add("n_tokens", "bigint").add("ids_sha256", "string").add("decoded", "string")
-    if with_ids:
-        schema = schema.add("ids", "array<int>")
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, StructType(kept.fields + StructType.fromDDL(new).fields))
