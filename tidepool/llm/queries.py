@@ -72,3 +72,29 @@ def op2(spark, sf_dir):
     r = sentencepiece_bpe.encode_documents(docs, public_tokenizers.path(PIECE_MODEL))
     return r.select("doc_id", "n_tokens", "ids_sha256",
                     F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@register("op6_ngram_jaccard", r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(ws[i:i + least(5, len(ws)) - 1]) AS sh
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS i FROM w
+            WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+rare AS (SELECT sh FROM s GROUP BY sh HAVING count(*) > 1),
+x AS (SELECT s.* FROM s JOIN rare USING (sh)),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b USING (sh)
+      WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+e AS MATERIALIZED (SELECT a, b FROM p JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id
+      WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+r(a, b) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+l AS (SELECT a, count(*) AS n_links FROM e GROUP BY a)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id,
+       CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
+FROM w LEFT JOIN n USING (doc_id) JOIN c ON c.a = w.doc_id LEFT JOIN l ON l.a = w.doc_id""")
+def op6(spark, sf_dir):
+    from . import trie_join
+    r = trie_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return r.select("doc_id", "n_shingles", "component_id", "n_links")
