@@ -98,3 +98,16 @@ def op6(spark, sf_dir):
     from . import trie_join
     r = trie_join.near_duplicates(table(spark, sf_dir, "documents"))
     return r.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def _remainder(column: str, of: int):
+    return F.crc32(F.col(column).cast("string").cast("binary")) % of
+
+
+@register("op8_toxicity")
+def op8(spark, sf_dir):
+    from . import ftrl
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(_remainder("doc_id", 4) != 2)
+    scored = ftrl.score(docs, ftrl.train(docs, labels))
+    return scored.select("doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
