@@ -111,3 +111,12 @@ def op8(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").where(_remainder("doc_id", 4) != 2)
     scored = ftrl.score(docs, ftrl.train(docs, labels))
     return scored.select("doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+@register("op9_lm_scoring")
+def op9(spark, sf_dir):
+    from . import backoff_automaton
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
+    r = backoff_automaton.score_documents(docs.withColumn("train", _remainder("doc_id", 7) != 2))
+    return r.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+                    "train_tokens", "base_score", "score")
