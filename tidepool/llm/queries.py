@@ -120,3 +120,10 @@ def op9(spark, sf_dir):
     r = backoff_automaton.score_documents(docs.withColumn("train", _remainder("doc_id", 7) != 2))
     return r.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
                     "train_tokens", "base_score", "score")
+
+
+@register("op3_quality")
+def op3(spark, sf_dir):
+    from . import kneser_ney
+    r = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return r.select("doc_id", "lang", "n_symbols", "perplexity", "figure", "limit", "accepted")
