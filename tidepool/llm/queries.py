@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, ship_package, table
+from .common import pick, scratch_path, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +127,23 @@ def op3(spark, sf_dir):
     from . import kneser_ney
     r = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return r.select("doc_id", "lang", "n_symbols", "perplexity", "figure", "limit", "accepted")
+
+
+@register("op5_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+b AS (SELECT page_id, strlen(h) AS n, sha1(h) AS d, max(page_id) OVER (PARTITION BY h) AS keeper FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 1000 AND keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND keeper <> page_id THEN keeper END AS refers_to, true AS intact
+FROM b""")
+def op5(spark, sf_dir):
+    from . import warc
+    path = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    r = warc.payloads(warc.read(spark, path))
+
+    def page(c):
+        return F.regexp_extract(c, "^<urn:record:(-?[0-9]+)>$", 1).try_cast("bigint")
+
+    return r.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest",
+                    F.col("type").alias("record_type"), page("refers_to").alias("refers_to"), "intact")

@@ -17,8 +17,8 @@ Pieces of white space alone share one score, so their merges have no order of
 ranks.  They come last of all and go left to right; a run of spaces before a
 word is therefore settled by itself (``_spaces``).
 
-A text is cut where no piece can span: before each run of spaces and around
-line ends and tabs.  The encodings of such segments are remembered (a bounded
+A text is cut where no piece can span: before each run of spaces, around line
+ends and tabs, and between a word and a mark that no piece holds after a letter.  The encodings of such segments are remembered (a bounded
 number a process); segments have no length limit.
 
 Null texts count as empty.  Characters without a piece are spelled in bytes.
@@ -26,9 +26,11 @@ Null texts count as empty.  Characters without a piece are spelled in bytes.
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Iterator
+import string
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -37,11 +39,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SPACE = "▁"
-CACHED_SEGMENTS = 150_000
-_CUT = re.compile(f"{SPACE}+[^{SPACE}\n\t]*|[^{SPACE}\n\t]+|[\n\t]")
+CACHED_SEGMENTS = 150_000  # twice as many are held
+KNOWN_PAIRS = 500_000
+_WORD = re.compile(r"\w")
 INF = float("inf")
 
 
+class _Segments(dict):
+    """segment -> (its ids as text, its ids), of recent segments."""
+
+    def __init__(self, encode, decimal: list[str]):
+        super().__init__()
+        self.encode, self.decimal = encode, decimal
+        self.older: dict[str, tuple[str, tuple]] = {}
+
+    def __missing__(self, s: str):
+        got = self.older.get(s)
+        if got is None:
+            ids = tuple(self.encode(s))
+            got = (",".join(map(self.decimal.__getitem__, ids)), ids)
+        if len(s) < 64:
+            if len(self) >= CACHED_SEGMENTS:  # those still in use move up again
+                self.older = dict(self)
+                self.clear()
+            self[s] = got
+        return got
+
+
 class PieceModel:
     """Tables of one model file.
 
@@ -81,16 +105,27 @@ class PieceModel:
                      if len(self.piece[i]) > 1 and self.piece[i].strip(SPACE)}
         if len(set(self.rank.values())) != len(self.rank):
             raise ValueError("two pieces share a score; their merges have no order")
-        self.left_chain: dict[str, tuple] = {}
-        self.right_chain: dict[str, tuple] = {}
+        self.length = [len(p) for p in self.piece]
+        self.left_chain: dict[int, tuple] = {}
+        self.right_chain: dict[int, tuple] = {}
         self.automaton = ahocorasick.Automaton()
-        for p in self.id_of:
-            if len(p) == 1 or p in self.rank and self._chains(p):
-                self.automaton.add_word(p, p)
+        for p, i in self.id_of.items():
+            if (len(p) == 1 or p in self.rank) and self._chains(i, p):
+                self.automaton.add_word(p, (i, len(p)))
         self.automaton.make_automaton()
-        self._compatible: dict[tuple[str, str], bool] = {}
-        self._segments: dict[str, tuple[int, str, tuple]] = {}
-        self._older: dict[str, tuple[int, str, tuple]] = {}
+        self._compatible: dict[tuple[int, int], bool] = {}
+        self._segments = _Segments(self._segment, [str(i) for i in range(n)])
+        # a word ends before a mark that no piece holds after the word's last character
+        before: dict[str, set[str]] = {c: {"_"} for c in string.punctuation if c != "_"}
+        for p in self.id_of:
+            for x, y in zip(p, p[1:], strict=False):
+                if y in before and _WORD.match(x):
+                    before[y].add(x)
+        marks = [c for c, xs in before.items() if len(xs) < 9]
+        odd = "".join(sorted(set().union(*(before[c] for c in marks))))
+        self._cut = re.compile(
+            (f"{SPACE}*[^\\W{odd}]++(?![^{SPACE}\n\t{re.escape(''.join(marks))}])|" if marks else "")
+            + f"{SPACE}+[^{SPACE}\n\t]*|[^{SPACE}\n\t]+|[\n\t]")
 
     # ------------------------------------------------------------- merges
     def _merge(self, chars: str) -> tuple[list[str], list[str], list[str]]:
@@ -110,7 +145,7 @@ class PieceModel:
                 right.append(parts[-1])
         return parts, left, right
 
-    def _chains(self, p: str) -> bool:
+    def _chains(self, i: int, p: str) -> bool:
         """Remember the edge chains of a piece; False if merging its characters
         gives something else, so that the piece never comes out."""
         parts, left, right = self._merge(p)
@@ -123,54 +158,51 @@ class PieceModel:
                 at = max(at, self.rank.get(x, 0.0))
                 end = max(at, self.rank[own[k + 1]]) if k + 1 < len(own) else INF
                 steps.append((x, at, end, self.rank[own[k + 1]] if k + 1 < len(own) else INF))
-            chains[p] = tuple(steps)
+            chains[i] = tuple(steps)
         return True
 
-    def compatible(self, a: str, b: str) -> bool:
-        key = (a, b)
-        known = self._compatible.get(key)
-        if known is None:
-            rank = self.rank
-            known = True
-            for x, x_from, x_to, x_next in self.right_chain.get(a) or ((a, 0.0, INF, INF),):
-                for y, y_from, y_to, y_next in self.left_chain.get(b) or ((b, 0.0, INF, INF),):
-                    r = rank.get(x + y)
-                    if (r is not None and x_from <= y_to and y_from <= x_to
-                            and r < x_next and r <= y_next):
-                        known = False
-                        break
-                if not known:
-                    break
-            if len(self._compatible) < 500_000:
-                self._compatible[key] = known
+    def compatible(self, a: int, b: int) -> bool:
+        """Whether merging the characters of the two tokens gives these two."""
+        rank, known = self.rank, True
+        for x, x_from, x_to, x_next in self.right_chain[a]:
+            for y, y_from, y_to, y_next in self.left_chain[b]:
+                r = rank.get(x + y)
+                if (r is not None and x_from <= y_to and y_from <= x_to
+                        and r < x_next and r <= y_next):
+                    known = False
+        if len(self._compatible) < KNOWN_PAIRS:
+            self._compatible[a, b] = known
         return known
 
     # ------------------------------------------------------------- encoding
-    def last_tokens(self, s: str) -> list[str]:
-        """The prefix table: entry i is the last token of the merge encoding of s[:i + 1]."""
-        table: list[str | None] = [None] * len(s)
-        compatible = self.compatible
-        for end, p in self.automaton.iter(s):
-            if table[end] is None:
-                start = end - len(p) + 1
-                if start == 0:
-                    table[end] = p
-                else:
-                    before = table[start - 1]
-                    if before is None:  # a character without a piece ends there
-                        table[start - 1] = before = s[start - 1]
-                    if compatible(before, p):
-                        table[end] = p
-        for i, t in enumerate(table):
-            if t is None:
-                table[i] = s[i]
+    def last_tokens(self, s: str) -> list[int]:
+        """The prefix table: entry i is the last token of the merge encoding of
+        s[:i + 1], or -1 for a character without a piece."""
+        table = [-1] * len(s)
+        known = self._compatible
+        for end, (p, n) in self.automaton.iter(s):
+            if table[end] < 0:
+                before = table[end - n] if end >= n else -1
+                if before >= 0:
+                    fits = known.get((before, p))
+                    if fits is None:
+                        fits = self.compatible(before, p)
+                    if not fits:
+                        continue
+                table[end] = p
         return table
 
-    def _word(self, s: str) -> list[str]:
-        table, out, i = self.last_tokens(s), [], len(s) - 1
+    def _word(self, s: str) -> list[int]:
+        """Ids of s, back to front from the prefix table."""
+        table, length, out, i = self.last_tokens(s), self.length, [], len(s) - 1
         while i >= 0:
-            out.append(table[i])
-            i -= len(table[i])
+            t = table[i]
+            if t < 0:
+                out.extend(self.byte_id[b] for b in reversed(s[i].encode("utf-8")))
+                i -= 1
+            else:
+                out.append(t)
+                i -= length[t]
         out.reverse()
         return out
 
@@ -188,49 +220,27 @@ class PieceModel:
                 i += 1
         return [self.space_id[self.longest_space]] * whole + [self.space_id[k] for k in parts]
 
-    def _ids(self, tokens: list[str]) -> list[int]:
-        out = []
-        for t in tokens:
-            i = self.id_of.get(t)
-            if i is None:
-                out.extend(self.byte_id[b] for b in t.encode("utf-8"))
-            else:
-                out.append(i)
-        return out
-
     def _segment(self, s: str) -> list[int]:
         if s[0] != SPACE:
-            return self._ids(self._word(s))
+            return self._word(s)
         n = len(s) - len(s.lstrip(SPACE))
         if n == len(s):
             return self._spaces(n)
-        tokens = self._word(s[n - 1:])
-        if tokens[0] == SPACE:  # the space stays alone, and joins the others before it
-            return self._spaces(n) + self._ids(tokens[1:])
-        return self._spaces(n - 1) + self._ids(tokens)
+        ids = self._word(s[n - 1:])
+        if n > 1 and ids[0] == self.space_id[1]:  # the space stays alone, and joins those before it
+            return self._spaces(n) + ids[1:]
+        return self._spaces(n - 1) + ids
 
-    def segments(self, text: str) -> Iterator[tuple[int, str, tuple]]:
-        """(number of ids, ids in decimal joined by commas, ids) of each segment."""
+    def segments(self, text: str | None) -> list[tuple[str, tuple]]:
+        """(ids in decimal joined by commas, ids) of each segment."""
         if not text:
-            return
-        known = self._segments
-        for s in _CUT.findall(SPACE + text.replace(" ", SPACE)):
-            got = known.get(s)
-            if got is None:
-                got = self._older.get(s)
-                if got is None:
-                    ids = tuple(self._segment(s))
-                    got = (len(ids), ",".join(map(str, ids)), ids)
-                if len(s) < 64:
-                    if len(known) >= CACHED_SEGMENTS:  # the segments in use move up again
-                        self._older, self._segments = known, {}
-                        known = self._segments
-                    known[s] = got
-            yield got
+            return []
+        return list(map(self._segments.__getitem__,
+                        self._cut.findall(SPACE + text.replace(" ", SPACE))))
 
     def encode(self, text: str | None) -> list[int]:
         """Ids without begin or end ids."""
-        return [i for _, _, ids in self.segments(text or "") for i in ids]
+        return list(chain.from_iterable(ids for _, ids in self.segments(text)))
 
     # ------------------------------------------------------------- decoding
     def decode(self, ids) -> str:
@@ -297,8 +307,6 @@ def encode_documents(docs: DataFrame, model_path: str, *, id_col: str = "doc_id"
     The model file lies at the same path on every executor.  Columns of the
     input named like an added one are replaced.
     """
-    import hashlib
-
     added = ["n_tokens", "ids_sha256", "decoded"] + (["ids"] if with_ids else [])
     rest = [c for c in docs.columns if c not in added]
     src = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text_col}`").alias("_piece_text"))
@@ -308,10 +316,10 @@ def encode_documents(docs: DataFrame, model_path: str, *, id_col: str = "doc_id"
         for b in batches:
             ns, digests, decoded, all_ids = [], [], [], []
             for text in b.column("_piece_text"):
-                parts = list(model.segments(text.as_py() or ""))
-                ids = [i for p in parts for i in p[2]]
+                parts = model.segments(text.as_py())
+                ids = list(chain.from_iterable(ids for _, ids in parts))
                 ns.append(len(ids))
-                digests.append(hashlib.sha256(",".join(p[1] for p in parts).encode()).hexdigest())
+                digests.append(hashlib.sha256(",".join(t for t, _ in parts).encode()).hexdigest())
                 decoded.append(model.decode(ids))
                 if with_ids:
                     all_ids.append(ids)
