@@ -147,3 +147,20 @@ def op5(spark, sf_dir):
 
     return r.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest",
                     F.col("type").alias("record_type"), page("refers_to").alias("refers_to"), "intact")
+
+
+@register("op7_sharding", f"""
+WITH k AS (SELECT doc_id, strlen(coalesce(text, '')) AS n FROM documents),
+c AS (SELECT doc_id, n, unnest(range(0, count(*))) AS copy FROM k GROUP BY doc_id, n),
+h AS (SELECT *, md5(CAST(doc_id AS VARCHAR) || '|' || n || '|' || copy) AS hex FROM c),
+b AS (SELECT *, lpad(bin(CAST('0x' || substr(hex, 1, 9) AS BIGINT)), 36, '0') AS bits FROM h),
+d AS (SELECT doc_id, n, copy, bits, unnest(range(0, 37)) AS d FROM b),
+s AS (SELECT *, sum(n) OVER (PARTITION BY d, substr(bits, 1, d)) AS total FROM d),
+f AS (SELECT doc_id, copy, min(d) AS depth FROM s WHERE total <= {8 << 20} GROUP BY doc_id, copy, n)
+SELECT s.doc_id, s.copy, CAST(s.n AS BIGINT) AS n_bytes, substr(bits, 1, d) AS shard,
+       CAST(total AS BIGINT) AS shard_bytes, false AS oversized
+FROM s JOIN f ON s.doc_id = f.doc_id AND s.copy = f.copy AND s.d = f.depth""")
+def op7(spark, sf_dir):
+    from . import extendible
+    r = extendible.assign(table(spark, sf_dir, "documents"))
+    return r.withColumnRenamed("key", "doc_id")
