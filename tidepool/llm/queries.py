@@ -164,3 +164,17 @@ def op7(spark, sf_dir):
     from . import extendible
     r = extendible.assign(table(spark, sf_dir, "documents"))
     return r.withColumnRenamed("key", "doc_id")
+
+
+@register("op4_pii")
+def op4(spark, sf_dir):
+    from . import pii
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
+    found = pii.find_spans(docs, weights=pii.learn(docs))
+
+    def count(kind):
+        return F.size(F.filter("base_spans", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in pii.BASE],
+                        F.sha2(pii.as_text("base_spans").cast("binary"), 256).alias("base_sha256"),
+                        pii.as_text("spans").alias("spans"))
