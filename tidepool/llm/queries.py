@@ -178,3 +178,18 @@ def op4(spark, sf_dir):
     return found.select("doc_id", *[count(k) for k in pii.BASE],
                         F.sha2(pii.as_text("base_spans").cast("binary"), 256).alias("base_sha256"),
                         pii.as_text("spans").alias("spans"))
+
+
+@register("op1_lattice_near_dups", """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+e AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+      ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95),
+r(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+l AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN c ON c.a = vec_id LEFT JOIN l ON l.a = vec_id""")
+def op1(spark, sf_dir):
+    from . import lattice_lsh
+    r = lattice_lsh.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return r.select("vec_id", "n_links", "component_id", "kept")
