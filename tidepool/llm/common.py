@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir, reliable_checkpoint
 
 __all__ = ["Hasher", "anchored", "checkpoint_dir", "combine", "mix64", "pick", "reliable_checkpoint",
-           "rows_of", "scratch_path", "ship_package", "table", "utf8", "words"]
+           "rows_of", "scratch_path", "ship_package", "table", "utf8", "whole_row",
+           "words"]
 
 WORD_CACHE = 200_000
 
@@ -55,6 +56,12 @@ def pick(df: DataFrame, **cols: str) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(dst) for dst, src in cols.items()])
 
 
+def whole_row(df: DataFrame):
+    """All columns as one struct: carried through a job under one name, they
+    can't clash with the job's own columns."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def scratch_path(spark: SparkSession, what: str) -> str:
     """A new folder below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid4().hex}"

@@ -30,6 +30,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import whole_row
+
 # Fixed patterns.  Each base pattern finds the matches of the expression in its
 # comment; a run of the first class is entered at its start, or where the last
 # match ended.
@@ -264,7 +266,7 @@ def find_spans(docs: DataFrame, *, text_col: str = "text", weights: list[float]
     array<struct<start, kind_order, end, kind>> by start, then kind as listed.
     ``weights`` come from ``learn``; without them only base spans are found."""
     rest = [c for c in docs.columns if c not in ("base_spans", "spans")]
-    rows = _with_base(docs.select(*[F.col(f"`{c}`") for c in rest],
+    rows = _with_base(docs.select(whole_row(docs.select(*[F.col(f"`{c}`") for c in rest])).alias("_row"),
                                   F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text")))
 
     def span(kind: Column, x: Column) -> Column:
@@ -276,12 +278,12 @@ def find_spans(docs: DataFrame, *, text_col: str = "text", weights: list[float]
 
     base = F.array_sort(F.concat(*[F.transform(f"_{k}", named(k)) for k in BASE]))
     if weights is None:
-        return rows.select(*[F.col(f"`{c}`") for c in rest], base.alias("base_spans"), base.alias("spans"))
+        return rows.select("_row.*", base.alias("base_spans"), base.alias("spans"))
     rows = _with_candidates(rows)
     more = F.transform(F.filter("_cands", lambda c: _accepted(weights, c)), lambda c: span(c["kind"], c))
     return (rows.withColumn("base_spans", base)
             .withColumn("spans", F.array_sort(F.concat("base_spans", more)))
-            .select(*[F.col(f"`{c}`") for c in rest], "base_spans", "spans"))
+            .select("_row.*", "base_spans", "spans"))
 
 
 def as_text(spans: str) -> Column:

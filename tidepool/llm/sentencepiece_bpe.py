@@ -309,13 +309,13 @@ def encode_documents(docs: DataFrame, model_path: str, *, id_col: str = "doc_id"
     """
     added = ["n_tokens", "ids_sha256", "decoded"] + (["ids"] if with_ids else [])
     rest = [c for c in docs.columns if c not in added]
-    src = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text_col}`").alias("_piece_text"))
+    src = docs.select(F.col(f"`{text_col}`"), *[F.col(f"`{c}`") for c in rest])
 
     def run(batches):
         model = load(model_path)
         for b in batches:
             ns, digests, decoded, all_ids = [], [], [], []
-            for text in b.column("_piece_text"):
+            for text in b.column(0):
                 parts = model.segments(text.as_py())
                 ids = list(chain.from_iterable(ids for _, ids in parts))
                 ns.append(len(ids))
@@ -327,9 +327,7 @@ def encode_documents(docs: DataFrame, model_path: str, *, id_col: str = "doc_id"
                     pa.array(decoded, pa.string())]
             if with_ids:
                 cols.append(pa.array(all_ids, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(rest))] + cols,
-                                             [*b.schema.names[:len(rest)], *added])
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], *cols], [*rest, *added])
 
     new = "n_tokens bigint, ids_sha256 string, decoded string" + ", ids array<int>" * with_ids
-    kept = src.select(*[F.col(f"`{c}`") for c in rest]).schema
-    return src.mapInArrow(run, StructType(kept.fields + StructType.fromDDL(new).fields))
+    return src.mapInArrow(run, StructType(src.schema.fields[1:] + StructType.fromDDL(new).fields))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import anchored, pick, rows_of, utf8
+from .common import anchored, pick, rows_of, utf8, whole_row
 
 WINDOW = 13
 BLOCK = 2
@@ -122,12 +122,12 @@ def _benchmark_pieces(benchmark: DataFrame, item_col: str, text_col: str, shard_
 def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
                        text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                        window: int = WINDOW, shard_bytes: int = SHARD_BYTES,
-                       keep: tuple[str, ...] = ()) -> DataFrame:
+                       carry: bool = False) -> DataFrame:
     """One row per document row: doc_id, n_words, hit word ranges, item ids.
 
     ``hit_ranges`` array<struct<start,end>> in words, merged, end exclusive;
-    ``items`` sorted distinct item ids.  ``keep`` names columns to pass through.
-    Repeated rows give repeated rows, and an empty benchmark gives rows
+    ``items`` sorted distinct item ids; with ``carry`` also ``row``, all columns of the
+    input.  Repeated rows give repeated rows, and an empty benchmark gives rows
     without hits.  Each benchmark piece adds one Python step to the scan;
     after every ``PIECES_PER_PASS`` pieces the rows are written and reread.
     """
@@ -136,7 +136,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "
                       F.lit(0).cast("bigint").alias("n_words"),
                       F.expr("cast(array() as array<bigint>)").alias("_flat"),
                       F.expr("cast(array() as array<string>)").alias("items"),
-                      *[F.struct(F.col(f"`{c}`")).alias(f"_keep{i}") for i, c in enumerate(keep)])
+                      *[whole_row(docs).alias("row")][:carry])
     for k, piece in enumerate(_benchmark_pieces(benchmark, item_col, item_text_col, shard_bytes)):
         if k and k % PIECES_PER_PASS == 0:
             out = anchored(out)
@@ -163,7 +163,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "
         "transform(filter(sequence(0, size(_flat)), i -> i % 2 = 0 and i < size(_flat)), "
         "i -> struct(_flat[i] as start, _flat[i + 1] as end))"))
     return out.select("doc_id", "n_words", _merge_ranges(ranges).alias("hit_ranges"), "items",
-                      *[F.col(f"_keep{i}").getField(c).alias(c) for i, c in enumerate(keep)])
+                      *["row"][:carry])
 
 
 def _merge_ranges(sorted_ranges):
