@@ -11,7 +11,7 @@ chunk to chunk (``_digests``).
 
 Files are written and read by Spark's text source, so they lie wherever Spark
 can write.  Records are told apart by their version line; a chunk never holds
-that line, because payloads are also cut inside every occurrence of it.  Any
+that line, because payloads are also cut inside every occurrence of its first part.  Any
 record whose length differs from its Content-Length is reported as invalid.
 
 Payloads are text in UTF-8 (null: empty).  Of records with equal payloads of
@@ -33,7 +33,7 @@ MIN_REVISIT_BYTES = 1000
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-CUT = r"(?<=WARC/1\.)(?=1\r\n)"
+CUT = r"(?<=WARC/1\.)(?=1)"  # the closing line end of a chunk must not complete it either
 
 
 def decisions(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
@@ -119,7 +119,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     total_length, uri, payload_digest, payload_length, refers_to, content, valid)."""
     parts = F.split(F.col("value"), CRLF * 2, 2)
     rows = (spark.read.option("lineSep", VERSION_LINE).text(path).where("value <> ''")
-            .select(parts[0].alias("head"), parts[1].alias("rest")))
+            .select(F.get(parts, 0).alias("head"), F.get(parts, 1).alias("rest")))
 
     def field(name: str) -> Column:
         got = F.regexp_extract("head", rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1)
