@@ -38,7 +38,7 @@ from .components import connected_components
 
 SHINGLE = 5
 NUM, DEN = 80, 100
-UNIT_TOKENS = 500_000
+UNIT_TOKENS = 150_000
 PACKET_TOKENS = 400_000
 
 
@@ -120,7 +120,7 @@ def _packets(docs: DataFrame, k: int, n_buckets: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket int, keys binary, sizes binary, counts binary, tokens binary")
 
 
-def _shared_in_bucket(parts: list[tuple]) -> pa.RecordBatch | None:
+def _shared_in_bucket(parts: list[tuple], n_groups: int) -> pa.RecordBatch | None:
     """Of one bucket: for each class the tokens that other classes hold too, with
     the number of classes that hold them."""
     index: dict[int, int] = {}
@@ -154,44 +154,78 @@ def _shared_in_bucket(parts: list[tuple]) -> pa.RecordBatch | None:
     start = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
     length = np.diff(np.append(start, len(tokens)))
     df = np.repeat(length, length).astype(np.uint32)
-    order = np.argsort(owners, kind="stable")
+    key = np.fromiter(index.keys(), np.int64, len(index))
+    group = (key.view(np.uint64) % np.uint64(n_groups)).astype(np.int64)
+    order = np.lexsort((owners, group[owners]))
     tokens, owners, df = tokens[order], owners[order], df[order]
-    cuts = np.flatnonzero(np.diff(owners)) + 1
-    first = owners[np.concatenate(([0], cuts))]
-    key_of = np.fromiter(index.keys(), np.int64, len(index))
+    cuts = np.flatnonzero(np.diff(group[owners])) + 1
+    sizes = np.array(sizes, np.uint32)
+    rows = ([], [], [], [], [], [])
+    for t, o, d in zip(np.split(tokens, cuts), np.split(owners, cuts), np.split(df, cuts), strict=True):
+        who, n = np.unique(o, return_counts=True)
+        for col, x in zip(rows, (int(group[o[0]]), key[who].tobytes(), sizes[who].tobytes(),
+                                 n.astype(np.uint32).tobytes(), t.tobytes(), d.tobytes()), strict=True):
+            col.append(x)
     return pa.RecordBatch.from_arrays(
-        [pa.array(key_of[first]), pa.array(np.array(sizes, np.int64)[first]),
-         pa.array([x.tobytes() for x in np.split(tokens, cuts)], pa.binary()),
-         pa.array([x.tobytes() for x in np.split(df, cuts)], pa.binary())],
-        ["key", "n", "tokens", "dfs"])
+        [pa.array(rows[0], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[1:])],
+        ["grp", "keys", "sizes", "counts", "tokens", "dfs"])
 
 
-def _shared(batches):
-    """All packets of a task, bucket by bucket."""
-    buckets: dict[int, list[tuple]] = {}
+def _gathered(batches) -> dict[int, list[tuple]]:
+    """The packets of a task by their first column."""
+    out: dict[int, list[tuple]] = {}
     for b in batches:
         for at, *part in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            buckets.setdefault(at, []).append(tuple(part))
-    while buckets:
-        out = _shared_in_bucket(buckets.popitem()[1])
-        if out is not None:
-            yield out
+            out.setdefault(at, []).append(tuple(part))
+    return out
 
 
-def _ordered_tokens(parts) -> np.ndarray:
-    """A class's shared tokens in the global order: rarest first, then by hash."""
-    t = np.concatenate([np.frombuffer(p["tokens"], np.uint64) for p in parts])
-    d = np.concatenate([np.frombuffer(p["dfs"], np.uint32) for p in parts])
-    return t[np.lexsort((t, d))]
+def _shared(n_groups: int):
+    """All packets of a task, bucket by bucket; the answers are packets too, dealt
+    by class."""
+    def run(batches):
+        buckets = _gathered(batches)
+        while buckets:
+            out = _shared_in_bucket(buckets.popitem()[1], n_groups)
+            if out is not None:
+                yield out
+    return run
+
+
+def _assemble(num: int, den: int):
+    """(key, n, s, tokens) of the classes that share enough n-grams to have a
+    partner: their shared n-grams in the global order, rarest first, then by hash."""
+    def run(batches):
+        groups = _gathered(batches)
+        while groups:
+            parts = groups.popitem()[1]
+            key = np.concatenate([np.frombuffer(p[0], np.int64) for p in parts])
+            n = np.concatenate([np.frombuffer(p[1], np.uint32) for p in parts])
+            counts = np.concatenate([np.frombuffer(p[2], np.uint32) for p in parts])
+            tokens = np.concatenate([np.frombuffer(p[3], np.uint64) for p in parts])
+            df = np.concatenate([np.frombuffer(p[4], np.uint32) for p in parts])
+            classes, first, owner = np.unique(key, return_index=True, return_inverse=True)
+            n, owner = n[first].astype(np.int64), np.repeat(owner, counts)
+            held = np.bincount(owner, minlength=len(classes))
+            active = held * den >= n * num
+            keep = active[owner]
+            tokens, df, owner = tokens[keep], df[keep], owner[keep]
+            order = np.lexsort((tokens, df, owner))
+            cuts = np.cumsum(held[active])[:-1]
+            if active.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(classes[active]), pa.array(n[active]), pa.array(held[active]),
+                     pa.array([t.tobytes() for t in np.split(tokens[order], cuts)], pa.binary())],
+                    ["key", "n", "s", "tokens"])
+    return run
 
 
 def _prefixes(num: int, den: int):
     def run(batches):
         for b in batches:
             toks, keys = [], []
-            for key, n, parts in zip(b.column("key").to_pylist(), b.column("n").to_pylist(),
-                                     b.column("parts").to_pylist(), strict=True):
-                t = _ordered_tokens(parts)
+            for key, n, t in zip(*(b.column(c).to_pylist() for c in ("key", "n", "tokens")), strict=True):
+                t = np.frombuffer(t, np.uint64)
                 need = -(-num * n // den)
                 p = t[:len(t) - need + 1]
                 toks.append(p.view(np.int64))
@@ -288,7 +322,7 @@ def _join_unit(num: int, den: int):
         reps = np.array(unit.column("rep").to_pylist(), np.int64)
         copies = np.array(unit.column("copies").to_pylist(), np.int64)
         sizes = np.array(unit.column("n").to_pylist(), np.int64)
-        sets = [_ordered_tokens(p) for p in unit.column("parts").to_pylist()]
+        sets = [np.frombuffer(t, np.uint64) for t in unit.column("tokens").to_pylist()]
         block = np.array(unit.column("block").to_pylist(), np.int64)
         i, j = unit.column("i")[0].as_py(), unit.column("j")[0].as_py()
         links = np.zeros(len(reps), np.int64)
@@ -326,15 +360,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
 
     shared = (_packets(src.select("text"), k, n_buckets).repartition(n_buckets, "bucket")
-              .mapInArrow(_shared, "key bigint, n bigint, tokens binary, dfs binary"))
-    held = F.sum(F.octet_length("tokens") / 8)
-    active = (shared.groupBy("key")
-              .agg(F.first("n").alias("n"), held.alias("s"),
-                   F.collect_list(F.struct("tokens", "dfs")).alias("parts"))
-              .where(F.col("s") * den >= F.col("n") * num))
+              .mapInArrow(_shared(n_buckets), "grp int, keys binary, sizes binary, counts binary, "
+                                              "tokens binary, dfs binary"))
+    active = (shared.repartition(n_buckets, "grp")
+              .mapInArrow(_assemble(num, den), "key bigint, n bigint, s bigint, tokens binary"))
     active = anchored(active.join(classes.select(key.alias("key"), "rep", "copies"), "key"))
 
-    prefix = active.select("key", "n", "parts").mapInArrow(_prefixes(num, den),
+    prefix = active.select("key", "n", "tokens").mapInArrow(_prefixes(num, den),
                                                            "token bigint, key bigint")
     ends = prefix.groupBy("token").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z")
     edges = (prefix.join(ends, "token").where("key <> a").select("a", F.col("key").alias("b"))
@@ -347,7 +379,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
               .withColumn("block", F.expr("pmod(xxhash64(key), blocks)").cast("int"))
               .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
               .select("grp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                      "block", "rep", "copies", "n", "parts"))
+                      "block", "rep", "copies", "n", "tokens"))
     found = anchored(placed.groupBy("grp", "i", "j").applyInArrow(
         _join_unit(num, den), "rep bigint, root bigint, links bigint"))
     component = connected_components(found.where("rep <> root").select("rep", "root"), "rep", "root")
