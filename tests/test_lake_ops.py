@@ -1,6 +1,6 @@
 """Lake operations: merge on plain Parquet (X19), silver append (X10), CTAS
-(K10), dual write (K7), keyed publish (K4), Parquet archive (X16), broadcast
-size check, and brute-force checks of the custom operators (D3, D4, as-of)."""
+(K10), dual write (K7), keyed publish (K4), Parquet archive (X16), and
+brute-force checks of the custom operators (D3, D4, as-of)."""
 
 import datetime as dt
 import random
@@ -8,9 +8,10 @@ import random
 from pyspark.sql import functions as F
 
 from tidepool.operators import cdc, dedup, gold
-from tidepool.operators.joins import asof_join, broadcast_if_small
+from tidepool.operators.joins import asof_join
 from tidepool.sinks.files import create_table_as
-from tidepool.sinks.publish import batch_scoped_writer, dual_write, keyed_records
+from tidepool.sinks.publish import (batch_scoped_writer, call_report, dual_write, keyed_records,
+                                    publish_calls)
 from tidepool.streaming import archive
 
 
@@ -26,12 +27,35 @@ def test_merge_partitions_upserts_only_touched(spark, tmp_path):
     assert got == {1: "a2", 2: "b", 3: "c", 4: "d"}
 
 
+def test_merge_moves_keys_and_removes_emptied_partitions(spark, tmp_path):
+    import os
+
+    from tidepool.session import checkpoint_dir
+    path = str(tmp_path / "t")
+    kind = "id int, v string, seq int, part string"
+    base = spark.createDataFrame([(1, "a", 1, "A"), (2, "b", 1, "B"), (3, "c", 1, "C"), (4, "n", 1, None),
+                                  (None, "k", 1, "B")], kind)
+    cdc.merge_partitions(spark, path, base, ["id"], ["seq"], ["part"])
+    untouched = os.listdir(f"{path}/part=C")
+    upd = spark.createDataFrame([(1, "a2", 2, "B"), (4, "n2", 2, None), (None, "k2", 2, "D"),
+                                 (2, "late", 0, "B")], kind)
+    cdc.merge_partitions(spark, path, upd, ["id"], ["seq"], ["part"])
+    got = sorted(((r["id"], r["v"], r["part"]) for r in spark.read.parquet(path).collect()), key=str)
+    assert got == sorted([(1, "a2", "B"), (2, "b", "B"), (3, "c", "C"), (4, "n2", None), (None, "k2", "D")], key=str)
+    assert not os.path.exists(f"{path}/part=A") and os.listdir(f"{path}/part=C") == untouched
+    scratch = checkpoint_dir(spark).removeprefix("file:")
+    assert not [f for f in os.listdir(scratch) if f.startswith("merge_")]
+
+
 def test_silver_append_new_keys(spark):
-    existing = spark.createDataFrame([("s", "A", "k1")], "source string, symbol string, dedup_key string")
-    incoming = spark.createDataFrame([("s", "A", "k1"), ("s", "A", "k2"), ("t", "A", "k1")],
-                                     "source string, symbol string, dedup_key string")
+    kind = "source string, symbol string, dedup_key string, identity string"
+    existing = spark.createDataFrame([("s", "A", "k1", "x"), ("s", None, "k5", "y")], kind)
+    incoming = spark.createDataFrame([("s", "A", "k1", "x"), ("s", "A", "k2", "z"), ("t", "A", "k1", "x"),
+                                      ("s", None, "k5", "y"), ("s", "A", "k1", "other")], kind)
     new = gold.append_new_keys(existing, incoming).collect()
-    assert sorted((r["source"], r["dedup_key"]) for r in new) == [("s", "k2"), ("t", "k1")]
+    # a null symbol is found again; equal 64-bit keys of different content stay apart
+    assert sorted((r["source"], r["dedup_key"], r["identity"]) for r in new) == [
+        ("s", "k1", "other"), ("s", "k2", "z"), ("t", "k1", "x")]
 
 
 def test_ctas_with_location(spark, tmp_path):
@@ -50,17 +74,34 @@ def test_dual_write_is_idempotent_per_batch(spark, tmp_path):
     assert spark.read.json(a).count() == 2 and spark.read.parquet(b).count() == 2
 
 
-def test_keyed_records_colocate_keys(spark):
-    df = spark.createDataFrame([("A", 2), (None, 1), ("A", 1), ("B", 3)], "symbol string, t int")
-    out = keyed_records(df, "symbol", ["t"], num_partitions=4)
-    parts = out.rdd.glom().collect()
-    seen = {}
-    for i, p in enumerate(parts):
-        for r in p:
-            assert seen.setdefault(r["key"], i) == i
-        ts = [r["t"] for r in p if r["key"] == "A"]
-        assert ts == sorted(ts)
-    assert "UNKNOWN" in seen
+def test_keyed_records_are_ordered_and_a_hot_key_is_split(spark):
+    rows = [("HOT", i) for i in range(2000)] + [(None, i) for i in range(50)] + [("A", i) for i in range(50)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "symbol string, t int")
+    parts = keyed_records(df, "symbol", ["t"], num_partitions=8).rdd.glom().collect()
+    flat = [(r["key"], r["t"]) for p in parts for r in p]
+    assert flat == sorted((s or "UNKNOWN", t) for s, t in rows)  # order holds across partitions
+    assert sum(any(r["key"] == "HOT" for r in p) for p in parts) >= 4
+
+
+def test_publish_calls_brute_force(spark):
+    rnd = random.Random(2)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(rnd.choice(["A", "B", None]), t0 + dt.timedelta(minutes=rnd.randint(0, 600)), i,
+             rnd.choice([None, None, "E1", "E2"])) for i in range(700)]
+    rows += [("A", None, 9000, "E1")]
+    df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, id long, error_code string")
+    calls = publish_calls(df, "ts", ["id"], chunk=50).cache()
+    want = {}
+    for key in ("A", "B", None):
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is not None, r[1] or t0, r[2]))
+        want |= {r[2]: i // 50 for i, r in enumerate(own)}
+    assert {r["id"]: r["chunk_no"] for r in calls.collect()} == want
+    for r in call_report(calls, ["id"]).collect():
+        own = [x for x in rows if x[0] == r["key"] and want[x[2]] == r["chunk_no"]]
+        bad = sorted((x[2], x[3]) for x in own if x[3])
+        assert (r["n_records"], r["n_failed"]) == (len(own), len(bad))
+        assert [(f["id"], f["error_code"]) for f in r["first_failures"]] == bad[:5]
 
 
 def test_archive_parquet(spark, tmp_path):
@@ -74,16 +115,6 @@ def test_archive_parquet(spark, tmp_path):
     assert spark.read.parquet(out).count() == 2
 
 
-def test_broadcast_if_small_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    j1 = spark.range(100).join(broadcast_if_small(small, 100), "id")
-    j2 = spark.range(100).join(broadcast_if_small(big, 100), "id")
-    assert j1.count() == 10 and j2.count() == 100
-    assert "BroadcastHashJoin" in j1._jdf.queryExecution().executedPlan().toString() or \
-        "broadcast" in j1._jdf.queryExecution().optimizedPlan().toString().lower()
-
-
 def _rows(seed, n=300, keys=4):
     rnd = random.Random(seed)
     t0 = dt.datetime(2024, 1, 1)
@@ -117,6 +148,22 @@ def test_first_seen_ttl_brute_force(spark):
     assert got == sorted(want)
 
 
+def test_first_seen_keeps_records_without_a_time_and_cleans_up(spark):
+    import os
+
+    from tidepool.session import checkpoint_dir
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("a", None, 3), ("a", None, 1), ("a", t0, 2), ("a", t0 + dt.timedelta(days=9), 4), ("b", None, 5)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, id long")
+    out = dedup.first_seen_with_ttl(df, ["k"], "t", 7 * 86400, order=["t", "id"])
+    scratch = checkpoint_dir(spark).removeprefix("file:")
+    assert not [f for f in os.listdir(scratch) if f.startswith("first_seen_")]
+    got = sorted(((r["k"], r["id"], r["expires_at"]) for r in out.collect()), key=str)
+    at = int((t0 - dt.datetime(1970, 1, 1)).total_seconds())
+    assert got == sorted([("a", 1, None), ("a", 2, at + 7 * 86400), ("a", 4, at + 16 * 86400), ("b", 5, None)],
+                         key=str)
+
+
 def test_asof_join_brute_force(spark):
     rnd = random.Random(3)
     t0 = dt.datetime(2024, 1, 1)
@@ -158,7 +205,7 @@ def test_zones_and_adhoc_sql(spark, tmp_path):
         .parquet(path)
     t = catalog.register_parquet_table(spark, "tp_bronze.t", path)
     assert t.count() == 2
-    assert catalog.sql(spark, "SELECT sum(n) FROM tp_bronze.t WHERE symbol = 'B'").first()[0] == 2
+    assert spark.sql("SELECT sum(n) FROM tp_bronze.t WHERE symbol = 'B'").first()[0] == 2
     for z in zones.values():
         spark.sql(f"DROP DATABASE {z} CASCADE")
 
@@ -181,7 +228,7 @@ def test_convert_archive_to_parquet(spark, tmp_path):
     with gzip.open(d / "p.gz", "wb") as f:
         f.write((_json.dumps({"dedup_key": "a"}) + _json.dumps({"dedup_key": "b"}) + "{bad").encode())
     out = str(tmp_path / "pq")
-    convert_archive(spark, str(tmp_path / "arch"), out)
+    convert_archive(spark, str(tmp_path / "arch"), out, record_start=r'(?=\{"dedup_key":|\{bad)')
     back = spark.read.parquet(out)
     assert back.count() == 3
     assert back.where("_corrupt_record IS NULL").count() == 2
@@ -190,9 +237,7 @@ def test_convert_archive_to_parquet(spark, tmp_path):
 
 def test_projection_location_and_grid(spark):
     from tidepool.sources.projection import expected_partitions, location
-    bounds = spark.createDataFrame([("2026-06-05 22:00:00", "2026-06-06 01:00:00")], "lo string, hi string") \
-        .select(F.col("lo").cast("timestamp_ntz").alias("lo"), F.col("hi").cast("timestamp_ntz").alias("hi"))
-    grid = expected_partitions(bounds, ["AAPL", "MSFT"])
+    grid = expected_partitions(spark, ["AAPL", "MSFT"], "2026-06-05 22:00:00", "2026-06-06 01:00:00")
     assert grid.count() == 8
     row = spark.createDataFrame([("AAPL", "2026", "06", "05", "09")],
                                 "symbol string, year string, month string, day string, hour string")

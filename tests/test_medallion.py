@@ -28,6 +28,7 @@ def test_raw_to_gold(spark, tmp_path):
     assert b.select(*cols).exceptAll(want.select(*cols)).count() == 0
     # Silver on bronze (news_source is the publisher)
     silver = gold.silver_dedup(b.select(F.col("news_source").alias("source"), "symbol", "dedup_key",
+                                        F.concat_ws("|", "symbol", "published_at", "url").alias("identity"),
                                         "published_at"), ["published_at"])
     assert silver.count() == b.count()
     # A1 + X17: daily article bursts per symbol on bronze → gold

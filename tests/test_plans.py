@@ -60,3 +60,48 @@ def test_partition_filters_prune_directories(spark, tmp_path):
     df.write.partitionBy("symbol", "year").parquet(path)
     plan = _plan(spark.read.parquet(path).where(partition_predicate(["A"], year=2026)))
     assert re.search(r"PartitionFilters: \[[^\]]*symbol", plan)
+
+
+# These settle an order of events or rewrite a table: their work is rounds of jobs.
+EAGER = {"d4_first_seen_ttl", "a2_alert_batches", "x19_merge"}
+
+
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - EAGER))
+def test_building_a_query_runs_no_job(spark, name):
+    """Nothing but reading the tables' footers, which ``read.parquet`` does."""
+    sc = spark.sparkContext
+    sc.setJobGroup(f"build-{name}", name)
+    try:
+        REGISTRY[name].build(spark, SF_ORACLE)
+        tracker = sc.statusTracker()
+        stages = [tracker.getStageInfo(i) for j in tracker.getJobIdsForGroup(f"build-{name}")
+                  for i in tracker.getJobInfo(j).stageIds]
+        assert all(s is None or s.name.startswith("parquet at") for s in stages)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_features_join_without_sorting_ticks(spark):
+    plan = _plan(REGISTRY["x18_feature_table"].build(spark, SF_ORACLE))
+    # the join hashes the bars' side; windows and their sorts are on the bars only
+    head = plan[:plan.find("ShuffledHashJoin")]
+    assert "ShuffledHashJoin" in plan and "Sort [" not in head and "Window [" not in head
+    left = plan[plan.find("ShuffledHashJoin"):].split("\n")
+    first = next(i for i, x in enumerate(left[1:], 1) if "Exchange hashpartitioning" in x)
+    assert "Sort" not in "".join(left[1:first])
+
+
+def test_foreign_keys_are_counted_before_they_are_shuffled(spark):
+    plan = REGISTRY["x11_quality_rules"].build(spark, SF_ORACLE)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[l_partkey#\d+L?\]", plan) or "Aggregate [__k" in plan
+
+
+def test_projection_filter_reaches_the_scan(spark):
+    plan = _plan(REGISTRY["f7_projection_domain"].build(spark, SF_ORACLE))
+    assert "In(event_type" in plan and "GreaterThanOrEqual(ts," in plan and "array_contains" not in plan
+
+
+def test_publish_numbers_calls_without_a_window_over_a_key(spark):
+    plan = REGISTRY["k4_publish_chunks"].build(spark, SF_ORACLE)._jdf.queryExecution().optimizedPlan().toString()
+    numbering = [x for x in plan.split("\n") if "row_number()" in x]
+    assert numbering and all("__slot" in x for x in numbering)

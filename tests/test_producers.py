@@ -31,13 +31,37 @@ def test_key_identity_with_python(spark):
 
 
 def test_ticker_list_and_subject(spark):
-    df = spark.createDataFrame([(" aapl, Msft ,nvda",)], "t string")
-    assert df.select(keys.ticker_array("t")).first()[0] == ["AAPL", "MSFT", "NVDA"]
     assert keys.parse_ticker_list(" aapl, Msft ,nvda") == ["AAPL", "MSFT", "NVDA"]
     s = spark.createDataFrame([("Y" * 200, 5)], "s string, n long")
     assert len(s.select(keys.alert_subject("s", "n")).first()[0]) == 99
 
 
+def test_tick_keys_of_any_number_equal_the_producers(spark):
+    import random
+    rnd = random.Random(1)
+    texts = ["0.0005", "12345678.0", "1e16", "9999999999999998.5", "1.5e-5", "0.0001", "0.00099", "-0.0005",
+             "10000000.0", "123456789.125", "1e-4", "0", "100", "12345678901234567890", "-7", "150.10", "1e7",
+             "0.001", "1234567.891", "1.7e308", "0.0", "-12345678.5", "2.50e3"]
+    texts += [repr(rnd.uniform(0, 10 ** rnd.randint(-6, 15))) for _ in range(300)]
+    texts += [str(rnd.randint(0, 10 ** 12)) for _ in range(50)]
+    df = spark.createDataFrame([(t,) for t in [*texts, "abc", None]], "t string")
+    got = {r["t"]: r["n"] for r in df.select("t", keys.python_number("t").alias("n")).collect()}
+    for t in texts:
+        assert got[t] == str(json.loads(t)), t
+    assert got["abc"] == "abc" and got[None] is None
+    k = spark.createDataFrame([("0.0005", "12345678.0")], "p string, v string").select(keys.tick_key(
+        F.lit("AAPL"), F.lit(1), keys.python_number("p"), keys.python_number("v"))).first()[0]
+    assert k == _py_key("AAPL", 1, 0.0005, 12345678.0)
+
+
+def test_a_poison_number_costs_its_field_only(spark):
+    msgs = ['{"type": "trade", "data": [{"s": "A", "p": "abc", "v": 1, "t": 1}, {"s": "A", "p": 2, "v": {}, "t": 2}]}',
+            '{"type": "trade", "data": "x"}', "not json"]
+    rows = normalize.normalize_ticks(spark.createDataFrame([(m,) for m in msgs], "value string"),
+                                     fetched_at=F.lit("x")).collect()
+    assert [(r["price"], r["volume"]) for r in rows] == [(None, 1.0), (2.0, None)]
+
+
 def test_normalize_news_envelope_and_override(spark):
     arts = spark.createDataFrame(
         [("AAPL", 1780650000, "https://x/1", "h1", None),

@@ -2,12 +2,14 @@
 
 import hashlib
 import json
+import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidepool.functions import keys
-from tidepool.sources.archive import split_concatenated
+from tidepool.schemas import RAW_ARCHIVE_DATA
+from tidepool.sources.archive import split_records
 
 _text = st.text(alphabet=st.characters(min_codepoint=32, max_codepoint=0x2FFF), max_size=20) | \
     st.sampled_from(['{', '}', '"', '\\', '}{', '{"a": 1}', '\\"}'])
@@ -15,11 +17,24 @@ _obj = st.dictionaries(st.text(max_size=5), st.one_of(_text, st.integers(), st.n
                                                        st.lists(_text, max_size=3)), max_size=4)
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(_obj, max_size=6), st.sampled_from(["", "\n", " \n"]))
-def test_split_concatenated_round_trip(objs, sep):
-    text = sep.join(json.dumps(o, ensure_ascii=False) for o in objs)
-    assert [json.loads(p) for p in split_concatenated(text)] == objs
+def test_split_records_loses_none(spark):
+    """Every whole record comes back, whatever stands behind it."""
+    rnd = random.Random(3)
+    texts = ["", "a", "{", "}", '"', "\\", "}{", '{"a": 1}', '\\"}', "é", '{"source": "x", "asset_class": 1}']
+    between = ["", " ", "junk", "}", '"', '{"source": "cut', '{"source": "cut", "asset_class": "x", "hea', "[1", "{}"]
+    lines, want = [], {}
+    for i in range(400):
+        recs = [(rnd.choice(texts), {rnd.choice(texts): rnd.choice(texts)}, rnd.choice(between))
+                for _ in range(rnd.randint(0, 5))]
+        want[i] = [(s, o) for s, o, _ in recs]
+        lines.append((i, "".join(json.dumps({"source": s, "asset_class": "x", "headline": json.dumps(o)},
+                                            ensure_ascii=False) + after for s, o, after in recs)))
+    df = spark.createDataFrame(lines, "i long, value string")
+    got = {i: [] for i in want}
+    for r in split_records(df, RAW_ARCHIVE_DATA, keep=["i"]).collect():
+        if r["_corrupt_record"] is None and r["headline"] is not None:
+            got[r["i"]].append((r["source"], json.loads(r["headline"])))
+    assert {i: sorted(map(str, v)) for i, v in got.items()} == {i: sorted(map(str, v)) for i, v in want.items()}
 
 
 @settings(max_examples=5, deadline=None)

@@ -6,12 +6,13 @@ import json
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidepool import schemas as S
 from tidepool.operators.bronze import SchemaDriftError, bronze_news
 from tidepool.operators.filters import partition_predicate, split_malformed
 from tidepool.plans import bronze_job
-from tidepool.sources.archive import read_archive, split_concatenated
+from tidepool.sources.archive import read_archive, split_records
 from tidepool.sources.raw import read_raw_bars, read_raw_news
 
 
@@ -125,19 +126,69 @@ def test_raw_bars_path_symbol_wins(spark, tmp_path):
     assert rows[0]["symbol"] == "AAPL" and rows[0]["volume"] == "12x" and rows[0]["month"] == 6
 
 
-def test_split_concatenated_respects_strings():
-    text = '{"a": "x}{y", "b": 1}{"a": "q\\"}"}\n{"c": {"d": 2}}{"trunc": '
-    parts = split_concatenated(text)
-    assert parts == ['{"a": "x}{y", "b": 1}', '{"a": "q\\"}"}', '{"c": {"d": 2}}', '{"trunc": ']
-    assert [json.loads(p) for p in parts[:3]]
+def _split(spark, text, start):
+    df = spark.createDataFrame([(line,) for line in text.split("\n")], "value string")
+    rows = split_records(df, StructType.fromDDL("a bigint, b bigint, c bigint, d bigint"),
+                         record_start=start).collect()
+    return ([tuple(x for x in r[:4] if x is not None) for r in rows if r[4] is None],
+            [r[4] for r in rows if r[4] is not None])
+
+
+def test_split_survives_stray_quotes_and_truncated_records(spark):
+    start = r'(?=\{"[a-d]"\s*:)'
+    assert _split(spark, 'junk " {"a":1}{"b":2}', start) == ([(1,), (2,)], ['junk "'])
+    good, bad = _split(spark, '{"a":1}{"b": 2\n{"c":3}\n{"d":4}', start)
+    assert good == [(1,), (3,), (4,)] and bad == ['{"b": 2']
+    good, bad = _split(spark, '{"a":1} tail\n[{"a":2}]\n5\n{"a":{"x":1}}', start)
+    assert good == [(1,), (2,)] and sorted(bad) == ['5', '[', ']', 'tail', '{"a":{"x":1}}']
+
+
+def test_two_articles_forced_onto_one_key_both_stay(spark):
+    rows = [_art("A", 1780650000, "u1", "same", "2026-06-05T09:00:00+00:00"),
+            _art("A", 1780650000, "u2", "same", "2026-06-05T09:00:00+00:00"),
+            _art("A", 1780650000, "u2", "same", "2026-06-05T10:00:00+00:00", headline="later")]
+    raw = spark.createDataFrame([{**r, "symbol": "A"} for r in rows])
+    got = {r["url"]: r["headline"] for r in bronze_news(raw).collect()}
+    assert got == {"u1": "h-same", "u2": "later"}
+
+
+def test_a_replay_writes_rows_without_a_date_once(spark, tmp_path):
+    base = str(tmp_path / "raw")
+    folder = os.path.join(base, "symbol=AAPL", "year=2026", "month=06", "day=05", "hour=09")
+    nodate = _art("AAPL", None, None, "k0", "2026-06-05T09:00:00+00:00")
+    _write(os.path.join(folder, "a.jsonl"), [
+        json.dumps(nodate), json.dumps(_art("AAPL", 1780650000, None, None, "2026-06-05T09:00:00+00:00")),
+        "{broken", json.dumps(_art("AAPL", 1780650000, "u", "k1", "2026-06-05T09:00:00+00:00"))])
+    bronze = str(tmp_path / "bronze")
+    for ck in ("c1", "c2"):  # the second run replays the batch
+        bronze_job.start_incremental(spark, base, bronze, str(tmp_path / ck)).awaitTermination(120)
+    assert spark.read.parquet(bronze).count() == 3
+    # malformed lines are kept beside the table even if nobody asked, and once
+    assert spark.read.json(bronze + "_errors").count() == 1
+
+
+def test_bars_job(spark, tmp_path):
+    base = str(tmp_path / "raw")
+    rows = [("2026-06-04", "1.5", "k4", "t1"), ("2026-06-05", "2.5", "k5", "t1"), ("2026-06-05", "3.5", "k5", "t2"),
+            ("2026-06-05", "9", "other", "t1"), ("bad", "x", "kb", "t1")]
+    for i, (day, close, key, at) in enumerate(rows):
+        rec = {"source": "s", "asset_class": "equity", "symbol": "AAPL", "date": day, "open": "1", "high": "4",
+               "low": "0.5", "close": close, "volume": "12x" if i == 0 else "100", "fetched_at": at, "dedup_key": key}
+        _write(os.path.join(base, "symbol=AAPL", "year=2026", "month=06", f"day=0{i + 1}", "d.jsonl"), [json.dumps(rec)])
+    out = str(tmp_path / "bars")
+    assert bronze_job.run_bars_batch(spark, base, out, ingestion_ts="2026-06-06 00:00:00")
+    got = {(r["dedup_key"], str(r["bar_date"]), r["close"], r["volume"]) for r in spark.read.parquet(out).collect()}
+    assert got == {("k4", "2026-06-04", 1.5, None), ("k5", "2026-06-05", 3.5, 100), ("other", "2026-06-05", 9.0, 100),
+                   ("kb", "None", None, 100)}
+    assert not bronze_job.run_bars_batch(spark, base, out, modified_after="2999-01-01T00:00:00")
 
 
 def test_archive_concatenated_gzip(spark, tmp_path):
     base = os.path.join(str(tmp_path), "source=stream-archive")
     p = os.path.join(base, "year=2026", "month=06", "day=05", "hour=09", "part-0.gz")
-    news = {"source": "Reuters", "symbol": "AAPL", "dedup_key": "k1", "headline": "a {b} \"c\"",
+    news = {"source": "Reuters", "asset_class": "equity", "symbol": "AAPL", "dedup_key": "k1", "headline": "a {b} \"c\"",
             "datetime": 1780650000}
-    tick = {"source": "finnhub_ws", "symbol": "AAPL", "dedup_key": "k2", "price": 1.5}
+    tick = {"source": "finnhub_ws", "asset_class": "equity", "symbol": "AAPL", "dedup_key": "k2", "price": 1.5}
     _write(p, [json.dumps(news) + json.dumps(tick) + json.dumps(news)], gz=True)
     recs = read_archive(spark, base).collect()
     assert len(recs) == 3

@@ -43,9 +43,7 @@ ALERT_SUBJECT_MAX = 99
 PUBLISH_CHUNK = 500
 
 # Partition projection domain of the raw tables and the news location template.
+# All months, days and hours are in it.
 PROJECTION_YEARS = (2024, 2030)
-PROJECTION_MONTHS = (1, 12)
-PROJECTION_DAYS = (1, 31)
-PROJECTION_HOURS = (0, 23)
 NEWS_LOCATION_TEMPLATE = ("source=finnhub/asset_class=equity/symbol={symbol}/year={year}"
                           "/month={month}/day={day}/hour={hour}/")

@@ -42,11 +42,43 @@ def news_key(symbol, datetime, url) -> Column:
         F.coalesce(as_col(url).cast("string"), F.lit(MISSING_URL)))
 
 
+def _laid_out(plain: Column) -> Column:
+    """Spark's text of a double, as the producer would print it."""
+    mantissa = F.rtrim(F.translate(F.regexp_extract(plain, r"^-?([0-9.]+)E", 1), ".", ""), F.lit("0"))
+    digits = F.when(mantissa == "", "0").otherwise(mantissa)
+    exp = F.regexp_extract(plain, r"E(-?[0-9]+)$", 1).try_cast("int")
+    sign = F.when(plain.startswith("-"), "-").otherwise("")
+    fraction = F.when(F.length(digits) > exp + 1, F.substr(digits, exp + 2)).otherwise("0")
+    large = F.concat(F.substr(F.rpad(digits, exp + 1, "0"), F.lit(1), exp + 1), F.lit("."), fraction)
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+    rest = F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise("")
+    power = F.abs(exp).cast("string")
+    scientific = F.concat(F.substr(digits, F.lit(1), F.lit(1)), rest, F.lit("e"),
+                          F.when(exp < 0, "-").otherwise("+"),
+                          F.lpad(power, F.greatest(F.length(power), F.lit(2)), "0"))
+    shape = F.when(exp.between(0, 15), large).when(exp.between(-4, -1), small).otherwise(scientific)
+    return F.when(plain.contains("E"), F.concat(sign, shape)).otherwise(plain)
+
+
+def python_number(text) -> Column:
+    """A JSON number (as text) the way the producer prints it: integers as they
+    are; other numbers in plain digits from 1e-4 up to 1e16, else as ``1.5e-05``.
+
+    Spark prints a double in plain digits from 1e-3 up to 1e7 only, so its
+    scientific form is taken apart and laid out again (inside ``transform``, which
+    keeps the many small steps out of the generated code).  Text that is no
+    number stays as it is, null stays null.  (The digits are Java's: the smallest
+    denormal numbers show one more digit than the producer prints.)
+    """
+    t = as_col(text)
+    number = F.transform(F.array(t.try_cast("double").cast("string")), _laid_out)[0]
+    return F.when(t.rlike(r"^-?[0-9]+$"), t).otherwise(F.coalesce(number, t))
+
+
 def tick_key(symbol, timestamp_ms, price_text, volume_text) -> Column:
     """P10: key of a tick, ``sha256(symbol|t|p|v)[:16]``.
 
-    Pass price and volume as the number *text* (see README: number text
-    matches Python for integers and for decimals in [1e-3, 1e7)).
+    Price and volume are passed as ``python_number`` gives them.
     """
     return short_sha256(py_text(symbol), py_text(timestamp_ms), py_text(price_text),
                         py_text(volume_text))
@@ -84,13 +116,8 @@ def alert_body(*cols) -> Column:
                      {"pretty": "true", "ignoreNullFields": "false"})
 
 
-def ticker_array(text) -> Column:
-    """``"aapl, msft"`` → ``["AAPL", "MSFT"]`` (split on comma, trim, upper)."""
-    return F.transform(F.split(as_col(text), ","), lambda x: F.upper(F.trim(x)))
-
-
 def parse_ticker_list(text: str) -> list[str]:
-    """P18 for a configuration string held by the driver (not data)."""
+    """``"aapl, msft"`` → ``["AAPL", "MSFT"]``; the text is configuration."""
     return [t.strip().upper() for t in text.split(",")]
 
 

@@ -37,6 +37,11 @@ def epoch_to_ntz(c, unit: str = "SECOND") -> Column:
     return F.timestamp_add(unit, as_col(c).try_cast("bigint"), F.expr(_NTZ_EPOCH))
 
 
+def utc_wall_clock(c) -> Column:
+    """``timestamp`` → its UTC wall clock as ``timestamp_ntz``, whatever the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(as_col(c)), F.expr(_NTZ_EPOCH))
+
+
 def to_epoch_seconds(c) -> Column:
     """Timestamp (either flavour) → whole epoch seconds (floor)."""
     return F.unix_timestamp(as_col(c))

@@ -6,13 +6,14 @@
 - SCD-2: each version valid from its own time until the next version's
   time (``lead`` per key).
 - Merge into a partitioned Parquet table: plain Parquet has no MERGE, so
-  the partitions touched by the updates are read, merged (latest per key)
-  and written back with dynamic partition overwrite; untouched partitions
-  are not read or rewritten.  This is not ACID (see README).
+  the partitions the updates go to or come from are read, merged (latest per
+  key) and written back with dynamic partition overwrite.  This is not ACID
+  (see README).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -76,29 +77,45 @@ def merge_partitions(spark, target_path: str, updates: DataFrame, keys: Sequence
                      order: Sequence[str], partition_cols: Sequence[str]) -> None:
     """Upsert ``updates`` into a partitioned Parquet table.
 
-    Only partitions present in ``updates`` are read and rewritten.  The merged
-    partitions are checkpointed first (reading and overwriting the same
-    files in one plan is not allowed).
+    An update may move its key to another partition, so the partitions to
+    rewrite are those of the updates and those that hold one of their keys now
+    (a semi-join on the key columns).  They are merged (latest per key), kept
+    in a scratch table below the shared checkpoint folder, since files can't be
+    read and overwritten in one plan, and written back; a partition whose rows
+    all moved away is removed.  Null keys and null partition values count as
+    equal.  Other partitions are neither read beyond their keys nor rewritten.
     """
-    from ..session import reliable_checkpoint
-
-    parts = list(partition_cols)
+    from ..session import checkpoint_dir, path_exists, remove_tree
+
+    parts, keys = list(partition_cols), list(keys)
+
+    def same(left: DataFrame, right: DataFrame, cols: list[str], how: str) -> DataFrame:
+        renamed = right.select(*[F.col(c).alias(f"__j_{c}") for c in cols]).distinct()
+        return left.join(renamed, [F.col(c).eqNullSafe(F.col(f"__j_{c}")) for c in cols], how)
+
+    def write(df: DataFrame) -> None:
+        (df.hint("rebalance", *parts).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(target_path))
+
+    if not path_exists(spark, target_path):
+        write(latest_per_key(updates, keys, list(order)))
+        return
+    target = spark.read.parquet(target_path)
+    folder = F.regexp_replace(F.input_file_name(), "/[^/]*$", "")
+    held = same(target.select(*dict.fromkeys([*keys, *parts])), updates, keys, "left_semi")
+    touched = updates.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in parts]) \
+        .unionByName(held.select(*parts))
+    scratch = f"{checkpoint_dir(spark).rstrip('/')}/merge_{uuid.uuid4().hex}"
     try:
-        target = spark.read.parquet(target_path)
-        # the partitions the updates touch (bounded by the update batch) as a
-        # static partition filter: untouched partitions are never read
-        touched = [tuple(r) for r in updates.select(*parts).distinct().collect()]
-        wanted = F.struct(*[F.col(c) for c in parts]).isin(
-            [F.struct(*[F.lit(v).cast(target.schema[c].dataType).alias(c) for c, v in zip(parts, t)])
-             for t in touched])
-        current = target.where(wanted)
-        merged = latest_per_key(current.unionByName(updates, allowMissingColumns=True),
-                                list(keys), list(order))
-    except Exception as e:  # first write: no table yet
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        merged = latest_per_key(updates, list(keys), list(order))
-    merged = reliable_checkpoint(merged)
-    (merged.hint("rebalance", *partition_cols).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
-           .parquet(target_path))
+        current = same(target.withColumn("__folder", folder), touched, parts, "left_semi")
+        merged = latest_per_key(current.drop("__folder").unionByName(updates, allowMissingColumns=True),
+                                keys, list(order))
+        merged.write.parquet(scratch)
+        merged = spark.read.schema(merged.schema).parquet(scratch)
+        # at most one row per touched partition comes to the driver
+        emptied = [r[0] for r in same(current, merged, parts, "left_anti").select("__folder").distinct().collect()]
+        write(merged)
+        for gone in emptied:
+            remove_tree(spark, gone)
+    finally:
+        remove_tree(spark, scratch)

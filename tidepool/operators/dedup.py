@@ -15,14 +15,13 @@ Scale notes
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, reliable_checkpoint, remove_tree
 
 
 def _names(cols) -> list[str]:
@@ -84,56 +83,60 @@ def first_seen_with_ttl(df: DataFrame, keys, time_col: str, ttl_seconds: int,
     at each emission time, ties by ``order``) plus ``first_seen`` and
     ``expires_at`` (epoch seconds, the stored item's ``ttl``).
 
-    Algorithm (linear in the data).  Emissions of a key are at least one TTL
-    apart, so with time cut into TTL-wide buckets a key emits at most once per
-    bucket, and its emission in bucket ``b`` depends only on its emission in
-    bucket ``b-1``: arrivals before that emission + TTL are suppressed; with
-    no emission in ``b-1`` the first arrival in ``b`` is emitted.  The
-    distinct (key, arrival) rows are written once to the shared checkpoint
-    folder, partitioned by bucket; then buckets are processed in time order,
-    each round reading only its own bucket (partition pruning) and the
-    previous round's emissions (at most one row per key).  Total work is one
-    pass over the arrivals plus one small join per bucket; the number of
-    rounds is the time span / TTL, set by the calendar, not by the volume.
-    Every round's emissions are written to the shared folder, so a lost
-    executor recomputes at most one round.  These scratch tables live under
-    ``<spark.checkpoint.dir>/first_seen_<id>``; the returned frame reads
-    them, so remove them only after it has been consumed.
+    A record without a time has no place in the order; the first such record
+    of a key (by ``order``) is emitted once, with null ``first_seen`` and
+    ``expires_at``, and neither blocks the key nor is blocked.
+
+    One aggregate settles every key whose arrivals span less than the TTL: it
+    emits its earliest.  For the others, emissions are at least one TTL apart,
+    so with time cut into TTL-wide buckets a key emits at most once per bucket,
+    and its emission in bucket ``b`` depends only on its emission in ``b-1``:
+    arrivals before that emission + TTL are suppressed; with no emission in
+    ``b-1`` the first arrival in ``b`` is emitted.  Their distinct (key, arrival)
+    rows are written to scratch in the shared checkpoint folder, clustered by
+    bucket, and the buckets are processed in time order, each round reading only
+    its own bucket and the last round's emissions.  The number of rounds is set
+    by the calendar, not by the volume.  The emissions are checkpointed and the
+    scratch is deleted before this returns.
     """
     keys = _names(keys)
     spark = df.sparkSession
     ttl = int(ttl_seconds)
     base = f"{checkpoint_dir(spark).rstrip('/')}/first_seen_{uuid.uuid4().hex}"
-    arrivals = (df.where(F.col(time_col).isNotNull())
-                  .select(*keys, F.col(time_col).alias("__t")).distinct()
-                  .withColumn("__b", F.floor(F.unix_timestamp("__t") / ttl).cast("bigint")))
-    arrivals.write.partitionBy("__b").parquet(f"{base}/arrivals")
-    stored = spark.read.parquet(f"{base}/arrivals")
-    # bucket numbers from the partition folders (file-index metadata, no job)
-    buckets = sorted({int(m.group(1)) for f in stored.inputFiles()
-                      for m in [re.search(r"__b=(-?\d+)", f)] if m})
-    prev_bucket = None
-    for b in buckets:
-        cur = stored.where(F.col("__b") == F.lit(b)).drop("__b")
-        if prev_bucket == b - 1:
-            prev = spark.read.parquet(f"{base}/emitted/__b={prev_bucket}")
-            p = prev.select(*[F.col(k).alias(f"__p{i}") for i, k in enumerate(keys)], "__e")
-            on = [cur[k].eqNullSafe(p[f"__p{i}"]) for i, k in enumerate(keys)]
-            cur = (cur.join(p, on, "left")
-                      .where(F.col("__e").isNull() |
-                             (F.col("__t") >= F.col("__e") + F.expr(f"INTERVAL {ttl} SECONDS")))
-                      .select(*keys, "__t"))
-        emitted_b = cur.groupBy(*keys).agg(F.min("__t").alias("__e"))
-        emitted_b.write.mode("overwrite").parquet(f"{base}/emitted/__b={b}")
-        prev_bucket = b
-    if not buckets:
-        return df.limit(0).withColumn("first_seen", F.col(time_col)) \
-            .withColumn("expires_at", F.unix_timestamp(F.col(time_col)) + F.lit(ttl))
-    emitted = spark.read.parquet(f"{base}/emitted").select(*keys, "__e")
+    step = F.expr(f"INTERVAL {ttl} SECONDS")
+    timed = df.where(F.col(time_col).isNotNull()).select(*keys, F.col(time_col).alias("__t"))
+    span = timed.groupBy(*keys).agg(F.min("__t").alias("__e"), F.max("__t").alias("__z"))
+    settled = F.col("__z") < F.col("__e") + step
+    long_keys = span.where(~settled).select(*[F.col(k).alias(f"__p{i}") for i, k in enumerate(keys)])
+    on = [F.col(k).eqNullSafe(F.col(f"__p{i}")) for i, k in enumerate(keys)]
+    arrivals = (timed.join(long_keys, on, "left_semi").distinct()
+                     .withColumn("__b", F.floor(F.unix_timestamp("__t") / ttl).cast("bigint")))
+    try:
+        arrivals.hint("rebalance", "__b").write.partitionBy("__b").parquet(f"{base}/arrivals")
+        stored = spark.read.schema(arrivals.schema).parquet(f"{base}/arrivals")
+        buckets = sorted(r[0] for r in stored.select("__b").distinct().collect())  # one row a TTL
+        emitted = span.where(settled).select(*keys, "__e")
+        prev_bucket = None
+        for b in buckets:
+            cur = stored.where(F.col("__b") == F.lit(b)).drop("__b")
+            if prev_bucket == b - 1:
+                prev = spark.read.parquet(f"{base}/emitted/__b={prev_bucket}")
+                p = prev.select(*[F.col(k).alias(f"__p{i}") for i, k in enumerate(keys)], "__e")
+                cur = (cur.join(p, on, "left")
+                          .where(F.col("__e").isNull() | (F.col("__t") >= F.col("__e") + step))
+                          .select(*keys, "__t"))
+            (cur.groupBy(*keys).agg(F.min("__t").alias("__e"))
+                .write.parquet(f"{base}/emitted/__b={b}"))
+            prev_bucket = b
+        if buckets:
+            emitted = emitted.unionByName(spark.read.parquet(f"{base}/emitted").select(*keys, "__e"))
+        emitted = reliable_checkpoint(emitted)
+    finally:
+        remove_tree(spark, base)
     # Attach the record that arrived at each emission time (ties by order).
-    d, e = df.alias("d"), emitted.alias("e")
-    hits = d.join(e, [*(F.col(f"d.{k}").eqNullSafe(F.col(f"e.{k}")) for k in keys),
-                      F.col(f"d.{time_col}") == F.col("e.__e")], "left_semi")
+    e = emitted.select(*[F.col(k).alias(f"__p{i}") for i, k in enumerate(keys)], "__e")
+    hits = df.join(e, [*on, F.col(time_col) == F.col("__e")], "left_semi")
+    hits = hits.unionByName(df.where(F.col(time_col).isNull()))
     tie = list(order) if order else [time_col]
     first = earliest_per_key(hits, [*keys, time_col], tie)
     return (first.withColumn("first_seen", F.col(time_col))

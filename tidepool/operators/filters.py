@@ -13,8 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed import (DAILY_SERIES_FIELD, PROJECTION_DAYS, PROJECTION_HOURS,  # noqa: F401
-                     PROJECTION_MONTHS, PROJECTION_YEARS, RATE_LIMIT_FIELDS, TRADE_TYPE)
+from ..fixed import PROJECTION_YEARS, TRADE_TYPE
 from ..schemas import CORRUPT_COL
 
 
@@ -41,14 +40,6 @@ def split_malformed(df: DataFrame, corrupt_col: str = CORRUPT_COL) -> tuple[Data
 SERIES_OK, RATE_LIMITED, UNEXPECTED = "ok", "rate_limited", "unexpected"
 
 
-def payload_status(series_col: str = DAILY_SERIES_FIELD, note_col: str = RATE_LIMIT_FIELDS[0],
-                   info_col: str = RATE_LIMIT_FIELDS[1]) -> Column:
-    """classify a daily-series payload: series present, rate-limited, or unexpected."""
-    return (F.when(F.col(f"`{series_col}`").isNotNull(), F.lit(SERIES_OK))
-             .when(F.col(note_col).isNotNull() | F.col(info_col).isNotNull(), F.lit(RATE_LIMITED))
-             .otherwise(F.lit(UNEXPECTED)))
-
-
 def in_date_range(df: DataFrame, ts_col: str, today: str | _dt.date, days_back: int = 1) -> DataFrame:
     """rows whose date is in ``[today - days_back, today]`` (inclusive).
 
@@ -72,14 +63,19 @@ def partition_predicate(symbols: Sequence[str] | None = None, year: int | None =
     return cond
 
 
-def in_projection_domain(df: DataFrame, symbols: Sequence[str] | Column, symbol_col: str = "symbol",
-                         year_col: str = "year", years=PROJECTION_YEARS) -> DataFrame:
+def in_projection_domain(df: DataFrame, symbols: Sequence[str], symbol_col: str = "symbol",
+                         year_col: str | None = "year", ts_col: str | None = None,
+                         years=PROJECTION_YEARS) -> DataFrame:
     """rows a projected table can see: symbol in the enum and year in range.
 
-    ``symbols`` is a list (from configuration) or an array Column (P18).
+    ``symbols`` is the configured list (``keys.parse_ticker_list`` reads its
+    text), so the test is an ``IN`` that reaches the scan; with ``ts_col`` the
+    years become a range of times, which reaches it too.  Months, days and
+    hours of the projection cover the whole calendar and test nothing.
     """
-    if isinstance(symbols, Column):
-        sym_ok = F.array_contains(symbols, F.col(symbol_col))
-    else:
-        sym_ok = F.col(symbol_col).isin(list(symbols))
-    return df.where(sym_ok & F.col(year_col).between(years[0], years[1]))
+    seen = F.col(symbol_col).isin(list(symbols))
+    if ts_col is None:
+        return df.where(seen & F.col(year_col).between(years[0], years[1]))
+    kind = df.schema[ts_col].dataType
+    lo, hi = (F.lit(f"{y}-01-01 00:00:00").cast(kind) for y in (years[0], years[1] + 1))
+    return df.where(seen & (F.col(ts_col) >= lo) & (F.col(ts_col) < hi))

@@ -8,24 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dedup import latest_per_key
-from .joins import broadcast_if_small
 
 UNKNOWN_SECTOR = "UNKNOWN"
 
 
-def sector_lookup(fact: DataFrame, dim: DataFrame, key: str, sector_col: str = "sector",
-                  max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def sector_lookup(fact: DataFrame, dim: DataFrame, key: str, sector_col: str = "sector") -> DataFrame:
     """Attach a sector from a dimension; a missing sector is ``UNKNOWN``.
 
-    The dimension is broadcast only when a bounded count proves it small;
-    otherwise the join shuffles (and AQE re-plans from real sizes).
+    A plain join: Spark broadcasts the dimension when its bytes allow it and
+    shuffles otherwise, re-planned from real sizes at runtime.
     """
-    d = broadcast_if_small(dim.select(key, sector_col), max_broadcast_rows)
-    return (fact.join(d, key, "left")
+    return (fact.join(dim.select(key, sector_col), key, "left")
                 .withColumn(sector_col, F.coalesce(F.col(sector_col), F.lit(UNKNOWN_SECTOR))))
 
 
@@ -37,30 +34,34 @@ def conform_sources(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-SILVER_KEY = ("source", "symbol", "dedup_key")
+SILVER_KEY = ("source", "symbol", "dedup_key", "identity")
 
 
 def silver_dedup(rows: DataFrame, order: Sequence[str], keys: Sequence[str] = SILVER_KEY) -> DataFrame:
-    """Global latest-per-key on (source, symbol, dedup_key).
+    """Global latest-per-key.
 
-    Keys are scoped by source and symbol: a 64-bit key prefix collides across
-    billions of rows from different feeds, the triple does not.
+    ``identity`` is the full content key (the fields or the whole digest that
+    ``dedup_key`` was cut from): two records whose 64-bit keys collide stay apart.
     """
     return latest_per_key(rows, list(keys), list(order))
 
 
 def append_new_keys(existing: DataFrame, incoming: DataFrame,
                     keys: Sequence[str] = SILVER_KEY) -> DataFrame:
-    """Rows of ``incoming`` whose key is not yet in ``existing`` (to append)."""
-    return incoming.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    """Rows of ``incoming`` whose key is not yet in ``existing`` (to append);
+    null key parts are equal to each other, so a replay appends nothing twice."""
+    seen = existing.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    return incoming.join(seen, same, "left_anti")
 
 
-def rollup_revenue(df: DataFrame, levels: Sequence[str], amount: str, weight: str) -> DataFrame:
-    """``rollup(levels...)`` of amount, weight and their ratio, with
-    ``grouping_id`` telling subtotal rows apart."""
+def rollup_revenue(df: DataFrame, levels: Sequence[str], amount: str, weight: str,
+                   n_rows: str) -> DataFrame:
+    """``rollup(levels...)`` of pre-aggregated amount, weight and row count, and
+    the ratio, with ``grouping_id`` telling subtotal rows apart."""
     return (df.rollup(*levels)
               .agg(F.grouping_id().alias("gid"), F.sum(amount).alias("amount"),
-                   F.sum(weight).alias("weight"), F.sum("n").alias("n_rows"))
+                   F.sum(weight).alias("weight"), F.sum(n_rows).alias("n_rows"))
               .withColumn("weighted_price", F.when(F.col("weight") != 0,
                                                    F.col("amount") / F.col("weight"))))
 
@@ -83,18 +84,26 @@ def compare_deliveries(direct: DataFrame, streamed: DataFrame, key: str,
     return j.select(key, status.alias("status"), lat.alias("latency_seconds"))
 
 
-def delivery_summary(compared: DataFrame, approx_percentiles: bool = True) -> DataFrame:
-    """Per status: records and latency min/avg/max (+ approximate p50/p90).
+def delivery_summary(compared: DataFrame, shares=(0.5, 0.9)) -> DataFrame:
+    """Per status: records, latency min/avg/max and exact percentiles.
 
-    Exact percentiles would gather every latency of a status into one task;
-    ``percentile_approx`` keeps a bounded sketch per task instead.
+    Latencies are whole seconds, so they are first counted per value (partial
+    sums before the shuffle); a percentile is the smallest latency that at
+    least that share of the records doesn't exceed, read off the running
+    counts.  The window sees one row per distinct latency, not per record.
     """
-    aggs = [F.count(F.lit(1)).alias("n_records"), F.min("latency_seconds").alias("min_latency"),
-            F.avg("latency_seconds").alias("avg_latency"), F.max("latency_seconds").alias("max_latency")]
-    if approx_percentiles:
-        aggs += [F.percentile_approx("latency_seconds", 0.5).alias("p50_latency"),
-                 F.percentile_approx("latency_seconds", 0.9).alias("p90_latency")]
-    return compared.groupBy("status").agg(*aggs)
+    counted = compared.groupBy("status", "latency_seconds").agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("latency_seconds").isNotNull()
+    by = Window.partitionBy("status", known)
+    upto = by.orderBy("latency_seconds").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = counted.withColumn("share", F.sum("n").over(upto) / F.sum("n").over(by))
+    pick = [F.min(F.when(known & (F.col("share") >= q), F.col("latency_seconds")))
+            .alias(f"p{round(q * 100)}_latency") for q in shares]
+    total = F.sum(F.col("latency_seconds") * F.col("n"))
+    return at.groupBy("status").agg(
+        F.sum("n").alias("n_records"), F.min("latency_seconds").alias("min_latency"),
+        (total / F.sum(F.when(known, F.col("n")))).alias("avg_latency"),
+        F.max("latency_seconds").alias("max_latency"), *pick)
 
 
 def daily_anomalies(anomalies: DataFrame) -> DataFrame:

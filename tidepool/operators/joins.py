@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and a skew-aware as-of join.
+"""A skew-aware as-of join.
 
 As-of join without a native operator
 ------------------------------------
@@ -25,21 +25,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early),
-    so it is cheap for a small side and bounded for a large one.  Above the
-    bound the plain DataFrame is returned and Spark plans a shuffle join
-    (AQE may still switch to broadcast from runtime sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _bucket(ts_col: str, width_seconds: int):
     return F.floor(F.unix_timestamp(F.col(ts_col)) / width_seconds).cast("bigint")
 
@@ -81,7 +66,10 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
                 .agg(F.max(F.struct(F.col("__t").alias("__t"), *[c.alias(f"__tb{i}") for i, c in
                                                                  enumerate(tb)], F.col("__r")))
                      ["__r"].alias("__last")))
-    slots = local.select(*bys, "__b").distinct().unionByName(last_in.select(*bys, "__b")).distinct()
+    # the slots that left rows ask for, and those that carry something; both from
+    # partial aggregates over the inputs, not from the window's output
+    asked = L.select(*bys, _bucket("__t", bucket_seconds).alias("__b")).distinct()
+    slots = asked.unionByName(last_in.select(*bys, "__b")).distinct()
     w2 = (Window.partitionBy(*bys).orderBy("__b")
           .rowsBetween(Window.unboundedPreceding, -1))
     carry = (slots.join(last_in, [*bys, "__b"], "left")

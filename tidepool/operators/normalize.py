@@ -16,7 +16,7 @@ from .. import schemas as S
 from ..fixed import (ASSET_CLASS, BAR_COLUMNS, BAR_FIELDS, BARS_SOURCE, DAILY_SERIES_FIELD,
                      NEWS_SOURCE, RATE_LIMIT_FIELDS, TICKS_SOURCE, TRADE_TYPE)
 from ..functions import keys
-from .filters import SERIES_OK
+from .filters import RATE_LIMITED, SERIES_OK, UNEXPECTED
 
 NEWS_ENVELOPE = ("source", "asset_class", "symbol", "dedup_key", "fetched_at")
 
@@ -64,8 +64,8 @@ def classify_payloads(payloads: DataFrame, payload_col: str = "payload") -> Data
     p = F.col(payload_col)
     status = (F.when(p[DAILY_SERIES_FIELD].isNotNull(), F.lit(SERIES_OK))
                .when(p[RATE_LIMIT_FIELDS[0]].isNotNull() | p[RATE_LIMIT_FIELDS[1]].isNotNull(),
-                     F.lit("rate_limited"))
-               .otherwise(F.lit("unexpected")))
+                     F.lit(RATE_LIMITED))
+               .otherwise(F.lit(UNEXPECTED)))
     return payloads.withColumn("status", status)
 
 
@@ -102,7 +102,8 @@ def normalize_ticks(messages: DataFrame, text_col: str = "value",
 
     Non-trade messages (pings) are dropped, a message without ``data`` yields
     nothing, a tick without ``s`` is ``UNKNOWN`` and one without ``c`` gets
-    ``[]``.  The key uses the number text as read from the message.
+    ``[]``.  Text that is no number gives a null price or volume, never an
+    error.  The key uses the numbers as the producer writes them.
     """
     msg = messages.select(F.from_json(F.col(text_col), S.TICK_MESSAGE).alias("m"))
     trades = msg.where(F.col("m.type") == F.lit(TRADE_TYPE))
@@ -112,8 +113,9 @@ def normalize_ticks(messages: DataFrame, text_col: str = "value",
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     return t.select(
         F.lit(source).alias("source"), F.lit(asset_class).alias("asset_class"), sym.alias("symbol"),
-        F.col("t.p").cast("double").alias("price"), F.col("t.v").cast("double").alias("volume"),
+        F.col("t.p").try_cast("double").alias("price"), F.col("t.v").try_cast("double").alias("volume"),
         F.col("t.t").alias("timestamp_ms"),
         F.coalesce(F.col("t.c"), F.array().cast("array<string>")).alias("conditions"),
         fetched.alias("fetched_at"),
-        keys.tick_key(sym, F.col("t.t"), F.col("t.p"), F.col("t.v")).alias("dedup_key"))
+        keys.tick_key(sym, F.col("t.t"), keys.python_number("t.p"), keys.python_number("t.v"))
+        .alias("dedup_key"))

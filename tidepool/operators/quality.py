@@ -71,10 +71,14 @@ def check(df: DataFrame, rules: list[Rule]) -> DataFrame:
             continue
         keys = r.ref.select(F.col(r.ref_column).alias("__k")).distinct() \
             .withColumn("__hit", F.lit(True))
-        vals = df.select(F.col(r.column).alias("__k")).where(F.col("__k").isNotNull())
+        # one row per foreign key and task reaches the shuffle, not the fact rows
+        vals = (df.select(F.col(r.column).alias("__k")).where(F.col("__k").isNotNull())
+                  .groupBy("__k").agg(F.count(F.lit(1)).alias("__n")))
+        zero = F.lit(0).cast("bigint")
         parts.append(vals.join(keys, "__k", "left")
-                         .agg(F.count(F.lit(1)).alias("checked"),
-                              F.count_if(F.col("__hit").isNull()).alias("failed"))
+                         .agg(F.coalesce(F.sum("__n"), zero).alias("checked"),
+                              F.coalesce(F.sum(F.when(F.col("__hit").isNull(), F.col("__n"))), zero)
+                              .alias("failed"))
                          .select(F.lit(r.name).alias("rule"), "checked", "failed"))
     out = parts[0]
     for p in parts[1:]:

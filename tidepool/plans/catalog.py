@@ -25,10 +25,8 @@ def create_zones(spark: SparkSession, base_path: str, prefix: str = "lake") -> d
 def register_parquet_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Register an existing (partitioned) Parquet folder as a catalog table."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
-    try:
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.sql(f"MSCK REPAIR TABLE {name}")  # pick up partition folders
-    except Exception:  # non-partitioned tables have nothing to repair
-        pass
     return spark.table(name)
 
 
@@ -36,8 +34,3 @@ def register_views(spark: SparkSession, sf_dir: str, tables) -> None:
     """Temp views over Parquet tables in a folder, for ``spark.sql`` (E5)."""
     for t in tables:
         spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").createOrReplaceTempView(t)
-
-
-def sql(spark: SparkSession, query: str) -> DataFrame:
-    """E5: ad-hoc SQL over registered tables and views (Catalyst plans it)."""
-    return spark.sql(query)

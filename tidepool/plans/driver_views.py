@@ -28,12 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def detector_stream(spark: SparkSession, sf_dir: str, symbol_col: str = "event_type") -> DataFrame:
-    """Detector input: ``symbol, datetime, published_at`` (P4, as UTC ``timestamp_ntz``)."""
+    """Detector input: ``symbol, event_id, datetime, published_at`` (P4, the
+    detector's own conversion)."""
     ev = table(spark, sf_dir, "events")
     dt = timecols.to_epoch_seconds("ts")
     return ev.select(F.col(symbol_col).cast("string").alias("symbol"), F.col("event_id"),
                      dt.alias("datetime"),
-                     timecols.epoch_to_ntz(dt * 1000, "MILLISECOND").alias("published_at"))
+                     timecols.epoch_seconds_to_timestamp_millis(dt).alias("published_at"))
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,3 +64,33 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
                      timecols.ntz_to_epoch_millis("ts").alias("timestamp_ms"),
                      F.col("value").alias("price"),
                      F.from_json("props", TICK_PROPS_SCHEMA)["k"].alias("volume"))
+
+
+# Every ``props`` of the test table is well formed, so some are damaged here, by
+# event id and the same way in the oracle SQL: cut short, plain text, an array,
+# absent.  Bad input is what the parsing operators exist for.
+def damaged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    i, p = F.col("event_id"), F.col("props")
+    text = (F.when(i % 11 == 3, F.substr(p, F.lit(1), F.length(p) - 1))
+             .when(i % 13 == 5, "not json")
+             .when(i % 17 == 6, F.concat(F.lit("["), p, F.lit("]")))
+             .when(i % 19 == 7, F.lit(None).cast("string")).otherwise(p))
+    return ev.withColumn("props", text)
+
+
+DAMAGED_SQL = """CASE WHEN event_id % 11 = 3 THEN substr(props, 1, length(props) - 1)
+  WHEN event_id % 13 = 5 THEN 'not json' WHEN event_id % 17 = 6 THEN '[' || props || ']'
+  WHEN event_id % 19 = 7 THEN NULL ELSE props END"""
+
+
+# A publish response: one error code per record, null where it was taken.
+def publish_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    code = F.when(i % 29 == 4, "ThroughputExceeded").when(i % 211 == 9, "InternalFailure")
+    return ev.select("event_id", F.col("event_type").alias("symbol"), "ts", code.alias("error_code"))
+
+
+ERROR_CODE_SQL = """CASE WHEN event_id % 29 = 4 THEN 'ThroughputExceeded'
+  WHEN event_id % 211 = 9 THEN 'InternalFailure' END"""

@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from .. import schemas as S
 from ..functions import keys, timecols
 from ..operators import bronze, dedup, filters, summary, windows
-from ..sinks.publish import keyed_records
+from ..fixed import PUBLISH_CHUNK
+from ..sinks.publish import call_report, keyed_records, publish_calls
 from . import driver_views as V
 
 
@@ -66,7 +68,9 @@ HAVING count(*) >= {threshold}"""
 # ------------------------------------------------------------ A1 / F1 / P4
 def _anomalies(spark, sf_dir, width, threshold, symbol_col="event_type"):
     stream = V.detector_stream(spark, sf_dir, symbol_col)
-    return windows.detect_anomalies(stream, threshold=threshold, width=width, detected_at=False)
+    found = windows.detect_anomalies(stream, threshold=threshold, width=width, detected_at=False)
+    # the detector's own timestamps, shown as UTC wall clock
+    return found.withColumns({c: timecols.utc_wall_clock(c) for c in ("window_start", "window_end")})
 
 
 @register("a1_anomaly_5m", _tumble_sql("5 MINUTE", 3), ("A1", "F1", "P4"))
@@ -104,10 +108,12 @@ def q_time_columns(spark, sf_dir):
     dt = timecols.to_epoch_seconds("ts")
     return (ev.select("event_id", "ts", dt.alias("datetime"))
               .select("event_id", "datetime",
-                      timecols.epoch_to_ntz("datetime").alias("published_at"),
-                      timecols.epoch_to_ntz(F.col("datetime") * 1000, "MILLISECOND")
+                      timecols.utc_wall_clock(timecols.epoch_seconds_to_timestamp("datetime"))
+                      .alias("published_at"),
+                      timecols.utc_wall_clock(timecols.epoch_seconds_to_timestamp_millis("datetime"))
                       .alias("published_at_ms"),
-                      *timecols.date_parts(timecols.epoch_to_ntz("datetime")),
+                      *timecols.date_parts(timecols.utc_wall_clock(
+                          timecols.epoch_seconds_to_timestamp("datetime"))),
                       *timecols.padded_path_parts("ts")))
 
 
@@ -131,18 +137,31 @@ def q_p9_news_key(spark, sf_dir):
                                             "url", "dedup_key")
 
 
-@register("p10_tick_key", f"""
-SELECT event_id, event_type AS symbol, (epoch_us(ts) // 1000) AS timestamp_ms, value AS price,
-       CAST(props ->> '$.k' AS BIGINT) AS volume,
-       substr(sha256(event_type || '|' || CAST((epoch_us(ts) // 1000) AS VARCHAR) || '|' ||
-              CAST(value AS VARCHAR) || '|' || CAST(CAST(props ->> '$.k' AS BIGINT) AS VARCHAR)),
-              1, 16) AS dedup_key
-FROM events""", ("P10",))
+@register("p10_tick_key", """
+WITH t AS (SELECT event_id, event_type AS symbol, (epoch_us(ts) // 1000) AS timestamp_ms, value AS price,
+                  CAST(props ->> '$.k' AS BIGINT) AS volume,
+                  CAST(event_id + 10000000 AS VARCHAR) || '.5' AS large,
+                  '0.000' || CAST(event_id % 9 + 1 AS VARCHAR) AS tiny FROM events),
+     h AS (SELECT *, symbol || '|' || CAST(timestamp_ms AS VARCHAR) || '|' AS head FROM t)
+SELECT event_id, symbol, timestamp_ms, price, volume,
+       substr(sha256(head || CAST(price AS VARCHAR) || '|' || CAST(volume AS VARCHAR)), 1, 16) AS dedup_key,
+       substr(sha256(head || large || '|' || CAST(volume AS VARCHAR) || '000000000'), 1, 16) AS large_key,
+       substr(sha256(head || tiny || '|' || large || '25'), 1, 16) AS tiny_key
+FROM h""", ("P10",))
 def q_p10_tick_key(spark, sf_dir):
     t = V.ticks(spark, sf_dir)
+    i = F.col("event_id")
+    large = F.concat((i + 10000000).cast("string"), F.lit(".5"))
+    tiny = F.concat(F.lit("0.000"), (i % 9 + 1).cast("string"))
+    volume = F.col("volume").cast("string")
+
+    def key(price, vol):
+        return keys.tick_key("symbol", "timestamp_ms", keys.python_number(price), keys.python_number(vol))
+
     return t.select("event_id", "symbol", "timestamp_ms", "price", "volume",
-                    keys.tick_key("symbol", "timestamp_ms", F.col("price").cast("string"),
-                                  F.col("volume").cast("string")).alias("dedup_key"))
+                    key(F.col("price").cast("string"), volume).alias("dedup_key"),
+                    key(large, F.concat(volume, F.lit("000000000"))).alias("large_key"),
+                    key(tiny, F.concat(large, F.lit("25"))).alias("tiny_key"))
 
 
 @register("p15_alert_fields", f"""
@@ -196,31 +215,36 @@ WHERE upper(event_type) IN ('VIEW', 'CLICK', 'PURCHASE', 'REFUND') AND year(ts)
           ("P18", "F7"))
 def q_f7_projection_domain(spark, sf_dir):
     ev = V.table(spark, sf_dir, "events")
-    rows = ev.select("event_id", F.upper("event_type").alias("symbol"),
-                     F.year("ts").cast("int").alias("year"))
-    return filters.in_projection_domain(rows, keys.ticker_array(F.lit(F7_TICKERS)))
+    # stored symbols are lower case here: the configured list is lowered, not the column,
+    # so that the IN and the time range reach the scan
+    symbols = [t.lower() for t in keys.parse_ticker_list(F7_TICKERS)]
+    rows = filters.in_projection_domain(ev, symbols, "event_type", ts_col="ts")
+    return rows.select("event_id", F.upper("event_type").alias("symbol"),
+                       F.year("ts").cast("int").alias("year"))
 
 
 # --------------------------------------------------------------- dedup
 @register("d1_copies_per_key", f"""
 WITH {ART_CTE}
-SELECT dedup_key, count(*) AS n_copies FROM art GROUP BY dedup_key""", ("D1",))
+SELECT dedup_key, symbol, datetime, url, count(*) AS n_copies FROM art
+GROUP BY dedup_key, symbol, datetime, url""", ("D1",))
 def q_d1_copies_per_key(spark, sf_dir):
-    return dedup.copies_per_key(V.articles(spark, sf_dir).select("dedup_key"), "dedup_key")
+    return dedup.copies_per_key(V.articles(spark, sf_dir), bronze.NEWS_IDENTITY)
 
 
 @register("d1_document_dedup", """
-SELECT dedup_key, min(doc_id) AS doc_id, arg_min(source, doc_id) AS news_source,
-       count(*) AS n_copies
-FROM (SELECT substr(sha256(text), 1, 16) AS dedup_key, doc_id, source FROM documents)
-GROUP BY dedup_key""", ("D1", "D3"))
+SELECT substr(digest, 1, 16) AS dedup_key, min(doc_id) AS doc_id,
+       arg_min(source, doc_id) AS news_source, count(*) AS n_copies
+FROM (SELECT sha256(text) AS digest, doc_id, source FROM documents)
+GROUP BY digest""", ("D1", "D3"))
 def q_d1_document_dedup(spark, sf_dir):
+    # grouped by the whole digest; the short key is only shown
     docs = V.table(spark, sf_dir, "documents").select(
-        keys.short_sha256(F.col("text")).alias("dedup_key"), "doc_id",
-        F.col("source").alias("news_source"))
-    best = docs.groupBy("dedup_key").agg(
+        F.sha2("text", 256).alias("digest"), "doc_id", F.col("source").alias("news_source"))
+    best = docs.groupBy("digest").agg(
         F.min(F.struct("doc_id", "news_source")).alias("b"), F.count(F.lit(1)).alias("n_copies"))
-    return best.select("dedup_key", "b.doc_id", "b.news_source", "n_copies")
+    return best.select(F.substring("digest", 1, 16).alias("dedup_key"), "b.doc_id", "b.news_source",
+                       "n_copies")
 
 
 @register("d2_distinct_articles", f"""
@@ -233,13 +257,14 @@ def q_d2_distinct_articles(spark, sf_dir):
 @register("d3_latest_per_key", f"""
 WITH {ART_CTE}
 SELECT dedup_key, id AS event_id, symbol, fetched_ts AS fetched_at, value FROM (
-  SELECT *, row_number() OVER (PARTITION BY dedup_key
+  SELECT *, row_number() OVER (PARTITION BY dedup_key, symbol, datetime, url
                                ORDER BY fetched_ts DESC NULLS LAST, id DESC NULLS LAST) AS rn
   FROM art) WHERE rn = 1""", ("D3",))
 def q_d3_latest_per_key(spark, sf_dir):
-    art = V.articles(spark, sf_dir).select("dedup_key", F.col("id").alias("event_id"), "symbol",
+    art = V.articles(spark, sf_dir).select(*bronze.NEWS_IDENTITY, F.col("id").alias("event_id"),
                                            F.col("fetched_ts").alias("fetched_at"), "value")
-    return dedup.latest_per_key(art, ["dedup_key"], ["fetched_at", "event_id"])
+    return dedup.latest_per_key(art, bronze.NEWS_IDENTITY, ["fetched_at", "event_id"]).select(
+        "dedup_key", "event_id", "symbol", "fetched_at", "value")
 
 
 D4_TTL_DAYS = 7
@@ -279,71 +304,60 @@ def q_d4_first_seen_ttl(spark, sf_dir):
 
 # ------------------------------------------------------------ summaries
 @register("a2_alert_batches", f"""
-WITH RECURSIVE {D4_CTE}
-SELECT CAST(CAST(r.ts AS DATE) AS TIMESTAMP) AS batch_date,
-       count(*) FILTER (WHERE json_extract(ev.props, '$.k') IS NOT NULL) AS records_processed,
+WITH RECURSIVE {D4_CTE},
+d AS (SELECT event_id, ts, {V.DAMAGED_SQL} AS props FROM events)
+SELECT CAST(CAST(d.ts AS DATE) AS TIMESTAMP) AS batch_date,
+       count(*) FILTER (WHERE CASE WHEN json_valid(props) THEN json_type(props) = 'OBJECT' ELSE false END)
+         AS records_processed,
        count(x.event_id) AS alerts_sent, count(*) AS batch_size
-FROM rec r JOIN events ev ON ev.event_id = r.event_id
-LEFT JOIN emitted x ON x.event_id = r.event_id
-GROUP BY CAST(CAST(r.ts AS DATE) AS TIMESTAMP)""", ("A2", "D4", "P19"))
+FROM d LEFT JOIN emitted x ON x.event_id = d.event_id
+GROUP BY CAST(CAST(d.ts AS DATE) AS TIMESTAMP)""", ("A2", "D4", "P19"))
 def q_a2_alert_batches(spark, sf_dir):
-    ev = V.table(spark, sf_dir, "events")
-    emitted = _d4_emitted(spark, sf_dir).select("event_id", F.lit(True).alias("alerted"))
-    rec = ev.select("event_id", F.to_date("ts").cast("timestamp_ntz").alias("batch_date"),
-                    F.from_json("props", V.TICK_PROPS_SCHEMA)["k"].isNotNull().alias("processed"))
-    flagged = rec.join(emitted, "event_id", "left").withColumn(
-        "alerted", F.coalesce(F.col("alerted"), F.lit(False)))
-    return summary.batch_summary(flagged, "batch_date", "processed", "alerted")
-
-
-@register("a3_symbol_summary", """
-SELECT event_type AS symbol, count(*) AS records,
-       count(*) FILTER (WHERE json_extract(props, '$.k') IS NOT NULL) AS published,
-       count(*) FILTER (WHERE json_extract(props, '$.k') IS NULL) AS errors
-FROM events GROUP BY event_type""", ("A3",))
-def q_a3_symbol_summary(spark, sf_dir):
-    ev = V.table(spark, sf_dir, "events")
-    rows = ev.select("event_type",
-                     F.from_json("props", V.TICK_PROPS_SCHEMA)["k"].isNotNull().alias("ok"))
-    return summary.per_symbol_summary(rows, "event_type", "ok")
+    day = F.to_date("ts").cast("timestamp_ntz").alias("batch_date")
+    rec = V.damaged_events(spark, sf_dir).select(day, _is_object("props").alias("processed"))
+    sent = _d4_emitted(spark, sf_dir).select(F.to_date("first_seen").cast("timestamp_ntz").alias("batch_date"))
+    return summary.batches_with_alerts(rec, sent, "batch_date", "processed")
 
 
-# A publish fails when the record is larger than the stream accepts; the
-# limit is a parameter (the service's own limit is 1 MiB).
-A4_RECORD_LIMIT_BYTES = 10_000
+def _is_object(text):
+    """Whether a text parses as one JSON object."""
+    return F.coalesce(F.json_object_keys(text).isNotNull(), F.lit(False))
 
 
-def _publish_attempts(spark, sf_dir):
-    docs = V.table(spark, sf_dir, "documents")
-    return docs.select("doc_id", "source", F.octet_length("text").cast("bigint").alias("n_bytes"),
-                       (F.octet_length("text") <= A4_RECORD_LIMIT_BYTES).alias("ok"))
+@register("a3_symbol_summary", f"""
+WITH p AS (SELECT event_type AS symbol, {V.ERROR_CODE_SQL} AS error_code FROM events)
+SELECT symbol, count(*) AS records, count(*) FILTER (WHERE error_code IS NULL) AS published,
+       count(error_code) AS errors
+FROM p GROUP BY symbol""", ("A3",))
+def q_a3_symbol_summary(spark, sf_dir):
+    rows = V.publish_attempts(spark, sf_dir).withColumn("ok", F.col("error_code").isNull())
+    return summary.per_symbol_summary(rows, "symbol", "ok")
 
 
 @register("a4_publish_outcome", f"""
-SELECT count(*) AS attempted,
-       count(*) FILTER (WHERE strlen(text) <= {A4_RECORD_LIMIT_BYTES}) AS published,
-       count(*) FILTER (WHERE strlen(text) > {A4_RECORD_LIMIT_BYTES}) AS failed
-FROM documents""", ("A4",))
+SELECT count(*) AS attempted, count(*) FILTER (WHERE error_code IS NULL) AS published,
+       count(error_code) AS failed
+FROM (SELECT {V.ERROR_CODE_SQL} AS error_code FROM events)""", ("A4",))
 def q_a4_publish_outcome(spark, sf_dir):
-    return summary.publish_outcome(_publish_attempts(spark, sf_dir), "ok")
+    return summary.publish_outcome(V.publish_attempts(spark, sf_dir))
 
 
 @register("l1_first_failures", f"""
-SELECT doc_id, source, CAST(strlen(text) AS BIGINT) AS n_bytes FROM documents
-WHERE strlen(text) > {A4_RECORD_LIMIT_BYTES}
-ORDER BY doc_id LIMIT 5""", ("L1", "A4"))
+SELECT * FROM (SELECT event_id, event_type AS symbol, {V.ERROR_CODE_SQL} AS error_code FROM events)
+WHERE error_code IS NOT NULL ORDER BY event_id LIMIT 5""", ("L1", "A4"))
 def q_l1_first_failures(spark, sf_dir):
-    return summary.first_failures(_publish_attempts(spark, sf_dir), "ok", "doc_id", 5) \
-        .select("doc_id", "source", "n_bytes")
+    return summary.first_failures(V.publish_attempts(spark, sf_dir), "event_id").select(
+        "event_id", "symbol", "error_code")
 
 
 # ------------------------------------------------------------- bronze
 INGESTION_TS = "2024-02-01 00:00:00"
+INGESTION_EPOCH = 1706745600  # the same instant
 
 
 @register("p1_bronze_news", f"""
 WITH {ART_CTE},
-d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dedup_key
+d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dedup_key, symbol, datetime, url
                      ORDER BY fetched_at DESC NULLS LAST, id DESC NULLS LAST) AS rn FROM art)
       WHERE rn = 1)
 SELECT symbol, dedup_key, headline, CAST(NULL AS VARCHAR) AS summary, source AS news_source, url,
@@ -355,7 +369,9 @@ SELECT symbol, dedup_key, headline, CAST(NULL AS VARCHAR) AS summary, source AS
        TIMESTAMP '{INGESTION_TS}' AS _ingestion_ts, '{bronze.PIPELINE_NAME}' AS _pipeline
 FROM d""", ("P1", "P2", "P3", "P5", "P6", "D1", "D3"))
 def q_p1_bronze_news(spark, sf_dir):
-    return bronze.bronze_news(V.articles(spark, sf_dir), ingestion_ts=INGESTION_TS, ntz=True)
+    out = bronze.bronze_news(V.articles(spark, sf_dir),
+                             ingestion_ts=F.timestamp_seconds(F.lit(INGESTION_EPOCH)))
+    return out.withColumns({c: timecols.utc_wall_clock(c) for c in ("published_at", "_ingestion_ts")})
 
 
 @register("a5_bronze_count", f"""
@@ -372,16 +388,49 @@ def q_k4_publish_keys(spark, sf_dir):
     return keyed_records(ev, "symbol", order_cols=["ts", "event_id"]).select("key", "event_id", "ts")
 
 
+_CALLS_CTE = f"""c AS (SELECT COALESCE(event_type, 'UNKNOWN') AS key, event_id, {V.ERROR_CODE_SQL} AS error_code,
+  (row_number() OVER (PARTITION BY COALESCE(event_type, 'UNKNOWN') ORDER BY ts, event_id) - 1)
+    // {PUBLISH_CHUNK} AS chunk_no FROM events)"""
+
+
+def _calls(spark, sf_dir):
+    keyed = V.publish_attempts(spark, sf_dir).withColumn("key", keys.symbol_or_unknown("symbol"))
+    return publish_calls(keyed, "ts", ["event_id"])
+
+
+@register("k4_publish_chunks", f"WITH {_CALLS_CTE} SELECT key, event_id, chunk_no FROM c", ("K4",))
+def q_k4_publish_chunks(spark, sf_dir):
+    return _calls(spark, sf_dir).select("key", "event_id", "chunk_no")
+
+
+@register("k4_call_report", f"""
+WITH {_CALLS_CTE}, f AS (
+  SELECT key, chunk_no, event_id, error_code,
+         row_number() OVER (PARTITION BY key, chunk_no ORDER BY event_id) AS n
+  FROM c WHERE error_code IS NOT NULL),
+t AS (SELECT key, chunk_no, string_agg(event_id || ':' || error_code, ',' ORDER BY event_id) AS firsts
+      FROM f WHERE n <= 5 GROUP BY key, chunk_no),
+r AS (SELECT key, chunk_no, count(*) AS n_records, count(error_code) AS n_failed FROM c GROUP BY key, chunk_no)
+SELECT r.key, r.chunk_no, n_records, n_failed, COALESCE(firsts, '') AS first_failures
+FROM r LEFT JOIN t ON t.key = r.key AND t.chunk_no = r.chunk_no""", ("K4", "A4", "L1"))
+def q_k4_call_report(spark, sf_dir):
+    report = call_report(_calls(spark, sf_dir), ["event_id"])
+    shown = F.array_join(F.transform("first_failures", lambda x: F.concat_ws(
+        ":", x["event_id"].cast("string"), x["error_code"])), ",")
+    return report.withColumn("first_failures", shown)
+
+
 # ------------------------------------------------------ partition projection
+# The configured range reaches beyond the data at both ends.
 S7_SYMBOLS = ("CLICK", "VIEW", "PURCHASE", "SIGNUP", "ERROR", "REFUND")
+S7_RANGE = ("2023-12-31 00:00:00", "2024-02-01 23:00:00")
 
 
 @register("s7_missing_partitions", f"""
-WITH b AS (SELECT min(h) AS lo, max(h) AS hi
-           FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS h FROM events)),
-exp AS (SELECT s.symbol, g.slot
+WITH exp AS (SELECT s.symbol, g.slot
         FROM (VALUES {", ".join(f"('{s}')" for s in S7_SYMBOLS)}) s(symbol),
-             (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS slot FROM b) g),
+             (SELECT unnest(generate_series(TIMESTAMP '{S7_RANGE[0]}', TIMESTAMP '{S7_RANGE[1]}',
+                                            INTERVAL 1 HOUR)) AS slot) g),
 found AS (SELECT DISTINCT upper(event_type) AS symbol, time_bucket(INTERVAL 1 HOUR, ts) AS slot
           FROM events)
 SELECT symbol, strftime(slot, '%Y') AS year, strftime(slot, '%m') AS month,
@@ -390,22 +439,162 @@ FROM exp ANTI JOIN found USING (symbol, slot)""", ("S7", "P21"))
 def q_s7_missing_partitions(spark, sf_dir):
     from ..sources.projection import missing_partitions
     ev = V.table(spark, sf_dir, "events").select(F.upper("event_type").alias("symbol"), "ts")
-    return missing_partitions(ev, list(S7_SYMBOLS), "symbol", "ts", "hour")
+    return missing_partitions(ev, S7_SYMBOLS, "symbol", "ts", *S7_RANGE)
 
 
 # --------------------------------------------------------- malformed records
 _PROPS_STRUCT = StructType([StructField("k", LongType())])
 
-@register("f3_parse_payloads", """
-SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+@register("f3_parse_payloads", f"""
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k
+FROM (SELECT event_id, {V.DAMAGED_SQL} AS props FROM events)
 WHERE json_valid(props) AND json_type(props) = 'OBJECT'""", ("F3", "P19"))
 def q_f3_parse_payloads(spark, sf_dir):
     from ..streaming.detector import parse_records
-    ev = V.table(spark, sf_dir, "events").select("event_id", F.col("props").alias("value"))
+    ev = V.damaged_events(spark, sf_dir).select("event_id", F.col("props").alias("value"))
     good, _bad = parse_records(ev, schema=_PROPS_STRUCT, keep=["event_id"])
     return good.select("event_id", "k")
 
 
+@register("f3_malformed_payloads", f"""
+SELECT event_id, props AS _corrupt_record
+FROM (SELECT event_id, {V.DAMAGED_SQL} AS props FROM events)
+WHERE NOT CASE WHEN json_valid(props) THEN json_type(props) = 'OBJECT' ELSE false END""", ("F3", "W8", "K6"))
+def q_f3_malformed_payloads(spark, sf_dir):
+    from ..streaming.detector import parse_records
+    ev = V.damaged_events(spark, sf_dir).select("event_id", F.col("props").alias("value"))
+    return parse_records(ev, schema=_PROPS_STRUCT, keep=["event_id"])[1]
+
+
+# Two records and, for some events, junk or a record cut short between them, on
+# one line without any delimiter: what the stream archive holds.
+@register("s6_split_archive", """
+SELECT event_id, 'a' AS dedup_key, event_type AS symbol, props AS headline, false AS bad FROM events
+UNION ALL SELECT event_id, 'b', event_type, 'x}{"source":y' || chr(34), false FROM events
+UNION ALL SELECT event_id, NULL, NULL, NULL, true FROM events WHERE event_id % 5 IN (1, 2)
+""", ("S6", "K6"))
+def q_s6_split_archive(spark, sf_dir):
+    from ..sources.archive import split_records
+    ev = V.table(spark, sf_dir, "events")
+
+    def record(key, headline):
+        return F.to_json(F.struct(F.lit("events").alias("source"), F.lit("equity").alias("asset_class"),
+                                  F.col("event_type").alias("symbol"), F.lit(key).alias("dedup_key"),
+                                  headline.alias("headline")))
+
+    first = record("a", F.col("props"))
+    second = record("b", F.lit('x}{"source":y"'))
+    cut = F.substr(second, F.lit(1), F.length(second) - 9)
+    i = F.col("event_id") % 5
+    line = F.concat(F.when(i == 1, F.lit('junk " ')).otherwise(F.lit("")), first,
+                    F.when(i == 2, cut).when(i == 3, F.lit(" ")).otherwise(F.lit("")), second)
+    out = split_records(ev.select("event_id", line.alias("value")), S.RAW_ARCHIVE_DATA, keep=["event_id"])
+    return out.select("event_id", "dedup_key", "symbol", "headline",
+                      F.col(S.CORRUPT_COL).isNotNull().alias("bad"))
+
+
+# ---------------------------------------------------------- encoded anomalies
+@register("p19_base64_decode", """
+SELECT event_id, event_id % 7 NOT IN (1, 2, 3) AS ok,
+       CASE WHEN event_id % 7 NOT IN (1, 2, 3) THEN event_type END AS symbol,
+       CASE WHEN event_id % 7 NOT IN (1, 2, 3) THEN event_id END AS event_count,
+       CASE WHEN event_id % 7 NOT IN (1, 2, 3)
+            THEN event_type || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') END AS dedup_key
+FROM events""", ("P19", "S9", "P15", "W8"))
+def q_p19_base64_decode(spark, sf_dir):
+    from ..streaming.alerter import decode
+    ev = V.table(spark, sf_dir, "events")
+    i = F.col("event_id") % 7
+    text = F.to_json(F.struct(F.col("event_type").alias("symbol"),
+                              F.date_format("ts", keys.ALERT_TS_FORMAT).alias("window_start"),
+                              F.col("event_id").alias("event_count")))
+    text = (F.when(i == 2, F.concat(F.lit("["), text, F.lit("]")))
+             .when(i == 3, F.substr(text, F.lit(1), F.length(text) - 4)).otherwise(text))
+    data = F.when(i == 1, F.lit("!!not base64!!")).otherwise(F.base64(text.cast("binary")))
+    out = decode(ev.select("event_id", data.alias("data")))
+    key = F.when(F.col("ok"), keys.alert_key("symbol", "window_start", window_start_is_text=True))
+    return out.select("event_id", "ok", F.when(F.col("ok"), F.col("symbol")).alias("symbol"),
+                      F.when(F.col("ok"), F.col("event_count")).alias("event_count"), key.alias("dedup_key"))
+
+
+# ------------------------------------------------------------- relay messages
+@register("p14_ticks", """
+WITH m AS (SELECT event_id, CASE WHEN event_id % 9 = 2 THEN 'UNKNOWN' ELSE event_type END AS symbol,
+                  CASE WHEN event_id % 7 = 1 THEN 'abc' ELSE CAST(value AS VARCHAR) END AS p,
+                  CAST(event_id * 1000000 AS VARCHAR) AS v, epoch_us(ts) // 1000 AS t
+           FROM events WHERE event_id % 5 <> 0)
+SELECT symbol, TRY_CAST(p AS DOUBLE) AS price, CAST(v AS DOUBLE) AS volume, t AS timestamp_ms,
+       CAST(CASE WHEN event_id % 8 = 3 THEN 2 ELSE 0 END AS INTEGER) AS n_conditions,
+       substr(sha256(symbol || '|' || CAST(t AS VARCHAR) || '|' || p || '|' || v), 1, 16) AS dedup_key
+FROM m""", ("P14", "P12", "P10", "F2"))
+def q_p14_ticks(spark, sf_dir):
+    from ..operators.normalize import normalize_ticks
+    ev = V.table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    price = F.when(i % 7 == 1, F.lit('"abc"')).otherwise(F.col("value").cast("string"))
+    fields = F.concat_ws(", ", F.when(i % 9 != 2, F.concat(F.lit('"s": "'), F.col("event_type"), F.lit('"'))),
+                         F.concat(F.lit('"p": '), price),
+                         F.concat(F.lit('"v": '), (i * 1000000).cast("string")),
+                         F.concat(F.lit('"t": '), timecols.ntz_to_epoch_millis("ts").cast("string")),
+                         F.when(i % 8 == 3, F.lit('"c": ["1", "2"]')))
+    text = F.when(i % 5 == 0, F.lit('{"type": "ping"}')).otherwise(
+        F.concat(F.lit('{"type": "trade", "data": [{'), fields, F.lit("}]}")))
+    out = normalize_ticks(ev.select(text.alias("value")), fetched_at=F.lit("x"))
+    return out.select("symbol", "price", "volume", "timestamp_ms", F.size("conditions").alias("n_conditions"),
+                      "dedup_key")
+
+
+# --------------------------------------------------------------- daily series
+@register("f4_payload_status", """
+SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'rate_limited' WHEN 2 THEN 'rate_limited'
+                 ELSE 'unexpected' END AS status,
+       CAST(CASE WHEN event_id % 4 = 0 THEN 2 ELSE 0 END AS BIGINT) AS n_bars
+FROM events""", ("F4", "S10", "P13"))
+def q_f4_payload_status(spark, sf_dir):
+    from ..operators.normalize import classify_payloads
+    from ..sources.raw import parse_daily_series
+    i = F.col("event_id") % 4
+    bar = '{"1. open": "1.0", "2. high": "2", "3. low": "0.5", "4. close": "1.5", "5. volume": "9"}'
+    text = (F.when(i == 0, F.lit(f'{{"Time Series (Daily)": {{"2024-01-02": {bar}, "2024-01-03": {bar}}}}}'))
+             .when(i == 1, F.lit('{"Note": "slow down"}')).when(i == 2, F.lit('{"Information": "limit"}'))
+             .when(F.col("event_id") % 8 == 3, F.lit('{"Error": ')).otherwise(F.lit('{"Error": "?"}')))
+    ev = V.table(spark, sf_dir, "events").select("event_id", text.alias("payload_text"))
+    out = classify_payloads(parse_daily_series(ev))
+    series = F.col("payload")["Time Series (Daily)"]
+    return out.select("event_id", "status",
+                      F.when(series.isNotNull(), F.size(series)).otherwise(0).cast("bigint").alias("n_bars"))
+
+
+# ----------------------------------------------------------- news envelope
+@register("p11_news_envelope", """
+SELECT CASE WHEN event_id % 3 = 0 THEN 'Publisher' ELSE 'finnhub' END AS source, 'equity' AS asset_class,
+       event_type AS symbol,
+       substr(sha256(event_type || '|' || CASE WHEN event_id % 4 = 1 THEN '0'
+              ELSE CAST(epoch_us(ts) // 1000000 AS VARCHAR) END || '|' ||
+              CASE WHEN event_id % 6 = 2 THEN '' ELSE CAST(user_id AS VARCHAR) END), 1, 16) AS dedup_key,
+       event_id AS id
+FROM events""", ("P11", "P9"))
+def q_p11_news_envelope(spark, sf_dir):
+    from ..operators.normalize import normalize_news
+    i = F.col("event_id")
+    ev = V.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("request_symbol"), i.alias("id"),
+        F.when(i % 4 != 1, timecols.to_epoch_seconds("ts")).alias("datetime"),
+        F.when(i % 6 != 2, F.col("user_id").cast("string")).alias("url"),
+        F.when(i % 3 == 0, F.lit("Publisher")).alias("source"))
+    return normalize_news(ev, fetched_at=F.lit("x")).select("source", "asset_class", "symbol", "dedup_key", "id")
+
+
+# ------------------------------------------------------- first seen and expiry
+@register("p20_first_seen_and_ttl", """
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS first_seen,
+       epoch_us(ts) // 1000000 + 30 * 86400 AS ttl
+FROM events""", ("P20",))
+def q_p20_first_seen_and_ttl(spark, sf_dir):
+    ev = V.table(spark, sf_dir, "events")
+    at = F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts")))
+    return ev.select("event_id", timecols.iso_utc(at).alias("first_seen"), timecols.ttl_epoch(at).alias("ttl"))
+
 
 # ------------------------------------------------------------ nested payloads
 @register("p13_flatten_payload", """

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from .fixed import BAR_FIELDS, DAILY_SERIES_FIELD, RATE_LIMIT_FIELDS
 from pyspark.sql.types import (
-    ArrayType, DoubleType, IntegerType, LongType, MapType, StringType,
+    ArrayType, DateType, DoubleType, IntegerType, LongType, MapType, StringType,
     StructField, StructType, TimestampType,
 )
 
@@ -48,13 +48,6 @@ RAW_ARCHIVE_DATA = _struct(
 )
 RAW_ARCHIVE_PARTITIONS = _struct(("year", I), ("month", I), ("day", I), ("hour", I))
 
-# One normalised trade tick as published on the event stream.
-TICK_RECORD = _struct(
-    ("source", S), ("asset_class", S), ("symbol", S), ("price", D), ("volume", D),
-    ("timestamp_ms", L), ("conditions", ArrayType(S)), ("fetched_at", S),
-    ("dedup_key", S),
-)
-
 # A relay message: {"type": "trade", "data": [{"s","p","v","t","c"}]}.  Price
 # and volume are kept as JSON text so the tick key can reuse the number text.
 TICK_MESSAGE = StructType([
@@ -78,20 +71,16 @@ BRONZE_NEWS = _struct(
 )
 BRONZE_NEWS_PARTITIONS = ["symbol", "event_year", "event_month", "event_day"]
 
+# Typed daily bars; a year of one symbol is few rows, so months are the finest folders.
+BRONZE_BARS = _struct(
+    ("symbol", S), ("dedup_key", S), ("bar_date", DateType()), ("open", D), ("high", D), ("low", D),
+    ("close", D), ("volume", L), ("source", S), ("event_year", I), ("event_month", I),
+    ("_ingestion_ts", TS), ("_pipeline", S),
+)
+BRONZE_BARS_PARTITIONS = ["event_year", "event_month"]
+
 # --------------------------------------------------------------- streaming
 # What the detector reads off the event stream.
 DETECTOR_SOURCE = _struct(
     ("symbol", S), ("headline", S), ("dedup_key", S), ("fetched_at", S), ("datetime", L),
 )
-
-# What the detector emits.
-ANOMALY = _struct(
-    ("symbol", S), ("window_start", TS), ("window_end", TS), ("event_count", L),
-    ("detected_at", TS),
-)
-
-# What the alerter remembers per alert key.
-DEDUP_ITEM = _struct(
-    ("dedup_key", S), ("first_seen", S), ("symbol", S), ("event_count", L),
-    ("window_start", S), ("ttl", L),
-)

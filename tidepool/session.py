@@ -46,8 +46,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
 MB = 1 << 20
 
 
-def cluster_conf(shuffle_bytes: int, total_cores: int, target_partition_mb: int = 256,
-                 max_partitions: int = 200_000) -> dict[str, str]:
+def cluster_conf(shuffle_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
     """Settings for a large cluster, sized from the expected shuffle volume.
 
     Initial shuffle partitions are sized so each holds about
@@ -56,7 +55,7 @@ def cluster_conf(shuffle_bytes: int, total_cores: int, target_partition_mb: int
     Scan splits match the target, so one task reads about that much.  Large
     streaming state (the detector's windows) goes to RocksDB, off the heap.
     """
-    parts = max(3 * total_cores, min(max_partitions, shuffle_bytes // (target_partition_mb * MB) + 1))
+    parts = max(3 * total_cores, shuffle_bytes // (target_partition_mb * MB) + 1)
     conf = dict(BASE_CONF)
     conf.update({
         "spark.sql.shuffle.partitions": str(parts),
@@ -103,6 +102,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "so iterative operators can cut lineage reliably")
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    fs, p = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def remove_tree(spark: SparkSession, path: str) -> None:
+    """Delete a folder the library wrote itself (scratch tables, emptied partitions)."""
+    fs, p = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
 def reliable_checkpoint(df):
     """Materialise ``df`` to the shared checkpoint folder and cut its lineage.
 

@@ -73,17 +73,23 @@ def write_bronze(df: DataFrame, path: str, partition_cols: Sequence[str],
 
 
 def write_errors(bad: DataFrame, path: str, error_type: str, date_col: str | None = None,
-                 day: str | None = None, files_per_partition: int = 4) -> None:
+                 day: str | None = None, files_per_partition: int = 4,
+                 batch_id: int | None = None) -> None:
     """K6: malformed rows under ``error_type=<type>/date=<yyyy-MM-dd>``.
 
     The date is taken from ``date_col``, else ``day``, else the processing day.
+    With ``batch_id`` (a micro-batch) the rows go below a folder of that batch,
+    which a replay replaces, so a batch never counts twice.
     """
     if date_col:
         date = F.date_format(F.col(date_col), "yyyy-MM-dd")
     else:
         date = F.lit(day) if day else F.date_format(F.current_date(), "yyyy-MM-dd")
     out = bad.withColumn("error_type", F.lit(error_type)).withColumn("date", date)
-    (spread_by_partition(out, ["error_type", "date"], files_per_partition).write.mode("append")
+    if batch_id is not None:
+        path = f"{path.rstrip('/')}/batch_id={batch_id}"
+    (spread_by_partition(out, ["error_type", "date"], files_per_partition)
+        .write.mode("append" if batch_id is None else "overwrite")
         .partitionBy("error_type", "date").json(path))
 
 

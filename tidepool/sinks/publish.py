@@ -10,25 +10,62 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..fixed import PUBLISH_CHUNK  # noqa: F401  (chunking is the sink client's job)
+from ..fixed import PUBLISH_CHUNK
 from ..functions.keys import ALERT_TS_FORMAT, symbol_or_unknown
 
 
 def keyed_records(df: DataFrame, symbol_col: str = "symbol", order_cols: Sequence[str] = (),
                   num_partitions: int | None = None) -> DataFrame:
-    """K4: add the partition ``key`` (symbol, ``UNKNOWN`` when missing), place
-    each key in one partition and keep per-key order inside it.
+    """K4: add the partition ``key`` (symbol, ``UNKNOWN`` when missing), with the
+    records of a key together and in order.
 
-    Hash-partitioning by key is what a keyed stream does; a hot key lands in
-    one partition exactly as it lands on one shard.  Chunking into calls of
-    500 is the sink client's job.
+    Rows are range-partitioned by key and order: the partitions of a key follow
+    one another, each ordered, so a hot key is spread over many tasks and its
+    order still stands.  Which broker partition a key belongs to is the
+    sink's own hash of ``key``.
     """
     keyed = df.withColumn("key", symbol_or_unknown(F.col(symbol_col)))
-    parts = keyed.repartition(num_partitions, "key") if num_partitions else keyed.repartition("key")
-    return parts.sortWithinPartitions("key", *order_cols)
+    by = ["key", *order_cols]
+    parts = keyed.repartitionByRange(num_partitions, *by) if num_partitions else keyed.repartitionByRange(*by)
+    return parts.sortWithinPartitions(*by)
+
+
+def publish_calls(keyed: DataFrame, ts_col: str, tiebreak: Sequence[str] = (), key_col: str = "key",
+                  chunk: int = PUBLISH_CHUNK, bucket_seconds: int = 3600) -> DataFrame:
+    """K4: number the calls of ``chunk`` records that publish each key in order.
+
+    Adds ``chunk_no`` (from 0).  A record's place within its key is its place in
+    its (key, time bucket) plus the size of the key's earlier buckets, so no
+    window ever spans a whole key.
+    """
+    slot = F.floor(F.unix_timestamp(F.col(ts_col)) / bucket_seconds)
+    rows = keyed.withColumn("__slot", slot)
+    sizes = rows.groupBy(key_col, "__slot").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = (Window.partitionBy(key_col).orderBy(F.col("__slot").asc_nulls_first())
+               .rowsBetween(Window.unboundedPreceding, -1))
+    before = sizes.select(F.col(key_col).alias("__k"), F.col("__slot").alias("__s"),
+                          F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    own = Window.partitionBy(key_col, "__slot").orderBy(F.col(ts_col).asc_nulls_first(), *tiebreak)
+    placed = rows.withColumn("__at", F.row_number().over(own)).join(
+        before, F.col(key_col).eqNullSafe(F.col("__k")) & F.col("__slot").eqNullSafe(F.col("__s")))
+    no = F.floor((F.col("__before") + F.col("__at") - 1) / chunk).cast("bigint")
+    return placed.withColumn("chunk_no", no).drop("__slot", "__at", "__k", "__s", "__before")
+
+
+def call_report(calls: DataFrame, order_cols: Sequence[str], key_col: str = "key",
+                error_col: str = "error_code", n: int = 5) -> DataFrame:
+    """K4/A4/L1: per call, records, failures and the first ``n`` (order, code) pairs.
+
+    A call holds at most one chunk of records, so the collected list is bounded.
+    """
+    code = F.struct(*[F.col(c) for c in order_cols], F.col(error_col).alias("error_code"))
+    failed = F.array_sort(F.collect_list(F.when(F.col(error_col).isNotNull(), code)))
+    return (calls.groupBy(key_col, "chunk_no")
+            .agg(F.count(F.lit(1)).alias("n_records"), F.count(error_col).alias("n_failed"),
+                 F.slice(failed, 1, n).alias("first_failures")))
 
 
 def to_stream_records(df: DataFrame, key_col: str = "key",

@@ -3,80 +3,57 @@
 Records written to the archive by the stream have no delimiter between
 them, so one line may hold several JSON objects back to back
 (``{...}{...}``).  Spark's JSON reader takes only the first object of such a
-line, so a concatenated archive is read as whole files (``wholetext``,
-which decompresses gzip and keeps partition columns) and cut into records
-by a quote-aware brace scanner in ``mapInPandas`` — Arrow batches per
-task, no driver involvement — then parsed with ``from_json``.
+line, so a concatenated archive is read as lines of text (gzip and partition
+columns as usual), cut where a record starts, and parsed with ``from_json``.
 
-Archive files are small by construction (the writer flushes every 60 s or
-1–128 MB), which is what makes whole-file reads safe.
+A record starts where the envelope starts.  Inside a JSON string quotes are
+escaped, so that pattern can't match there; and since every start is a cut,
+junk or a truncated record spoils its own piece only.  Pieces that don't
+parse keep their text in ``_corrupt_record`` for the error output (K6).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas as S
 
+# The envelope's first two fields, in the order the producers write them.
+RECORD_START = r'(?=\{"source"\s*:\s*"(?:[^"\\]++|\\.)*+"\s*,\s*"asset_class"\s*:)'
 
-def split_concatenated(text: str) -> list[str]:
-    """Cut ``{..}{..}\\n{..}`` into top-level JSON object texts.
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_FLAT = r"\{(?:[^{}" + '"' + r"]++|" + _STRING + r")*+\}"
+# A JSON object by its braces, up to two levels of objects inside it (records have none).
+_OBJECT = r"\{(?:[^{}" + '"' + r"]++|" + _STRING + "|" + r"\{(?:[^{}" + '"' + r"]++|" + _STRING + "|" + _FLAT + r")*+\}" + r")*+\}"
 
-    Braces inside strings (and escaped quotes) are respected; text outside
-    any object (newlines, stray junk) is skipped.  An unterminated trailing
-    object is returned as it is so the parser marks it malformed.
-    """
-    out: list[str] = []
-    depth = 0
-    start = -1
-    in_str = False
-    esc = False
-    for i, ch in enumerate(text):
-        if in_str:
-            if esc:
-                esc = False
-            elif ch == "\\":
-                esc = True
-            elif ch == '"':
-                in_str = False
-            continue
-        if ch == '"':
-            in_str = True
-        elif ch == "{":
-            if depth == 0:
-                start = i
-            depth += 1
-        elif ch == "}" and depth > 0:
-            depth -= 1
-            if depth == 0:
-                out.append(text[start:i + 1])
-                start = -1
-    if depth > 0 and start >= 0:
-        out.append(text[start:])
-    return out
 
+def split_records(lines: DataFrame, schema: StructType, text_col: str = "value", keep=(),
+                  record_start: str = RECORD_START) -> DataFrame:
+    """Text with records back to back → one row per record: ``keep``, the
+    fields of ``schema`` and ``_corrupt_record`` (null for good records).
 
-def _splitter(partition_cols: list[str]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for rec in pdf.itertuples(index=False):
-                d = rec._asdict()
-                for j, obj in enumerate(split_concatenated(d["value"] or "")):
-                    rows.append({**{c: d[c] for c in partition_cols}, "file": d["file"],
-                                 "record_no": j, "json": obj})
-            yield pd.DataFrame(rows, columns=[*partition_cols, "file", "record_no", "json"])
-    return run
+    A piece is good when it is one JSON object and nothing after it.
+    """
+    pieces = lines.select(*keep, F.explode(F.split(F.col(text_col), record_start, -1)).alias("__piece"))
+    # a record and what stands behind it (a record cut short, junk) are two pieces
+    head = F.regexp_extract("__piece", f"^\\s*+{_OBJECT}", 0)
+    pieces = pieces.select(*keep, F.explode(F.array(head, F.substr("__piece", F.length(head) + 1))).alias("__piece"))
+    text = F.regexp_replace("__piece", r"^\s+|\s+$", "")
+    pieces = pieces.select(*keep, text.alias("__piece")).where("__piece <> ''")
+    parse = StructType([*schema.fields, StructField(S.CORRUPT_COL, StringType())])
+    r = F.from_json("__piece", parse, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT_COL})
+    alone = F.regexp_extract("__piece", f"^{_OBJECT}", 0) == F.col("__piece")
+    good = F.coalesce(F.col("r").isNotNull() & F.col(f"r.{S.CORRUPT_COL}").isNull() & alone, F.lit(False))
+    return (pieces.withColumn("r", r)
+            .select(*keep, *[F.when(good, F.col(f"r.{f.name}")).alias(f.name) for f in schema.fields],
+                    F.when(~good, F.col("__piece")).alias(S.CORRUPT_COL)))
 
 
 def read_archive(spark: SparkSession, path: str, schema: StructType = S.RAW_ARCHIVE_DATA,
                  partition_schema: StructType = S.RAW_ARCHIVE_PARTITIONS,
-                 concatenated: bool = True) -> DataFrame:
+                 concatenated: bool = True, record_start: str = RECORD_START) -> DataFrame:
     """Archive records with partition columns and ``_corrupt_record``.
 
     With ``concatenated=False`` the archive is plain NDJSON and the built-in
@@ -87,14 +64,9 @@ def read_archive(spark: SparkSession, path: str, schema: StructType = S.RAW_ARCH
                           + [StructField(S.CORRUPT_COL, StringType())])
         return (spark.read.schema(full).option("mode", "PERMISSIVE")
                 .option("columnNameOfCorruptRecord", S.CORRUPT_COL).json(path))
-    files = spark.read.option("wholetext", True).text(path).withColumn("file", F.input_file_name())
-    pcols = [f.name for f in partition_schema.fields if f.name in files.columns]
-    out_schema = StructType([*[partition_schema[c] for c in pcols],
-                             StructField("file", StringType()), StructField("record_no", LongType()),
-                             StructField("json", StringType())])
-    recs = files.select(*pcols, "file", "value").mapInPandas(_splitter(pcols), out_schema)
-    parse_schema = StructType(list(schema.fields) + [StructField(S.CORRUPT_COL, StringType())])
-    parsed = recs.withColumn("r", F.from_json("json", parse_schema, {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT_COL}))
-    return parsed.select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields], *pcols,
-                         F.col(f"r.{S.CORRUPT_COL}").alias(S.CORRUPT_COL))
+    lines = spark.read.text(path)
+    parts = [f for f in partition_schema.fields if f.name in lines.columns]
+    typed = lines.select("value", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in parts])
+    names = [f.name for f in parts]
+    out = split_records(typed, schema, keep=names, record_start=record_start)
+    return out.select(*[f.name for f in schema.fields], *names, S.CORRUPT_COL)

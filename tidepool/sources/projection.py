@@ -6,7 +6,7 @@ projection is used for what it can still tell us: the partitions that
 *should* exist in a time range, and which of them are missing.
 
 The expected grid is generated with ``sequence`` + ``explode`` (symbols ×
-hours in the range: small, bounded by configuration, not by data); the
+slots of the configured range, bounded by configuration, not by data); the
 found side is a partial-aggregated distinct over the data; the report is a
 left-anti join.
 """
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed import NEWS_LOCATION_TEMPLATE
@@ -29,17 +29,17 @@ def _trunc_ntz(c: Column, granularity: str) -> Column:
     return F.timestamp_add("SECOND", epoch, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
 
 
-def expected_partitions(bounds: DataFrame, symbols: Sequence[str] | Column,
+def expected_partitions(spark: SparkSession, symbols: Sequence[str], start: str, end: str,
                         granularity: str = "hour") -> DataFrame:
-    """Expected (symbol, slot) grid.
+    """Expected (symbol, slot) grid of the configured range.
 
-    ``bounds`` is a one-row frame with ``lo``/``hi`` ``timestamp_ntz`` slot
-    starts (e.g. an aggregate over the data or literals).
+    ``start`` and ``end`` (both inclusive, UTC) are configuration, so the grid's
+    size is set by it alone and a wrong timestamp in the data can't blow it up.
     """
-    sym = symbols if isinstance(symbols, Column) else F.array(*[F.lit(s) for s in symbols])
     step = F.expr(f"INTERVAL {_STEP[granularity]}")
-    slots = bounds.select(F.explode(F.sequence("lo", "hi", step)).alias("slot"), sym.alias("syms"))
-    return slots.select(F.explode("syms").alias("symbol"), "slot")
+    lo, hi = (F.lit(t).cast("timestamp_ntz") for t in (start, end))
+    return (spark.createDataFrame([(x,) for x in symbols], "symbol string")
+            .withColumn("slot", F.explode(F.sequence(lo, hi, step))))
 
 
 def found_partitions(df: DataFrame, symbol_col: str, ts_col: str,
@@ -49,16 +49,15 @@ def found_partitions(df: DataFrame, symbol_col: str, ts_col: str,
                      _trunc_ntz(F.col(ts_col), granularity).alias("slot")).distinct()
 
 
-def missing_partitions(df: DataFrame, symbols: Sequence[str] | Column, symbol_col: str,
-                       ts_col: str, granularity: str = "hour") -> DataFrame:
-    """Expected partitions over the data's own time range that hold no data.
+def missing_partitions(df: DataFrame, symbols: Sequence[str], symbol_col: str, ts_col: str,
+                       start: str, end: str, granularity: str = "hour") -> DataFrame:
+    """Partitions of the configured symbols and range that hold no data, also
+    before the first and after the last row.
 
     Returns ``symbol, year, month, day[, hour]`` as zero-padded text, the way
     the location template spells them.
     """
-    slot = _trunc_ntz(F.col(ts_col), granularity)
-    bounds = df.agg(F.min(slot).alias("lo"), F.max(slot).alias("hi"))
-    expected = expected_partitions(bounds, symbols, granularity)
+    expected = expected_partitions(df.sparkSession, symbols, start, end, granularity)
     found = found_partitions(df, symbol_col, ts_col, granularity)
     miss = expected.join(found, ["symbol", "slot"], "left_anti")
     parts = [F.date_format("slot", "yyyy").alias("year"), F.date_format("slot", "MM").alias("month"),

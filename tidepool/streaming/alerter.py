@@ -5,7 +5,7 @@ decoded (undecodable → a bad row, skipped and not counted as processed),
 keyed ``symbol|window_start``, and emitted as an alert only the first time
 its key is seen within the expiry (30 days).
 
-Two interchangeable dedup forms:
+Three interchangeable dedup forms:
 - ``alerts_foreach_batch``: per micro-batch, a left-anti join against the
   alerts already stored and not yet expired (the stored table *is* the
   keyed state, like the conditional put it replaces); the key is stored
@@ -14,18 +14,27 @@ Two interchangeable dedup forms:
   a 30-day watermark on the window start (event-time expiry, state purged
   by the watermark).
 
-(``transformWithStateInPandas`` with a TTL value state would be a third form;
-it runs a separate Python state server per task and is left out, see README.)
+- ``dedup_keyed_state``: a state per key with an expiry by the clock; nothing
+  stored is read again.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..fixed import ALERT_TTL_DAYS as TTL_DAYS
 from ..functions import keys, timecols
+from ..session import path_exists
+
+TWICE = StorageLevel.MEMORY_AND_DISK
+
+# The columns of the stored alerts that are read back.
+STORED_ALERT = StructType([
+    StructField("dedup_key", StringType()), StructField("ttl", LongType()),
+    StructField("batch_id", LongType()), StructField("seen_day", StringType())])
 
 # The anomaly as the alerter decodes it: timestamps stay text.
 ANOMALY_TEXT = StructType([
@@ -77,12 +86,9 @@ def new_alerts(batch: DataFrame, seen: DataFrame | None, now_epoch: int | None =
 def _live_alerts(spark, alerts_path: str, now_epoch: int):
     """Stored alerts that can still suppress: only the first-seen days inside
     the expiry are read (partition pruning on ``seen_day``)."""
-    try:
-        stored = spark.read.parquet(alerts_path)
-    except Exception as e:  # first batch: no alerts stored yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER" in str(e) or "does not exist" in str(e):
-            return None
-        raise
+    if not path_exists(spark, alerts_path):  # first batch: no alerts stored yet
+        return None
+    stored = spark.read.schema(STORED_ALERT).parquet(alerts_path)
     oldest = F.date_format(F.timestamp_seconds(F.lit(now_epoch - TTL_DAYS * 86400 - 86400)),
                            "yyyy-MM-dd")
     return stored.where(F.col("seen_day") >= oldest)
@@ -96,22 +102,24 @@ def alerts_foreach_batch(alerts_path: str, summary_path: str | None = None, data
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        decoded = decode(batch, data_col).cache()
+        decoded = decode(batch, data_col).persist(TWICE)
         try:
             now_epoch = int(spark.sql("SELECT unix_timestamp()").first()[0])
             now = F.timestamp_seconds(F.lit(now_epoch))
             seen = _live_alerts(spark, alerts_path, now_epoch)
             fresh = (new_alerts(alert_rows(decoded, now), seen, now_epoch)
                      .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                     .withColumn("seen_day", F.date_format(now, "yyyy-MM-dd"))).cache()
-            n_new = fresh.count()
-            if n_new:
+                     .withColumn("seen_day", F.date_format(now, "yyyy-MM-dd"))).persist(TWICE)
+            if not fresh.isEmpty():
                 fresh.write.mode("append").partitionBy("seen_day").parquet(alerts_path)
             if summary_path:
+                # counted from what is stored: a replay that finds its alerts
+                # already there still reports them
+                live = _live_alerts(spark, alerts_path, now_epoch)
+                sent = 0 if live is None else live.where(F.col("batch_id") == batch_id).count()
                 s = decoded.agg(F.count_if("ok").alias("records_processed"),
                                 F.count(F.lit(1)).alias("batch_size")) \
-                    .withColumn("alerts_sent", F.lit(n_new).cast("bigint")) \
-                    .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                    .withColumn("alerts_sent", F.lit(sent).cast("bigint"))
                 s.coalesce(1).write.mode("overwrite").json(
                     f"{summary_path.rstrip('/')}/batch_id={batch_id}")
             fresh.unpersist()
@@ -121,12 +129,43 @@ def alerts_foreach_batch(alerts_path: str, summary_path: str | None = None, data
 
 
 def dedup_event_time(alerts: DataFrame, ttl: str = f"{TTL_DAYS} days") -> DataFrame:
-    """D4 stream form with event-time expiry (window start + 30 days)."""
-    ts = F.to_timestamp(F.col("window_start"))
+    """D4 stream form with event-time expiry (window start + 30 days).
+
+    Text that is no time gives a null event time: such alerts are compared with
+    each other only, never an error.
+    """
+    ts = F.try_to_timestamp(F.col("window_start"))
     return (alerts.withColumn("__ws", ts).withWatermark("__ws", ttl)
                   .dropDuplicatesWithinWatermark(["dedup_key"]).drop("__ws"))
 
 
+def dedup_keyed_state(alerts: DataFrame, ttl_seconds: int = TTL_DAYS * 86400) -> DataFrame:
+    """D4 stream form with keyed state: an alert passes when its key holds no live
+    state; the state is the key's expiry by the processing clock, and a timer
+    drops it then.  Nothing that was stored before is read again, and the state
+    grows with the live keys only.  Of a micro-batch's alerts with one key the
+    one with the smallest body text passes.
+    """
+    def first_seen(key, frames, state):
+        now = state.getCurrentProcessingTimeMs()
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best = None
+        for pdf in frames:
+            least = pdf.sort_values(list(pdf.columns)).head(1)
+            best = least if best is None or tuple(least.astype(str).iloc[0]) < tuple(
+                best.astype(str).iloc[0]) else best
+        if best is not None and (not state.exists or state.get[0] <= now):
+            state.update((now + ttl_seconds * 1000,))
+            yield best
+        if state.exists:
+            state.setTimeoutDuration(max(1, state.get[0] - now))
+
+    return alerts.groupBy("dedup_key").applyInPandasWithState(
+        first_seen, alerts.schema, "expires_ms bigint", "append", "ProcessingTimeTimeout")
+
+
 def start_alerter(spark, source_path: str, alerts_path: str, checkpoint: str,
                   summary_path: str | None = None, trigger: dict | None = None,
                   max_files_per_trigger: int | None = None):

@@ -52,14 +52,14 @@ def start_dual_write(stream: DataFrame, checkpoint: str, writers: Sequence,
 
 
 def convert_archive(spark, archive_path: str, out_path: str, concatenated: bool = True,
-                    files_per_partition: int = 1) -> None:
+                    files_per_partition: int = 1, **reader) -> None:
     """X16 (batch form): the gzip JSON archive rewritten as Parquet under the
     same arrival-hour folders; malformed records are kept aside in
     ``_corrupt_record`` (null for good rows)."""
     from ..sinks.files import spread_by_partition
     from ..sources.archive import read_archive
 
-    recs = read_archive(spark, archive_path, concatenated=concatenated)
+    recs = read_archive(spark, archive_path, concatenated=concatenated, **reader)
     parts = ["year", "month", "day", "hour"]
     (spread_by_partition(recs, parts, files_per_partition).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(out_path))

@@ -13,8 +13,12 @@ raw rows onto one task.
 
 from __future__ import annotations
 
+import math
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas as S
@@ -83,6 +87,33 @@ def file_event_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return df.select("value")
 
 
+class QueryGroup:
+    """Streaming queries that belong together: waited for, stopped and watched as one.
+
+    Other attributes are those of the first query.
+    """
+
+    def __init__(self, *queries):
+        self.queries = queries
+
+    def awaitTermination(self, timeout: float | None = None):  # noqa: N802  (Spark's name)
+        """Wait for all of them; raises if any failed.  With ``timeout`` (seconds
+        for all together) returns whether all have ended."""
+        if timeout is None:
+            for q in self.queries:
+                q.awaitTermination()
+            return None
+        end = time.monotonic() + timeout
+        return all([q.awaitTermination(max(0, math.ceil(end - time.monotonic()))) for q in self.queries])
+
+    def stop(self) -> None:
+        for q in self.queries:
+            q.stop()
+
+    def __getattr__(self, name):
+        return getattr(self.queries[0], name)
+
+
 def start_detector(source: DataFrame, sink_path: str, checkpoint: str,
                    threshold: int = DEFAULT_THRESHOLD, width: str = DEFAULT_WINDOW,
                    watermark: str = WATERMARK_DELAY, errors_path: str | None = None,
@@ -90,71 +121,61 @@ def start_detector(source: DataFrame, sink_path: str, checkpoint: str,
     """Run E2: records from ``source`` (a streaming frame with a ``value``
     text column) → anomaly records appended to ``sink_path`` (W4: one commit
     per micro-batch in ``checkpoint``).  ``trigger`` defaults to every 60 s.
+
+    Malformed records go to ``errors_path`` (by default beside the sink) in a
+    query of their own: an append sink can't take raw rows and windows at once.
+    Both queries are returned as one, so waiting for it waits for the errors too.
     """
+    trigger = trigger or {"processingTime": "60 seconds"}
     good, bad = parse_records(source)
-    anomalies = detector(good, threshold, width, watermark)
-    out = anomaly_records(anomalies)
+    out = anomaly_records(detector(good, threshold, width, watermark))
     w = (out.writeStream.outputMode("append").format(fmt)
          .option("checkpointLocation", checkpoint).option("path", sink_path))
     if query_name:
         w = w.queryName(query_name)
-    w = w.trigger(**(trigger or {"processingTime": "60 seconds"}))
-    q = w.start()
-    if errors_path:
-        (bad.withColumn("error_type", F.lit("malformed_json"))
-            .withColumn("date", F.date_format(F.current_timestamp(), "yyyy-MM-dd"))
-            .writeStream.format("json").partitionBy("error_type", "date")
-            .option("checkpointLocation", checkpoint.rstrip("/") + "_errors")
-            .option("path", errors_path).trigger(**(trigger or {"processingTime": "60 seconds"}))
-            .start())
-    return q
-
-
-def watermark_drops(query) -> int:
-    """Rows dropped as late by the stateful operator over the recent
-    micro-batches of ``query``.
-
-    Spark counts at the state operator, i.e. after the map-side partial
-    aggregate: late raw rows of one (window, symbol) in one task count once.
+    main_query = w.trigger(**trigger).start()
+    errors = (bad.withColumn("error_type", F.lit("malformed_json"))
+              .withColumn("date", F.date_format(F.current_timestamp(), "yyyy-MM-dd"))
+              .writeStream.format("json").partitionBy("error_type", "date")
+              .option("checkpointLocation", checkpoint.rstrip("/") + "_errors")
+              .option("path", errors_path or sink_path.rstrip("/") + "_errors")
+              .trigger(**trigger).start())
+    return QueryGroup(main_query, errors)
+
+
+class InputTotals(StreamingQueryListener):
+    """Totals over a whole run: rows, rows without event time, late rows dropped.
+
+    ``recentProgress`` keeps the last hundred micro-batches only; a listener
+    sees every one.  Add it with ``spark.streams.addListener`` before starting
+    the queries.  Totals are kept by query id.  Spark counts late rows at the
+    state operator, i.e. after the map-side partial aggregate: late raw rows of
+    one (window, symbol) in one task count once.
     """
-    return sum(op.get("numRowsDroppedByWatermark", 0)
-               for p in (query.recentProgress or []) for op in p.get("stateOperators", []))
-
 
-def input_metrics(query, name: str = "detector_input") -> dict:
-    """Rows seen and rows without event time, summed over recent micro-batches."""
-    out = {"rows": 0, "null_event_time": 0}
-    for p in query.recentProgress or []:
-        m = (p.get("observedMetrics") or {}).get(name) or {}
-        m = m.asDict() if hasattr(m, "asDict") else m
-        for k in out:
-            out[k] += int(m.get(k) or 0)
-    return out
+    def __init__(self, metrics: str = "detector_input"):
+        self.metrics = metrics
+        self.totals: dict[str, dict[str, int]] = {}
 
+    def onQueryStarted(self, event):  # noqa: N802
+        pass
 
-def main(argv=None) -> None:
-    """``python -m tidepool.streaming.detector --source S --sink K --checkpoint C``."""
-    import argparse
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
 
-    ap = argparse.ArgumentParser(description="streaming anomaly detector")
-    ap.add_argument("--source", required=True, help="folder of stream records (JSON lines)")
-    ap.add_argument("--sink", required=True)
-    ap.add_argument("--checkpoint", required=True)
-    ap.add_argument("--errors")
-    ap.add_argument("--threshold", type=int, default=DEFAULT_THRESHOLD)
-    ap.add_argument("--window", default=DEFAULT_WINDOW)
-    ap.add_argument("--start-after", help="skip files written before this time (start at latest)")
-    ap.add_argument("--available-now", action="store_true")
-    a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("anomaly_detector").getOrCreate()
-    trigger = {"availableNow": True} if a.available_now else {"processingTime": "60 seconds"}
-    q = start_detector(file_event_stream(spark, a.source, start_after=a.start_after), a.sink,
-                       a.checkpoint, a.threshold, a.window, errors_path=a.errors, trigger=trigger)
-    q.awaitTermination()
+    def onQueryTerminated(self, event):  # noqa: N802
+        pass
 
+    def onQueryProgress(self, event):  # noqa: N802
+        p = event.progress
+        mine = self.totals.setdefault(str(p.id), {"rows": 0, "null_event_time": 0, "dropped_late": 0})
+        seen = (p.observedMetrics or {}).get(self.metrics)
+        for k in ("rows", "null_event_time"):
+            mine[k] += int(seen[k] or 0) if seen is not None else 0
+        mine["dropped_late"] += sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
 
-if __name__ == "__main__":
-    main()
+    def of(self, query) -> dict[str, int]:
+        return dict(self.totals.get(str(query.id), {"rows": 0, "null_event_time": 0, "dropped_late": 0}))
 
 
 def kafka_event_stream(spark: SparkSession, servers: str, topic: str,
@@ -179,3 +200,28 @@ def to_kafka(records: DataFrame, servers: str, topic: str, checkpoint: str,
     return (records.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
             .option("topic", topic).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "60 seconds"})).start())
+
+
+def main(argv=None) -> None:
+    """``python -m tidepool.streaming.detector --source S --sink K --checkpoint C``."""
+    import argparse
+
+    ap = argparse.ArgumentParser(description="streaming anomaly detector")
+    ap.add_argument("--source", required=True, help="folder of stream records (JSON lines)")
+    ap.add_argument("--sink", required=True)
+    ap.add_argument("--checkpoint", required=True)
+    ap.add_argument("--errors")
+    ap.add_argument("--threshold", type=int, default=DEFAULT_THRESHOLD)
+    ap.add_argument("--window", default=DEFAULT_WINDOW)
+    ap.add_argument("--start-after", help="skip files written before this time (start at latest)")
+    ap.add_argument("--available-now", action="store_true")
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("anomaly_detector").getOrCreate()
+    trigger = {"availableNow": True} if a.available_now else {"processingTime": "60 seconds"}
+    q = start_detector(file_event_stream(spark, a.source, start_after=a.start_after), a.sink,
+                       a.checkpoint, a.threshold, a.window, errors_path=a.errors, trigger=trigger)
+    q.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()

@@ -10,8 +10,10 @@ symbol).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..fixed import WATERMARK_DELAY
+from ..operators.cdc import merge_partitions
 from ..operators.signals import latest_quote, ohlc_bars
 
 
@@ -25,16 +27,23 @@ def start_bars(ticks: DataFrame, sink_path: str, checkpoint: str, width: str = "
             .trigger(**(trigger or {"processingTime": "60 seconds"})).start())
 
 
-def start_latest_quotes(ticks: DataFrame, query_name: str, checkpoint: str,
-                        ts_col: str = "ts", tiebreak: str | None = None,
-                        trigger: dict | None = None, sink=None):
+def start_latest_quotes(ticks: DataFrame, checkpoint: str, sink=None, path: str | None = None,
+                        ts_col: str = "ts", tiebreak: str | None = None, trigger: dict | None = None):
     """X8 on a stream: the last tick per symbol, updated every micro-batch.
 
-    ``sink`` is a ``foreachBatch`` function receiving the changed symbols
-    (e.g. a merge into a quotes table); by default an in-memory table named
-    ``query_name`` is kept for ad-hoc reads.
+    ``sink`` is a ``foreachBatch`` function receiving the changed symbols (e.g.
+    a merge into a quotes table); by default they are merged into a Parquet
+    table of one row per symbol at ``path``.
     """
     q = latest_quote(ticks, ts_col=ts_col, tiebreak=tiebreak)
-    w = q.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-    w = w.foreachBatch(sink) if sink else w.format("memory").queryName(query_name)
-    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+    order = [ts_col, *([tiebreak] if tiebreak else [])]
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        # one folder per symbol prefix, so an update rewrites a part of the table
+        rows = batch.withColumn("part", F.substring("symbol", 1, 1))
+        merge_partitions(batch.sparkSession, path, rows, ["symbol"], order, ["part"])
+
+    if sink is None and path is None:
+        raise ValueError("give a sink function or a path")
+    return (q.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+            .foreachBatch(sink or merge).trigger(**(trigger or {"processingTime": "5 seconds"})).start())
