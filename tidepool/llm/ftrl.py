@@ -28,9 +28,9 @@ from .wu_manber import bench_words
 
 DIMS = 1 << 20
 SHARDS = 4
-ROUNDS = 3
+ROUNDS = 8
 MAX_ROWS = 24_000
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.5, 1.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 2.0, 0.3
 STEM = 4
 THRESHOLD = 0.3
 
