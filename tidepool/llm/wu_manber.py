@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import anchored, pick, rows_of, utf8, whole_row
+from .common import anchored, pick, utf8, whole_row
 
 WINDOW = 13
 BLOCK = 2
@@ -132,11 +132,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "
     after every ``PIECES_PER_PASS`` pieces the rows are written and reread.
     """
     spark = docs.sparkSession
-    out = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("_text"),
+    # the text goes to Python once: alone, or within the row
+    out = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
+                      whole_row(docs).alias("row") if carry else F.col(f"`{text_col}`").alias("_text"),
                       F.lit(0).cast("bigint").alias("n_words"),
                       F.expr("cast(array() as array<bigint>)").alias("_flat"),
-                      F.expr("cast(array() as array<string>)").alias("items"),
-                      *[whole_row(docs).alias("row")][:carry])
+                      F.expr("cast(array() as array<string>)").alias("items"))
     for k, piece in enumerate(_benchmark_pieces(benchmark, item_col, item_text_col, shard_bytes)):
         if k and k % PIECES_PER_PASS == 0:
             out = anchored(out)
@@ -146,8 +147,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "
             matchers = build_matchers(shipped.value, window)
             for b in batches:
                 ns, flats, found = [], [], []
-                for text, flat, items in rows_of([b], "_text", "_flat", "items"):
-                    ws = bench_words(text)
+                texts = b.column("row").field(text_col) if carry else b.column("_text")
+                for text, flat, items in zip(texts, b.column("_flat").to_pylist(),
+                                             b.column("items").to_pylist(), strict=True):
+                    ws = bench_words(text.as_py())
                     spans, new = hits(ws, matchers)
                     ns.append(len(ws))
                     flats.append(flat + [x for s in spans for x in s])
