@@ -29,35 +29,35 @@ from __future__ import annotations
 import hashlib
 import re
 import string
+from array import array
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SPACE = "▁"
-CACHED_SEGMENTS = 150_000  # twice as many are held
-KNOWN_PAIRS = 500_000
+CACHED_SEGMENTS = 250_000  # twice as many are held
+KNOWN_PAIRS = 250_000
 _WORD = re.compile(r"\w")
 INF = float("inf")
 
 
 class _Segments(dict):
-    """segment -> (its ids as text, its ids), of recent segments."""
+    """segment -> its ids as two-byte numbers, of recent segments."""
 
-    def __init__(self, encode, decimal: list[str]):
+    def __init__(self, encode):
         super().__init__()
-        self.encode, self.decimal = encode, decimal
-        self.older: dict[str, tuple[str, tuple]] = {}
+        self.encode = encode
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, s: str):
+    def __missing__(self, s: str) -> bytes:
         got = self.older.get(s)
         if got is None:
-            ids = tuple(self.encode(s))
-            got = (",".join(map(self.decimal.__getitem__, ids)), ids)
+            got = array("H", self.encode(s)).tobytes()
         if len(s) < 64:
             if len(self) >= CACHED_SEGMENTS:  # those still in use move up again
                 self.older = dict(self)
@@ -78,6 +78,8 @@ class PieceModel:
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
+        if n > 1 << 16:
+            raise ValueError("ids are kept in two bytes")
         self.piece = [sp.id_to_piece(i) for i in range(n)]
         self.byte_id = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.byte_of = {i: b for b, i in enumerate(self.byte_id)}
@@ -114,7 +116,8 @@ class PieceModel:
                 self.automaton.add_word(p, (i, len(p)))
         self.automaton.make_automaton()
         self._compatible: dict[tuple[int, int], bool] = {}
-        self._segments = _Segments(self._segment, [str(i) for i in range(n)])
+        self._segments = _Segments(self._segment)
+        self.decimal = [str(i) for i in range(n)]
         # a word ends before a mark that no piece holds after the word's last character
         before: dict[str, set[str]] = {c: {"_"} for c in string.punctuation if c != "_"}
         for p in self.id_of:
@@ -231,16 +234,12 @@ class PieceModel:
             return self._spaces(n) + ids[1:]
         return self._spaces(n - 1) + ids
 
-    def segments(self, text: str | None) -> list[tuple[str, tuple]]:
-        """(ids in decimal joined by commas, ids) of each segment."""
-        if not text:
-            return []
-        return list(map(self._segments.__getitem__,
-                        self._cut.findall(SPACE + text.replace(" ", SPACE))))
-
     def encode(self, text: str | None) -> list[int]:
         """Ids without begin or end ids."""
-        return list(chain.from_iterable(ids for _, ids in self.segments(text)))
+        if not text:
+            return []
+        parts = map(self._segments.__getitem__, self._cut.findall(SPACE + text.replace(" ", SPACE)))
+        return array("H", b"".join(parts)).tolist()
 
     # ------------------------------------------------------------- decoding
     def decode(self, ids) -> str:
@@ -309,25 +308,27 @@ def encode_documents(docs: DataFrame, model_path: str, *, id_col: str = "doc_id"
     """
     added = ["n_tokens", "ids_sha256", "decoded"] + (["ids"] if with_ids else [])
     rest = [c for c in docs.columns if c not in added]
-    src = docs.select(F.col(f"`{text_col}`"), *[F.col(f"`{c}`") for c in rest])
+    src = docs.select(*[F.col(f"`{c}`") for c in rest], *[F.col(f"`{text_col}`")][:text_col not in rest])
+
+    at = rest.index(text_col) if text_col in rest else len(rest)
 
     def run(batches):
         model = load(model_path)
         for b in batches:
-            ns, digests, decoded, all_ids = [], [], [], []
-            for text in b.column(0):
-                parts = model.segments(text.as_py())
-                ids = list(chain.from_iterable(ids for _, ids in parts))
+            ns, digests, decoded, ids_of = [], [], [], array("i")
+            for text in b.column(at):
+                ids = model.encode(text.as_py())
                 ns.append(len(ids))
-                digests.append(hashlib.sha256(",".join(t for t, _ in parts).encode()).hexdigest())
+                digests.append(hashlib.sha256(",".join(map(model.decimal.__getitem__, ids)).encode()).hexdigest())
                 decoded.append(model.decode(ids))
                 if with_ids:
-                    all_ids.append(ids)
+                    ids_of.extend(ids)
             cols = [pa.array(ns, pa.int64()), pa.array(digests, pa.string()),
                     pa.array(decoded, pa.string())]
             if with_ids:
-                cols.append(pa.array(all_ids, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], *cols], [*rest, *added])
+                ends = np.concatenate(([0], np.cumsum(ns))).astype(np.int32)
+                cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(ids_of, np.int32))))
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(rest)], *cols], [*rest, *added])
 
     new = "n_tokens bigint, ids_sha256 string, decoded string" + ", ids array<int>" * with_ids
-    return src.mapInArrow(run, StructType(src.schema.fields[1:] + StructType.fromDDL(new).fields))
+    return src.mapInArrow(run, StructType(src.schema.fields[:len(rest)] + StructType.fromDDL(new).fields))
