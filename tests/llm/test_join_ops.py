@@ -277,7 +277,7 @@ def plain_score(rows, ws, c, m, tau, d=0.75):
     return out + seq[1:].count("RARE") * -math.log10(m.rare_types + 1)
 
 
-@pytest.mark.parametrize("tau", [1e-3, 0.01, 0.05])
+@pytest.mark.parametrize("tau", [1e-3, 0.01, 0.05, 0.5])  # at the last, even the end is rare
 def test_automaton_equals_the_definition(spark, tau):
     rows = [r for r in lm_rows() if r[1] != LONG]
     m, c = fitted(spark, rows, tau)
@@ -285,6 +285,11 @@ def test_automaton_equals_the_definition(spark, tau):
     for _, t in [*rows[:40], (0, "t3 unseen t4 t5 t6 unseen unseen")]:
         ws = (t or "").encode().lower().split()
         assert a.score(ws) == pytest.approx(plain_score(rows, ws, c, m, tau), rel=1e-9), t
+    texts = [(t or "").encode().lower().split() for _, t in rows]
+    end = a.start - 1
+    ids = [end, *(i for ws in texts for i in (*map(a.symbols.__getitem__, ws), end))]
+    ends = np.cumsum([0, *(len(ws) + 1 for ws in texts)])
+    assert a.score_run(np.array(ids), ends) == pytest.approx([a.score(ws) for ws in texts], rel=1e-9)
 
 
 def test_probabilities_add_up(spark):

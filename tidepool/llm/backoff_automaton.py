@@ -25,7 +25,8 @@ Kept n-grams of fewer than n words are the automaton's states.  A kept n-gram
 is an arc from its history to the longest state that its end is; every state
 but the empty one has a failure arc to its next shorter suffix, weighted
 bow(h).  Scoring goes through a text once, left to right: it carries the state,
-takes failure arcs until the next word has an arc, and adds up weights.
+takes failure arcs until the next word has an arc, and adds up weights
+(``Automaton.score``; tasks run that pass for many texts at once, ``score_run``).
 
 Null texts are empty: the end alone.  Counts are by 64-bit token hashes.
 """
@@ -51,14 +52,11 @@ TAU = 4e-6
 ORDER = 3
 DISCOUNT = 0.75
 PACKET_TOKENS = 400_000
+CHUNK_TOKENS = 1_000_000
 SYMBOL_BITS = 20  # 1 / tau must stay below 2 ** 20
 RARE = 0
 
 
-def _as_i64(a: np.ndarray) -> np.ndarray:
-    return a.astype(np.uint64).view(np.int64)
-
-
 def text_key(doc, text: str | None) -> int:
     """Rows with equal id and text are interchangeable: they share a key."""
     h = xxhash.xxh3_64(repr(doc).encode())
@@ -109,14 +107,16 @@ def _packets(n_buckets: int):
     return run
 
 
-PART, STATS, TOKEN = 0, 1, 2
+PART, STATS, TOKENS = 0, 1, 2
+COUNTED = "kind tinyint, grp int, keys binary, sums binary, known binary, rows binary"
 
 
-def _count(tau: float):
-    """Of one bucket: PART rows (key, sum of log10(c + 1), known tokens, rows with
-    this key), one STATS row (distinct and all training tokens) and TOKEN rows
-    (hash, training count) of what may be frequent in the whole."""
-    def bucket_rows(parts):
+def _count(tau: float, n_groups: int):
+    """Of one bucket, as packets: PART (document keys, sums of log10(c + 1), known
+    tokens, rows with that key), dealt by document; STATS (distinct and all
+    training tokens); TOKENS (hashes, training counts) that may be frequent in
+    the whole: a token frequent in the whole is frequent in its bucket."""
+    def bucket_packets(parts):
         keys = np.concatenate([np.frombuffer(p[0], np.int64) for p in parts])
         train = np.concatenate([np.frombuffer(p[1], np.uint8) for p in parts]).astype(bool)
         n = np.concatenate([np.frombuffer(p[2], np.uint32) for p in parts])
@@ -126,24 +126,56 @@ def _count(tau: float):
         vocab, at = np.unique(tokens, return_inverse=True)
         c = np.bincount(at, weights=tfs * train[owner], minlength=len(vocab))
         logs = np.bincount(owner, weights=tfs * np.log10(c + 1)[at], minlength=len(keys))
-        known = np.bincount(owner, weights=tfs * (c > 0)[at], minlength=len(keys))
-        rows = np.bincount(owner, weights=tfs * (tokens == END_HASH), minlength=len(keys))
-        yield PART, keys, logs, known, rows
-        yield STATS, np.zeros(1, np.int64), np.zeros(1), np.array([(c > 0).sum()]), np.array([c.sum()])
+        known = np.bincount(owner, weights=tfs * (c > 0)[at], minlength=len(keys)).astype(np.int64)
+        rows = np.bincount(owner, weights=tfs * (tokens == END_HASH), minlength=len(keys)).astype(np.int64)
+        group = (keys.view(np.uint64) % np.uint64(n_groups)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
+            yield PART, int(group[own[0]]), keys[own], logs[own], known[own], rows[own]
+        yield STATS, 0, np.array([(c > 0).sum()]), np.array([int(c.sum())]), known[:0], known[:0]
         may = np.flatnonzero(c >= max(1.0, tau * c.sum()))
-        yield TOKEN, _as_i64(vocab[may]), np.zeros(len(may)), c[may], np.zeros(len(may))
+        yield TOKENS, 0, vocab[may].view(np.int64), c[may].astype(np.int64), known[:0], known[:0]
 
     def run(batches):
-        buckets: dict[int, list] = {}
-        for b in batches:
-            for at, *part in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                buckets.setdefault(at, []).append(part)
+        buckets = _gathered(batches)
         while buckets:
-            for kind, key, s, m, r in bucket_rows(buckets.popitem()[1]):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(key), kind, np.int8)), pa.array(key), pa.array(s),
-                     pa.array(m.astype(np.int64)), pa.array(r.astype(np.int64))],
-                    ["kind", "key", "s", "m", "r"])
+            rows = list(zip(*bucket_packets(buckets.popitem()[1]), strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[0], pa.int8()), pa.array(rows[1], pa.int32()),
+                 *(pa.array([x.tobytes() for x in col], pa.binary()) for col in rows[2:])],
+                ["kind", "grp", "keys", "sums", "known", "rows"])
+    return run
+
+
+def _gathered(batches) -> dict[int, list[tuple]]:
+    """The packets of a task by their first column."""
+    out: dict[int, list[tuple]] = {}
+    for b in batches:
+        for at, *part in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            out.setdefault(at, []).append(tuple(part))
+    return out
+
+
+def _add_up(batches):
+    """PART packets of a task -> (key, s, m, r) by document key."""
+    groups = _gathered(batches)
+    while groups:
+        parts = groups.popitem()[1]
+        key, at = np.unique(np.concatenate([np.frombuffer(p[0], np.int64) for p in parts]), return_inverse=True)
+        s, m, r = (np.bincount(at, weights=np.concatenate([np.frombuffer(p[i], t) for p in parts]))
+                   for i, t in ((1, np.float64), (2, np.int64), (3, np.int64)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key), pa.array(s), pa.array(m.astype(np.int64)), pa.array(r.astype(np.int64))],
+            ["key", "s", "m", "r"])
+
+
+def _frequent(least: float):
+    """TOKENS packets -> (token, c) of the tokens counted at least that often."""
+    def run(batches):
+        for b in batches:
+            for h, c in zip(b.column("keys").to_pylist(), b.column("sums").to_pylist(), strict=True):
+                h, c = np.frombuffer(h, np.int64), np.frombuffer(c, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(h[c >= least]), pa.array(c[c >= least])], ["token", "c"])
     return run
 
 
@@ -264,6 +296,10 @@ class Automaton:
             if longer:
                 context = np.concatenate((context, g.count.astype(float)))
         self.start = 1 + self.symbols[END]
+        self.model = m
+        self.arc_keys = np.array(sorted(self.arcs), np.int64)
+        self.arc_weights = np.array([self.arcs[k][1] for k in self.arc_keys.tolist()])
+        self.back_array, self.fail_array = np.array(self.back), np.array(self.fail, np.int64)
 
     def _p(self, prob, h, s) -> float:
         """Probability of a symbol after state h, from what is known so far."""
@@ -276,20 +312,45 @@ class Automaton:
             h = self.fail[h]
 
     def score(self, tokens: list[bytes]) -> float:
-        """log10 probability of the tokens and the end after them."""
-        arcs, back, fail = self.arcs, self.back, self.fail
-        state, total, rare = self.start, 0.0, 0
+        """log10 probability of the tokens and the end after them: one pass, left
+        to right, carrying the state."""
+        state, total = self.start, 0.0
         for s in map(self.symbols.__getitem__, (*tokens, END)):
-            arc = arcs.get((state << SYMBOL_BITS) | s)
-            while arc is None:
-                total += back[state]
-                state = fail[state]
-                arc = arcs.get((state << SYMBOL_BITS) | s)
+            while (arc := self.arcs.get((state << SYMBOL_BITS) | s)) is None:
+                total += self.back[state]
+                state = self.fail[state]
             state = arc[0]
-            total += arc[1]
-            if s == RARE:
-                rare += 1
-        return total + rare * self.rare
+            total += arc[1] + (self.rare if s == RARE else 0.0)
+        return total
+
+    def score_run(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """``score`` of several texts at once.
+
+        ``ids`` holds their symbols one text after another, an end before the
+        first and after each, at the places ``ends``.  The state that the pass would be in after a word
+        is the longest state among the last words, so all of them are looked up
+        at once; then every position takes its arc, and those without one go
+        back along their failure arcs together, until all have arrived.
+        """
+        m = self.model
+        state = ids + 1
+        for n in range(2, len(m.grams) + 1):
+            longer = m.states_of(ids, n)
+            state = np.where(longer >= 0, longer, state)
+        state[ends] = self.start  # a text begins after an end, whatever came before
+        state, symbol = state[:-1], ids[1:]
+        weight = np.where(symbol == RARE, self.rare, 0.0)
+        left = np.arange(len(symbol))
+        while len(left):
+            want = (state[left] << SYMBOL_BITS) | symbol[left]
+            at = np.searchsorted(self.arc_keys, want)
+            at[at == len(self.arc_keys)] = 0
+            hit = self.arc_keys[at] == want
+            weight[left[hit]] += self.arc_weights[at[hit]]
+            left = left[~hit]
+            weight[left] += self.back_array[state[left]]
+            state[left] = self.fail_array[state[left]]
+        return np.add.reduceat(weight, ends[:-1]) if len(ends) > 1 else np.empty(0)
 
 
 _built: dict[str, Automaton] = {}
@@ -303,23 +364,45 @@ def automaton(m: Model) -> Automaton:
     return _built[m.token]
 
 
+def _runs(texts, symbols: Symbols):
+    """Texts one after another, in pieces of about CHUNK_TOKENS: (symbols with an
+    end before the first and after each, the places of the ends, the texts)."""
+    end = symbols[END]
+    ids, ends, own = [end], [0], []
+    for text in texts:
+        own.append(text.as_py())
+        ids.extend(map(symbols.__getitem__, words(own[-1])))
+        ends.append(len(ids))
+        ids.append(end)
+        if len(ids) > CHUNK_TOKENS:
+            yield np.array(ids, np.int64), np.array(ends), own
+            ids, ends, own = [end], [0], []
+    if own:
+        yield np.array(ids, np.int64), np.array(ends), own
+
+
 def _gram_counts(sent, n: int):
-    """(key, count) of n-grams whose shorter parts are kept, added up by batch."""
+    """(key, count) of n-grams whose shorter parts are kept, added up by batch.
+
+    Texts are read one after another with one end between them, which is the
+    end of one and the beginning of the next; n-grams across it are left out.
+    """
     def run(batches):
         m = sent.value
         symbols = Symbols({h: i + 1 for i, h in enumerate(m.hashes.tolist())})
+
+        def count(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+            state = m.states_of(ids, n - 1)
+            ok = state[:-1] >= 0
+            if n > 2:  # the n-gram without its first word is kept too, and it is of one text
+                ok &= state[1:] >= 0
+                ok[ends[1:-1]] = False
+            return (state[:-1][ok] << SYMBOL_BITS) | ids[1:][ok]
+
         for b in batches:
-            keys = []
-            for text in b.column("text"):
-                ids = np.fromiter(map(symbols.__getitem__, [END, *words(text.as_py()), END]), np.int64)
-                history = m.states_of(ids, n - 1)[:-1]
-                ok = history >= 0
-                if n > 2:  # the n-gram without its first word is kept too
-                    ok &= m.states_of(ids, n - 1)[1:] >= 0
-                keys.append(((history << SYMBOL_BITS) | ids[1:])[ok])
-            if keys:
-                k, c = np.unique(np.concatenate(keys), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], ["key", "c"])
+            keys = [count(*run[:2]) for run in _runs(b.column("text"), symbols)]
+            k, c = np.unique(np.concatenate(keys) if keys else np.empty(0, np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], ["key", "c"])
     return run
 
 
@@ -357,41 +440,42 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                       F.coalesce(F.col(f"`{train_col}`"), F.lit(False)).alias("train"))
     n_buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    stats = anchored(
+    counted = anchored(
         src.mapInArrow(_packets(n_buckets), "bucket int, keys binary, train binary, counts binary, "
                                             "tokens binary, tfs binary")
-        .repartition(n_buckets, "bucket")
-        .mapInArrow(_count(tau), "kind tinyint, key bigint, s double, m bigint, r bigint"))
-    types, total = stats.where(F.col("kind") == STATS).agg(
-        F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum("r"), F.lit(0))).first()
-    frequent = (stats.where((F.col("kind") == TOKEN) & (F.col("m") >= max(1.0, tau * total)))
-                .select("key", "m").orderBy(F.desc("m"), "key").toArrow())  # at most 1 / tau rows
-    model = fit(src.where("train"), frequent.column("key").to_numpy().view(np.uint64),
-                frequent.column("m").to_numpy(), int(total), int(types),
+        .repartition(n_buckets, "bucket").mapInArrow(_count(tau, n_buckets), COUNTED))
+    stats = [np.frombuffer(b"".join(bytes(r[c]) for r in rows), np.int64).sum() for rows in [
+        counted.where(F.col("kind") == STATS).select("keys", "sums").collect()] for c in (0, 1)]  # a row a bucket
+    types, total = map(int, stats)
+    frequent = (counted.where(F.col("kind") == TOKENS).select("keys", "sums")
+                .mapInArrow(_frequent(max(1.0, tau * total)), "token bigint, c bigint")
+                .orderBy(F.desc("c"), "token").toArrow())  # at most 1 / tau rows
+    model = fit(src.where("train"), frequent.column("token").to_numpy().view(np.uint64),
+                frequent.column("c").to_numpy(), total, types,
                 tau=tau, order=order, discount=discount)
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         a = automaton(sent.value)
         for b in batches:
+            ids_of = iter(b.column("doc_id").to_pylist())
             keys, ns, scores = [], [], []
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                text = text.as_py()
-                ws = words(text)
-                keys.append(text_key(doc, text))
-                ns.append(len(ws) + 1)
-                scores.append(a.score(ws))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("train"), pa.array(keys, pa.int64()),
-                 pa.array(ns, pa.int64()), pa.array(scores, pa.float64())],
-                ["doc_id", "train", "key", "n_tokens", "score"])
+            for ids, ends, texts in _runs(b.column("text"), a.symbols):
+                keys += [text_key(next(ids_of), t) for t in texts]
+                ns.append(np.diff(ends))
+                scores.append(a.score_run(ids, ends))
+            if keys:
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), b.column("train"), pa.array(keys, pa.int64()),
+                     pa.array(np.concatenate(ns)), pa.array(np.concatenate(scores))],
+                    ["doc_id", "train", "key", "n_tokens", "score"])
 
     kind = src.schema["doc_id"].dataType.simpleString()
     scored = src.mapInArrow(run, f"doc_id {kind}, train boolean, key bigint, n_tokens bigint, score double")
-    parts = (stats.where(F.col("kind") == PART).groupBy("key")
-             .agg(F.sum("s").alias("s"), F.sum("m").alias("m"), F.sum("r").alias("r")))
+    parts = (counted.where(F.col("kind") == PART).select("grp", "keys", "sums", "known", "rows")
+             .repartition(n_buckets, "grp").mapInArrow(_add_up, "key bigint, s double, m bigint, r bigint"))
     places = math.log10(total + types + 1)
     return (scored.join(parts, "key", "left")
             .select("doc_id", "train", "n_tokens", (F.col("m") / F.col("r")).cast("bigint").alias("n_known"),
-                    F.lit(int(total)).cast("bigint").alias("train_tokens"),
+                    F.lit(total).cast("bigint").alias("train_tokens"),
                     (F.col("s") / F.col("r") - F.col("n_tokens") * places).alias("base_score"), "score"))
