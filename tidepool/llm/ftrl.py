@@ -18,6 +18,8 @@ than 0 and 1 are not trained on; without training rows every score is 0.5.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,9 +28,9 @@ from pyspark.sql import functions as F
 from .common import Hasher, anchored, combine, pick
 from .wu_manber import bench_words
 
-DIMS = 1 << 20
+DIMS = 1 << 18
 SHARDS = 4
-ROUNDS = 8
+ROUNDS = 6
 MAX_ROWS = 24_000
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 2.0, 0.3
 STEM = 4
@@ -69,12 +71,20 @@ def learn(rows: list[tuple[np.ndarray, int]], z: np.ndarray, n: np.ndarray) -> N
         n[idx] = ni + g * g
 
 
+def _packed(idx: np.ndarray) -> bytes:
+    """Sorted coordinates as compressed gaps."""
+    return zlib.compress(np.diff(idx, prepend=0).astype(np.int32).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(data), np.int32))
+
+
 def _featurise(dims: int):
     def run(batches):
         hasher, stems = Hasher(), Hasher()
         for b in batches:
-            idx = [features(t.as_py(), hasher, stems, dims).astype(np.int32).tobytes()
-                   for t in b.column("text")]
+            idx = [_packed(features(t.as_py(), hasher, stems, dims)) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [b.column("shard"), b.column("ord"), b.column("label"), pa.array(idx, pa.binary())],
                 ["shard", "ord", "label", "idx"])
@@ -82,15 +92,16 @@ def _featurise(dims: int):
 
 
 def _pass(state, dims: int):
-    """The changes that one pass over each shard of the task makes."""
+    """The changes that one pass over each shard of the task makes, a row a shard:
+    at most ``dims`` coordinates, twelve bytes each."""
     def run(batches):
         now = None
 
         def change():
             moved = np.flatnonzero((z != z0) | (n != n0))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(moved.astype(np.int32)), pa.array((z - z0)[moved]), pa.array((n - n0)[moved])],
-                ["idx", "dz", "dn"])
+            parts = moved.astype(np.int32), (z - z0)[moved].astype(np.float32), (n - n0)[moved].astype(np.float32)
+            return pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts],
+                                              ["idx", "dz", "dn"])
 
         z0, n0 = state.value
         z, n = z0.copy(), n0.copy()
@@ -101,7 +112,7 @@ def _pass(state, dims: int):
                     yield change()
                     z, n = z0.copy(), n0.copy()
                 now = shard
-                learn([(np.frombuffer(idx, np.int32), label)], z, n)
+                learn([(_unpacked(idx), label)], z, n)
         if now is not None:
             yield change()
     return run
@@ -129,14 +140,13 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     z, n = np.zeros(dims), np.zeros(dims)
     for _ in range(rounds):
         state = spark.sparkContext.broadcast((z, n))
-        moved = (rows.mapInArrow(_pass(state, dims), "idx int, dz double, dn double")
-                 .groupBy("idx").agg(F.sum("dz").alias("dz"), F.sum("dn").alias("dn")))
-        got = moved.toArrow()  # at most ``dims`` rows
-        i = got.column("idx").to_numpy()
         z, n = z.copy(), n.copy()
-        z[i] += got.column("dz").to_numpy() / shards
-        n[i] += got.column("dn").to_numpy() / shards
-        state.unpersist()
+        changes = rows.mapInArrow(_pass(state, dims), "idx binary, dz binary, dn binary")
+        for r in sorted(changes.collect()):  # a row a shard
+            i = np.frombuffer(r.idx, np.int32)
+            z[i] += np.frombuffer(r.dz, np.float32) / shards
+            n[i] += np.frombuffer(r.dn, np.float32) / shards
+        state.destroy()
     return weights(z, n).astype(np.float32)
 
 
