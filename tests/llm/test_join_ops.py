@@ -315,6 +315,30 @@ def test_scoring_edge_tables(spark):
     assert backoff_automaton.score_documents(df.limit(0)).count() == 0
 
 
+def test_kept_ngrams_do_not_shrink_with_the_corpus(spark):
+    """A rare word's n-grams count however much other text there is: the scores
+    equal the automaton over all words and all n-grams seen twice."""
+    rows = [r for r in lm_rows() if r[1] != LONG]
+    rows += [(i, "common words " * 400) for i in range(1000, 1400)]  # a share of 4e-6 is 1.3 of these tokens
+    rows += [(2000 + i, "rarely seen pair") for i in range(2)]
+    held = [(3000, "rarely seen pair"), (3001, "rarely unseen pair")]
+    df = spark.createDataFrame([(i, t, True) for i, t in rows] + [(i, t, False) for i, t in held],
+                               "doc_id bigint, text string, train boolean").repartition(4)
+    c = Counter(w for _, t in rows for w in [*(t or "").encode().lower().split(), backoff_automaton.END])
+    n = sum(c.values())
+    hashes = np.array([backoff_automaton.xxhash.xxh64_intdigest(w) for w in c], np.uint64)
+    train = spark.createDataFrame(rows, "doc_id bigint, text string")
+    m = backoff_automaton.fit(train, hashes, np.array(list(c.values())), n, len(c), tau=2 / n, order=3, discount=0.75)
+    a = backoff_automaton.Automaton(m)
+    for tau in (4e-6, 0.01, 0.9):  # what is broadcast changes no score
+        got = backoff_automaton.score_documents(df, tau=tau).collect()
+        texts = dict(rows + held)
+        assert len(got) == len(rows) + len(held)
+        for r in got:
+            ws = (texts[r.doc_id] or "").encode().lower().split()
+            assert r.score == pytest.approx(a.score(ws), rel=1e-8), (tau, ws[:5])
+
+
 # -------------------------------------------------------------------- sharding
 def plain_shards(rows, limit):
     copies = defaultdict(int)

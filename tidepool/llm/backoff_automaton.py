@@ -2,19 +2,12 @@
 
 Tokens: words (A-Z lower-cased, split at ASCII white space), then one end.
 
-Counting covers all training text.  Each task sends, for every document, its
-distinct token hashes and their counts, dealt by hash bucket.  A bucket thus
-sees all occurrences of its tokens: it knows their training counts and returns
-each document's part of the base score, and the tokens themselves when they
-are frequent.  Parts are added up by document; no task or driver holds the
-vocabulary.
-
-The model is a word n-gram model (n = ``order``) with absolute discounting.
-An n-gram is kept when it makes up at least ``tau`` of all training tokens, so
-at most ``1 / tau`` are kept for each n whatever the corpus: that bounds what
-is broadcast.  All other tokens share one class, RARE, whose members are
-equally likely (one place in it is for unseen words).  With D the discount::
+The model is a word n-gram model (n = ``order``) with absolute discounting over
+all training text.  Every training word is a symbol; n-grams of two and more
+words are kept when they are seen ``MIN_COUNT`` times, however large the input.
+Words never seen share one class, RARE.  With D the discount::
 
+    P(w)     = (c(w) + 1) / (all tokens + distinct tokens + 1)
     P(w | h) = max(c(hw) - D, 0) / c(h)   for kept hw
              + bow(h) * P(w | shorter h)
     bow(h)   = 1 - sum over kept hw of (c(hw) - D) / c(h)
@@ -24,17 +17,31 @@ so that the probabilities of all words after any history add up to one.
 Kept n-grams of fewer than n words are the automaton's states.  A kept n-gram
 is an arc from its history to the longest state that its end is; every state
 but the empty one has a failure arc to its next shorter suffix, weighted
-bow(h).  Scoring goes through a text once, left to right: it carries the state,
-takes failure arcs until the next word has an arc, and adds up weights
-(``Automaton.score``; tasks run that pass for many texts at once, ``score_run``).
+bow(h).  A text's score is the sum of the arcs it takes.  It is added up
+n-gram by n-gram: each word brings P(w) and its own failure arc, and each kept
+n-gram brings what its arc adds to the failure arc and the shorter arc that
+would be taken without it, and its own failure arc::
 
-Null texts are empty: the end alone.  Counts are by 64-bit token hashes.
+    weight(hw) = log P(w | h) - log bow(h) - log P(w | shorter h) + log bow(hw)
+
+So no task or driver holds the model.  Counts are added up in chunks before
+they are shuffled; counts, weights and failure arcs are tables, built by joins
+of n-grams with their histories and suffixes.  Scoring goes through the text
+once: n-grams that make up at least ``tau`` of all training tokens (at most
+``1 / tau`` of each n) have their weights broadcast, all others meet theirs in
+hash buckets, packet after packet.  No bucket therefore gets more than ``tau``
+of the tokens by one n-gram, and what it holds is its share of the tables.
+
+``Automaton`` is the same model within one process, in its pass from left to
+right (``fit`` learns it; ``tau`` there is the threshold of what is kept).
+
+Null texts are empty: the end alone.  Counts are by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections import Counter
 from dataclasses import dataclass
 from uuid import uuid4
 
@@ -43,16 +50,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import WORD_CACHE, Hasher, anchored, utf8, words
+from .common import WORD_CACHE, Hasher, anchored, combine, utf8, words
 
 END = b" end"  # no word holds a space
 END_HASH = xxhash.xxh64_intdigest(END)
-TAU = 4e-6
+TAU = 4e-6  # n-grams with this share of the training tokens are broadcast
+MIN_COUNT = 2
 ORDER = 3
 DISCOUNT = 0.75
-PACKET_TOKENS = 400_000
 CHUNK_TOKENS = 1_000_000
+CHUNK_DOCS = 20_000
+HELD = 1_000_000  # entries held until they are added up
 SYMBOL_BITS = 20  # 1 / tau must stay below 2 ** 20
 RARE = 0
 
@@ -64,118 +74,306 @@ def text_key(doc, text: str | None) -> int:
     return h.intdigest() - (1 << 63)
 
 
-# ------------------------------------------------------------- exact counts
-def _packets(n_buckets: int):
-    """(bucket, keys, train, counts, tokens, tfs): distinct tokens by document."""
-    def flush(rows):
-        n = np.array([len(t) for _, _, t, _ in rows])
-        keys = np.array([r[0] for r in rows], np.int64)
-        train = np.array([r[1] for r in rows], np.uint8)
-        owner = np.repeat(np.arange(len(rows)), n)
-        tokens = np.concatenate([r[2] for r in rows])
-        tfs = np.concatenate([r[3] for r in rows]).astype(np.uint32)
-        bucket = (tokens % np.uint64(n_buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        owner, tokens, tfs, bucket = owner[order], tokens[order], tfs[order], bucket[order]
-        cuts = np.flatnonzero(np.diff(bucket)) + 1
-        cols = ([], [], [], [], [], [])
-        for o, t, f, at in zip(np.split(owner, cuts), np.split(tokens, cuts), np.split(tfs, cuts),
-                               bucket[np.concatenate(([0], cuts))], strict=True):
-            who, c = np.unique(o, return_counts=True)
-            for col, x in zip(cols, (int(at), keys[who].tobytes(), train[who].tobytes(),
-                                     c.astype(np.uint32).tobytes(), t.tobytes(), f.tobytes()),
-                              strict=True):
-                col.append(x)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])],
-            ["bucket", "keys", "train", "counts", "tokens", "tfs"])
+# ------------------------------------------------------------- counts
+def _chunks(batches):
+    """Rows of about CHUNK_TOKENS tokens: (doc_id, train, key, tokens), the
+    tokens hashed, with an end before the first and after the last."""
+    hasher, rows, held = Hasher(), [], 0
+    for b in batches:
+        for doc, train, text in zip(*(b.column(c) for c in ("doc_id", "train", "text")), strict=True):
+            doc, text = doc.as_py(), text.as_py()
+            t = hasher.array([END, *words(text), END])
+            rows.append((doc, train.as_py(), text_key(doc, text), t))
+            held += len(t)
+            if held >= CHUNK_TOKENS or len(rows) >= CHUNK_DOCS:
+                yield rows
+                rows, held = [], 0
+    if rows:
+        yield rows
+
+
+def _grams(texts: list[np.ndarray], order: int):
+    """(n, places of the texts, n-grams, their histories, their suffixes); the
+    n-grams of one word leave out the end before the text."""
+    t = np.concatenate(texts)
+    size = np.array([len(x) for x in texts])
+    owner = np.repeat(np.arange(len(texts)), size)
+    word = np.ones(len(t), bool)
+    word[np.cumsum(size) - size] = False
+    yield 1, owner[word], t[word], t[word], t[word]
+    g = t
+    for n in range(2, order + 1):
+        ok = owner[:-n + 1] == owner[n - 1:]
+        h, s = g[:-1], g[1:]
+        g = combine((h, s))
+        yield n, owner[:len(g)][ok], g[ok], h[ok], s[ok]
+
 
+def _dealt(at: np.ndarray):
+    """(place, its indices in order) of each place."""
+    order = np.argsort(at.astype(np.uint16) if len(at) and at.max() < 1 << 16 else at, kind="stable")
+    cuts = np.flatnonzero(np.diff(at[order])) + 1
+    for own in np.split(order, cuts) if len(order) else ():
+        yield int(at[own[0]]), own
+
+
+COUNTS = "n tinyint, bucket int, h binary, s binary, c binary"
+
+
+def _count(n_buckets: int, order: int):
+    """(n, bucket, histories, suffixes, counts) of a chunk's distinct n-grams."""
     def run(batches):
-        hasher, rows, held = Hasher(), [], 0
+        for rows in _chunks(batches):
+            for n, _, g, h, s in _grams([r[3] for r in rows], order):
+                g, at, c = np.unique(g, return_index=True, return_counts=True)
+                h, s, c = h[at], s[at], c.astype(np.uint32)
+                out = [(n, place, h[own].tobytes(), s[own].tobytes() if n > 1 else b"", c[own].tobytes())
+                       for place, own in _dealt((g % np.uint64(n_buckets)).astype(np.int64))]
+                if out:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, t) for x, t in zip(zip(*out, strict=True), (
+                            pa.int8(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
+                        ["n", "bucket", "h", "s", "c"])
+    return run
+
+
+def _add_counts(min_count: int):
+    """Packets of a task -> (n, g, h, s, c): all words, and longer n-grams seen ``min_count`` times."""
+    def run(batches):
+        held: dict[int, list[tuple]] = {}
+        size: Counter[int] = Counter()
+        least: Counter[int] = Counter()
+
+        def settle(n):
+            h, s, c = (np.concatenate(x) for x in zip(*held[n], strict=True))
+            g, at, of = np.unique(h if n == 1 else combine((h, s)), return_index=True, return_inverse=True)
+            held[n] = [(h[at], s[at], np.bincount(of, weights=c, minlength=len(g)).astype(np.int64))]
+            size[n] = 0
+            least[n] = max(HELD, len(g))
+            return g, *held[n][0]
+
         for b in batches:
-            for doc, text, train in zip(b.column("doc_id"), b.column("text"), b.column("train"),
-                                        strict=True):
-                text = text.as_py()
-                t, f = np.unique(hasher.array([*words(text), END]), return_counts=True)
-                rows.append((text_key(doc.as_py(), text), train.as_py(), t, f))
-                held += len(t)
-                if held >= PACKET_TOKENS:
-                    yield flush(rows)
-                    rows, held = [], 0
-        if rows:
-            yield flush(rows)
+            for n, h, s, c in zip(*(b.column(x) for x in ("n", "h", "s", "c")), strict=True):
+                n = n.as_py()
+                h = np.frombuffer(h.as_py(), np.uint64)
+                s = h if n == 1 else np.frombuffer(s.as_py(), np.uint64)
+                held.setdefault(n, []).append((h, s, np.frombuffer(c.as_py(), np.uint32).astype(np.int64)))
+                size[n] += len(h)
+                if size[n] > max(HELD, least[n]):
+                    settle(n)
+        for n in sorted(held):
+            g, h, s, c = settle(n)
+            del held[n]
+            on = np.flatnonzero(c >= (1 if n == 1 else min_count))
+            for i in range(0, len(on), HELD // 10):
+                own = on[i:i + HELD // 10]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(own), n, np.int8)), *(pa.array(x[own].view(np.int64)) for x in (g, h, s, c))],
+                    ["n", "g", "h", "s", "c"])
     return run
 
 
-PART, STATS, TOKENS = 0, 1, 2
-COUNTED = "kind tinyint, grp int, keys binary, sums binary, known binary, rows binary"
-
-
-def _count(tau: float, n_groups: int):
-    """Of one bucket, as packets: PART (document keys, sums of log10(c + 1), known
-    tokens, rows with that key), dealt by document; STATS (distinct and all
-    training tokens); TOKENS (hashes, training counts) that may be frequent in
-    the whole: a token frequent in the whole is frequent in its bucket."""
-    def bucket_packets(parts):
-        keys = np.concatenate([np.frombuffer(p[0], np.int64) for p in parts])
-        train = np.concatenate([np.frombuffer(p[1], np.uint8) for p in parts]).astype(bool)
-        n = np.concatenate([np.frombuffer(p[2], np.uint32) for p in parts])
-        tokens = np.concatenate([np.frombuffer(p[3], np.uint64) for p in parts])
-        tfs = np.concatenate([np.frombuffer(p[4], np.uint32) for p in parts]).astype(np.float64)
-        owner = np.repeat(np.arange(len(keys)), n)
-        vocab, at = np.unique(tokens, return_inverse=True)
-        c = np.bincount(at, weights=tfs * train[owner], minlength=len(vocab))
-        logs = np.bincount(owner, weights=tfs * np.log10(c + 1)[at], minlength=len(keys))
-        known = np.bincount(owner, weights=tfs * (c > 0)[at], minlength=len(keys)).astype(np.int64)
-        rows = np.bincount(owner, weights=tfs * (tokens == END_HASH), minlength=len(keys)).astype(np.int64)
-        group = (keys.view(np.uint64) % np.uint64(n_groups)).astype(np.int64)
-        order = np.argsort(group, kind="stable")
-        for own in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
-            yield PART, int(group[own[0]]), keys[own], logs[own], known[own], rows[own]
-        yield STATS, 0, np.array([(c > 0).sum()]), np.array([int(c.sum())]), known[:0], known[:0]
-        may = np.flatnonzero(c >= max(1.0, tau * c.sum()))
-        yield TOKENS, 0, vocab[may].view(np.int64), c[may].astype(np.int64), known[:0], known[:0]
+# ------------------------------------------------------------- weights
+def weigh(counts: DataFrame, places: int, *, order: int, discount: float) -> list[DataFrame]:
+    """For each n a table of the kept n-grams: g, c, lp (log10 of the last word's
+    probability after the others), lb (log10 bow), w (what it adds to a score that
+    holds its shorter n-grams; a word's is its failure arc)."""
+    def of(n):
+        return counts.where(F.col("n") == n).drop("n")
+
+    def with_failure(df, n):
+        """Adds lb, from the n-grams that go on from these."""
+        if n == order:
+            return df.withColumn("lb", F.lit(0.0))
+        held = of(n + 1).groupBy(F.col("h").alias("g")).agg(F.sum(F.col("c") - discount).alias("held"))
+        left = F.greatest(1.0 - F.coalesce("held", F.lit(0.0)) / F.col("c"), F.lit(1e-12))
+        return df.join(held, "g", "left").withColumn("lb", F.log10(left)).drop("held")
+
+    words_ = of(1).select("g", "c", F.log10((F.col("c") + 1.0) / float(places)).alias("lp"))
+    out = [anchored(with_failure(words_, 1).withColumn("w", F.col("lb")))]
+    for n in range(2, order + 1):
+        history = out[-1].select(F.col("g").alias("h"), F.col("c").alias("ch"), F.col("lb").alias("lbh"))
+        suffix = out[-1].select(F.col("g").alias("s"), F.col("lp").alias("lps"))
+        failed = F.col("lbh") + F.col("lps")
+        arcs = (of(n).join(history, "h").join(suffix, "s")
+                .withColumn("lp", F.log10((F.col("c") - discount) / F.col("ch") + F.pow(F.lit(10.0), failed)))
+                .select("g", "c", "lp", (F.col("lp") - failed).alias("over")))
+        out.append(anchored(with_failure(arcs, n).select("g", "c", "lp", "lb", (F.col("over") + F.col("lb")).alias("w"))))
+    return out
+
+
+# ------------------------------------------------------------- scores
+# Weights of words and of longer n-grams come first; then what texts ask for.
+WORD_WEIGHTS, GRAM_WEIGHTS, WORDS, GRAMS, ROWS, PART = range(6)
+
 
+def _packets(rows: list[tuple], ids: pa.DataType) -> pa.RecordBatch:
+    """(kind, place, four arrays, ids) each.  Weights: n-grams, values, values.
+    Words and n-grams: text keys, how many of each, n-grams.  Rows: text keys,
+    tokens, train, ids.  Parts: text keys, known tokens, base, model sums."""
+    kinds = pa.int8(), pa.int32(), *[pa.binary()] * 4, pa.list_(ids)
+    cols = list(zip(*[(k, p, *(None if x is None else x.tobytes() for x in xs), i) for k, p, *xs, i in rows],
+                    strict=True)) or [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
+                                      ["kind", "place", "keys", "n", "a", "b", "ids"])
+
+
+def _schema(kind: str) -> str:
+    return f"kind tinyint, place int, keys binary, n binary, a binary, b binary, ids array<{kind}>"
+
+
+def _parts(keys, known, base, more, n_groups: int) -> list[tuple]:
+    group = (keys.view(np.uint64) % np.uint64(n_groups)).astype(np.int64)
+    return [(PART, at, keys[own], known[own], base[own], more[own], None) for at, own in _dealt(group)]
+
+
+def _found(table: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the sorted table, and whether they hold the n-gram."""
+    if not len(table):
+        return np.zeros(len(g), np.int64), np.zeros(len(g), bool)
+    at = np.minimum(np.searchsorted(table, g), len(table) - 1)
+    return at, table[at] == g
+
+
+def _ask(sent, n_buckets: int, order: int, ids: pa.DataType):
+    """Of each chunk: the rows, the part of their scores that the broadcast
+    weights give, and all other n-grams, dealt by bucket."""
     def run(batches):
-        buckets = _gathered(batches)
-        while buckets:
-            rows = list(zip(*bucket_packets(buckets.popitem()[1]), strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int8()), pa.array(rows[1], pa.int32()),
-                 *(pa.array([x.tobytes() for x in col], pa.binary()) for col in rows[2:])],
-                ["kind", "grp", "keys", "sums", "known", "rows"])
+        (hot, counted, failure), (hot_grams, gain) = sent.value
+        for rows in _chunks(batches):
+            texts = [r[3] for r in rows]
+            keys = np.array([r[2] for r in rows], np.int64)
+            train, tokens = np.array([r[1] for r in rows], np.uint8), np.array([len(t) - 1 for t in texts])
+            known, base, more = np.zeros(len(rows), np.int64), np.zeros(len(rows)), np.zeros(len(rows))
+            for n, owner, g, _, _ in _grams(texts, order):
+                at, hit = _found(hot if n == 1 else hot_grams, g)
+                by, at = owner[hit], at[hit]
+                more += np.bincount(by, weights=(failure if n == 1 else gain)[at], minlength=len(rows))
+                if n == 1:
+                    known += np.bincount(by, minlength=len(rows))
+                    base += np.bincount(by, weights=counted[at], minlength=len(rows))
+                owner, g = owner[~hit], g[~hit]
+                out = []
+                for place, own in _dealt((g % np.uint64(n_buckets)).astype(np.int64)):
+                    who, c = np.unique(owner[own], return_counts=True)
+                    out.append((WORDS if n == 1 else GRAMS, place, keys[who], c.astype(np.uint32), g[own], None, None))
+                if out:
+                    yield _packets(out, ids)
+            out = _parts(keys, known, base, more, n_buckets)
+            for place, own in _dealt((keys.view(np.uint64) % np.uint64(n_buckets)).astype(np.int64)):
+                out.append((ROWS, place, keys[own], tokens[own], train[own], None, [rows[i][0] for i in own.tolist()]))
+            yield _packets(out, ids)
     return run
 
 
-def _gathered(batches) -> dict[int, list[tuple]]:
-    """The packets of a task by their first column."""
-    out: dict[int, list[tuple]] = {}
-    for b in batches:
-        for at, *part in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            out.setdefault(at, []).append(tuple(part))
-    return out
+def _deal_weights(kind: int, n_buckets: int, ids: pa.DataType):
+    """(g, a, b) rows as packets of their buckets."""
+    def run(batches):
+        held, size = [], 0
+
+        def flush():
+            g, a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+            return _packets([(kind, place, g[own], None, a[own], b[own], None) for place, own in
+                             _dealt((g.view(np.uint64) % np.uint64(n_buckets)).astype(np.int64))], ids)
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+                size += batch.num_rows
+            if size >= HELD:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
+    return run
 
 
-def _add_up(batches):
-    """PART packets of a task -> (key, s, m, r) by document key."""
-    groups = _gathered(batches)
-    while groups:
-        parts = groups.popitem()[1]
-        key, at = np.unique(np.concatenate([np.frombuffer(p[0], np.int64) for p in parts]), return_inverse=True)
-        s, m, r = (np.bincount(at, weights=np.concatenate([np.frombuffer(p[i], t) for p in parts]))
-                   for i, t in ((1, np.float64), (2, np.int64), (3, np.int64)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key), pa.array(s), pa.array(m.astype(np.int64)), pa.array(r.astype(np.int64))],
-            ["key", "s", "m", "r"])
+def _answer(n_groups: int, ids: pa.DataType):
+    """Packets of a task, weights first -> parts of the scores; rows pass."""
+    def run(batches):
+        weights: dict[int, list[tuple]] = {WORD_WEIGHTS: [], GRAM_WEIGHTS: []}
+        tables: dict[int, tuple] = {}
+        held: list[tuple] = []
+        size = 0
+
+        def table(kind):
+            if kind not in tables:
+                got = weights.pop(kind) or [(np.empty(0, np.uint64), np.empty(0), np.empty(0))]
+                g, a, b = (np.concatenate(x) for x in zip(*got, strict=True))
+                order = np.argsort(g)
+                tables[kind] = g[order], a[order], b[order]
+            return tables[kind]
+
+        def flush():
+            return _packets(_parts(*(np.concatenate(x) for x in zip(*held, strict=True)), n_groups), ids)
+
+        for batch in batches:
+            passed = []
+            for kind, place, keys, n, a, b, own in zip(*batch.columns, strict=True):
+                kind = kind.as_py()
+                if kind in (WORD_WEIGHTS, GRAM_WEIGHTS):
+                    weights[kind].append((np.frombuffer(keys.as_py(), np.uint64), np.frombuffer(a.as_py()),
+                                          np.frombuffer(b.as_py())))
+                elif kind in (ROWS, PART):
+                    keys, n, a, b = (None if x.as_py() is None else np.frombuffer(x.as_py(), np.uint8)
+                                     for x in (keys, n, a, b))
+                    passed.append((kind, place.as_py(), keys, n, a, b, own.as_py()))
+                else:
+                    keys, g = np.frombuffer(keys.as_py(), np.int64), np.frombuffer(a.as_py(), np.uint64)
+                    owner = np.repeat(np.arange(len(keys)), np.frombuffer(n.as_py(), np.uint32))
+                    of, first, second = table(WORD_WEIGHTS if kind == WORDS else GRAM_WEIGHTS)
+                    at, hit = _found(of, g)
+                    owner, at = owner[hit], at[hit]
+                    base, more = (np.bincount(owner, weights=x[at], minlength=len(keys)) for x in (first, second))
+                    known = np.bincount(owner, minlength=len(keys)) * (kind == WORDS)
+                    on = np.flatnonzero(np.bincount(owner, minlength=len(keys)))
+                    held.append((keys[on], known[on], base[on], more[on]))
+                    size += len(on)
+                    if size >= HELD // 2:
+                        yield flush()
+                        held, size = [], 0
+            if passed:
+                yield _packets(passed, ids)
+        if held:
+            yield flush()
+    return run
 
 
-def _frequent(least: float):
-    """TOKENS packets -> (token, c) of the tokens counted at least that often."""
+def _add_up(total: int, places: float, ids: pa.DataType):
+    """Rows and parts of a task -> one row per document row."""
     def run(batches):
-        for b in batches:
-            for h, c in zip(b.column("keys").to_pylist(), b.column("sums").to_pylist(), strict=True):
-                h, c = np.frombuffer(h, np.int64), np.frombuffer(c, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(h[c >= least]), pa.array(c[c >= least])], ["token", "c"])
+        rows, held, size = [], [], 0
+        least = HELD
+
+        def settle():
+            key, of = np.unique(np.concatenate([p[0] for p in held]), return_inverse=True)
+            return key, *(np.bincount(of, weights=np.concatenate([p[i] for p in held]), minlength=len(key))
+                          for i in (1, 2, 3))
+
+        for batch in batches:
+            for kind, keys, n, a, b, own in zip(*(batch.column(c) for c in ("kind", "keys", "n", "a", "b", "ids")),
+                                                strict=True):
+                keys, n = np.frombuffer(keys.as_py(), np.int64), np.frombuffer(n.as_py(), np.int64)
+                if kind.as_py() == ROWS:
+                    rows.append((keys, n, np.frombuffer(a.as_py(), np.uint8), own.values))
+                    continue
+                held.append((keys, n, np.frombuffer(a.as_py()), np.frombuffer(b.as_py())))
+                size += len(keys)
+                if size > least:
+                    held, size = [settle()], 0
+                    least = max(HELD, len(held[0][0]))
+        if not rows:
+            return
+        key, m, s, w = settle()
+        keys, n, train = (np.concatenate(x) for x in list(zip(*rows, strict=True))[:3])
+        at = np.searchsorted(key, keys)
+        alike = np.bincount(at, minlength=len(key))[at]  # rows that share a key share its sums
+        base = s[at] / alike - n * places
+        yield pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([r[3].cast(ids) for r in rows]), pa.array(train.astype(bool)), pa.array(n),
+             pa.array(np.rint(m[at] / alike).astype(np.int64)), pa.array(np.full(len(n), total, np.int64)),
+             pa.array(base), pa.array(base + w[at] / alike)],
+            ["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
 
@@ -427,55 +625,46 @@ def fit(train: DataFrame, hashes: np.ndarray, counts: np.ndarray, total: int, ty
 
 
 def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                    train_col: str = "train", tau: float = TAU, order: int = ORDER,
+                    train_col: str = "train", tau: float = TAU, min_count: int = MIN_COUNT, order: int = ORDER,
                     discount: float = DISCOUNT) -> DataFrame:
     """One row per document row: doc_id, train, n_tokens, n_known, train_tokens,
     base_score (add-one unigram), score (the model).
 
     ``train_col`` (boolean, null as false) marks the rows to learn from.
+    ``tau`` only says which weights are broadcast; it changes no score.
     """
-    if 1 / tau >= 1 << SYMBOL_BITS:
-        raise ValueError("tau is too small for the symbol width")
     spark = docs.sparkSession
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                       F.coalesce(F.col(f"`{train_col}`"), F.lit(False)).alias("train"))
     n_buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counted = anchored(
-        src.mapInArrow(_packets(n_buckets), "bucket int, keys binary, train binary, counts binary, "
-                                            "tokens binary, tfs binary")
-        .repartition(n_buckets, "bucket").mapInArrow(_count(tau, n_buckets), COUNTED))
-    stats = [np.frombuffer(b"".join(bytes(r[c]) for r in rows), np.int64).sum() for rows in [
-        counted.where(F.col("kind") == STATS).select("keys", "sums").collect()] for c in (0, 1)]  # a row a bucket
-    types, total = map(int, stats)
-    frequent = (counted.where(F.col("kind") == TOKENS).select("keys", "sums")
-                .mapInArrow(_frequent(max(1.0, tau * total)), "token bigint, c bigint")
-                .orderBy(F.desc("c"), "token").toArrow())  # at most 1 / tau rows
-    model = fit(src.where("train"), frequent.column("token").to_numpy().view(np.uint64),
-                frequent.column("c").to_numpy(), total, types,
-                tau=tau, order=order, discount=discount)
-    sent = spark.sparkContext.broadcast(model)
-
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        a = automaton(sent.value)
-        for b in batches:
-            ids_of = iter(b.column("doc_id").to_pylist())
-            keys, ns, scores = [], [], []
-            for ids, ends, texts in _runs(b.column("text"), a.symbols):
-                keys += [text_key(next(ids_of), t) for t in texts]
-                ns.append(np.diff(ends))
-                scores.append(a.score_run(ids, ends))
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), b.column("train"), pa.array(keys, pa.int64()),
-                     pa.array(np.concatenate(ns)), pa.array(np.concatenate(scores))],
-                    ["doc_id", "train", "key", "n_tokens", "score"])
-
+    counts = anchored(src.where("train").mapInArrow(_count(n_buckets, order), COUNTS)
+                      .repartition(n_buckets, "bucket")
+                      .mapInArrow(_add_counts(min_count), "n tinyint, g bigint, h bigint, s bigint, c bigint"))
+    total, types = counts.where("n = 1").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    places = total + types + 1
+    levels = weigh(counts, places, order=order, discount=discount)
+    words_ = levels[0].select("g", F.log10(F.col("c") + 1.0).alias("a"), F.col("w").alias("b"), "c")
+    grams = levels[0].where("false").select("g", F.lit(0.0).alias("a"), F.col("w").alias("b"), "c")
+    for x in levels[1:]:
+        grams = grams.unionByName(x.select("g", F.lit(0.0).alias("a"), F.col("w").alias("b"), "c"))
+    hot = F.col("c") >= max(1.0, tau * total)
+
+    def frequent(df: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        t = df.where(hot).drop("c").toArrow()  # at most 1 / tau rows for each n
+        g, a, b = (t.column(i).to_numpy() for i in range(3))
+        at = np.argsort(g.view(np.uint64))
+        return g.view(np.uint64)[at], a[at], b[at]
+
+    g, _, gain = frequent(grams)
+    sent = spark.sparkContext.broadcast((frequent(words_), (g, gain)))
     kind = src.schema["doc_id"].dataType.simpleString()
-    scored = src.mapInArrow(run, f"doc_id {kind}, train boolean, key bigint, n_tokens bigint, score double")
-    parts = (counted.where(F.col("kind") == PART).select("grp", "keys", "sums", "known", "rows")
-             .repartition(n_buckets, "grp").mapInArrow(_add_up, "key bigint, s double, m bigint, r bigint"))
-    places = math.log10(total + types + 1)
-    return (scored.join(parts, "key", "left")
-            .select("doc_id", "train", "n_tokens", (F.col("m") / F.col("r")).cast("bigint").alias("n_known"),
-                    F.lit(total).cast("bigint").alias("train_tokens"),
-                    (F.col("s") / F.col("r") - F.col("n_tokens") * places).alias("base_score"), "score"))
+    ids = to_arrow_type(src.schema["doc_id"].dataType)
+    asked = src.mapInArrow(_ask(sent, n_buckets, order, ids), _schema(kind))
+    for which, df in ((WORD_WEIGHTS, words_), (GRAM_WEIGHTS, grams)):
+        asked = asked.unionByName(df.where(~hot).drop("c").mapInArrow(_deal_weights(which, n_buckets, ids), _schema(kind)))
+    answered = (asked.repartition(n_buckets, "place").sortWithinPartitions("kind")
+                .mapInArrow(_answer(n_buckets, ids), _schema(kind)))
+    return (answered.repartition(n_buckets, "place")
+            .mapInArrow(_add_up(total, math.log10(places), ids),
+                        f"doc_id {kind}, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+                        "base_score double, score double"))
