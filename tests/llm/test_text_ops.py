@@ -197,6 +197,19 @@ def test_toxicity_edge_rows(spark):
     assert ftrl.score(docs.limit(0), w).count() == 0
 
 
+def test_toxicity_of_very_long_texts(spark):
+    """Length alone flags no clean text, and hides no toxic one."""
+    rows = toxic_rows()
+    new = " ".join(f"novel{i * 7919}" for i in range(150_000))
+    held = [(5000, new, 0), (5001, new + " " + rows[1][1], 0), (5002, f"{new} grumble snarkish grumbled {new}", 1)]
+    docs = spark.createDataFrame([r[:2] for r in rows + held], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    w, seen = ftrl.fit(docs, labels)
+    got = {r.doc_id: r for r in ftrl.score(docs, w, seen).collect()}
+    assert [got[i].predicted for i, _, _ in held] == [0, 0, 1]
+    assert got[5000].score == pytest.approx(ftrl.probability(float(w[0])))
+
+
 def test_features_are_the_named_ones():
     h, s = Hasher(), Hasher()
     a = set(ftrl.features("one two three", h, s).tolist())

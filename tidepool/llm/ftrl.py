@@ -4,6 +4,9 @@ Features of a text, each present or not: its words (letters and digits, A-Z
 lower-cased), neighbouring pairs, pairs that skip one word, and the beginnings
 of longer words, so that inflected forms share a weight.  Their 64-bit hashes
 are folded into ``dims`` coordinates; the texts themselves are the only input.
+A long text switches on many coordinates by chance, so scoring counts a
+coordinate only for a feature that the training rows hold too (``seen``): a
+text of new words scores as an empty one, whatever its length.
 
 Training reads a bounded sample: the ``max_rows`` labelled rows with the
 smallest md5 of their id.  The rows are dealt over ``shards`` tasks by id
@@ -28,26 +31,34 @@ from pyspark.sql import functions as F
 from .common import Hasher, anchored, combine, pick
 from .wu_manber import bench_words
 
-DIMS = 1 << 18
+DIMS = 1 << 20
 SHARDS = 4
-ROUNDS = 6
+ROUNDS = 8
 MAX_ROWS = 24_000
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 2.0, 0.3
 STEM = 4
 THRESHOLD = 0.3
 
 
-def features(text: str | None, hasher: Hasher, stems: Hasher, dims: int = DIMS) -> np.ndarray:
-    """Distinct coordinates of a text; coordinate 0 is the bias."""
+def hashes(text: str | None, hasher: Hasher, stems: Hasher) -> np.ndarray:
+    """64-bit hashes of a text's features."""
     ws = bench_words(text)
     if not ws:
-        return np.zeros(1, np.int64)
+        return np.empty(0, np.uint64)
     h = hasher.array(ws)
     beginnings = {w[:STEM] for w in ws if len(w) > STEM} | {w[:STEM + 2] for w in ws if len(w) > STEM + 2}
-    parts = [h, combine((h[:-1], h[1:])), combine((h[:-2] ^ np.uint64(0x5BD1E995), h[2:])),
-             stems.array([b"^" + b for b in beginnings])]
-    idx = np.unique(np.concatenate(parts) % np.uint64(dims - 1)).astype(np.int64) + 1
-    return np.concatenate(([0], idx))
+    return np.concatenate([h, combine((h[:-1], h[1:])), combine((h[:-2] ^ np.uint64(0x5BD1E995), h[2:])),
+                           stems.array([b"^" + b for b in beginnings])])
+
+
+def coordinates(h: np.ndarray, dims: int) -> np.ndarray:
+    """Coordinates of hashed features; coordinate 0 is the bias."""
+    return (h % np.uint64(dims - 1)).astype(np.int64) + 1
+
+
+def features(text: str | None, hasher: Hasher, stems: Hasher, dims: int = DIMS) -> np.ndarray:
+    """Distinct coordinates of a text, with the bias."""
+    return np.concatenate(([0], np.unique(coordinates(hashes(text, hasher, stems), dims))))
 
 
 def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -118,10 +129,31 @@ def _pass(state, dims: int):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", dims: int = DIMS, shards: int = SHARDS, rounds: int = ROUNDS,
-          max_rows: int = MAX_ROWS) -> np.ndarray:
-    """Weights (``dims`` floats) learned from the labelled documents.
+def _hashes_at(on: np.ndarray, dims: int):
+    """Distinct hashes of a batch's features at the coordinates ``on``."""
+    def run(batches):
+        hasher, stems = Hasher(), Hasher()
+        wanted = np.zeros(dims, bool)
+        wanted[on] = True
+        for b in batches:
+            got = [np.empty(0, np.uint64)]
+            for t in b.column("text"):
+                h = hashes(t.as_py(), hasher, stems)
+                got.append(np.unique(h[wanted[coordinates(h, dims)]]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(got)).view(np.int64))], ["h"])
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, **options) -> np.ndarray:
+    """The weights alone (see ``fit``)."""
+    return fit(docs, labels, **options)[0]
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+        label_col: str = "toxic", dims: int = DIMS, shards: int = SHARDS, rounds: int = ROUNDS,
+        max_rows: int = MAX_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (``dims`` floats) learned from the labelled documents, and the
+    sorted hashes of the training rows' features whose weight isn't zero.
 
     An id labelled more than once takes its largest label; ids in ``labels``
     without a document are ignored.
@@ -133,37 +165,51 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
               .orderBy("ord").limit(max_rows)
               .withColumn("shard", F.expr(f"cast(pmod(xxhash64(ord), {shards}) as int)")))
     # at most max_rows short rows
-    rows = (pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(sample), "doc_id")
-            .select("shard", "ord", "label", "text")
-            .mapInArrow(_featurise(dims), "shard int, ord string, label int, idx binary"))
+    sample = F.broadcast(anchored(sample))
+    texts = (pick(docs, doc_id=id_col, text=text_col).join(sample, "doc_id")
+             .select("shard", "ord", "label", "text"))
+    rows = (texts.mapInArrow(_featurise(dims), "shard int, ord string, label int, idx binary"))
     rows = anchored(rows.repartition(shards, "shard").sortWithinPartitions("shard", "ord"))
     z, n = np.zeros(dims), np.zeros(dims)
     for _ in range(rounds):
         state = spark.sparkContext.broadcast((z, n))
         z, n = z.copy(), n.copy()
         changes = rows.mapInArrow(_pass(state, dims), "idx binary, dz binary, dn binary")
-        for r in sorted(changes.collect()):  # a row a shard
+        for r in changes.toLocalIterator(prefetchPartitions=True):  # a row a shard, one or two held at once
             i = np.frombuffer(r.idx, np.int32)
             z[i] += np.frombuffer(r.dz, np.float32) / shards
             n[i] += np.frombuffer(r.dn, np.float32) / shards
         state.destroy()
-    return weights(z, n).astype(np.float32)
+    w = weights(z, n).astype(np.float32)
+    on = np.flatnonzero(w)
+    # of at most max_rows texts, only features at the weights that L1 leaves
+    seen = texts.select("text").mapInArrow(_hashes_at(on, dims), "h bigint").distinct().toArrow()
+    return w, np.sort(seen.column("h").to_numpy().view(np.uint64))
 
 
-def score(docs: DataFrame, w: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text",
-          threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, score, predicted for every row; the whole text counts."""
+def score(docs: DataFrame, w: np.ndarray, seen: np.ndarray | None = None, *, id_col: str = "doc_id",
+          text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, score, predicted for every row; the whole text counts.  With
+    ``seen`` (sorted hashes) only these features do."""
     at = np.flatnonzero(w).astype(np.int32)
-    sent = docs.sparkSession.sparkContext.broadcast((len(w), at, w[at]))
+    sent = docs.sparkSession.sparkContext.broadcast((len(w), at, w[at], seen))
 
     def run(batches):
-        dims, on, values = sent.value
+        dims, on, values, seen = sent.value
         dense = np.zeros(dims, np.float32)
         dense[on] = values
         hasher, stems = Hasher(), Hasher()
+
+        def total(text: str | None) -> float:
+            h = hashes(text, hasher, stems)
+            if seen is not None:
+                h = h[dense[coordinates(h, dims)] != 0]
+                h = h[np.isin(h, seen)]
+            idx = np.unique(coordinates(h, dims))
+            return float(dense[0]) + float(dense[idx].sum(dtype=np.float64))
+
         for b in batches:
-            p = np.array([probability(float(dense[features(t.as_py(), hasher, stems, dims)]
-                                            .sum(dtype=np.float64))) for t in b.column("text")])
+            p = np.array([probability(total(t.as_py())) for t in b.column("text")])
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(p, pa.float64()),
                  pa.array((p >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])

@@ -109,7 +109,7 @@ def op8(spark, sf_dir):
     from . import ftrl
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(_remainder("doc_id", 4) != 2)
-    scored = ftrl.score(docs, ftrl.train(docs, labels))
+    scored = ftrl.score(docs, *ftrl.fit(docs, labels))
     return scored.select("doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
