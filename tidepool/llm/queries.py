@@ -193,3 +193,16 @@ def op1(spark, sf_dir):
     from . import lattice_lsh
     r = lattice_lsh.near_duplicates(table(spark, sf_dir, "embeddings"))
     return r.select("vec_id", "n_links", "component_id", "kept")
+
+
+COUNT_TOKENIZER = "word_bpe_49k.json"
+
+
+@register("op11_token_counts")
+def op11(spark, sf_dir):
+    import public_tokenizers
+
+    from . import token_counts
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
+    r = token_counts.count_tokens(docs, public_tokenizers.path(COUNT_TOKENIZER))
+    return r.select("doc_id", "n_bytes", "n_tokens", "over_limit")
