@@ -206,3 +206,27 @@ def op11(spark, sf_dir):
     docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
     r = token_counts.count_tokens(docs, public_tokenizers.path(COUNT_TOKENIZER))
     return r.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def _search_terms(column: str) -> str:
+    return rf"""list_filter(string_split_regex(translate(coalesce({column}, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+
+@register("op13_ranked_search", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_search_terms('text')} AS ws FROM documents),
+g AS (SELECT count(*) AS nd, sum(len(ws)) AS nt FROM d WHERE len(ws) > 0),
+q AS (SELECT row_number() OVER () AS i, item_id, unnest(list_distinct({_search_terms('text')})) AS t FROM benchmark),
+o AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ws) AS t FROM d)
+      WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM o, g GROUP BY t, nd),
+m AS (SELECT r, doc_id, 50 + ((50 * len(ws) * nd) // nt) AS m FROM d, g WHERE len(ws) > 0),
+s AS (SELECT i, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS score
+      FROM q JOIN o USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM k WHERE rank <= 50""")
+def op13(spark, sf_dir):
+    from . import nra_search
+    return nra_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
