@@ -230,3 +230,23 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS
 def op13(spark, sf_dir):
     from . import nra_search
     return nra_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op12_hard_negatives", """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same,
+        CAST(list_inner_product(a.e, b.e) AS BIGINT) AS s
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT a, b, s, row_number() OVER (PARTITION BY a ORDER BY s DESC, b) AS r FROM s WHERE same),
+n AS (SELECT p.a, p.b AS p, p.s AS ps, s.b AS n, s.s AS ns,
+        row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) AS r
+      FROM p JOIN s ON s.a = p.a AND NOT same AND 50 * p.s <= 100 * s.s AND 100 * s.s <= 95 * p.s WHERE p.r <= 5)
+SELECT a AS anchor_id, p AS positive_id, CAST(r AS INTEGER) AS rank, n AS negative_id, ps AS positive_score,
+       ns AS negative_score FROM n WHERE r <= 3""")
+def op12(spark, sf_dir):
+    from . import gnat
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return gnat.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
