@@ -35,7 +35,11 @@ WINDOW = "5 minutes"
 THRESHOLD = 3
 WATERMARK_DELAY = "30 seconds"
 
-# Alerter: key expiry in days; subject length limit.
+# Alerter: a batch's records and waiting time, tries of a record that fails, key
+# expiry in days; subject length limit.
+ALERT_BATCH_RECORDS = 100
+ALERT_BATCH_SECONDS = 30
+ALERT_TRIES = 5
 ALERT_TTL_DAYS = 30
 ALERT_SUBJECT_MAX = 99
 

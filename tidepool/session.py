@@ -43,6 +43,26 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
     return spark
 
 
+# Streaming state in RocksDB; a batch's checkpoint is its changes, and snapshots
+# are made in the background.
+ROCKSDB_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def rocksdb_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose streaming state is in RocksDB: the
+    setting holds for the queries started on it and for no other."""
+    own = spark.newSession()
+    for k in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled"):
+        own.conf.set(k, spark.conf.get(k))
+    for k, v in ROCKSDB_CONF.items():
+        own.conf.set(k, v)
+    return own
+
+
 MB = 1 << 20
 
 
@@ -63,8 +83,7 @@ def cluster_conf(shuffle_bytes: int, total_cores: int, target_partition_mb: int
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        **ROCKSDB_CONF,
     })
     return conf
 
