@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dedup import latest_per_key
+from .slots import SLOT_ROWS, dense_cuts, same_keys, with_slots
 
 
 def current_state(changes: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -33,35 +34,38 @@ def current_state(changes: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def next_in_sequence(df: DataFrame, keys: Sequence[str], ts_col: str,
                      tiebreak: Sequence[str] = (), bucket_seconds: int = 86400,
-                     out_col: str = "next_ts") -> DataFrame:
+                     out_col: str = "next_ts", slot_rows: int = SLOT_ROWS) -> DataFrame:
     """``lead(ts_col)`` per key in (time, tiebreak) order, without a per-key window.
 
-    Level 1 is a window per (key, time bucket); the last row of a bucket takes
-    the first row of the key's next non-empty bucket, found by a window over
-    one row per (key, bucket) (a partial aggregate).  A hot key is spread
-    over its buckets, and the level-2 window sees keys × buckets rows.
+    Level 1 is a window per (key, slot): time buckets, those with more than
+    ``slot_rows`` rows cut by density.  The last row of a slot takes the first
+    row of the key's next non-empty slot, found by a window over one row per
+    (key, slot) (a partial aggregate).  A null key is a key like any other.
     """
     keys = list(keys)
-    b = F.floor(F.unix_timestamp(F.col(ts_col)) / bucket_seconds).cast("bigint")
-    x = df.withColumn("__b", b)
-    w1 = Window.partitionBy(*keys, "__b").orderBy(ts_col, *tiebreak)
-    local = x.withColumn("__next", F.lead(ts_col).over(w1))
-    firsts = (x.groupBy(*keys, "__b")
-               .agg(F.min(F.struct(F.col(ts_col).alias("t"), *[F.col(c) for c in tiebreak]))["t"]
-                    .alias("__first")))
-    w2 = Window.partitionBy(*keys).orderBy("__b")
+    cuts = dense_cuts(df, keys, ts_col, bucket_seconds, slot_rows)
+    x = with_slots(df, cuts, keys, ts_col, bucket_seconds)
+    slot = [*keys, "__b", "__s"]
+    local = x.withColumn("__next", F.lead(ts_col).over(Window.partitionBy(*slot).orderBy(ts_col, *tiebreak)))
+    firsts = x.groupBy(*slot).agg(F.min(ts_col).alias("__first"))
+    w2 = Window.partitionBy(*keys).orderBy("__b", "__s")
     following = firsts.withColumn("__after", F.lead("__first").over(w2)).drop("__first")
-    out = local.join(following, [*keys, "__b"], "left")
+    out = same_keys(local, following, slot, "left")
     return (out.withColumn(out_col, F.coalesce(F.col("__next"), F.col("__after")))
-               .drop("__b", "__next", "__after"))
+               .drop("__b", "__s", "__next", "__after"))
 
 
 def scd2_intervals(changes: DataFrame, keys: Sequence[str], ts_col: str,
-                   tiebreak: Sequence[str] = (), bucket_seconds: int = 86400) -> DataFrame:
+                   tiebreak: Sequence[str] = (), bucket_seconds: int = 86400,
+                   delete_flag: str | None = None, slot_rows: int = SLOT_ROWS) -> DataFrame:
     """SCD-2 rows with ``valid_from``/``valid_to`` (null = current) and
-    ``is_current``.  Versions per key are ordered by (time, tiebreak); the
-    next version is found with ``next_in_sequence`` (skew-safe)."""
-    nxt = next_in_sequence(changes, keys, ts_col, tiebreak, bucket_seconds, "valid_to")
+    ``is_current``.  Versions per key are ordered by (time, tiebreak); the next
+    version is found with ``next_in_sequence`` (skew-safe), so of a key's versions,
+    a null key's too, one is current.  With ``delete_flag`` a delete closes the
+    interval before it and is no version itself: a deleted key has no current one."""
+    nxt = next_in_sequence(changes, keys, ts_col, tiebreak, bucket_seconds, "valid_to", slot_rows)
+    if delete_flag:
+        nxt = nxt.where(~F.coalesce(F.col(delete_flag), F.lit(False))).drop(delete_flag)
     return (nxt.withColumn("valid_from", F.col(ts_col))
                .withColumn("is_current", F.col("valid_to").isNull()))
 
@@ -82,10 +86,12 @@ def merge_partitions(spark, target_path: str, updates: DataFrame, keys: Sequence
     (a semi-join on the key columns).  They are merged (latest per key), kept
     in a scratch table below the shared checkpoint folder, since files can't be
     read and overwritten in one plan, and written back; a partition whose rows
-    all moved away is removed.  Null keys and null partition values count as
+    all moved away is removed.  If the job ends between the write and the removal, a
+    moved key stands in both partitions; running the same updates again finds it
+    there and removes it.  Null keys and null partition values count as
     equal.  Other partitions are neither read beyond their keys nor rewritten.
     """
-    from ..session import checkpoint_dir, path_exists, remove_tree
+    from ..session import checkpoint_dir, path_exists, remove_tree, remove_uri
 
     parts, keys = list(partition_cols), list(keys)
 
@@ -112,10 +118,12 @@ def merge_partitions(spark, target_path: str, updates: DataFrame, keys: Sequence
                                 keys, list(order))
         merged.write.parquet(scratch)
         merged = spark.read.schema(merged.schema).parquet(scratch)
-        # at most one row per touched partition comes to the driver
-        emptied = [r[0] for r in same(current, merged, parts, "left_anti").select("__folder").distinct().collect()]
+        emptied = same(current, merged, parts, "left_anti").select("__folder").distinct()
+        emptied.write.parquet(f"{scratch}_emptied")
         write(merged)
-        for gone in emptied:
-            remove_tree(spark, gone)
+        # one folder at a time on the driver, which has to remove them
+        for gone in spark.read.schema("__folder string").parquet(f"{scratch}_emptied").toLocalIterator():
+            remove_uri(spark, gone[0])
     finally:
         remove_tree(spark, scratch)
+        remove_tree(spark, f"{scratch}_emptied")

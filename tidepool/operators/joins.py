@@ -25,17 +25,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-def _bucket(ts_col: str, width_seconds: int):
-    return F.floor(F.unix_timestamp(F.col(ts_col)) / width_seconds).cast("bigint")
+from .slots import SLOT_ROWS, dense_cuts, with_slots
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str,
               right_cols: Sequence[str], tiebreak: Sequence[str] = (), prefix: str = "",
-              bucket_seconds: int = 86400, allow_equal: bool = True) -> DataFrame:
+              bucket_seconds: int = 86400, allow_equal: bool = True, slot_rows: int = SLOT_ROWS) -> DataFrame:
     """Left as-of join; returns ``left`` columns plus ``prefix + right_cols``.
 
     ``tiebreak`` orders right rows that share a time (greatest wins).
     ``allow_equal`` lets a right row with the same time match (``>=``).
+    Time buckets with more than ``slot_rows`` rows of a key (both sides) are cut by
+    density, so no task sorts more than about that.
     """
     by = list(by)
     rcols = list(dict.fromkeys([right_ts, *tiebreak, *right_cols]))
@@ -54,28 +55,31 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
                      F.col(right_ts).alias("__t"), F.lit(r_side).alias("__side"),
                      payload.alias("__r"))
     bys = [f"__by{i}" for i in range(len(by))]
-    both = L.unionByName(R).withColumn("__b", _bucket("__t", bucket_seconds))
+    times = L.select(*bys, "__t").unionByName(R.select(*bys, "__t"))
+    cuts = dense_cuts(times, bys, "__t", bucket_seconds, slot_rows)
+    both = with_slots(L.unionByName(R), cuts, bys, "__t", bucket_seconds)
+    slot = [*bys, "__b", "__s"]
     tb = [F.col(f"__r.{c}") for c in tiebreak]
-    w1 = (Window.partitionBy(*bys, "__b").orderBy("__t", "__side", *tb)
+    w1 = (Window.partitionBy(*slot).orderBy("__t", "__side", *tb)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = (both.withColumn("__local", F.last("__r", ignorenulls=True).over(w1))
                  .where(F.col("__side") == 1))
     # level 2: last right row per (key, bucket), carried across buckets
-    last_in = (R.withColumn("__b", _bucket("__t", bucket_seconds))
-                .groupBy(*bys, "__b")
+    last_in = (with_slots(R, cuts, bys, "__t", bucket_seconds)
+                .groupBy(*slot)
                 .agg(F.max(F.struct(F.col("__t").alias("__t"), *[c.alias(f"__tb{i}") for i, c in
                                                                  enumerate(tb)], F.col("__r")))
                      ["__r"].alias("__last")))
     # the slots that left rows ask for, and those that carry something; both from
     # partial aggregates over the inputs, not from the window's output
-    asked = L.select(*bys, _bucket("__t", bucket_seconds).alias("__b")).distinct()
-    slots = asked.unionByName(last_in.select(*bys, "__b")).distinct()
-    w2 = (Window.partitionBy(*bys).orderBy("__b")
+    asked = with_slots(L.select(*bys, "__t"), cuts, bys, "__t", bucket_seconds).select(*slot).distinct()
+    slots = asked.unionByName(last_in.select(*slot)).distinct()
+    w2 = (Window.partitionBy(*bys).orderBy("__b", "__s")
           .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (slots.join(last_in, [*bys, "__b"], "left")
+    carry = (slots.join(last_in, slot, "left")
                   .withColumn("__carry", F.last("__last", ignorenulls=True).over(w2))
-                  .select(*bys, "__b", "__carry"))
-    joined = local.join(carry, [*bys, "__b"], "left")
+                  .select(*slot, "__carry"))
+    joined = local.join(carry, slot, "left")
     best = F.coalesce(F.col("__local"), F.col("__carry"))
     return joined.select(*[F.col(c) for c in lcols],
                          *[best[c].alias(f"{prefix}{c}") for c in right_cols])

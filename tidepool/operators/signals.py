@@ -120,13 +120,13 @@ def features_before(ticks: DataFrame, bars: DataFrame, features: list[str], widt
     Bars start on the width's grid, so all ticks of one (symbol, slot) share the
     answer: the bar before their own.  It is carried forward on the bars (few:
     set by the calendar), and the ticks meet it in one equality join on (symbol,
-    slot), hashed on the bars' side, so no tick is sorted or windowed.  Returns
-    the tick columns, ``bar_start`` and the features.
+    slot), which Spark broadcasts while the bars' bytes allow it; no tick is
+    windowed.  Returns the tick columns, ``bar_start`` and the features.
     """
     slot = F.window(F.col(ts_col), width)["start"]
     carried = F.lag(F.struct(F.col("window_start").alias("bar_start"), *features)).over(_w("symbol", "window_start"))
     answers = bars.select(F.col("symbol").alias("__symbol"), F.col("window_start").alias("__slot"),
-                          carried.alias("__f")).hint("shuffle_hash")
+                          carried.alias("__f"))
     joined = ticks.withColumn("__at", slot).join(
         answers, F.col(symbol_col).eqNullSafe(F.col("__symbol")) & (F.col("__at") == F.col("__slot")), "left")
     return joined.select(*ticks.columns, "__f.bar_start", *[F.col(f"__f.{c}").alias(c) for c in features])

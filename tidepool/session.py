@@ -138,6 +138,13 @@ def remove_tree(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def remove_uri(spark: SparkSession, uri: str) -> None:
+    """``remove_tree`` for a URI as Spark reports it (``input_file_name``): encoded,
+    so a folder named ``p=x y`` reads ``p=x%20y``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def reliable_checkpoint(df):
     """Materialise ``df`` to the shared checkpoint folder and cut its lineage.
 

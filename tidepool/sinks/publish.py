@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..fixed import PUBLISH_CHUNK
 from ..functions.keys import ALERT_TS_FORMAT, symbol_or_unknown
+from ..operators.slots import SLOT_ROWS, dense_cuts, same_keys, with_slots
 
 
 def keyed_records(df: DataFrame, symbol_col: str = "symbol", order_cols: Sequence[str] = (),
@@ -34,25 +35,25 @@ def keyed_records(df: DataFrame, symbol_col: str = "symbol", order_cols: Sequenc
 
 
 def publish_calls(keyed: DataFrame, ts_col: str, tiebreak: Sequence[str] = (), key_col: str = "key",
-                  chunk: int = PUBLISH_CHUNK, bucket_seconds: int = 3600) -> DataFrame:
+                  chunk: int = PUBLISH_CHUNK, bucket_seconds: int = 3600, slot_rows: int = SLOT_ROWS) -> DataFrame:
     """K4: number the calls of ``chunk`` records that publish each key in order.
 
     Adds ``chunk_no`` (from 0).  A record's place within its key is its place in
-    its (key, time bucket) plus the size of the key's earlier buckets, so no
-    window ever spans a whole key.
+    its (key, slot) plus the size of the key's earlier slots, so no window ever
+    spans a whole key; time buckets with more than ``slot_rows`` records of a key
+    are cut by density.
     """
-    slot = F.floor(F.unix_timestamp(F.col(ts_col)) / bucket_seconds)
-    rows = keyed.withColumn("__slot", slot)
-    sizes = rows.groupBy(key_col, "__slot").agg(F.count(F.lit(1)).alias("__n"))
-    earlier = (Window.partitionBy(key_col).orderBy(F.col("__slot").asc_nulls_first())
+    cuts = dense_cuts(keyed, [key_col], ts_col, bucket_seconds, slot_rows)
+    rows = with_slots(keyed, cuts, [key_col], ts_col, bucket_seconds)
+    slot = [key_col, "__b", "__s"]
+    sizes = rows.groupBy(*slot).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = (Window.partitionBy(key_col).orderBy(F.col("__b").asc_nulls_first(), "__s")
                .rowsBetween(Window.unboundedPreceding, -1))
-    before = sizes.select(F.col(key_col).alias("__k"), F.col("__slot").alias("__s"),
-                          F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
-    own = Window.partitionBy(key_col, "__slot").orderBy(F.col(ts_col).asc_nulls_first(), *tiebreak)
-    placed = rows.withColumn("__at", F.row_number().over(own)).join(
-        before, F.col(key_col).eqNullSafe(F.col("__k")) & F.col("__slot").eqNullSafe(F.col("__s")))
+    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
+    own = Window.partitionBy(*slot).orderBy(F.col(ts_col).asc_nulls_first(), *tiebreak)
+    placed = same_keys(rows.withColumn("__at", F.row_number().over(own)), before, slot)
     no = F.floor((F.col("__before") + F.col("__at") - 1) / chunk).cast("bigint")
-    return placed.withColumn("chunk_no", no).drop("__slot", "__at", "__k", "__s", "__before")
+    return placed.withColumn("chunk_no", no).drop("__b", "__s", "__at", "__before")
 
 
 def call_report(calls: DataFrame, order_cols: Sequence[str], key_col: str = "key",
