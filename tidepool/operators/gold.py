@@ -11,7 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .cdc import scd2_intervals
 from .dedup import latest_per_key
+from .joins import interval_join
 
 UNKNOWN_SECTOR = "UNKNOWN"
 
@@ -26,6 +28,21 @@ def sector_lookup(fact: DataFrame, dim: DataFrame, key: str, sector_col: str = "
                 .withColumn(sector_col, F.coalesce(F.col(sector_col), F.lit(UNKNOWN_SECTOR))))
 
 
+def sector_as_of(fact: DataFrame, changes: DataFrame, key: str, ts_col: str, change_ts: str,
+                 sector_col: str = "sector", tiebreak: Sequence[str] = (),
+                 delete_flag: str | None = None) -> DataFrame:
+    """X9 on X14: the sector that held at the fact's own time, from a change log.
+
+    The log becomes SCD-2 intervals (a delete ends one) and the facts meet them in
+    an interval join; before the first version, after a delete, and for keys
+    without any, the sector is ``UNKNOWN``.
+    """
+    versions = scd2_intervals(changes, [key], change_ts, tiebreak, delete_flag=delete_flag)
+    out = interval_join(fact, versions.select(key, "valid_from", "valid_to", sector_col), [key], ts_col,
+                        "valid_from", "valid_to", [sector_col])
+    return out.withColumn(sector_col, F.coalesce(F.col(sector_col), F.lit(UNKNOWN_SECTOR)))
+
+
 def conform_sources(frames: Sequence[DataFrame]) -> DataFrame:
     """Union news sources by column name (missing columns become null)."""
     out = frames[0]

@@ -88,3 +88,56 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
 def payload_type(df: DataFrame, cols: Sequence[str]):
     from pyspark.sql.types import StructField, StructType
     return StructType([StructField(c, df.schema[c].dataType, True) for c in cols])
+
+
+# Widths of the slot levels, as multiples of the finest: an interval goes to the
+# finest level on which it covers at most SPAN slots, so it is few rows at any length.
+SPAN = 64
+LEVELS = (1, SPAN, SPAN * SPAN)
+
+
+def interval_join(facts: DataFrame, versions: DataFrame, by: Sequence[str], ts_col: str, from_col: str,
+                  to_col: str, cols: Sequence[str], slot_seconds: int = 86400) -> DataFrame:
+    """Left interval join: ``facts`` columns plus ``cols`` of the version with
+    ``from <= ts < to`` of the same key (``to`` null: still open).
+
+    Validity is binned into time slots: a version becomes a row for each slot it
+    covers, on a level of slots coarse enough that these are at most SPAN + 1, and
+    an open one (or one longer than the coarsest level allows) a single row of its
+    key.  Facts ask by equality on (key, level, slot), on their distinct (key,
+    time) only, and the bound is checked on the pairs that meet.  All joins are
+    plain equality joins, which adaptive execution splits where a key is hot.
+
+    Where versions overlap a fact has a row for each, without any a row of nulls.
+    Null keys and null times match nothing; empty intervals are no versions.
+    """
+    by, cols = list(by), list(cols)
+    keys = [f"__by{i}" for i in range(len(by))]
+    v = versions.where(F.col(from_col).isNotNull()).select(
+        *[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col(from_col).alias("__from"),
+        F.col(to_col).alias("__to"), F.struct(*[F.col(c) for c in cols]).alias("__v"))
+    v = v.where(F.col("__to").isNull() | (F.col("__from") < F.col("__to")))
+
+    def slot(ts, level):
+        return F.floor(F.unix_timestamp(ts) / (slot_seconds * level)).cast("bigint")
+
+    rows = F.array(F.struct(F.lit(-1).alias("level"), F.lit(0).cast("bigint").alias("slot")))
+    for n, level in reversed(list(enumerate(LEVELS))):
+        first, last = slot(F.col("__from"), level), slot(F.col("__to"), level)
+        covered = F.sequence(first, F.greatest(first, F.least(last, first + SPAN)))
+        spread = F.arrays_zip(F.transform(covered, lambda s: F.lit(n)).alias("level"), covered.alias("slot"))
+        rows = F.when(F.col("__to").isNotNull() & (last - first <= SPAN), spread).otherwise(rows)
+    binned = v.withColumn("__bin", F.explode(rows)).select("*", "__bin.level", "__bin.slot").drop("__bin")
+
+    asked = facts.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)],
+                         F.col(ts_col).alias("__ts")).distinct()
+    probes = F.array(*[F.struct(F.lit(n).alias("level"), slot(F.col("__ts"), level).alias("slot"))
+                       for n, level in enumerate(LEVELS)],
+                     F.struct(F.lit(-1).alias("level"), F.lit(0).cast("bigint").alias("slot")))
+    probe = asked.withColumn("__bin", F.explode(probes)).select("*", "__bin.level", "__bin.slot").drop("__bin")
+    met = (probe.join(binned, [*keys, "level", "slot"])
+           .where((F.col("__from") <= F.col("__ts")) & (F.col("__to").isNull() | (F.col("__ts") < F.col("__to"))))
+           .select(*keys, "__ts", "__v"))
+    on = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(by, keys, strict=True)]
+    joined = facts.join(met, [*on, F.col(ts_col) == F.col("__ts")], "left")
+    return joined.select(*facts.columns, *[F.col(f"__v.{c}").alias(c) for c in cols])

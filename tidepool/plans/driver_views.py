@@ -94,3 +94,21 @@ def publish_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ERROR_CODE_SQL = """CASE WHEN event_id % 29 = 4 THEN 'ThroughputExceeded'
   WHEN event_id % 211 = 9 THEN 'InternalFailure' END"""
+
+
+# A change log of the suppliers' sectors: five changes each, over the years of the
+# shipments, some of them deletes.  The same way in the oracle SQL.
+def sector_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``l_suppkey, j, since, sector, gone``"""
+    s, r = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "region")
+    step = s.select("s_suppkey", "s_nationkey", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("j"))
+    days = (F.col("s_suppkey") % 97 + F.col("j") * 430).cast("bigint")
+    return (step.join(r, F.col("r_regionkey") == (F.col("s_nationkey") + F.col("j")) % 5)
+            .select(F.col("s_suppkey").alias("l_suppkey"), "j",
+                    F.timestamp_add("DAY", days, F.expr("TIMESTAMP_NTZ'1995-06-01 00:00:00'")).alias("since"),
+                    F.col("r_name").alias("sector"), ((F.col("s_suppkey") + F.col("j")) % 7 == 3).alias("gone")))
+
+
+SECTOR_CHANGES_SQL = """SELECT s_suppkey, j, TIMESTAMP '1995-06-01' + to_days(CAST(s_suppkey % 97 + j * 430 AS INTEGER)) AS since,
+         r_name AS sector, (s_suppkey + j) % 7 = 3 AS gone
+  FROM supplier CROSS JOIN (SELECT unnest(range(5)) AS j) t JOIN region ON r_regionkey = (s_nationkey + j) % 5"""

@@ -176,6 +176,19 @@ def q_x9_sector_lookup(spark, sf_dir):
     return gold.sector_lookup(li, dim, "l_suppkey")
 
 
+@register("x9_sector_as_of", f"""
+WITH c AS ({V.SECTOR_CHANGES_SQL}),
+v AS (SELECT *, lead(since) OVER (PARTITION BY s_suppkey ORDER BY since, j) AS till FROM c)
+SELECT l_orderkey, l_linenumber, l_suppkey, COALESCE(sector, 'UNKNOWN') AS sector
+FROM lineitem LEFT JOIN v ON l_suppkey = s_suppkey AND NOT gone AND l_shipdate >= since
+                         AND (till IS NULL OR l_shipdate < till)""", ("X9", "X14"))
+def q_x9_sector_as_of(spark, sf_dir):
+    li = V.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
+    out = gold.sector_as_of(li, V.sector_changes(spark, sf_dir), "l_suppkey", "l_shipdate", "since",
+                            tiebreak=["j"], delete_flag="gone")
+    return out.drop("l_shipdate")
+
+
 # ----------------------------------------------------------------- X10
 @register("x10_silver_conformed", f"""
 WITH u AS (

@@ -25,6 +25,7 @@ from .. import schemas as S
 from ..functions.timecols import epoch_seconds_to_timestamp_millis
 from ..operators.windows import DEFAULT_THRESHOLD, DEFAULT_WINDOW, detect_anomalies
 from ..fixed import WATERMARK_DELAY
+from ..session import rocksdb_session
 from ..sinks.publish import anomaly_records
 
 
@@ -143,6 +144,23 @@ def start_detector(source: DataFrame, sink_path: str, checkpoint: str,
     return QueryGroup(main_query, errors)
 
 
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The windows that a detector's last committed batch holds open, read from
+    its checkpoint: ``symbol, window_start, window_end, event_count``.
+
+    The state data source reads what the store wrote (with RocksDB, its snapshots
+    and changes), so the job may be stopped or run elsewhere.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    names = {f.name: f.name for f in state.schema["key"].dataType.fields}
+    window = next(n for n in names if "window" in n)
+    symbol = next(n for n in names if n != window)
+    count = state.schema["value"].dataType.fields[0].name
+    return state.select(F.col(f"key.`{symbol}`").alias("symbol"), F.col(f"key.`{window}`.start").alias("window_start"),
+                        F.col(f"key.`{window}`.end").alias("window_end"),
+                        F.col(f"value.`{count}`").alias("event_count"))
+
+
 class InputTotals(StreamingQueryListener):
     """Totals over a whole run: rows, rows without event time, late rows dropped.
 
@@ -216,7 +234,7 @@ def main(argv=None) -> None:
     ap.add_argument("--start-after", help="skip files written before this time (start at latest)")
     ap.add_argument("--available-now", action="store_true")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("anomaly_detector").getOrCreate()
+    spark = rocksdb_session(SparkSession.builder.appName("anomaly_detector").getOrCreate())
     trigger = {"availableNow": True} if a.available_now else {"processingTime": "60 seconds"}
     q = start_detector(file_event_stream(spark, a.source, start_after=a.start_after), a.sink,
                        a.checkpoint, a.threshold, a.window, errors_path=a.errors, trigger=trigger)
