@@ -493,6 +493,38 @@ def q_s6_split_archive(spark, sf_dir):
                       F.col(S.CORRUPT_COL).isNotNull().alias("bad"))
 
 
+# News and ticks on one archive line, and a record of neither kind: typed by shape.
+@register("s6_mixed_routes", """
+SELECT event_id, 'ticks' AS kind, event_type AS symbol, CAST(value AS DOUBLE) AS price,
+       epoch_us(ts) // 1000 AS timestamp_ms, NULL AS headline, event_id % 3 AS n_conditions, NULL AS record
+FROM events WHERE event_id % 2 = 0
+UNION ALL SELECT event_id, 'news', event_type, NULL, NULL, props, NULL, NULL FROM events WHERE event_id % 3 <> 0
+UNION ALL SELECT event_id, 'other', NULL, NULL, NULL, NULL, NULL,
+       '{"source":"events","asset_class":"fx","symbol":"' || event_type || '"}' FROM events WHERE event_id % 7 = 0
+UNION ALL SELECT event_id, 'bad', NULL, NULL, NULL, NULL, NULL, 'ping ' || event_id FROM events WHERE event_id % 5 = 1
+""", ("S6", "S8"))
+def q_s6_mixed_routes(spark, sf_dir):
+    from ..sources.archive import route_records
+    ev = V.table(spark, sf_dir, "events")
+    i, blank = F.col("event_id"), F.lit("")
+
+    def record(kind, *fields):
+        return F.to_json(F.struct(F.lit("events").alias("source"), F.lit(kind).alias("asset_class"),
+                                  F.col("event_type").alias("symbol"), *fields))
+
+    marks = F.slice(F.array(F.lit("1"), F.lit("12")), F.lit(1), (i % 3).cast("int"))
+    tick = record("equity", F.col("value").alias("price"), timecols.ntz_to_epoch_millis("ts").alias("timestamp_ms"),
+                  marks.alias("conditions"))
+    news = record("equity", F.col("props").alias("headline"))
+    line = F.concat(F.when(i % 5 == 1, F.concat(F.lit("ping "), i.cast("string"))).otherwise(blank),
+                    F.when(i % 2 == 0, tick).otherwise(blank), F.when(i % 3 != 0, news).otherwise(blank),
+                    F.when(i % 7 == 0, record("fx")).otherwise(blank))
+    out = route_records(ev.select("event_id", line.alias("value")), keep=["event_id"])
+    return out.select("event_id", "kind", "symbol", "price", "timestamp_ms", "headline",
+                      F.when(F.col("kind") == "ticks", F.size("conditions")).cast("bigint").alias("n_conditions"),
+                      "record")
+
+
 # ---------------------------------------------------------- encoded anomalies
 @register("p19_base64_decode", """
 SELECT event_id, event_id % 7 NOT IN (1, 2, 3) AS ok,

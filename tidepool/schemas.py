@@ -46,6 +46,10 @@ RAW_ARCHIVE_DATA = _struct(
     ("headline", S), ("summary", S), ("url", S), ("datetime", L),
     ("category", S), ("fetched_at", S),
 )
+RAW_TICK_DATA = _struct(
+    ("source", S), ("asset_class", S), ("symbol", S), ("dedup_key", S), ("price", D), ("volume", D),
+    ("timestamp_ms", L), ("conditions", ArrayType(S)), ("fetched_at", S),
+)
 RAW_ARCHIVE_PARTITIONS = _struct(("year", I), ("month", I), ("day", I), ("hour", I))
 
 # A relay message: {"type": "trade", "data": [{"s","p","v","t","c"}]}.  Price
