@@ -38,19 +38,19 @@ def test_a_hot_hour_is_cut_into_slots_of_the_wanted_size(spark, hot):
     cuts = dense_cuts(hot, ["k"], "t", 3600, 500)
     assert {r.k for r in cuts.select("k").collect()} == {"HOT"}  # sparse buckets meet no sketch
     sizes = sorted(r["count"] for r in with_slots(hot, cuts, ["k"], "t", 3600).where("k = 'HOT'")
-                   .groupBy("__b", "__s").count().collect())
+                   .groupBy("__b", "__slot").count().collect())
     assert sum(sizes) == 10_000 and len(sizes) == 20
     assert sizes[-1] <= 2 * sizes[len(sizes) // 2] and sizes[-1] <= 2 * 500
     # slots stand in the order of time
-    spans = (with_slots(hot, cuts, ["k"], "t", 3600).where("k = 'HOT'").groupBy("__b", "__s")
-             .agg(F.min("t").alias("lo"), F.max("t").alias("hi")).orderBy("__b", "__s").collect())
+    spans = (with_slots(hot, cuts, ["k"], "t", 3600).where("k = 'HOT'").groupBy("__b", "__slot")
+             .agg(F.min("t").alias("lo"), F.max("t").alias("hi")).orderBy("__b", "__slot").collect())
     assert all(a.hi < b.lo for a, b in zip(spans, spans[1:], strict=False))
 
 
 def test_no_task_of_the_windows_gets_a_hot_key_whole(spark, hot):
     """Rows per shuffle partition of the window's exchange: none above twice the median."""
     cuts = dense_cuts(hot, ["k"], "t", 86400, 400)
-    dealt = (with_slots(hot, cuts, ["k"], "t", 86400).repartition(12, "k", "__b", "__s")
+    dealt = (with_slots(hot, cuts, ["k"], "t", 86400).repartition(12, "k", "__b", "__slot")
              .groupBy(F.spark_partition_id().alias("p")).count().collect())
     sizes = sorted(r["count"] for r in dealt)
     assert len(sizes) == 12 and sizes[-1] <= 2 * sizes[6]

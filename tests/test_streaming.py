@@ -154,9 +154,12 @@ def test_alerter_keyed_state(spark, tmp_path):
     stream = (spark.readStream.schema("dedup_key string, body string").option("maxFilesPerTrigger", 1)
               .json(str(src)))
     out = str(tmp_path / "out")
+    # a state with a clock asks for batches without data, which an availableNow run would wait for
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     q = (alerter.dedup_keyed_state(stream).writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
-    q.awaitTermination(180)
+    spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+    assert q.awaitTermination(180)
     assert sorted((r["dedup_key"], r["body"]) for r in spark.read.parquet(out).collect()) == [
         ("k1", "b00"), ("k2", "b02"), ("k3", "b11")]
 

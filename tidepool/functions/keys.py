@@ -42,36 +42,45 @@ def news_key(symbol, datetime, url) -> Column:
         F.coalesce(as_col(url).cast("string"), F.lit(MISSING_URL)))
 
 
-def _laid_out(plain: Column) -> Column:
-    """Spark's text of a double, as the producer would print it."""
-    mantissa = F.rtrim(F.translate(F.regexp_extract(plain, r"^-?([0-9.]+)E", 1), ".", ""), F.lit("0"))
-    digits = F.when(mantissa == "", "0").otherwise(mantissa)
-    exp = F.regexp_extract(plain, r"E(-?[0-9]+)$", 1).try_cast("int")
-    sign = F.when(plain.startswith("-"), "-").otherwise("")
-    fraction = F.when(F.length(digits) > exp + 1, F.substr(digits, exp + 2)).otherwise("0")
-    large = F.concat(F.substr(F.rpad(digits, exp + 1, "0"), F.lit(1), exp + 1), F.lit("."), fraction)
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+def _taken_apart(plain: Column) -> Column:
+    """Digits, exponent and sign of a double's scientific text, each computed once."""
+    mantissa = F.rtrim(F.translate(F.substring_index(plain, "E", 1), "-.", ""), F.lit("0"))
+    return F.struct(F.when(mantissa == "", "0").otherwise(mantissa).alias("digits"),
+                    F.substring_index(plain, "E", -1).try_cast("int").alias("exp"),
+                    F.when(plain.startswith("-"), "-").otherwise("").alias("sign"))
+
+
+def _laid_out(number: Column) -> Column:
+    """The text that the producer would print, from the parts."""
+    digits, exp = number["digits"], number["exp"]
     rest = F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise("")
     power = F.abs(exp).cast("string")
     scientific = F.concat(F.substr(digits, F.lit(1), F.lit(1)), rest, F.lit("e"),
                           F.when(exp < 0, "-").otherwise("+"),
                           F.lpad(power, F.greatest(F.length(power), F.lit(2)), "0"))
-    shape = F.when(exp.between(0, 15), large).when(exp.between(-4, -1), small).otherwise(scientific)
-    return F.when(plain.contains("E"), F.concat(sign, shape)).otherwise(plain)
+    return F.concat(number["sign"], scientific)
 
 
 def python_number(text) -> Column:
     """A JSON number (as text) the way the producer prints it: integers as they
     are; other numbers in plain digits from 1e-4 up to 1e16, else as ``1.5e-05``.
 
-    Spark prints a double in plain digits from 1e-3 up to 1e7 only, so its
-    scientific form is taken apart and laid out again (inside ``transform``, which
-    keeps the many small steps out of the generated code).  Text that is no
+    Spark prints a double in plain digits from 1e-3 up to 1e7 only.  What the
+    producer prints plainly beyond that goes by way of a decimal; the rest has its
+    scientific form taken apart once and laid out again (in two ``transform``
+    steps, which bind the parts).  Text that is no
     number stays as it is, null stays null.  (The digits are Java's: the smallest
     denormal numbers show one more digit than the producer prints.)
     """
     t = as_col(text)
-    number = F.transform(F.array(t.try_cast("double").cast("string")), _laid_out)[0]
+    d = t.try_cast("double")
+    plain = d.cast("string")
+    # 17 digits at most, none below the 21st decimal: exact, and trailing zeros are filling
+    laid = F.rtrim(d.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    laid = F.when(laid.endswith("."), F.concat(laid, F.lit("0"))).otherwise(laid)
+    far = F.transform(F.array(plain), lambda p: F.transform(F.array(_taken_apart(p)), _laid_out)[0])[0]
+    number = (F.when(~plain.contains("E"), plain).when((F.abs(d) >= 1e-4) & (F.abs(d) < 1e16), laid)
+               .otherwise(far))
     return F.when(t.rlike(r"^-?[0-9]+$"), t).otherwise(F.coalesce(number, t))
 
 

@@ -45,14 +45,14 @@ def next_in_sequence(df: DataFrame, keys: Sequence[str], ts_col: str,
     keys = list(keys)
     cuts = dense_cuts(df, keys, ts_col, bucket_seconds, slot_rows)
     x = with_slots(df, cuts, keys, ts_col, bucket_seconds)
-    slot = [*keys, "__b", "__s"]
+    slot = [*keys, "__b", "__slot"]
     local = x.withColumn("__next", F.lead(ts_col).over(Window.partitionBy(*slot).orderBy(ts_col, *tiebreak)))
     firsts = x.groupBy(*slot).agg(F.min(ts_col).alias("__first"))
-    w2 = Window.partitionBy(*keys).orderBy("__b", "__s")
+    w2 = Window.partitionBy(*keys).orderBy("__b", "__slot")
     following = firsts.withColumn("__after", F.lead("__first").over(w2)).drop("__first")
     out = same_keys(local, following, slot, "left")
     return (out.withColumn(out_col, F.coalesce(F.col("__next"), F.col("__after")))
-               .drop("__b", "__s", "__next", "__after"))
+               .drop("__b", "__slot", "__next", "__after"))
 
 
 def scd2_intervals(changes: DataFrame, keys: Sequence[str], ts_col: str,

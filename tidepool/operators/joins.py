@@ -58,7 +58,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
     times = L.select(*bys, "__t").unionByName(R.select(*bys, "__t"))
     cuts = dense_cuts(times, bys, "__t", bucket_seconds, slot_rows)
     both = with_slots(L.unionByName(R), cuts, bys, "__t", bucket_seconds)
-    slot = [*bys, "__b", "__s"]
+    slot = [*bys, "__b", "__slot"]
     tb = [F.col(f"__r.{c}") for c in tiebreak]
     w1 = (Window.partitionBy(*slot).orderBy("__t", "__side", *tb)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -74,7 +74,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
     # partial aggregates over the inputs, not from the window's output
     asked = with_slots(L.select(*bys, "__t"), cuts, bys, "__t", bucket_seconds).select(*slot).distinct()
     slots = asked.unionByName(last_in.select(*slot)).distinct()
-    w2 = (Window.partitionBy(*bys).orderBy("__b", "__s")
+    w2 = (Window.partitionBy(*bys).orderBy("__b", "__slot")
           .rowsBetween(Window.unboundedPreceding, -1))
     carry = (slots.join(last_in, slot, "left")
                   .withColumn("__carry", F.last("__last", ignorenulls=True).over(w2))

@@ -4,28 +4,27 @@ Windowed operators here never sort a whole key: they work within (key, time slot
 and carry one row per slot forward.  Fixed time buckets bound a slot by the
 calendar only; a key with a third of all rows within one hour would still be one
 sort.  So the rows of each (key, bucket) are counted first (partial sums), and
-only where there are more than ``slot_rows`` a quantile sketch (KLL, merged from
-partial sketches) gives the times that cut the bucket into slots of about that
-size.  Sparse buckets stay whole, so their rows meet nothing but a small table of
-cuts, and the number of slots grows with the rows, not with the time span.
-
-Rows with one and the same time can't be told apart by time and stay in one slot.
+only where there are more than ``slot_rows`` they are counted again by fine cells
+of time, full cells by finer ones still, and a new slot begins whenever the
+running count has passed another ``slot_rows``.  Sparse buckets stay whole, so
+their rows meet nothing but a small table of cuts, and the number of slots grows
+with the rows, not with the time span.
+
+A slot holds about ``slot_rows`` rows, and at most as many more as its last cell
+(a bucket's 16-millionth); rows with one and the same time stay in one slot.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
-
 SLOT_ROWS = 100_000
-GRID = 1000        # cuts that a bucket can have
-SKETCH_K = 800     # size of the sketch: about 0.4 % of a bucket's rows off
+CELLS = 4096       # cells of a dense bucket, and of a full cell
 
-BUCKET, PART = "__b", "__s"
+BUCKET, PART = "__b", "__slot"
 
 
 def same_keys(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
@@ -54,27 +53,36 @@ def dense_cuts(rows: DataFrame, keys: Sequence[str], ts_col: str, bucket_seconds
     """(keys, bucket, cuts) of the buckets that hold more than ``slot_rows`` rows;
     cuts: the ascending times (microseconds) at which a new slot begins.
 
-    A sketch's answer depends on the order in which its parts arrive, and every
-    step of an operator must see the same slots, so the cuts (a row a dense
-    bucket) are computed once, now, and kept below the checkpoint folder.
+    Counts alone decide, so every step of an operator, and every task that runs
+    again, gets the same slots (a sketch's answer would depend on the order in
+    which its parts arrive).
     """
     at = rows.select(*keys, bucket(F.col(ts_col), bucket_seconds).alias(BUCKET),
                      _micros(F.col(ts_col), rows, ts_col).alias("__us"))
-    dense = at.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > slot_rows)
-    own = same_keys(at.where(F.col("__us").isNotNull()), dense.select(*keys, BUCKET), [*keys, BUCKET], "left_semi")
-    ranks = F.array(*[F.lit(i / GRID) for i in range(1, GRID)])
-    grid = own.groupBy(*keys, BUCKET).agg(
-        F.kll_sketch_agg_bigint("__us", F.lit(SKETCH_K)).alias("__sketch"), F.count(F.lit(1)).alias("__n"))
-    times = F.kll_sketch_get_quantile_bigint("__sketch", ranks)
-    parts = F.least(F.ceil(F.col("__n") / slot_rows), F.lit(GRID)).cast("int")
-    chosen = F.transform(F.sequence(F.lit(1), F.greatest(parts - 1, F.lit(1))),
-                         lambda j: F.col("__times")[F.floor(j * GRID / parts).cast("int") - 1])
-    return reliable_checkpoint(grid.withColumn("__times", times)
-                               .select(*keys, BUCKET, F.array_distinct(chosen).alias("__cuts")))
+    own = [*keys, BUCKET]
+    dense = at.groupBy(*own).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > slot_rows)
+    width = max(1, bucket_seconds * 1_000_000 // CELLS)
+    timed = same_keys(at.where(F.col("__us").isNotNull()), dense.select(*own), own, "left_semi")
+    timed = timed.withColumn("__cell", F.floor(F.col("__us") / width))
+
+    def counted(df, cell):
+        return df.groupBy(*own, *cell).agg(F.count(F.lit(1)).alias("__n"), F.min("__us").alias("__lo"))
+
+    cells = counted(timed, ["__cell"])
+    full = cells.where(F.col("__n") > slot_rows).select(*own, "__cell")
+    fine = F.floor(F.col("__us") / max(1, width // CELLS)).alias("__fine")
+    finer = counted(same_keys(timed, full, [*own, "__cell"], "left_semi").select(*own, "__us", fine), ["__fine"])
+    counts = cells.where(F.col("__n") <= slot_rows).drop("__cell").unionByName(finer.drop("__fine"))
+    # a row a cell that holds any: at most CELLS, and CELLS more for each cell that is full
+    upto = Window.partitionBy(*own).orderBy("__lo").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = counts.withColumn("__no", F.floor(F.coalesce(F.sum("__n").over(upto), F.lit(0)) / slot_rows))
+    begins = numbered.groupBy(*own, "__no").agg(F.min("__lo").alias("__lo"))
+    return (begins.where(F.col("__no") > 0).groupBy(*own)
+            .agg(F.array_sort(F.collect_list("__lo")).alias("__cuts")))
 
 
 def with_slots(rows: DataFrame, cuts: DataFrame, keys: Sequence[str], ts_col: str, bucket_seconds: int) -> DataFrame:
-    """``rows`` with their slot: columns ``__b`` (bucket) and ``__s`` (place of the
+    """``rows`` with their slot: columns ``__b`` (bucket) and ``__slot`` (place of the
     cut before, 0 in a bucket without cuts); slots of a key are ordered by both."""
     placed = rows.withColumn(BUCKET, bucket(F.col(ts_col), bucket_seconds))
     us = _micros(F.col(ts_col), rows, ts_col)

@@ -45,15 +45,15 @@ def publish_calls(keyed: DataFrame, ts_col: str, tiebreak: Sequence[str] = (), k
     """
     cuts = dense_cuts(keyed, [key_col], ts_col, bucket_seconds, slot_rows)
     rows = with_slots(keyed, cuts, [key_col], ts_col, bucket_seconds)
-    slot = [key_col, "__b", "__s"]
+    slot = [key_col, "__b", "__slot"]
     sizes = rows.groupBy(*slot).agg(F.count(F.lit(1)).alias("__n"))
-    earlier = (Window.partitionBy(key_col).orderBy(F.col("__b").asc_nulls_first(), "__s")
+    earlier = (Window.partitionBy(key_col).orderBy(F.col("__b").asc_nulls_first(), "__slot")
                .rowsBetween(Window.unboundedPreceding, -1))
     before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
     own = Window.partitionBy(*slot).orderBy(F.col(ts_col).asc_nulls_first(), *tiebreak)
     placed = same_keys(rows.withColumn("__at", F.row_number().over(own)), before, slot)
     no = F.floor((F.col("__before") + F.col("__at") - 1) / chunk).cast("bigint")
-    return placed.withColumn("chunk_no", no).drop("__b", "__s", "__at", "__before")
+    return placed.withColumn("chunk_no", no).drop("__b", "__slot", "__at", "__before")
 
 
 def call_report(calls: DataFrame, order_cols: Sequence[str], key_col: str = "key",
