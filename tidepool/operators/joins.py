@@ -65,14 +65,13 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
     local = (both.withColumn("__local", F.last("__r", ignorenulls=True).over(w1))
                  .where(F.col("__side") == 1))
     # level 2: last right row per (key, bucket), carried across buckets
-    last_in = (with_slots(R, cuts, bys, "__t", bucket_seconds)
-                .groupBy(*slot)
+    last_in = (both.where(F.col("__side") != 1).groupBy(*slot)
                 .agg(F.max(F.struct(F.col("__t").alias("__t"), *[c.alias(f"__tb{i}") for i, c in
                                                                  enumerate(tb)], F.col("__r")))
                      ["__r"].alias("__last")))
     # the slots that left rows ask for, and those that carry something; both from
     # partial aggregates over the inputs, not from the window's output
-    asked = with_slots(L.select(*bys, "__t"), cuts, bys, "__t", bucket_seconds).select(*slot).distinct()
+    asked = both.where(F.col("__side") == 1).select(*slot).distinct()
     slots = asked.unionByName(last_in.select(*slot)).distinct()
     w2 = (Window.partitionBy(*bys).orderBy("__b", "__slot")
           .rowsBetween(Window.unboundedPreceding, -1))

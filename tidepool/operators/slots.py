@@ -5,13 +5,13 @@ and carry one row per slot forward.  Fixed time buckets bound a slot by the
 calendar only; a key with a third of all rows within one hour would still be one
 sort.  So the rows of each (key, bucket) are counted first (partial sums), and
 only where there are more than ``slot_rows`` they are counted again by fine cells
-of time, full cells by finer ones still, and a new slot begins whenever the
-running count has passed another ``slot_rows``.  Sparse buckets stay whole, so
+of time, and a new slot begins whenever the running count has passed another
+``slot_rows``.  Sparse buckets stay whole, so
 their rows meet nothing but a small table of cuts, and the number of slots grows
 with the rows, not with the time span.
 
 A slot holds about ``slot_rows`` rows, and at most as many more as its last cell
-(a bucket's 16-millionth); rows with one and the same time stay in one slot.
+(a bucket's 65,536th: 1.3 seconds of a day) holds.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLOT_ROWS = 100_000
-CELLS = 4096       # cells of a dense bucket, and of a full cell
+CELLS = 1 << 16    # cells of a dense bucket
 
 BUCKET, PART = "__b", "__slot"
 
@@ -63,17 +63,9 @@ def dense_cuts(rows: DataFrame, keys: Sequence[str], ts_col: str, bucket_seconds
     dense = at.groupBy(*own).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > slot_rows)
     width = max(1, bucket_seconds * 1_000_000 // CELLS)
     timed = same_keys(at.where(F.col("__us").isNotNull()), dense.select(*own), own, "left_semi")
-    timed = timed.withColumn("__cell", F.floor(F.col("__us") / width))
-
-    def counted(df, cell):
-        return df.groupBy(*own, *cell).agg(F.count(F.lit(1)).alias("__n"), F.min("__us").alias("__lo"))
-
-    cells = counted(timed, ["__cell"])
-    full = cells.where(F.col("__n") > slot_rows).select(*own, "__cell")
-    fine = F.floor(F.col("__us") / max(1, width // CELLS)).alias("__fine")
-    finer = counted(same_keys(timed, full, [*own, "__cell"], "left_semi").select(*own, "__us", fine), ["__fine"])
-    counts = cells.where(F.col("__n") <= slot_rows).drop("__cell").unionByName(finer.drop("__fine"))
-    # a row a cell that holds any: at most CELLS, and CELLS more for each cell that is full
+    counts = (timed.groupBy(*own, F.floor(F.col("__us") / width).alias("__cell"))
+              .agg(F.count(F.lit(1)).alias("__n"), F.min("__us").alias("__lo")))
+    # a row a cell that holds any: at most CELLS and one
     upto = Window.partitionBy(*own).orderBy("__lo").rowsBetween(Window.unboundedPreceding, -1)
     numbered = counts.withColumn("__no", F.floor(F.coalesce(F.sum("__n").over(upto), F.lit(0)) / slot_rows))
     begins = numbered.groupBy(*own, "__no").agg(F.min("__lo").alias("__lo"))
