@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -107,6 +108,41 @@ def test_near_duplicates_edge_tables(spark):
     assert trie_join.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_sets_with_one_64_bit_key_keep_their_own_links():
+    """Classes whose digests agree in the first eight bytes stay two classes."""
+    a, b, c = bytes(16), bytes(8) + b"\1" * 8, b"\2" * 16
+    one, two = np.arange(10, 20, dtype=np.uint64), np.arange(50, 60, dtype=np.uint64)
+    sets = [(a, one), (b, two), (c, np.concatenate([one, two]))]
+    part = (trie_join._keys([k for k, _ in sets]).tobytes(),
+            np.array([len(s) for _, s in sets], np.uint32).tobytes(),
+            np.array([len(s) for _, s in sets], np.uint32).tobytes(),
+            np.concatenate([s for _, s in sets]).tobytes())
+    shared = trie_join._shared_in_bucket([part], 1)
+    out = pa.concat_tables([pa.Table.from_batches([x]) for x in trie_join._assemble(1, 10)([shared])]).to_pydict()
+    got = {k: set(np.frombuffer(t, np.uint64).tolist()) for k, t in zip(out["cls"], out["tokens"], strict=True)}
+    assert got == {k: set(s.tolist()) for k, s in sets}
+
+
+def test_rows_are_told_apart_by_id_and_text(spark):
+    near = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    rows = [(1, near), (2, near + " more"), (2, "a different clean text of its own"),
+            (3, "text a stands here with words enough"), (3, "text b is something else altogether now"),
+            (None, near), (None, "no id and only once"), (4, "again and again the same row"),
+            (4, "again and again the same row"), (5, None), (5, None), (6, " "), (7, LONG), (None, LONG), (8, LONG + " end")]
+    df = spark.createDataFrame([(i, t, n % 2, "x") for n, (i, t) in enumerate(rows)],
+                               "doc_id bigint, text string, stays int, text_key string")
+    out = trie_join.one_of_each(df)
+    assert out.columns == df.columns
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    gone = {(2, near + " more"), (None, near), (None, LONG), (8, LONG + " end")}
+    want = Counter(r for r in rows if r not in gone)
+    want[(4, rows[7][1])] = 1
+    assert got == want
+    assert trie_join.one_of_each(df.limit(0)).count() == 0
+    again = {r.doc_id: r.component_id for r in trie_join.near_duplicates(df.where("doc_id in (1, 3, 8)")).collect()}
+    assert again == {1: 1, 3: 3, 8: 8}
+
+
 def test_tree_join_finds_every_pair():
     rng = np.random.default_rng(3)
     for _ in range(30):

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hasher, anchored, combine, pick, words
+from .common import Hasher, anchored, combine, pick, whole_row, words
 from .components import connected_components
 
 SHINGLE = 5
@@ -53,12 +53,22 @@ def shingle_set(text: str | None, hasher: Hasher, k: int = SHINGLE) -> np.ndarra
     return np.unique(combine(h[i:len(h) - k + 1 + i] for i in range(k)))
 
 
+KEY = np.dtype("V16")  # a class's whole digest
+
+
 def _digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
+def _keys(digests) -> np.ndarray:
+    return np.frombuffer(b"".join(digests), KEY)
+
+
 def members(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, cls (digest of the set; null for an empty set)."""
+    """doc_id, n_shingles, cls (128-bit digest of the set; null for an empty set),
+    then the other columns as they are."""
+    rest = [f for f in docs.schema.fields if f.name not in ("doc_id", "text")]
+
     def run(batches):
         hasher = Hasher()
         for b in batches:
@@ -68,10 +78,12 @@ def members(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                 ns.append(len(s))
                 cls.append(_digest(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(ns, pa.int64()), pa.array(cls, pa.binary())],
-                ["doc_id", "n_shingles", "cls"])
+                [b.column("doc_id"), pa.array(ns, pa.int64()), pa.array(cls, pa.binary()),
+                 *(b.column(f.name) for f in rest)],
+                ["doc_id", "n_shingles", "cls", *(f.name for f in rest)])
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, cls binary")
+    more = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rest)
+    return docs.mapInArrow(run, f"doc_id bigint, n_shingles bigint, cls binary{more}")
 
 
 def _packets(docs: DataFrame, k: int, n_buckets: int) -> DataFrame:
@@ -85,7 +97,7 @@ def _packets(docs: DataFrame, k: int, n_buckets: int) -> DataFrame:
         order = np.argsort(bucket, kind="stable")
         tokens, owner, bucket = tokens[order], owner[order], bucket[order]
         cuts = np.flatnonzero(np.diff(bucket)) + 1
-        keys = np.array(keys, np.int64)
+        keys = _keys(keys)
         rows = ([], [], [], [], [])
         for t, o, at in zip(np.split(tokens, cuts), np.split(owner, cuts),
                             bucket[np.concatenate(([0], cuts))], strict=True):
@@ -104,7 +116,7 @@ def _packets(docs: DataFrame, k: int, n_buckets: int) -> DataFrame:
                 s = shingle_set(text.as_py(), hasher, k)
                 if not len(s):
                     continue
-                key = int.from_bytes(_digest(s)[:8], "big", signed=True)
+                key = _digest(s)
                 if key in seen:
                     continue
                 seen.add(key)
@@ -123,12 +135,12 @@ def _packets(docs: DataFrame, k: int, n_buckets: int) -> DataFrame:
 def _shared_in_bucket(parts: list[tuple], n_groups: int) -> pa.RecordBatch | None:
     """Of one bucket: for each class the tokens that other classes hold too, with
     the number of classes that hold them."""
-    index: dict[int, int] = {}
+    index: dict[bytes, int] = {}
     sizes: list[int] = []
     owners, tokens = [], []
     for keys, ns, counts, toks in parts:
         at = []
-        for key, n in zip(np.frombuffer(keys, np.int64).tolist(),
+        for key, n in zip(np.frombuffer(keys, KEY).tolist(),
                           np.frombuffer(ns, np.uint32).tolist(), strict=True):
             i = index.get(key)
             if i is None:
@@ -154,8 +166,8 @@ def _shared_in_bucket(parts: list[tuple], n_groups: int) -> pa.RecordBatch | Non
     start = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
     length = np.diff(np.append(start, len(tokens)))
     df = np.repeat(length, length).astype(np.uint32)
-    key = np.fromiter(index.keys(), np.int64, len(index))
-    group = (key.view(np.uint64) % np.uint64(n_groups)).astype(np.int64)
+    key = _keys(index)
+    group = (key.view(np.uint64)[::2] % np.uint64(n_groups)).astype(np.int64)
     order = np.lexsort((owners, group[owners]))
     tokens, owners, df = tokens[order], owners[order], df[order]
     cuts = np.flatnonzero(np.diff(group[owners])) + 1
@@ -193,13 +205,13 @@ def _shared(n_groups: int):
 
 
 def _assemble(num: int, den: int):
-    """(key, n, s, tokens) of the classes that share enough n-grams to have a
+    """(cls, n, s, tokens) of the classes that share enough n-grams to have a
     partner: their shared n-grams in the global order, rarest first, then by hash."""
     def run(batches):
         groups = _gathered(batches)
         while groups:
             parts = groups.popitem()[1]
-            key = np.concatenate([np.frombuffer(p[0], np.int64) for p in parts])
+            key = np.concatenate([np.frombuffer(p[0], KEY) for p in parts])
             n = np.concatenate([np.frombuffer(p[1], np.uint32) for p in parts])
             counts = np.concatenate([np.frombuffer(p[2], np.uint32) for p in parts])
             tokens = np.concatenate([np.frombuffer(p[3], np.uint64) for p in parts])
@@ -214,26 +226,26 @@ def _assemble(num: int, den: int):
             cuts = np.cumsum(held[active])[:-1]
             if active.any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(classes[active]), pa.array(n[active]), pa.array(held[active]),
+                    [pa.array(classes[active].tolist(), pa.binary()), pa.array(n[active]), pa.array(held[active]),
                      pa.array([t.tobytes() for t in np.split(tokens[order], cuts)], pa.binary())],
-                    ["key", "n", "s", "tokens"])
+                    ["cls", "n", "s", "tokens"])
     return run
 
 
 def _prefixes(num: int, den: int):
     def run(batches):
         for b in batches:
-            toks, keys = [], []
-            for key, n, t in zip(*(b.column(c).to_pylist() for c in ("key", "n", "tokens")), strict=True):
+            toks, nodes = [], []
+            for node, n, t in zip(*(b.column(c).to_pylist() for c in ("node", "n", "tokens")), strict=True):
                 t = np.frombuffer(t, np.uint64)
                 need = -(-num * n // den)
                 p = t[:len(t) - need + 1]
                 toks.append(p.view(np.int64))
-                keys.append(np.full(len(p), key, np.int64))
+                nodes.append(np.full(len(p), node, np.int64))
             if toks:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(toks)), pa.array(np.concatenate(keys))],
-                    ["token", "key"])
+                    [pa.array(np.concatenate(toks)), pa.array(np.concatenate(nodes))],
+                    ["token", "node"])
     return run
 
 
@@ -319,14 +331,14 @@ def join_sets(sets: list[np.ndarray], sizes: np.ndarray, is_tree: np.ndarray, is
 
 def _join_unit(num: int, den: int):
     def run(unit: pa.Table) -> pa.Table:
-        reps = np.array(unit.column("rep").to_pylist(), np.int64)
+        nodes = np.array(unit.column("node").to_pylist(), np.int64)
         copies = np.array(unit.column("copies").to_pylist(), np.int64)
         sizes = np.array(unit.column("n").to_pylist(), np.int64)
         sets = [np.frombuffer(t, np.uint64) for t in unit.column("tokens").to_pylist()]
         block = np.array(unit.column("block").to_pylist(), np.int64)
         i, j = unit.column("i")[0].as_py(), unit.column("j")[0].as_py()
-        links = np.zeros(len(reps), np.int64)
-        label = reps.copy()
+        links = np.zeros(len(nodes), np.int64)
+        label = nodes.copy()
         for me, linked in join_sets(sets, sizes, block == i, block == j, num, den):
             links[me] += copies[linked].sum()
             if i != j:
@@ -335,61 +347,110 @@ def _join_unit(num: int, den: int):
                 met = np.unique(np.append(label[linked], label[me]))
                 label[np.isin(label, met)] = met[0]
         on = links > 0
-        return pa.table({"rep": pa.array(reps[on]), "root": pa.array(label[on]),
+        return pa.table({"node": pa.array(nodes[on]), "root": pa.array(label[on]),
                          "links": pa.array(links[on])})
     return run
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                    k: int = SHINGLE, num: int = NUM, den: int = DEN,
-                    unit_tokens: int = UNIT_TOKENS) -> DataFrame:
-    """One row per document row: doc_id, n_shingles, class_id, n_links, component_id.
-
-    ``class_id``: smallest doc_id with the same set; ``n_links``: documents
-    linked directly, copies included; ``component_id``: smallest doc_id
-    reachable by links, itself included.  Ids are integers.  A document without
-    words (null text too) is linked with nothing and is its own class.
-    Repeated rows count as copies.
-    """
-    spark = docs.sparkSession
-    src = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+def _linked(src: DataFrame, k: int, num: int, den: int, unit_tokens: int) -> tuple[DataFrame, DataFrame]:
+    """``members`` of the documents, and a row for each class: cls, node (the
+    class's own number), rep (its smallest doc_id), copies, links (documents of
+    other classes linked with it), component (smallest node reachable)."""
+    spark = src.sparkSession
     n_buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     member = anchored(members(src, k))
-    key = F.conv(F.substring(F.hex("cls"), 1, 16), 16, -10).cast("bigint")
-    classes = (member.where("cls is not null").groupBy("cls")
-               .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
+    # numbered once and written: documents that share an id are told apart, and so are null ids
+    classes = anchored(member.where("cls is not null").groupBy("cls")
+                       .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+                       .withColumn("node", F.monotonically_increasing_id()))
 
     shared = (_packets(src.select("text"), k, n_buckets).repartition(n_buckets, "bucket")
               .mapInArrow(_shared(n_buckets), "grp int, keys binary, sizes binary, counts binary, "
                                               "tokens binary, dfs binary"))
     active = (shared.repartition(n_buckets, "grp")
-              .mapInArrow(_assemble(num, den), "key bigint, n bigint, s bigint, tokens binary"))
-    active = anchored(active.join(classes.select(key.alias("key"), "rep", "copies"), "key"))
+              .mapInArrow(_assemble(num, den), "cls binary, n bigint, s bigint, tokens binary"))
+    active = anchored(active.join(classes.select("cls", "node", "copies"), "cls").drop("cls"))
 
-    prefix = active.select("key", "n", "tokens").mapInArrow(_prefixes(num, den),
-                                                           "token bigint, key bigint")
-    ends = prefix.groupBy("token").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z")
-    edges = (prefix.join(ends, "token").where("key <> a").select("a", F.col("key").alias("b"))
+    prefix = active.select("node", "n", "tokens").mapInArrow(_prefixes(num, den),
+                                                            "token bigint, node bigint")
+    ends = prefix.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
+    edges = (prefix.join(ends, "token").where("node <> a").select("a", F.col("node").alias("b"))
              .distinct())
-    group = connected_components(edges).select(F.col("node").alias("key"),
-                                               F.col("component").alias("grp"))
-    weight = group.join(active.select("key", "s"), "key").groupBy("grp").agg(
+    group = connected_components(edges).withColumnRenamed("component", "grp")
+    weight = group.join(active.select("node", "s"), "node").groupBy("grp").agg(
         F.ceil(F.sum("s") / unit_tokens).cast("int").alias("blocks"))
-    placed = (active.join(group, "key").join(weight, "grp")
-              .withColumn("block", F.expr("pmod(xxhash64(key), blocks)").cast("int"))
+    placed = (active.join(group, "node").join(weight, "grp")
+              .withColumn("block", F.expr("pmod(xxhash64(node), blocks)").cast("int"))
               .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
               .select("grp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                      "block", "rep", "copies", "n", "tokens"))
+                      "block", "node", "copies", "n", "tokens"))
     found = anchored(placed.groupBy("grp", "i", "j").applyInArrow(
-        _join_unit(num, den), "rep bigint, root bigint, links bigint"))
-    component = connected_components(found.where("rep <> root").select("rep", "root"), "rep", "root")
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    linked = links.join(component.withColumnRenamed("node", "rep"), "rep", "left")
-    by_class = (classes.join(linked, "rep", "left")
+        _join_unit(num, den), "node bigint, root bigint, links bigint"))
+    component = connected_components(found.where("node <> root").select("node", "root"), "node", "root")
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    linked = links.join(component, "node", "left")
+    return member, (classes.join(linked, "node", "left")
+                    .withColumn("component", F.coalesce("component", "node")))
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                    k: int = SHINGLE, num: int = NUM, den: int = DEN,
+                    unit_tokens: int = UNIT_TOKENS) -> DataFrame:
+    """One row per document row: doc_id, n_shingles, class_id, n_links, component_id.
+
+    ``class_id``: smallest doc_id with the same set; ``n_links``: documents
+    linked directly, copies included; ``component_id``: smallest doc_id
+    reachable by links, itself included.  Ids are integers.  A document without
+    words (null text too) is linked with nothing and is its own class.
+    Repeated rows count as copies; rows that share an id but not a text are
+    documents of their own, and so is every row with a null id, which is
+    passed over where an id is reported unless there is no other.  Very long
+    texts count whole, an empty table gives no rows, and columns other than
+    the two named are not read, whatever they are called.
+    """
+    src = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    member, classes = _linked(src, k, num, den, unit_tokens)
+    least = (classes.where("links is not null").groupBy("component")
+             .agg(F.min("rep").alias("component_id")))
+    by_class = (classes.join(least, "component", "left")
                 .select("cls", F.col("rep").alias("class_id"),
                         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                        F.coalesce("component", "rep").alias("component_id")))
+                        F.coalesce("component_id", "rep").alias("component_id")))
     return (member.join(by_class, "cls", "left")
             .select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
                     F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                k: int = SHINGLE, num: int = NUM, den: int = DEN,
+                unit_tokens: int = UNIT_TOKENS) -> DataFrame:
+    """The documents, one row of each component of linked ones: the row with the
+    smallest id (null ids last), then the smallest SHA-256 of the text.
+
+    A row is known by its id and its whole text, so rows that share an id but
+    not a text stand and fall alone.  Of rows equal in both, the one that is
+    smallest as JSON stays.  Rows without words all stay.  Columns come
+    back as they were, whatever they are called; an empty table stays empty.
+    """
+    keyed = docs.select(whole_row(docs).alias("row"), F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
+                        F.unhex(F.sha2(F.col(f"`{text_col}`").cast("binary"), 256)).alias("text_key"))
+    src = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
+                      F.unhex(F.sha2(F.col(f"`{text_col}`").cast("binary"), 256)).alias("text_key"))
+    member, classes = _linked(src, k, num, den, unit_tokens)
+    rows = (member.where("cls is not null").groupBy("cls", "doc_id", "text_key").agg(F.count("*").alias("n"))
+            .join(classes.select("cls", "component"), "cls"))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    head = rows.groupBy("component").agg(F.min(place).alias("head"), F.sum("n").alias("all")).where("all > 1")
+    # rows to look at: those that go, and those that stay once although they are there more often
+    touched = anchored(rows.join(head, "component").withColumn("stays", F.col("head") == place)
+                       .where("not stays or n > 1").select("doc_id", "text_key", "stays"))
+
+    def meets(t: DataFrame):
+        return (keyed["doc_id"].eqNullSafe(t["doc_id"])) & (keyed["text_key"] == t["text_key"])
+
+    repeated = touched.where("stays")
+    single = keyed.join(touched, meets(touched), "left_anti").select("row")
+    once = (keyed.join(repeated, meets(repeated), "left_semi").groupBy("doc_id", "text_key")
+            .agg(F.min_by("row", F.to_json("row")).alias("row")).select("row"))
+    return single.unionByName(once).select("row.*")
