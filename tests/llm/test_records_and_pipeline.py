@@ -5,6 +5,7 @@ import glob
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,6 +67,24 @@ def pii_texts():
     return fixed + ["".join(rng.choice(bits) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
 
 
+def test_very_many_matches_in_one_text(spark):
+    """Linear in the matches: base spans, candidates and masking."""
+    one = "mail user@host.org, tel 212-555-0199 \U0001f600 password: Zx9Kd83mQp04LLs81 and a@b.co; "
+    n = 20_000
+    df = spark.createDataFrame([(1, one * n), (2, one), (3, None)], "doc_id bigint, text string")
+    weights = pii.learn(spark.createDataFrame([(1, one)] * 30 + [(2, "tel 111-111-1111x9")], "doc_id bigint, text string"))
+    start = time.monotonic()
+    found = pii.find_spans(df, weights=weights)
+    got = {r.doc_id: (r.base_spans, r.spans, r.text) for r in
+           pii.redact(found).select("doc_id", "base_spans", "spans", "text").collect()}
+    assert time.monotonic() - start < 60
+    assert len(got[1][0]) == 2 * n and got[3] == ([], [], None)
+    assert len(got[1][1]) == n * len(got[2][1]) > 2 * n
+    want = [(x.start + k * len(one), x.end + k * len(one), x.kind) for k in range(n) for x in got[2][1]]
+    assert [(x.start, x.end, x.kind) for x in got[1][1]] == want
+    assert got[1][2] == got[2][2] * n and got[2][2].startswith("mail <EMAIL>, tel ")
+
+
 def test_base_spans_equal_the_expressions(spark):
     texts = pii_texts()
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)],

@@ -19,8 +19,13 @@ expression: it also judges patterns on which the labelers disagree or stay out.
 
 Positions are code points, end exclusive.  Text between matches and the
 matches themselves are counted off in one pass a pattern; patterns start only
-where a run of their characters starts and never backtrack into a run, so
-they are linear on long texts.  Null texts are empty.
+where a run of their characters starts and never backtrack into a run.  Places
+are added up by doubling steps and read from pieces of the text, so a text with
+n matches takes n log n steps, however long it is.
+
+Null texts are empty.  Repeated rows are found each by itself, an empty table
+gives no rows (and no weights), and other columns come back as they were; two
+names are taken, ``base_spans`` and ``spans``.
 """
 
 from __future__ import annotations
@@ -64,26 +69,59 @@ ANNOUNCE = (r"(?i)(?:password|passwd|pwd|passwort|contraseña|secret|token|api.?
 RULE_OUT = r"(?i)(?:version|licen[sc]e|section|page|isbn|issn|vol|chapter|figure|table)[\x20.:#]{0,3}$"
 LABELERS = ("shape", "words", "around", "mix", "size")
 BEFORE, AFTER = 28, 2
+PIECE = 256
 ROUNDS = 60
 
 
 # ------------------------------------------------------------------ positions
+def _let(value: Column, fn) -> Column:
+    """``fn(value)`` with the value computed once, however often fn names it."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _scan(arr: Column, join) -> Column:
+    """Every element joined with all before and after it, by doubling steps:
+    ``join(x, before, after)`` sees the elements 1, 2, 4, … places away (null
+    beyond the ends), so n elements take n log n steps and no array grows."""
+    def over(a: Column) -> Column:
+        rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(a), F.lit(1)))).cast("int"))
+
+        def step(acc, k):
+            far = F.call_function("shiftleft", F.lit(1), k)
+            return F.transform(acc, lambda x, i: join(x, F.get(acc, i - far), F.get(acc, i + far)))
+
+        return F.aggregate(rounds, a, step)
+
+    return _let(arr, over)
+
+
 def _found(text: Column, pattern: str) -> Column:
     """array<struct<s, e, t>> of the matches, leftmost and non-overlapping."""
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    kind = "struct<pos:bigint,out:array<struct<s:bigint,e:bigint,t:string>>>"
-    steps = F.arrays_zip(gaps.alias("g"), hits.alias("h"))
+    # the last gap has no match after it
+    steps = F.filter(F.arrays_zip(gaps.alias("g"), hits.alias("h")), lambda x: x["h"].isNotNull())
+    ends = _scan(F.transform(steps, lambda x: F.struct((x["g"] + F.length(x["h"])).cast("bigint").alias("e"),
+                                                       x["h"].alias("t"))),
+                 lambda x, before, _: F.struct((x["e"] + F.coalesce(before["e"], F.lit(0))).alias("e"),
+                                               x["t"].alias("t")))
+    return F.transform(ends, lambda x: F.struct((x["e"] - F.length(x["t"])).alias("s"), x["e"].alias("e"),
+                                                x["t"].alias("t")))
 
-    def step(acc, x):
-        start = acc["pos"] + x["g"]
-        end = start + F.length(x["h"])
-        span = F.struct(start.alias("s"), end.alias("e"), x["h"].alias("t"))
-        return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(span)).alias("out")).cast(kind)
 
-    start = F.expr(f"cast(struct(0L, array()) as {kind})")
-    # the last gap has no match after it
-    return F.aggregate(F.filter(steps, lambda x: x["h"].isNotNull()), start, step)["out"]
+def _pieces(text: Column) -> Column:
+    """The text in pieces of ``PIECE`` code points, so that reading at a place
+    doesn't walk there from the beginning."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _between(pieces: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to ``end`` (exclusive; may lie beyond the text)."""
+    first = F.floor(start / PIECE).cast("int")
+    last = F.floor((end - 1) / PIECE).cast("int")
+    part = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+    return F.when(end > start, F.substring(part, (start - first * PIECE + 1).cast("int"),
+                                           (end - start).cast("int"))).otherwise("")
 
 
 def _passes(kind: str, t: Column) -> Column:
@@ -122,12 +160,9 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, F.lit(1)).when(no, F.lit(-1)).otherwise(F.lit(0))
 
 
-def _described(text: Column, kind: str, x: Column) -> Column:
-    """A candidate with its votes."""
-    t = x["t"]
-    before = F.substring(text, F.greatest(x["s"] - BEFORE + 1, F.lit(1)).cast("int"),
-                         F.least(x["s"], F.lit(BEFORE)).cast("int"))
-    after = F.substring(text, (x["e"] + 1).cast("int"), F.lit(AFTER))
+def _described(kind: str, x: Column) -> Column:
+    """A candidate with its votes; ``b`` and ``a`` are the text around it."""
+    t, before, after = x["t"], x["b"], x["a"]
     digits = F.length(F.translate(F.lower(t), "abcdefghijklmnopqrstuvwxyz().- ", ""))
     share = digits / F.length(t)
     if kind == "secret":
@@ -149,25 +184,58 @@ def _described(text: Column, kind: str, x: Column) -> Column:
                     F.least(F.expr("3"), F.floor(F.length(t) / 16)).cast("tinyint").alias("len"))
 
 
+def _free(base: Column, cands: Column) -> Column:
+    """The candidates that touch no base span: none that begins earlier reaches
+    past the candidate's start, and none begins within it."""
+    no = F.lit(None).cast("bigint")
+    spans = F.transform(base, lambda x: F.struct(
+        x["s"].alias("s"), F.lit(-1).alias("k"), x["e"].alias("e"), x["t"].alias("t"),
+        x["e"].alias("hi"), x["s"].alias("lo")))
+    others = F.transform(cands, lambda x: F.struct(
+        x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), x["t"].alias("t"), no.alias("hi"), no.alias("lo")))
+
+    def join(x, before, after):
+        return F.struct(*[x[c].alias(c) for c in ("s", "k", "e", "t")],
+                        F.greatest(x["hi"], before["hi"]).alias("hi"), F.least(x["lo"], after["lo"]).alias("lo"))
+
+    placed = _scan(F.array_sort(F.concat(spans, others)), join)
+    return F.filter(placed, lambda x: (x["k"] >= 0) & (F.coalesce(x["hi"], x["s"]) <= x["s"])
+                    & (F.coalesce(x["lo"], x["e"]) >= x["e"]))
+
+
 def _with_candidates(rows: DataFrame) -> DataFrame:
     """Adds ``_cands``: candidates that touch no base span."""
     text = F.col("_text")
     needs = {"secret": "[0-9]", "ssn": "-[0-9]{2}-", "tel": "[0-9]{4}",
              "name": r"(?:Mr|Mrs|Ms|Dr|Herr|Frau|Señor|Señora|Monsieur|Madame)[\x20.]"}
-    found = rows.withColumns({f"_c_{k}": _sparse(text, needs[k], _found(text, p))
-                              for k, p in CANDIDATES.items()})
-    base = F.concat(*[F.col(f"_{k}") for k in BASE])
 
-    def free(x):
-        return ~F.exists("_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+    def numbered(n: int):
+        return lambda x: F.struct(x["s"].alias("s"), F.lit(n).alias("k"), x["e"].alias("e"), x["t"].alias("t"))
 
-    def describe(kind: str):
-        return lambda x: _described(text, kind, x)
-
-    return (found.withColumn("_base", base)
-            .withColumn("_cands", F.concat(*[
-                F.transform(F.filter(F.col(f"_c_{k}"), free), describe(k)) for k in CANDIDATES]))
-            .drop(*[f"_c_{k}" for k in CANDIDATES]))
+    found = rows.withColumn("_found", F.concat(*[
+        F.transform(_sparse(text, needs[k], _found(text, p)), numbered(n))
+        for n, (k, p) in enumerate(CANDIDATES.items())]))
+    base = F.concat(*[F.col(f"_{k}") for k in BASE])
+    some = F.size("_found") > 0
+    found = (found.withColumn("_left", F.when(some, _free(base, F.col("_found"))))
+             .withColumn("_pieces", F.when(F.size("_left") > 0, _pieces(text))))
+    around = F.transform("_left", lambda x: F.struct(
+        x["s"].alias("s"), x["e"].alias("e"), x["t"].alias("t"), x["k"].alias("k"),
+        _between(F.col("_pieces"), F.greatest(x["s"] - BEFORE, F.lit(0)), x["s"]).alias("b"),
+        _between(F.col("_pieces"), x["e"], x["e"] + AFTER).alias("a")))
+
+    def described(x):
+        one = None
+        for n, k in enumerate(CANDIDATES):
+            one = (F.when(x["k"] == n, _described(k, x)) if one is None
+                   else one.when(x["k"] == n, _described(k, x)))
+        return one
+
+    none = F.expr(f"cast(array() as array<struct<kind:string,s:bigint,e:bigint,"
+                  f"{','.join(f'{v}:tinyint' for v in LABELERS)},len:tinyint>>)")
+    return (found.withColumn("_around", F.when(F.size("_left") > 0, around))
+            .withColumn("_cands", F.coalesce(F.transform("_around", described), none))
+            .drop("_found", "_left", "_pieces", "_around"))
 
 
 # ------------------------------------------------------- estimation (counts only)
@@ -295,23 +363,21 @@ def as_text(spans: str) -> Column:
 def redact(found: DataFrame, text_col: str = "text") -> DataFrame:
     """``text`` with every run of overlapping spans replaced by the first one's
     kind in angle brackets; a null text stays null."""
-    kind = "array<struct<start:bigint,end:bigint,kind:string>>"
-
-    def step(acc, x):
-        last = F.element_at(acc, -1)
-        meets = (F.size(acc) > 0) & (x["start"] < F.when(F.size(acc) > 0, last["end"]))
-        grown = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(
-            last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"),
-            last["kind"].alias("kind"))))
-        new = F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))
-        return F.when(meets, grown).otherwise(F.concat(acc, new)).cast(kind)
-
-    rows = found.withColumn("_runs", F.aggregate("spans", F.expr(f"cast(array() as {kind})"), step))
     text = F.col(f"`{text_col}`")
-    pieces = F.transform("_runs", lambda x, i: F.concat(
-        F.substring(text, (F.when(i > 0, F.get("_runs", i - 1)["end"]).otherwise(0) + 1).cast("int"),
-                    (x["start"] - F.when(i > 0, F.get("_runs", i - 1)["end"]).otherwise(0)).cast("int")),
-        F.lit("<"), F.upper(x["kind"]), F.lit(">")))
-    tail = F.substring(text, (F.element_at("_runs", -1)["end"] + 1).cast("int"), F.length(text))
-    return (rows.withColumn(text_col, F.when(F.size("_runs") > 0, F.concat(F.array_join(pieces, ""), tail))
-                            .otherwise(text)).drop("_runs"))
+    reach = _scan(F.transform("spans", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"),
+                                                          x["kind"].alias("kind"))),
+                  lambda x, before, _: F.struct(x["start"].alias("start"),
+                                                F.greatest(x["end"], before["end"]).alias("end"),
+                                                x["kind"].alias("kind")))
+    # ``end`` is now the furthest end so far: a run begins where a span starts beyond it
+    steps = F.transform("_reach", lambda x, i: F.struct(
+        x["start"].alias("start"), x["kind"].alias("kind"), i.alias("i"),
+        F.coalesce(F.get("_reach", i - 1)["end"], F.lit(0)).alias("done")))
+    runs = F.filter(steps, lambda x: (x["i"] == 0) | (x["start"] >= x["done"]))
+    pieces = F.transform(runs, lambda x: F.concat(
+        _between(F.col("_pieces"), x["done"], x["start"]), F.lit("<"), F.upper(x["kind"]), F.lit(">")))
+    tail = _between(F.col("_pieces"), F.element_at("_reach", -1)["end"], F.length(text))
+    some = F.size("spans") > 0
+    return (found.withColumn("_reach", F.when(some, reach)).withColumn("_pieces", F.when(some, _pieces(text)))
+            .withColumn(text_col, F.when(some, F.concat(F.array_join(pieces, ""), tail)).otherwise(text))
+            .drop("_reach", "_pieces"))
