@@ -1,13 +1,16 @@
 """Encoding, decontamination, toxicity and quality against plain versions."""
 
 import hashlib
+import math
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from tidepool.llm import ftrl, kneser_ney, sentencepiece_bpe, wu_manber
 from tidepool.llm.common import Hasher, ship_package
@@ -210,6 +213,59 @@ def test_toxicity_of_very_long_texts(spark):
     assert got[5000].score == pytest.approx(ftrl.probability(float(w[0])))
 
 
+def test_weights_equal_plain_ftrl(spark):
+    """Coordinate by coordinate with ordinary floats: every shard from the common
+    state, their changes averaged after each round."""
+    rows = toxic_rows()[:80]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    dims, shards, rounds = 1 << 17, 3, 4
+    got = ftrl.fit(docs, labels, dims=dims, shards=shards, rounds=rounds)[0]
+    where = {r.doc_id: (r.shard, r.ord) for r in docs.withColumn("ord", F.md5(F.col("doc_id").cast("string").cast("binary")))
+             .withColumn("shard", F.expr(f"pmod(xxhash64(ord), {shards})")).collect()}
+    a, b = Hasher(), Hasher()
+    deals = {}
+    for i, t, y in sorted(rows, key=lambda r: where[r[0]][1]):
+        deals.setdefault(where[i][0], []).append((ftrl.features(t, a, b, dims).tolist(), y))
+    def weight(z, n):
+        if abs(z) <= ftrl.L1:
+            return 0.0
+        return -(z - (ftrl.L1 if z > 0 else -ftrl.L1)) / ((ftrl.BETA + n ** 0.5) / ftrl.ALPHA + ftrl.L2)
+    z, n = {}, {}
+    for _ in range(rounds):
+        dz, dn = {}, {}
+        for own in deals.values():
+            zs, ns = dict(z), dict(n)
+            for idx, y in own:
+                w = {i: weight(zs.get(i, 0.0), ns.get(i, 0.0)) for i in idx}
+                g = 1 / (1 + math.exp(-sum(w.values()))) - y
+                for i in idx:
+                    old = ns.get(i, 0.0)
+                    zs[i] = zs.get(i, 0.0) + g - ((old + g * g) ** 0.5 - old ** 0.5) / ftrl.ALPHA * w[i]
+                    ns[i] = old + g * g
+            for i in zs:
+                dz[i] = dz.get(i, 0.0) + (zs[i] - z.get(i, 0.0)) / shards
+                dn[i] = dn.get(i, 0.0) + (ns[i] - n.get(i, 0.0)) / shards
+        for i in dz:
+            z[i], n[i] = z.get(i, 0.0) + dz[i], n.get(i, 0.0) + dn[i]
+    want = np.zeros(dims)
+    for i in z:
+        want[i] = weight(z[i], n[i])
+    assert np.count_nonzero(got) and np.allclose(got, want, atol=1e-4)
+
+
+def test_filter_holds_what_was_put_in(spark):
+    h = np.random.default_rng(5).integers(0, 1 << 63, 50_000).astype(np.uint64)
+    part = ftrl._places(h)[0].astype(np.int32)
+    batch = pa.RecordBatch.from_arrays([pa.array(part), pa.array(h.view(np.int64))], ["part", "h"])
+    seen = np.zeros(ftrl.SEEN_PARTS * ftrl.SEEN_BITS // 8, np.uint8)
+    for b in ftrl._filter_parts([batch]):
+        at = b.column(0)[0].as_py() * (ftrl.SEEN_BITS // 8)
+        seen[at:at + ftrl.SEEN_BITS // 8] = np.frombuffer(b.column(1)[0].as_py(), np.uint8)
+    other = np.random.default_rng(6).integers(0, 1 << 63, 50_000).astype(np.uint64)
+    assert ftrl.held(seen, h).all() and ftrl.held(seen, other).mean() < 1e-3
+
+
 def test_features_are_the_named_ones():
     h, s = Hasher(), Hasher()
     a = set(ftrl.features("one two three", h, s).tolist())
