@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -386,6 +387,22 @@ def test_limits_cover_all_trusted_documents(spark):
     assert {r.lang: r.limit for r in joined} == pytest.approx(limits)
 
 
+def test_model_is_trained_on_every_trusted_row_outside_the_fold(spark, monkeypatch):
+    """However many labelled rows there are: 75,000 are more than the 60,000 that were once the most."""
+    n = 75_000
+    docs = spark.range(n).selectExpr("id as doc_id", "concat('ab ', id) as text", "'en' as lang")
+    labels = spark.range(n).selectExpr("id as doc_id", "int(id % 10 != 0) as quality")
+    taught = []
+
+    def fit(trusted):
+        taught.append(trusted.collect())
+
+    monkeypatch.setattr(kneser_ney, "fit", fit)
+    assert kneser_ney.classify(docs, labels).count() == n
+    assert sorted(r.text for r in taught[0]) == sorted(
+        f"ab {i}" for i in range(n) if i % 10 and zlib.crc32(str(i).encode()) % 5)
+
+
 def test_repeat_mark():
     reader = kneser_ney.Reader()
     s = np.concatenate(list(reader.symbols("no no  no yes")))
