@@ -309,3 +309,18 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
 def test_pipeline_run(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert 0 < out.count() <= 200 and out.where("not round_trip").isEmpty()
+
+
+def test_quality_stage_learns_from_every_labelled_row(spark, tmp_path, monkeypatch):
+    """The pipeline's stage, on more labelled rows than the 60,000 that were once the most."""
+    import zlib
+
+    import corpus_pipeline
+    from tidepool.llm import kneser_ney
+
+    n, taught = 75_000, []
+    spark.range(n).selectExpr("id as doc_id", "1 as quality").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.range(n).selectExpr("id as doc_id", "concat('ab ', id) as text", "'en' as lang")
+    monkeypatch.setattr(kneser_ney, "fit", lambda trusted: taught.append(trusted.count()))
+    assert corpus_pipeline.quality(spark, docs, str(tmp_path)).count() == n
+    assert taught == [sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(n))]
