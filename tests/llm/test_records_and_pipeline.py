@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import time
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from conftest import SF_ORACLE, SF_SMALL
 from oracle import compare, duck
-from tidepool.llm import pii, queries, warc
+from tidepool.llm import kneser_ney, pii, queries, warc
 from tidepool.llm.common import ship_package
 
 LONG = "word 12 34-5 a@b " * 5000
@@ -313,11 +314,6 @@ def test_pipeline_run(spark):
 
 def test_quality_stage_learns_from_every_labelled_row(spark, tmp_path, monkeypatch):
     """The pipeline's stage, on more labelled rows than the 60,000 that were once the most."""
-    import zlib
-
-    import corpus_pipeline
-    from tidepool.llm import kneser_ney
-
     n, taught = 75_000, []
     spark.range(n).selectExpr("id as doc_id", "1 as quality").write.parquet(f"{tmp_path}/labels.parquet")
     docs = spark.range(n).selectExpr("id as doc_id", "concat('ab ', id) as text", "'en' as lang")

@@ -1,9 +1,12 @@
 """Encoding, decontamination, toxicity and quality against plain versions."""
 
+import gc
 import hashlib
 import math
 import random
 import re
+import shutil
+import weakref
 import zlib
 
 import numpy as np
@@ -13,7 +16,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tidepool.llm import ftrl, kneser_ney, sentencepiece_bpe, wu_manber
+from tidepool.llm import ftrl, kneser_ney, sentencepiece_bpe, trie_join, wu_manber
 from tidepool.llm.common import Hasher, ship_package
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -403,6 +406,17 @@ def test_model_is_trained_on_every_trusted_row_outside_the_fold(spark, monkeypat
         f"ab {i}" for i in range(n) if i % 10 and zlib.crc32(str(i).encode()) % 5)
 
 
+@pytest.mark.parametrize("task", [kneser_ney._count, trie_join._prefixes(80, 100)])
+def test_a_worker_gives_up_another_operators_model(tmp_path, task):
+    """Spark reuses workers: the encoder's tables must not add to the next stage's memory."""
+    path = str(shutil.copy(MODEL, tmp_path / "own.model"))
+    model = weakref.ref(sentencepiece_bpe.load(path))
+    assert sentencepiece_bpe.load(path) is model()
+    list(task(iter([pa.RecordBatch.from_pylist([], pa.schema([("text", pa.string())]))][:task is kneser_ney._count])))
+    gc.collect()
+    assert model() is None
+
+
 def test_repeat_mark():
     reader = kneser_ney.Reader()
     s = np.concatenate(list(reader.symbols("no no  no yes")))

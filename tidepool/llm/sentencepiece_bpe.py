@@ -30,7 +30,6 @@ import hashlib
 import re
 import string
 from array import array
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -39,6 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .common import kept_model
+
 SPACE = "▁"
 CACHED_SEGMENTS = 250_000  # twice as many are held
 KNOWN_PAIRS = 250_000
@@ -292,9 +293,9 @@ def _utf8_or_marks(run: bytearray) -> str:
     return "".join(out)
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> PieceModel:
-    return PieceModel(path)
+    """Kept until another operator's task comes to this process."""
+    return kept_model(("pieces", path), lambda: PieceModel(path))
 
 
 def encode_documents(docs: DataFrame, model_path: str, *, id_col: str = "doc_id",

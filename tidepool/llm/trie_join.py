@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hasher, anchored, combine, pick, whole_row, words
+from .common import Hasher, anchored, combine, pick, release_model, whole_row, words
 from .components import connected_components
 
 SHINGLE = 5
@@ -70,6 +70,7 @@ def members(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     rest = [f for f in docs.schema.fields if f.name not in ("doc_id", "text")]
 
     def run(batches):
+        release_model()
         hasher = Hasher()
         for b in batches:
             ns, cls = [], []
@@ -110,6 +111,7 @@ def _packets(docs: DataFrame, k: int, n_buckets: int) -> DataFrame:
             ["bucket", "keys", "sizes", "counts", "tokens"])
 
     def run(batches):
+        release_model()
         hasher, seen, sets, keys, held = Hasher(), set(), [], [], 0
         for b in batches:
             for text in b.column("text"):
@@ -196,6 +198,7 @@ def _shared(n_groups: int):
     """All packets of a task, bucket by bucket; the answers are packets too, dealt
     by class."""
     def run(batches):
+        release_model()
         buckets = _gathered(batches)
         while buckets:
             out = _shared_in_bucket(buckets.popitem()[1], n_groups)
@@ -208,6 +211,7 @@ def _assemble(num: int, den: int):
     """(cls, n, s, tokens) of the classes that share enough n-grams to have a
     partner: their shared n-grams in the global order, rarest first, then by hash."""
     def run(batches):
+        release_model()
         groups = _gathered(batches)
         while groups:
             parts = groups.popitem()[1]
@@ -234,6 +238,7 @@ def _assemble(num: int, den: int):
 
 def _prefixes(num: int, den: int):
     def run(batches):
+        release_model()
         for b in batches:
             toks, nodes = [], []
             for node, n, t in zip(*(b.column(c).to_pylist() for c in ("node", "n", "tokens")), strict=True):
@@ -331,6 +336,7 @@ def join_sets(sets: list[np.ndarray], sizes: np.ndarray, is_tree: np.ndarray, is
 
 def _join_unit(num: int, den: int):
     def run(unit: pa.Table) -> pa.Table:
+        release_model()
         nodes = np.array(unit.column("node").to_pylist(), np.int64)
         copies = np.array(unit.column("copies").to_pylist(), np.int64)
         sizes = np.array(unit.column("n").to_pylist(), np.int64)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import anchored, pick, utf8, whole_row
+from .common import anchored, pick, release_model, utf8, whole_row
 
 WINDOW = 13
 BLOCK = 2
@@ -144,6 +144,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "
         shipped = spark.sparkContext.broadcast(piece)
 
         def scan(batches, shipped=shipped):
+            release_model()
             matchers = build_matchers(shipped.value, window)
             for b in batches:
                 ns, flats, found = [], [], []
