@@ -375,6 +375,26 @@ def test_kept_ngrams_do_not_shrink_with_the_corpus(spark):
             assert r.score == pytest.approx(a.score(ws), rel=1e-8), (tau, ws[:5])
 
 
+def test_what_is_dealt_stays_small(spark, monkeypatch):
+    """All that scoring deals among tasks, in bytes a token."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rng, sent = random.Random(9), []
+    words = [f"w{rng.randrange(40_000)}" for _ in range(300_000)]
+    df = spark.createDataFrame([(i, " ".join(words[i * 500:i * 500 + 500]), True) for i in range(600)],
+                               "doc_id bigint, text string, train boolean").repartition(2)
+    deal = DataFrame.repartition
+
+    def recorded(self, *by):
+        sizes = [F.sum(F.octet_length(c)) for c, kind in self.dtypes if kind == "binary"]
+        sent.extend(x or 0 for x in self.agg(*sizes).first())
+        return deal(self, *by)
+
+    monkeypatch.setattr(DataFrame, "repartition", recorded)
+    assert backoff_automaton.score_documents(df).count() == 600
+    assert 0 < sum(sent) / len(words) < 20
+
+
 # -------------------------------------------------------------------- sharding
 def plain_shards(rows, limit):
     copies = defaultdict(int)

@@ -24,66 +24,93 @@ would be taken without it, and its own failure arc::
 
     weight(hw) = log P(w | h) - log bow(h) - log P(w | shorter h) + log bow(hw)
 
-So no task or driver holds the model.  Counts are added up in chunks before
-they are shuffled; counts, weights and failure arcs are tables, built by joins
-of n-grams with their histories and suffixes.  Scoring goes through the text
-once: n-grams that make up at least ``tau`` of all training tokens (at most
-``1 / tau`` of each n) have their weights broadcast, all others meet theirs in
-hash buckets, packet after packet.  No bucket therefore gets more than ``tau``
-of the tokens by one n-gram, and what it holds is its share of the tables.
+So no task or driver holds the model.  Texts are written once as chunks of about
+CHUNK_TOKENS tokens, bucketed by chunk, and stay where they are; questions about
+their n-grams go out, one round for each n, and answers come back:
+
+1. A chunk asks for each of its words once, with its count in training rows.  Hash
+   buckets add the counts up, number the words kept and answer.
+2. A chunk asks for each n-gram once as (number of its history, number of its
+   suffix), both one word shorter, where both are kept: no other is seen
+   ``MIN_COUNT`` times.  The history's bucket adds up, numbers and answers, also
+   with the sum and number of all kept counts after the history, which give bow(h).
+3. With all answers a chunk computes P(w | h) for its tokens, shorter histories first.
+
+Numbers go as sorted differences, byte by byte, compressed.  A history that makes
+up at least ``tau`` of all training tokens and half a bucket is dealt over as many
+buckets as it fills; its sums are added up and broadcast (at most ``1 / tau`` for each n).
 
 ``Automaton`` is the same model within one process, in its pass from left to
 right (``fit`` learns it; ``tau`` there is the threshold of what is kept).
 
-Null texts are empty: the end alone.  Counts are by 64-bit hashes.
+Null texts are empty: the end alone.  Words are told apart by 64-bit hashes,
+longer n-grams exactly by their words' numbers.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from dataclasses import dataclass
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import WORD_CACHE, Hasher, anchored, combine, utf8, words
+from .common import WORD_CACHE, Hasher, anchored, mix64, release_model, scratch_path, words
 
 END = b" end"  # no word holds a space
 END_HASH = xxhash.xxh64_intdigest(END)
-TAU = 4e-6  # n-grams with this share of the training tokens are broadcast
+TAU = 1e-4  # histories with this share of the training tokens may take several buckets
 MIN_COUNT = 2
 ORDER = 3
 DISCOUNT = 0.75
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS = 2_000_000
 CHUNK_DOCS = 20_000
-HELD = 1_000_000  # entries held until they are added up
 SYMBOL_BITS = 20  # 1 / tau must stay below 2 ** 20
 RARE = 0
 
 
-def text_key(doc, text: str | None) -> int:
-    """Rows with equal id and text are interchangeable: they share a key."""
-    h = xxhash.xxh3_64(repr(doc).encode())
-    h.update(b"\0null" if text is None else b"\1" + utf8(text))
-    return h.intdigest() - (1 << 63)
+# ------------------------------------------------------------- packed arrays
+def _pack(a: np.ndarray) -> bytes:
+    """Whole numbers from 0: their first bytes, then their second ones, …, compressed."""
+    a = np.ascontiguousarray(a, np.uint64)
+    width = (int(a.max()).bit_length() + 7) // 8 if len(a) else 0
+    planes = a.view(np.uint8).reshape(len(a), 8)[:, :width].T.tobytes()
+    return len(a).to_bytes(8, "little") + bytes([width]) + pa.compress(planes, "zstd", asbytes=True)
 
 
-# ------------------------------------------------------------- counts
+def _unpack(data: bytes) -> np.ndarray:
+    n, width = int.from_bytes(data[:8], "little"), data[8]
+    planes = pa.decompress(data[9:], n * width, "zstd", asbytes=True)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
+    return out.reshape(-1).view(np.int64)
+
+
+def _rising(a: np.ndarray) -> bytes:
+    """Numbers in ascending order, as their differences."""
+    a = a.astype(np.uint64)
+    return _pack(np.diff(a, prepend=a[:0] if not len(a) else np.zeros(1, np.uint64)))
+
+
+def _risen(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(data))
+
+
+# ------------------------------------------------------------- chunks
 def _chunks(batches):
-    """Rows of about CHUNK_TOKENS tokens: (doc_id, train, key, tokens), the
+    """Rows of about CHUNK_TOKENS tokens: (doc_id, train, tokens), the
     tokens hashed, with an end before the first and after the last."""
     hasher, rows, held = Hasher(), [], 0
     for b in batches:
         for doc, train, text in zip(*(b.column(c) for c in ("doc_id", "train", "text")), strict=True):
-            doc, text = doc.as_py(), text.as_py()
-            t = hasher.array([END, *words(text), END])
-            rows.append((doc, train.as_py(), text_key(doc, text), t))
+            t = hasher.array([END, *words(text.as_py()), END])
+            rows.append((doc.as_py(), train.as_py(), t))
             held += len(t)
             if held >= CHUNK_TOKENS or len(rows) >= CHUNK_DOCS:
                 yield rows
@@ -92,291 +119,329 @@ def _chunks(batches):
         yield rows
 
 
-def _grams(texts: list[np.ndarray], order: int):
-    """(n, places of the texts, n-grams, their histories, their suffixes); the
-    n-grams of one word leave out the end before the text."""
-    t = np.concatenate(texts)
-    size = np.array([len(x) for x in texts])
-    owner = np.repeat(np.arange(len(texts)), size)
-    word = np.ones(len(t), bool)
-    word[np.cumsum(size) - size] = False
-    yield 1, owner[word], t[word], t[word], t[word]
-    g = t
-    for n in range(2, order + 1):
-        ok = owner[:-n + 1] == owner[n - 1:]
-        h, s = g[:-1], g[1:]
-        g = combine((h, s))
-        yield n, owner[:len(g)][ok], g[ok], h[ok], s[ok]
+CHUNK = "chunk bigint, ids array<{0}>, train binary, sizes binary, words binary, tokens binary, trained bigint"
 
 
-def _dealt(at: np.ndarray):
-    """(place, its indices in order) of each place."""
-    order = np.argsort(at.astype(np.uint16) if len(at) and at.max() < 1 << 16 else at, kind="stable")
-    cuts = np.flatnonzero(np.diff(at[order])) + 1
-    for own in np.split(order, cuts) if len(order) else ():
-        yield int(at[own[0]]), own
+def _chunk(ids: pa.DataType):
+    """A row for each chunk: its documents, its words in the order of their hashes,
+    and the places of its tokens among them."""
+    def run(batches):
+        release_model()
+        task = TaskContext.get().partitionId()
+        for no, rows in enumerate(_chunks(batches)):
+            words_, at = np.unique(np.concatenate([r[2] for r in rows]), return_inverse=True)
+            train, sizes = np.array([r[1] for r in rows], np.uint64), np.array([len(r[2]) for r in rows], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([task << 32 | no]), pa.array([[r[0] for r in rows]], pa.list_(ids)),
+                 *(pa.array([x], pa.binary()) for x in (_pack(train), _pack(sizes), _rising(words_), _pack(at))),
+                 pa.array([int((train * (sizes - np.uint64(1))).sum())])],
+                ["chunk", "ids", "train", "sizes", "words", "tokens", "trained"])
+    return run
 
 
-COUNTS = "n tinyint, bucket int, h binary, s binary, c binary"
+# ------------------------------------------------------------- questions
+# histories, how many suffixes each has, its first suffix, the steps to the others, counts in training rows
+ASKED = "bucket int, chunk bigint, h binary, k binary, s binary, d binary, c binary"
 
 
-def _count(n_buckets: int, order: int):
-    """(n, bucket, histories, suffixes, counts) of a chunk's distinct n-grams."""
-    def run(batches):
-        for rows in _chunks(batches):
-            for n, _, g, h, s in _grams([r[3] for r in rows], order):
-                g, at, c = np.unique(g, return_index=True, return_counts=True)
-                h, s, c = h[at], s[at], c.astype(np.uint32)
-                out = [(n, place, h[own].tobytes(), s[own].tobytes() if n > 1 else b"", c[own].tobytes())
-                       for place, own in _dealt((g % np.uint64(n_buckets)).astype(np.int64))]
-                if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, t) for x, t in zip(zip(*out, strict=True), (
-                            pa.int8(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
-                        ["n", "bucket", "h", "s", "c"])
-    return run
+def _questions(rows: list[tuple]) -> list[pa.Array]:
+    cols = list(zip(*rows, strict=True)) or [[]] * 7
+    return [pa.array(x, t) for x, t in zip(cols, (pa.int32(), pa.int64(), *[pa.binary()] * 5), strict=True)]
 
 
-def _add_counts(min_count: int):
-    """Packets of a task -> (n, g, h, s, c): all words, and longer n-grams seen ``min_count`` times."""
-    def run(batches):
-        held: dict[int, list[tuple]] = {}
-        size: Counter[int] = Counter()
-        least: Counter[int] = Counter()
-
-        def settle(n):
-            h, s, c = (np.concatenate(x) for x in zip(*held[n], strict=True))
-            g, at, of = np.unique(h if n == 1 else combine((h, s)), return_index=True, return_inverse=True)
-            held[n] = [(h[at], s[at], np.bincount(of, weights=c, minlength=len(g)).astype(np.int64))]
-            size[n] = 0
-            least[n] = max(HELD, len(g))
-            return g, *held[n][0]
+_ASKED = [c.split()[0] for c in ASKED.split(", ")]
 
-        for b in batches:
-            for n, h, s, c in zip(*(b.column(x) for x in ("n", "h", "s", "c")), strict=True):
-                n = n.as_py()
-                h = np.frombuffer(h.as_py(), np.uint64)
-                s = h if n == 1 else np.frombuffer(s.as_py(), np.uint64)
-                held.setdefault(n, []).append((h, s, np.frombuffer(c.as_py(), np.uint32).astype(np.int64)))
-                size[n] += len(h)
-                if size[n] > max(HELD, least[n]):
-                    settle(n)
-        for n in sorted(held):
-            g, h, s, c = settle(n)
-            del held[n]
-            on = np.flatnonzero(c >= (1 if n == 1 else min_count))
-            for i in range(0, len(on), HELD // 10):
-                own = on[i:i + HELD // 10]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(own), n, np.int8)), *(pa.array(x[own].view(np.int64)) for x in (g, h, s, c))],
-                    ["n", "g", "h", "s", "c"])
-    return run
 
-
-# ------------------------------------------------------------- weights
-def weigh(counts: DataFrame, places: int, *, order: int, discount: float) -> list[DataFrame]:
-    """For each n a table of the kept n-grams: g, c, lp (log10 of the last word's
-    probability after the others), lb (log10 bow), w (what it adds to a score that
-    holds its shorter n-grams; a word's is its failure arc)."""
-    def of(n):
-        return counts.where(F.col("n") == n).drop("n")
-
-    def with_failure(df, n):
-        """Adds lb, from the n-grams that go on from these."""
-        if n == order:
-            return df.withColumn("lb", F.lit(0.0))
-        held = of(n + 1).groupBy(F.col("h").alias("g")).agg(F.sum(F.col("c") - discount).alias("held"))
-        left = F.greatest(1.0 - F.coalesce("held", F.lit(0.0)) / F.col("c"), F.lit(1e-12))
-        return df.join(held, "g", "left").withColumn("lb", F.log10(left)).drop("held")
-
-    words_ = of(1).select("g", "c", F.log10((F.col("c") + 1.0) / float(places)).alias("lp"))
-    out = [anchored(with_failure(words_, 1).withColumn("w", F.col("lb")))]
-    for n in range(2, order + 1):
-        history = out[-1].select(F.col("g").alias("h"), F.col("c").alias("ch"), F.col("lb").alias("lbh"))
-        suffix = out[-1].select(F.col("g").alias("s"), F.col("lp").alias("lps"))
-        failed = F.col("lbh") + F.col("lps")
-        arcs = (of(n).join(history, "h").join(suffix, "s")
-                .withColumn("lp", F.log10((F.col("c") - discount) / F.col("ch") + F.pow(F.lit(10.0), failed)))
-                .select("g", "c", "lp", (F.col("lp") - failed).alias("over")))
-        out.append(anchored(with_failure(arcs, n).select("g", "c", "lp", "lb", (F.col("over") + F.col("lb")).alias("w"))))
-    return out
+def _suffixes(long: np.ndarray, first: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """The suffixes of each history, from its first one and the steps to the others."""
+    at = np.cumsum(long) - long
+    out = np.zeros(int(long.sum()), np.int64)
+    other = np.ones(len(out), bool)
+    other[at] = False
+    out[other] = steps
+    out = np.cumsum(out)
+    return out + np.repeat(first - out[at], long)
 
 
-# ------------------------------------------------------------- scores
-# Weights of words and of longer n-grams come first; then what texts ask for.
-WORD_WEIGHTS, GRAM_WEIGHTS, WORDS, GRAMS, ROWS, PART = range(6)
+def _word_bucket(words_: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Buckets are ranges of hashes, so words stay in order."""
+    return ((words_.view(np.uint64) >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def _packets(rows: list[tuple], ids: pa.DataType) -> pa.RecordBatch:
-    """(kind, place, four arrays, ids) each.  Weights: n-grams, values, values.
-    Words and n-grams: text keys, how many of each, n-grams.  Rows: text keys,
-    tokens, train, ids.  Parts: text keys, known tokens, base, model sums."""
-    kinds = pa.int8(), pa.int32(), *[pa.binary()] * 4, pa.list_(ids)
-    cols = list(zip(*[(k, p, *(None if x is None else x.tobytes() for x in xs), i) for k, p, *xs, i in rows],
-                    strict=True)) or [[]] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
-                                      ["kind", "place", "keys", "n", "a", "b", "ids"])
+def _split(bucket: np.ndarray):
+    """(bucket, first, end) of the runs in an ascending array."""
+    cuts = np.flatnonzero(np.diff(bucket)) + 1
+    ends = [0, *cuts.tolist(), len(bucket)]
+    return [(int(bucket[a]), a, z) for a, z in zip(ends, ends[1:], strict=False) if z > a]
 
 
-def _schema(kind: str) -> str:
-    return f"kind tinyint, place int, keys binary, n binary, a binary, b binary, ids array<{kind}>"
+def _ask_words(n_buckets: int):
+    """Each chunk's words with their numbers in its training rows, by bucket."""
+    def run(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                r = _Reading(row)
+                c = np.bincount(r.tokens[r.learnt & ~r.start], minlength=len(r.words))
+                yield pa.RecordBatch.from_arrays(_questions(
+                    [(place, row["chunk"], None, None, _rising(r.words[a:z]), None, _pack(c[a:z]))
+                     for place, a, z in _split(_word_bucket(r.words, n_buckets))]), _ASKED)
+    return run
 
 
-def _parts(keys, known, base, more, n_groups: int) -> list[tuple]:
-    group = (keys.view(np.uint64) % np.uint64(n_groups)).astype(np.int64)
-    return [(PART, at, keys[own], known[own], base[own], more[own], None) for at, own in _dealt(group)]
+@dataclass
+class Known:
+    """What is known of each n so far: at most a number a bucket and ``1 / tau`` n-grams."""
+    n_buckets: int
+    total: int
+    first: dict[int, np.ndarray]    # of each bucket the number before its first kept n-gram's
+    often: dict[int, np.ndarray]    # frequent n-grams, ascending: what follows them is dealt one by one
+    sums: dict[int, tuple]          # of the frequent histories of n words: numbers, counts that follow, how many
 
 
 def _found(table: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in the sorted table, and whether they hold the n-gram."""
+    """Places in the sorted table, and whether they hold the number."""
     if not len(table):
         return np.zeros(len(g), np.int64), np.zeros(len(g), bool)
     at = np.minimum(np.searchsorted(table, g), len(table) - 1)
     return at, table[at] == g
 
 
-def _ask(sent, n_buckets: int, order: int, ids: pa.DataType):
-    """Of each chunk: the rows, the part of their scores that the broadcast
-    weights give, and all other n-grams, dealt by bucket."""
-    def run(batches):
-        (hot, counted, failure), (hot_grams, gain) = sent.value
-        for rows in _chunks(batches):
-            texts = [r[3] for r in rows]
-            keys = np.array([r[2] for r in rows], np.int64)
-            train, tokens = np.array([r[1] for r in rows], np.uint8), np.array([len(t) - 1 for t in texts])
-            known, base, more = np.zeros(len(rows), np.int64), np.zeros(len(rows)), np.zeros(len(rows))
-            for n, owner, g, _, _ in _grams(texts, order):
-                at, hit = _found(hot if n == 1 else hot_grams, g)
-                by, at = owner[hit], at[hit]
-                more += np.bincount(by, weights=(failure if n == 1 else gain)[at], minlength=len(rows))
-                if n == 1:
-                    known += np.bincount(by, minlength=len(rows))
-                    base += np.bincount(by, weights=counted[at], minlength=len(rows))
-                owner, g = owner[~hit], g[~hit]
-                out = []
-                for place, own in _dealt((g % np.uint64(n_buckets)).astype(np.int64)):
-                    who, c = np.unique(owner[own], return_counts=True)
-                    out.append((WORDS if n == 1 else GRAMS, place, keys[who], c.astype(np.uint32), g[own], None, None))
-                if out:
-                    yield _packets(out, ids)
-            out = _parts(keys, known, base, more, n_buckets)
-            for place, own in _dealt((keys.view(np.uint64) % np.uint64(n_buckets)).astype(np.int64)):
-                out.append((ROWS, place, keys[own], tokens[own], train[own], None, [rows[i][0] for i in own.tolist()]))
-            yield _packets(out, ids)
-    return run
+class _Reading:
+    """A chunk, read with n-grams of one word, then two, ….
 
+    ``own``: for each token the place of the kept n-gram that ends there, or -1.
+    Places follow the numbers that the buckets gave to the n-grams.
+    """
 
-def _deal_weights(kind: int, n_buckets: int, ids: pa.DataType):
-    """(g, a, b) rows as packets of their buckets."""
-    def run(batches):
-        held, size = [], 0
-
-        def flush():
-            g, a, b = (np.concatenate(x) for x in zip(*held, strict=True))
-            return _packets([(kind, place, g[own], None, a[own], b[own], None) for place, own in
-                             _dealt((g.view(np.uint64) % np.uint64(n_buckets)).astype(np.int64))], ids)
-
-        for batch in batches:
-            if batch.num_rows:
-                held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-                size += batch.num_rows
-            if size >= HELD:
-                yield flush()
-                held, size = [], 0
-        if held:
-            yield flush()
+    def __init__(self, row: dict):
+        self.row = row
+        self.train, self.sizes = _unpack(row["train"]), _unpack(row["sizes"])
+        self.words, self.tokens = _risen(row["words"]), _unpack(row["tokens"])
+        if len(self.tokens) < 1 << 31:
+            self.tokens = self.tokens.astype(np.int32)
+        self.owner = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+        self.start = np.zeros(len(self.tokens), bool)
+        self.start[np.cumsum(self.sizes) - self.sizes] = True
+        self.learnt = self.train.astype(bool)[self.owner]
+
+    def _answers(self, parts: list[tuple], first: np.ndarray, size: int):
+        """(counts, numbers) of the entries, in the order in which they were dealt."""
+        count = np.concatenate([_unpack(c) for _, _, c, _, _ in parts])
+        if len(count) != size:
+            raise ValueError("answers don't fit the questions")
+        number = np.zeros(size, np.int64)
+        if parts[0][1] is not None:
+            number[count > 0] = np.concatenate([_risen(at) + first[b] + 1 for b, at, _, _, _ in parts])
+        return count, number
+
+    def hear_words(self, parts: list[tuple], known: Known) -> None:
+        self.count, self.number = self._answers(parts, known.first[1], len(self.words))
+        self.word_count = self.count[self.tokens]
+        self.own = np.where(self.word_count > 0, self.tokens, self.tokens.dtype.type(-1))
+
+    def ask(self, n: int, known: Known) -> None:
+        """The n-grams whose history is kept, each once: by bucket, history and suffix.
+        Where the suffix isn't kept the n-gram isn't either, and only the history is asked for."""
+        self.at = np.flatnonzero((self.own[:-1] >= 0) & ~self.start[1:]) + 1
+        over = len(self.count) + 1
+        key = self.own[self.at - 1].astype(np.int64) * over + self.own[self.at] + 1
+        u, inverse = np.unique(key, return_inverse=True)
+        h, s = np.divmod(u, over)
+        c = np.bincount(inverse[self.learnt[self.at]], minlength=len(u)) * (s > 0)
+        of_h, of_s = self.number[h], np.where(s > 0, self.number[s - 1], 0)
+        often = _found(known.often[n - 1], of_h)[1]
+        # ranges of numbers; a frequent history takes as many buckets as it fills
+        bucket = (of_h - 1) * known.n_buckets // max(1, int(known.first[n - 1][-1]))
+        over_buckets = np.minimum(known.n_buckets, 1 + 2 * known.n_buckets * self.count[h[often]] // known.total)
+        mixed = mix64(of_s[often].view(np.uint64)) % over_buckets.view(np.uint64)
+        bucket[often] = (bucket[often] + mixed.view(np.int64)) % known.n_buckets
+        order = np.argsort(bucket.astype(np.uint16) if known.n_buckets < 1 << 16 else bucket, kind="stable")
+        place = np.empty(len(u), np.int64)
+        place[order] = np.arange(len(u))
+        self.inverse = place[inverse].astype(self.own.dtype)
+        self.h, self.of_h, self.of_s, self.c, self.bucket = (x[order] for x in (h, of_h, of_s, c, bucket))
+        self.often = often[order]
+        fresh = np.ones(len(u), bool)
+        fresh[1:] = (self.of_h[1:] != self.of_h[:-1]) | (self.bucket[1:] != self.bucket[:-1])
+        self.runs = np.flatnonzero(fresh)
+        self.run_of = np.cumsum(fresh) - 1
+
+    def questions(self) -> list[tuple]:
+        long = np.diff(np.append(self.runs, len(self.h)))
+        out = []
+        for place, a, z in _split(self.bucket):
+            i, j = np.searchsorted(self.runs, (a, z))
+            steps = np.delete(np.diff(self.of_s[a:z], prepend=0), self.runs[i:j] - a)
+            out.append((place, self.row["chunk"], _rising(self.of_h[self.runs[i:j]]), _pack(long[i:j]),
+                        _pack(self.of_s[self.runs[i:j]]), _pack(steps), _pack(self.c[a:z])))
+        return out
+
+    def shares(self, n: int, parts: list[tuple], known: Known, discount: float) -> tuple[np.ndarray, np.ndarray]:
+        """For each token in ``at`` what its n-gram has of the history's probability, if
+        it is kept, and what the history leaves to the suffix."""
+        if not parts:
+            return np.zeros(0), np.zeros(0)
+        count = np.concatenate([_unpack(p[2]) for p in parts])
+        held, many = (np.concatenate([_unpack(p[i]) for p in parts]).astype(float)[self.run_of] for i in (3, 4))
+        of, total, types = known.sums[n]
+        at, hit = _found(of, self.of_h)
+        hit &= self.often
+        held[hit], many[hit] = total[at[hit]], types[at[hit]]
+        context = self.count[self.h].astype(float)
+        left = np.maximum(1.0 - (held - discount * many) / context, 1e-12)
+        own = np.where(count > 0, count - discount, 0.0) / context
+        return own[self.inverse], left[self.inverse]
+
+    def hear(self, n: int, parts: list[tuple], known: Known) -> None:
+        """Takes the answers: the n-grams kept are the histories of longer ones."""
+        count = number = np.zeros(0, np.int64)
+        if parts:
+            count, number = self._answers(parts, known.first[n], len(self.h))
+        self.count, self.number = count, number
+        self.own = np.full(len(self.tokens), -1, self.tokens.dtype)
+        self.own[self.at] = np.where(count[self.inverse] > 0, self.inverse, -1)
+
+
+def _heard(answers: pa.Table) -> dict[int, list[tuple]]:
+    """By n the answers of all buckets, in their order."""
+    out: dict[int, list[tuple]] = {}
+    for n, *part in sorted(zip(*(answers.column(c).to_pylist() for c in ("n", "bucket", "at", "c", "held", "many")),
+                               strict=True), key=lambda x: x[:2]):
+        out.setdefault(n, []).append(tuple(part))
+    return out
+
+
+def _ask(sent, n: int):
+    """The questions of a chunk about its n-grams, from what it heard of shorter ones."""
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        known, rows = sent.value, []
+        heard = _heard(answers)
+        for row in chunk.to_pylist():
+            r = _Reading(row)
+            r.hear_words(heard[1], known)
+            for m in range(2, n):
+                r.ask(m, known)
+                r.hear(m, heard.get(m, []), known)
+            r.ask(n, known)
+            rows += r.questions()
+        return pa.Table.from_arrays(_questions(rows), _ASKED)
     return run
 
 
-def _answer(n_groups: int, ids: pa.DataType):
-    """Packets of a task, weights first -> parts of the scores; rows pass."""
-    def run(batches):
-        weights: dict[int, list[tuple]] = {WORD_WEIGHTS: [], GRAM_WEIGHTS: []}
-        tables: dict[int, tuple] = {}
-        held: list[tuple] = []
-        size = 0
-
-        def table(kind):
-            if kind not in tables:
-                got = weights.pop(kind) or [(np.empty(0, np.uint64), np.empty(0), np.empty(0))]
-                g, a, b = (np.concatenate(x) for x in zip(*got, strict=True))
-                order = np.argsort(g)
-                tables[kind] = g[order], a[order], b[order]
-            return tables[kind]
-
-        def flush():
-            return _packets(_parts(*(np.concatenate(x) for x in zip(*held, strict=True)), n_groups), ids)
-
-        for batch in batches:
-            passed = []
-            for kind, place, keys, n, a, b, own in zip(*batch.columns, strict=True):
-                kind = kind.as_py()
-                if kind in (WORD_WEIGHTS, GRAM_WEIGHTS):
-                    weights[kind].append((np.frombuffer(keys.as_py(), np.uint64), np.frombuffer(a.as_py()),
-                                          np.frombuffer(b.as_py())))
-                elif kind in (ROWS, PART):
-                    keys, n, a, b = (None if x.as_py() is None else np.frombuffer(x.as_py(), np.uint8)
-                                     for x in (keys, n, a, b))
-                    passed.append((kind, place.as_py(), keys, n, a, b, own.as_py()))
-                else:
-                    keys, g = np.frombuffer(keys.as_py(), np.int64), np.frombuffer(a.as_py(), np.uint64)
-                    owner = np.repeat(np.arange(len(keys)), np.frombuffer(n.as_py(), np.uint32))
-                    of, first, second = table(WORD_WEIGHTS if kind == WORDS else GRAM_WEIGHTS)
-                    at, hit = _found(of, g)
-                    owner, at = owner[hit], at[hit]
-                    base, more = (np.bincount(owner, weights=x[at], minlength=len(keys)) for x in (first, second))
-                    known = np.bincount(owner, minlength=len(keys)) * (kind == WORDS)
-                    on = np.flatnonzero(np.bincount(owner, minlength=len(keys)))
-                    held.append((keys[on], known[on], base[on], more[on]))
-                    size += len(on)
-                    if size >= HELD // 2:
-                        yield flush()
-                        held, size = [], 0
-            if passed:
-                yield _packets(passed, ids)
-        if held:
-            yield flush()
+def _score(sent, order: int, discount: float, total: int, places: int, ids: pa.DataType):
+    """One row per document row of a chunk, from all answers."""
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        known, out = sent.value, []
+        heard = _heard(answers)
+        for row in chunk.to_pylist():
+            r = _Reading(row)
+            r.hear_words(heard[1], known)
+            c, docs, token = r.word_count, len(r.sizes), ~r.start
+            p = (c + 1.0) / places
+            base = np.bincount(r.owner[token], weights=np.log10(p[token]), minlength=docs)
+            for n in range(2, order + 1):
+                r.ask(n, known)
+                own, left = r.shares(n, heard.get(n, []), known, discount)
+                p[r.at] = own + left * p[r.at]
+                r.hear(n, heard.get(n, []), known)
+            score = np.bincount(r.owner[token], weights=np.log10(p[token]), minlength=docs)
+            out.append(pa.Table.from_arrays(
+                [pa.array(row["ids"], ids), pa.array(r.train.astype(bool)), pa.array(r.sizes - 1),
+                 pa.array(np.bincount(r.owner[token & (c > 0)], minlength=docs)),
+                 pa.array(np.full(docs, total, np.int64)), pa.array(base), pa.array(score)],
+                ["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
+        return pa.concat_tables(out)
     return run
 
 
-def _add_up(total: int, places: float, ids: pa.DataType):
-    """Rows and parts of a task -> one row per document row."""
+# ------------------------------------------------------------- answers
+# ``chunk`` null: of a bucket, the number kept and what is frequent
+ANSWERED = "n tinyint, bucket int, chunk bigint, at binary, c binary, held binary, many binary, h binary"
+
+
+def _answer(n: int, least: int, often_from: float, numbers: bool, sent):
+    """Adds a bucket's counts up, numbers the n-grams seen ``least`` times in their order,
+    and answers each chunk: counts (0 if not kept), numbers unless no longer n-grams
+    come, and of each history the sum and number of the counts that follow it."""
+    def bucket(parts: list[tuple]) -> list[tuple]:
+        chunks, hs, ks, ss, ds, cs = zip(*parts, strict=True)
+        c = [_unpack(x) for x in cs]
+        if n == 1:
+            u, inverse = np.unique(np.concatenate([_risen(x) for x in ss]).view(np.uint64), return_inverse=True)
+            real = np.ones(len(u), bool)
+        else:
+            h = [_risen(x) for x in hs]
+            before, of = np.unique(np.concatenate(h), return_inverse=True)
+            long, first, steps = (np.concatenate([_unpack(x) for x in xs]) for xs in (ks, ss, ds))
+            s = _suffixes(long, first, steps)
+            bits = int(s.max()).bit_length()
+            key = np.repeat(of, long) << bits | s
+            u, inverse = np.unique(key, return_inverse=True)
+            real = (u & ((1 << bits) - 1)) > 0
+        count = np.bincount(inverse, weights=np.concatenate(c), minlength=len(u)).astype(np.int64)
+        kept = real & (count >= least)
+        count *= kept
+        number = np.cumsum(kept) - 1
+        out = []
+        if n > 1:
+            held = np.bincount(u >> bits, weights=count, minlength=len(before)).astype(np.int64)
+            many = np.bincount(u >> bits, weights=kept, minlength=len(before)).astype(np.int64)
+            hot = np.flatnonzero(_found(sent.value.often[n - 1], before)[1])
+        a = b = 0
+        for i, chunk in enumerate(chunks):
+            own = inverse[a:a + len(c[i])]
+            a += len(own)
+            sums = (None, None)
+            if n > 1:
+                who = of[b:b + len(h[i])]
+                b += len(who)
+                sums = _pack(held[who]), _pack(many[who])
+            out.append((chunk, _rising(number[own][kept[own]]) if numbers else None, _pack(count[own]), *sums, None))
+        frequent = _rising(number[kept & (count >= often_from)])
+        sums = (_pack(held[hot]), _pack(many[hot]), _rising(before[hot])) if n > 1 else (None, None, None)
+        out.append((None, frequent, _pack(np.array([kept.sum()])), *sums))
+        return out
+
     def run(batches):
-        rows, held, size = [], [], 0
-        least = HELD
-
-        def settle():
-            key, of = np.unique(np.concatenate([p[0] for p in held]), return_inverse=True)
-            return key, *(np.bincount(of, weights=np.concatenate([p[i] for p in held]), minlength=len(key))
-                          for i in (1, 2, 3))
-
-        for batch in batches:
-            for kind, keys, n, a, b, own in zip(*(batch.column(c) for c in ("kind", "keys", "n", "a", "b", "ids")),
-                                                strict=True):
-                keys, n = np.frombuffer(keys.as_py(), np.int64), np.frombuffer(n.as_py(), np.int64)
-                if kind.as_py() == ROWS:
-                    rows.append((keys, n, np.frombuffer(a.as_py(), np.uint8), own.values))
-                    continue
-                held.append((keys, n, np.frombuffer(a.as_py()), np.frombuffer(b.as_py())))
-                size += len(keys)
-                if size > least:
-                    held, size = [settle()], 0
-                    least = max(HELD, len(held[0][0]))
-        if not rows:
-            return
-        key, m, s, w = settle()
-        keys, n, train = (np.concatenate(x) for x in list(zip(*rows, strict=True))[:3])
-        at = np.searchsorted(key, keys)
-        alike = np.bincount(at, minlength=len(key))[at]  # rows that share a key share its sums
-        base = s[at] / alike - n * places
-        yield pa.RecordBatch.from_arrays(
-            [pa.concat_arrays([r[3].cast(ids) for r in rows]), pa.array(train.astype(bool)), pa.array(n),
-             pa.array(np.rint(m[at] / alike).astype(np.int64)), pa.array(np.full(len(n), total, np.int64)),
-             pa.array(base), pa.array(base + w[at] / alike)],
-            ["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        buckets: dict[int, list[tuple]] = {}
+        for b in batches:
+            for at, *part in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                buckets.setdefault(at, []).append(tuple(part))
+        while buckets:
+            at, parts = buckets.popitem()
+            rows = bucket(parts)
+            cols = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n] * len(rows), pa.int8()), pa.array([at] * len(rows), pa.int32()),
+                 *(pa.array(x, t) for x, t in zip(cols, (pa.int64(), *[pa.binary()] * 5), strict=True))],
+                ["n", "bucket", "chunk", "at", "c", "held", "many", "h"])
     return run
 
 
+def _sums(batches):
+    """(h, held, many) of the frequent histories that a bucket met."""
+    for b in batches:
+        for h, held, many in zip(*(b.column(c).to_pylist() for c in ("h", "held", "many")), strict=True):
+            yield pa.RecordBatch.from_arrays([pa.array(_risen(h)), pa.array(_unpack(held)), pa.array(_unpack(many))],
+                                             ["h", "held", "many"])
+
+
+def _learn(known: Known, n: int, answers: DataFrame) -> None:
+    """Takes what the buckets report of n into ``known``."""
+    of_buckets = answers.where("chunk is null")
+    kept = np.zeros(known.n_buckets + 1, np.int64)
+    got = of_buckets.select("bucket", "at", "c").collect()
+    for r in got:
+        kept[r.bucket + 1] = _unpack(bytes(r.c))[0]
+    known.first[n] = np.cumsum(kept)
+    known.often[n] = np.sort(np.concatenate(
+        [np.zeros(0, np.int64), *(_risen(bytes(r["at"])) + known.first[n][r.bucket] + 1 for r in got)]))
+    if n > 1:
+        t = (of_buckets.select("h", "held", "many").mapInArrow(_sums, "h bigint, held bigint, many bigint")
+             .groupBy("h").agg(F.sum("held"), F.sum("many")).orderBy("h").toArrow())  # at most 1 / tau rows
+        known.sums[n] = tuple(t.column(i).to_numpy() for i in range(3))
+
+
 # ------------------------------------------------------------- the model
 class Symbols(dict):
     """token -> symbol of the model (RARE for tokens without one of their own)."""
@@ -631,40 +696,37 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     base_score (add-one unigram), score (the model).
 
     ``train_col`` (boolean, null as false) marks the rows to learn from.
-    ``tau`` only says which weights are broadcast; it changes no score.
+    ``tau`` only says which histories may be dealt over several buckets; it changes no score.
     """
     spark = docs.sparkSession
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                       F.coalesce(F.col(f"`{train_col}`"), F.lit(False)).alias("train"))
     n_buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counts = anchored(src.where("train").mapInArrow(_count(n_buckets, order), COUNTS)
-                      .repartition(n_buckets, "bucket")
-                      .mapInArrow(_add_counts(min_count), "n tinyint, g bigint, h bigint, s bigint, c bigint"))
-    total, types = counts.where("n = 1").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    places = total + types + 1
-    levels = weigh(counts, places, order=order, discount=discount)
-    words_ = levels[0].select("g", F.log10(F.col("c") + 1.0).alias("a"), F.col("w").alias("b"), "c")
-    grams = levels[0].where("false").select("g", F.lit(0.0).alias("a"), F.col("w").alias("b"), "c")
-    for x in levels[1:]:
-        grams = grams.unionByName(x.select("g", F.lit(0.0).alias("a"), F.col("w").alias("b"), "c"))
-    hot = F.col("c") >= max(1.0, tau * total)
-
-    def frequent(df: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        t = df.where(hot).drop("c").toArrow()  # at most 1 / tau rows for each n
-        g, a, b = (t.column(i).to_numpy() for i in range(3))
-        at = np.argsort(g.view(np.uint64))
-        return g.view(np.uint64)[at], a[at], b[at]
-
-    g, _, gain = frequent(grams)
-    sent = spark.sparkContext.broadcast((frequent(words_), (g, gain)))
     kind = src.schema["doc_id"].dataType.simpleString()
     ids = to_arrow_type(src.schema["doc_id"].dataType)
-    asked = src.mapInArrow(_ask(sent, n_buckets, order, ids), _schema(kind))
-    for which, df in ((WORD_WEIGHTS, words_), (GRAM_WEIGHTS, grams)):
-        asked = asked.unionByName(df.where(~hot).drop("c").mapInArrow(_deal_weights(which, n_buckets, ids), _schema(kind)))
-    answered = (asked.repartition(n_buckets, "place").sortWithinPartitions("kind")
-                .mapInArrow(_answer(n_buckets, ids), _schema(kind)))
-    return (answered.repartition(n_buckets, "place")
-            .mapInArrow(_add_up(total, math.log10(places), ids),
-                        f"doc_id {kind}, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
-                        "base_score double, score double"))
+    # written by chunk, so that only answers are shuffled to the chunks
+    name = f"lm_chunks_{uuid4().hex}"
+    (src.mapInArrow(_chunk(ids), CHUNK.format(kind)).write.format("parquet").bucketBy(n_buckets, "chunk")
+     .option("path", scratch_path(spark, "lm-chunks")).saveAsTable(name))
+    chunks = spark.table(name)
+    total = chunks.agg(F.coalesce(F.sum("trained"), F.lit(0))).first()[0]
+    known = Known(n_buckets, total, {}, {}, {})
+    often = max(1.0, total * max(tau, 0.5 / n_buckets))
+    asked = chunks.mapInArrow(_ask_words(n_buckets), ASKED)
+    answers = None
+    for n in range(1, order + 1):
+        sent = spark.sparkContext.broadcast(known)
+        if n > 1:
+            heard = answers.where("chunk is not null").withColumns({c: F.lit(None).cast("binary") for c in ("held", "many")})
+            asked = (chunks.groupBy("chunk").cogroup(heard.groupBy("chunk")).applyInArrow(_ask(sent, n), ASKED))
+        own = anchored(asked.repartition(n_buckets, "bucket").mapInArrow(
+            _answer(n, 1 if n == 1 else min_count, often, n < order, sent), ANSWERED))
+        known = Known(n_buckets, total, dict(known.first), dict(known.often), dict(known.sums))
+        _learn(known, n, own)
+        answers = own if answers is None else answers.unionByName(own)
+    places = total + int(known.first[1][-1]) + 1
+    sent = spark.sparkContext.broadcast(known)
+    return (chunks.groupBy("chunk").cogroup(answers.where("chunk is not null").groupBy("chunk"))
+            .applyInArrow(_score(sent, order, discount, total, places, ids),
+                          f"doc_id {kind}, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+                          "base_score double, score double"))
