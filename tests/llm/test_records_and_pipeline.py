@@ -211,6 +211,14 @@ def test_archive_text_is_warc(spark, tmp_path):
     assert body == "héllo\r\n\r\n"
 
 
+def test_payloads_of_one_piece_are_not_searched(spark):
+    """No expression looks for places to cut: one that allows so many characters can't even be compiled."""
+    df = spark.createDataFrame([(1, "u", "é" * 5000), (2, "u", "WARC/1. 1"), (3, "u", "")],
+                               "id bigint, uri string, payload string")
+    got = warc.record_rows(warc.decisions(df), chunk_chars=10**10).orderBy("record_id").collect()
+    assert [r.value.split("\r\n\r\n", 1)[1] for r in got] == ["é" * 5000 + "\r\n", "WARC/1. 1\r\n", "\r\n"]
+
+
 def test_damaged_and_odd_records(spark, tmp_path):
     rows = [(1, "u", "y" * 2000), (None, "n", "z"), (None, None, None), (5, "d", "dup"), (5, "d", "dup")]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string")

@@ -67,7 +67,10 @@ def record_rows(decided: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame
                     f"p -> regexp_extract_all(p, '(?s).{{1,{int(chunk_chars)}}}', 0)))")
     empty = F.array(F.lit(""))
     revisit = F.col("refers_to").isNotNull()
-    chunks = F.when(revisit | (F.col("payload_bytes") == 0), empty).otherwise(pieces)
+    # most payloads are one piece, and need no search by expressions to see it
+    cut = (F.length("payload") > int(chunk_chars)) | F.col("payload").contains(VERSION_LINE.strip())
+    chunks = (F.when(revisit | (F.col("payload_bytes") == 0), empty).when(cut, pieces)
+              .otherwise(F.array("payload")))
     rows = (decided.withColumn("chunks", chunks).withColumn("total", F.size("chunks"))
             .select("id", "uri", "payload_bytes", "digest", "refers_to", "total",
                     F.posexplode("chunks").alias("at", "chunk")))
