@@ -395,6 +395,62 @@ def test_what_is_dealt_stays_small(spark, monkeypatch):
     assert 0 < sum(sent) / len(words) < 20
 
 
+def test_what_is_met_often_costs_little_and_is_dealt_once(spark, monkeypatch):
+    """Where few words make up most of a text its questions are short, and answers
+    already dealt to the chunks are not shuffled again."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rng, sent = np.random.default_rng(9), []
+    words = [f"w{k}" for k in (1 / rng.random(300_000) ** 1.2).astype(int)]
+    df = spark.createDataFrame([(i, " ".join(words[i * 500:i * 500 + 500]), True) for i in range(600)],
+                               "doc_id bigint, text string, train boolean").repartition(2)
+    deal = DataFrame.repartition
+
+    def recorded(self, *by):
+        if by[1] == "bucket":
+            sizes = [F.sum(F.octet_length(c)) for c, kind in self.dtypes if kind == "binary"]
+            sent.append(sum(x or 0 for x in self.agg(*sizes).first()))
+        return deal(self, *by)
+
+    monkeypatch.setattr(DataFrame, "repartition", recorded)
+    scored = backoff_automaton.score_documents(df)
+    assert scored.count() == 600
+    assert len(sent) == 3 and 0 < sum(sent[1:]) / len(words) < 0.2, sent
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("least", [1, 3])
+def test_least_count_holds_over_chunks(spark, least):
+    """Counts come from many chunks, and what follows a history in other chunks counts too."""
+    rows = [r for r in lm_rows() if r[1] != LONG]
+    df = spark.createDataFrame([(i, t, True) for i, t in rows], "doc_id bigint, text string, train boolean").repartition(8)
+    end = backoff_automaton.END
+    seqs = {i: [end, *(t or "").encode().lower().split(), end] for i, t in rows}
+    c = Counter(w for i, _ in rows for w in seqs[i][1:])
+    n = sum(c.values())
+    grams = [Counter(g for i, _ in rows for g in zip(*(seqs[i][k:] for k in range(m)))) for m in (2, 3)]
+    kept = [{(w,): k for w, k in c.items()}, *({g: k for g, k in x.items() if k >= least} for x in grams)]
+    after = defaultdict(list)
+    for x in kept[1:]:
+        for g, k in x.items():
+            after[g[:-1]].append(k)
+
+    def p(h, w):
+        if not h:
+            return (c[w] + 1) / (n + len(c) + 1)
+        own = kept[len(h) - 1].get(h, 0)
+        if not own:
+            return p(h[1:], w)
+        left = max(1e-12, 1 - sum(k - 0.75 for k in after[h]) / own)
+        k = kept[len(h)].get((*h, w), 0)
+        return (k - 0.75 if k else 0) / own + left * p(h[1:], w)
+
+    for r in backoff_automaton.score_documents(df, min_count=least).collect():
+        s = seqs[r.doc_id]
+        want = sum(math.log10(p(tuple(s[max(0, i - 2):i]), s[i])) for i in range(1, len(s)))
+        assert r.score == pytest.approx(want, rel=1e-8)
+
+
 # -------------------------------------------------------------------- sharding
 def plain_shards(rows, limit):
     copies = defaultdict(int)

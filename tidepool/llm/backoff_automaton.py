@@ -30,13 +30,17 @@ their n-grams go out, one round for each n, and answers come back:
 
 1. A chunk asks for each of its words once, with its count in training rows.  Hash
    buckets add the counts up, number the words kept and answer.
-2. A chunk asks for each n-gram once as (number of its history, number of its
-   suffix), both one word shorter, where both are kept: no other is seen
-   ``MIN_COUNT`` times.  The history's bucket adds up, numbers and answers, also
-   with the sum and number of all kept counts after the history, which give bow(h).
+2. A chunk asks for each n-gram once as (number of its history, number of its last
+   word), where its history and its suffix, both one word shorter, are seen
+   ``MIN_COUNT`` times: no other is.  The history's bucket adds up, numbers and answers,
+   also with the sum and number of all kept counts after the history, which give bow(h).
 3. With all answers a chunk computes P(w | h) for its tokens, shorter histories first.
 
-Numbers go as sorted differences, byte by byte, compressed.  A history that makes
+Numbers go as sorted differences, byte by byte, compressed.  They begin with the most
+frequent (by the length of the count in bits), so what is met often costs little.
+Answers say only what the chunk can't know: counts beyond its own, of each history what
+follows it beyond the chunk's own n-grams.  They are dealt to the chunks once, into a table
+with the chunks' buckets, which all later rounds read in place.  A history that makes
 up at least ``tau`` of all training tokens and half a bucket is dealt over as many
 buckets as it fills; its sums are added up and broadcast (at most ``1 / tau`` for each n).
 
@@ -61,7 +65,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import WORD_CACHE, Hasher, anchored, mix64, release_model, scratch_path, words
+from .common import WORD_CACHE, Hasher, checkpoint_dir, mix64, release_model, words
 
 END = b" end"  # no word holds a space
 END_HASH = xxhash.xxh64_intdigest(END)
@@ -73,6 +77,7 @@ CHUNK_TOKENS = 2_000_000
 CHUNK_DOCS = 20_000
 SYMBOL_BITS = 20  # 1 / tau must stay below 2 ** 20
 RARE = 0
+CLASSES = 64  # lengths of counts in bits
 
 
 # ------------------------------------------------------------- packed arrays
@@ -93,7 +98,7 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def _rising(a: np.ndarray) -> bytes:
-    """Numbers in ascending order, as their differences."""
+    """Numbers in ascending order, as their differences (modulo 2 ** 64, if not ascending)."""
     a = a.astype(np.uint64)
     return _pack(np.diff(a, prepend=a[:0] if not len(a) else np.zeros(1, np.uint64)))
 
@@ -102,6 +107,15 @@ def _risen(data: bytes) -> np.ndarray:
     return np.cumsum(_unpack(data))
 
 
+def _class(count: np.ndarray) -> np.ndarray:
+    return np.frexp(count.astype(float))[1]
+
+
+def _frequent_first(count: np.ndarray) -> np.ndarray:
+    """Their order by class, the most frequent first, otherwise as they are."""
+    return np.argsort((CLASSES - _class(count)).astype(np.uint8), kind="stable")
+
+
 # ------------------------------------------------------------- chunks
 def _chunks(batches):
     """Rows of about CHUNK_TOKENS tokens: (doc_id, train, tokens), the
@@ -123,13 +137,17 @@ CHUNK = "chunk bigint, ids array<{0}>, train binary, sizes binary, words binary,
 
 
 def _chunk(ids: pa.DataType):
-    """A row for each chunk: its documents, its words in the order of their hashes,
-    and the places of its tokens among them."""
+    """A row for each chunk: its documents, its words, those frequent in it first, then in
+    the order of their hashes, and the places of its tokens among them."""
     def run(batches):
         release_model()
         task = TaskContext.get().partitionId()
         for no, rows in enumerate(_chunks(batches)):
-            words_, at = np.unique(np.concatenate([r[2] for r in rows]), return_inverse=True)
+            words_, at, count = np.unique(np.concatenate([r[2] for r in rows]), return_inverse=True, return_counts=True)
+            order = _frequent_first(count)
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            words_, at = words_[order], place[at]
             train, sizes = np.array([r[1] for r in rows], np.uint64), np.array([len(r[2]) for r in rows], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([task << 32 | no]), pa.array([[r[0] for r in rows]], pa.list_(ids)),
@@ -140,7 +158,7 @@ def _chunk(ids: pa.DataType):
 
 
 # ------------------------------------------------------------- questions
-# histories, how many suffixes each has, its first suffix, the steps to the others, counts in training rows
+# histories, how many words follow each, the first of them, the steps to the others, counts in training rows
 ASKED = "bucket int, chunk bigint, h binary, k binary, s binary, d binary, c binary"
 
 
@@ -152,8 +170,8 @@ def _questions(rows: list[tuple]) -> list[pa.Array]:
 _ASKED = [c.split()[0] for c in ASKED.split(", ")]
 
 
-def _suffixes(long: np.ndarray, first: np.ndarray, steps: np.ndarray) -> np.ndarray:
-    """The suffixes of each history, from its first one and the steps to the others."""
+def _followers(long: np.ndarray, first: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """The words after each history, from the first one and the steps to the others."""
     at = np.cumsum(long) - long
     out = np.zeros(int(long.sum()), np.int64)
     other = np.ones(len(out), bool)
@@ -181,21 +199,23 @@ def _ask_words(n_buckets: int):
         for b in batches:
             for row in b.to_pylist():
                 r = _Reading(row)
-                c = np.bincount(r.tokens[r.learnt & ~r.start], minlength=len(r.words))
+                u, c = r.words[r.by_hash], r.trained[r.by_hash]
                 yield pa.RecordBatch.from_arrays(_questions(
-                    [(place, row["chunk"], None, None, _rising(r.words[a:z]), None, _pack(c[a:z]))
-                     for place, a, z in _split(_word_bucket(r.words, n_buckets))]), _ASKED)
+                    [(place, row["chunk"], None, None, _rising(u[a:z]), None, _pack(c[a:z]))
+                     for place, a, z in _split(_word_bucket(u, n_buckets))]), _ASKED)
     return run
 
 
 @dataclass
 class Known:
-    """What is known of each n so far: at most a number a bucket and ``1 / tau`` n-grams."""
+    """What is known of each n so far: at most CLASSES numbers a bucket and ``1 / tau`` n-grams."""
     n_buckets: int
     total: int
-    first: dict[int, np.ndarray]    # of each bucket the number before its first kept n-gram's
+    least: int
+    types: int                      # words kept
+    shift: dict[int, np.ndarray]    # of each bucket and class what leads from places in the bucket to numbers
     often: dict[int, np.ndarray]    # frequent n-grams, ascending: what follows them is dealt one by one
-    sums: dict[int, tuple]          # of the frequent histories of n words: numbers, counts that follow, how many
+    sums: dict[int, tuple]          # of the frequent histories of n: places in ``often``, counts that follow, how many
 
 
 def _found(table: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -206,11 +226,17 @@ def _found(table: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table[at] == g
 
 
+def _ranked(number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers, 0 first, and the place of each entry's among them."""
+    numbers, rank = np.unique(np.append(number, 0), return_inverse=True)
+    return numbers, rank[:-1]
+
+
 class _Reading:
     """A chunk, read with n-grams of one word, then two, ….
 
-    ``own``: for each token the place of the kept n-gram that ends there, or -1.
-    Places follow the numbers that the buckets gave to the n-grams.
+    ``own``: for each token the place of the n-gram that ends there, if it is seen
+    ``least`` times, or -1.
     """
 
     def __init__(self, row: dict):
@@ -223,83 +249,103 @@ class _Reading:
         self.start = np.zeros(len(self.tokens), bool)
         self.start[np.cumsum(self.sizes) - self.sizes] = True
         self.learnt = self.train.astype(bool)[self.owner]
+        self.by_hash = np.argsort(self.words.view(np.uint64))
+        self.trained = np.bincount(self.tokens[self.learnt & ~self.start], minlength=len(self.words))
 
-    def _answers(self, parts: list[tuple], first: np.ndarray, size: int):
+    def _answers(self, n: int, parts: list[tuple], own: np.ndarray, known: Known):
         """(counts, numbers) of the entries, in the order in which they were dealt."""
-        count = np.concatenate([_unpack(c) for _, _, c, _, _ in parts])
-        if len(count) != size:
+        more = [_unpack(c) for _, _, c, _, _ in parts]
+        if sum(map(len, more)) != len(own):
             raise ValueError("answers don't fit the questions")
-        number = np.zeros(size, np.int64)
-        if parts[0][1] is not None:
-            number[count > 0] = np.concatenate([_risen(at) + first[b] + 1 for b, at, _, _, _ in parts])
+        count = own + np.concatenate(more)
+        count[count < (1 if n == 1 else known.least)] = 0
+        number = np.zeros(len(count), np.int64)
+        a = 0
+        for (b, at, *_), c in zip(parts, more, strict=True):
+            if at is not None:
+                told = a + np.flatnonzero(count[a:a + len(c)] >= known.least)
+                told = told[_frequent_first(count[told])]
+                number[told] = _risen(at) + known.shift[n][b, _class(count[told])]
+            a += len(c)
         return count, number
 
     def hear_words(self, parts: list[tuple], known: Known) -> None:
-        self.count, self.number = self._answers(parts, known.first[1], len(self.words))
+        self.count, self.number = np.zeros((2, len(self.words)), np.int64)
+        self.count[self.by_hash], self.number[self.by_hash] = self._answers(1, parts, self.trained[self.by_hash], known)
         self.word_count = self.count[self.tokens]
-        self.own = np.where(self.word_count > 0, self.tokens, self.tokens.dtype.type(-1))
+        self.word_numbers, self.word_rank = _ranked(self.number)
+        self.own = np.where(self.word_count >= known.least, self.tokens, self.tokens.dtype.type(-1))
 
     def ask(self, n: int, known: Known) -> None:
-        """The n-grams whose history is kept, each once: by bucket, history and suffix.
+        """The n-grams whose history is kept, each once: by bucket, history and last word.
         Where the suffix isn't kept the n-gram isn't either, and only the history is asked for."""
         self.at = np.flatnonzero((self.own[:-1] >= 0) & ~self.start[1:]) + 1
-        over = len(self.count) + 1
-        key = self.own[self.at - 1].astype(np.int64) * over + self.own[self.at] + 1
-        u, inverse = np.unique(key, return_inverse=True)
-        h, s = np.divmod(u, over)
-        c = np.bincount(inverse[self.learnt[self.at]], minlength=len(u)) * (s > 0)
-        of_h, of_s = self.number[h], np.where(s > 0, self.number[s - 1], 0)
-        often = _found(known.often[n - 1], of_h)[1]
-        # ranges of numbers; a frequent history takes as many buckets as it fills
-        bucket = (of_h - 1) * known.n_buckets // max(1, int(known.first[n - 1][-1]))
-        over_buckets = np.minimum(known.n_buckets, 1 + 2 * known.n_buckets * self.count[h[often]] // known.total)
-        mixed = mix64(of_s[often].view(np.uint64)) % over_buckets.view(np.uint64)
+        # by places among the chunk's own numbers, which are small however many there are in all
+        numbers, rank = _ranked(self.number)
+        last = np.where(self.own[self.at] >= 0, self.word_rank[self.tokens[self.at]], 0)
+        u, inverse = np.unique(rank[self.own[self.at - 1]] * len(self.word_numbers) + last, return_inverse=True)
+        h, last = np.divmod(u, len(self.word_numbers))
+        of_h, last = numbers[h], self.word_numbers[last]
+        context = np.zeros(len(numbers), np.int64)
+        context[rank] = self.count
+        context = context[h]
+        c = np.bincount(inverse[self.learnt[self.at]], minlength=len(u)) * (last > 0)
+        # numbers go round the buckets; a frequent history takes as many as it fills
+        bucket, code = of_h % known.n_buckets, of_h // known.n_buckets + len(known.often[n - 1])
+        place, often = _found(known.often[n - 1], of_h)
+        code[often] = place[often]
+        over_buckets = np.minimum(known.n_buckets, 1 + 2 * known.n_buckets * context[often] // known.total)
+        mixed = mix64(last[often].view(np.uint64)) % over_buckets.view(np.uint64)
         bucket[often] = (bucket[often] + mixed.view(np.int64)) % known.n_buckets
-        order = np.argsort(bucket.astype(np.uint16) if known.n_buckets < 1 << 16 else bucket, kind="stable")
+        by = 2 * bucket + ~often  # within it, codes ascend
+        order = np.argsort(by.astype(np.uint16) if 2 * known.n_buckets < 1 << 16 else by, kind="stable")
         place = np.empty(len(u), np.int64)
         place[order] = np.arange(len(u))
-        self.inverse = place[inverse].astype(self.own.dtype)
-        self.h, self.of_h, self.of_s, self.c, self.bucket = (x[order] for x in (h, of_h, of_s, c, bucket))
-        self.often = often[order]
+        self.inverse = place[inverse].astype(self.tokens.dtype)
+        self.context, self.code, self.last, self.c, self.bucket = (x[order] for x in (context, code, last, c, bucket))
         fresh = np.ones(len(u), bool)
-        fresh[1:] = (self.of_h[1:] != self.of_h[:-1]) | (self.bucket[1:] != self.bucket[:-1])
+        fresh[1:] = (self.code[1:] != self.code[:-1]) | (self.bucket[1:] != self.bucket[:-1])
         self.runs = np.flatnonzero(fresh)
         self.run_of = np.cumsum(fresh) - 1
 
     def questions(self) -> list[tuple]:
-        long = np.diff(np.append(self.runs, len(self.h)))
+        long = np.diff(np.append(self.runs, len(self.c)))
         out = []
         for place, a, z in _split(self.bucket):
             i, j = np.searchsorted(self.runs, (a, z))
-            steps = np.delete(np.diff(self.of_s[a:z], prepend=0), self.runs[i:j] - a)
-            out.append((place, self.row["chunk"], _rising(self.of_h[self.runs[i:j]]), _pack(long[i:j]),
-                        _pack(self.of_s[self.runs[i:j]]), _pack(steps), _pack(self.c[a:z])))
+            steps = np.delete(np.diff(self.last[a:z], prepend=0), self.runs[i:j] - a)
+            out.append((place, self.row["chunk"], _rising(self.code[self.runs[i:j]]), _pack(long[i:j]),
+                        _pack(self.last[self.runs[i:j]]), _pack(steps), _pack(self.c[a:z])))
         return out
 
-    def shares(self, n: int, parts: list[tuple], known: Known, discount: float) -> tuple[np.ndarray, np.ndarray]:
+    def shares(self, n: int, count: np.ndarray, parts: list[tuple], known: Known,
+               discount: float) -> tuple[np.ndarray, np.ndarray]:
         """For each token in ``at`` what its n-gram has of the history's probability, if
         it is kept, and what the history leaves to the suffix."""
-        if not parts:
-            return np.zeros(0), np.zeros(0)
-        count = np.concatenate([_unpack(p[2]) for p in parts])
-        held, many = (np.concatenate([_unpack(p[i]) for p in parts]).astype(float)[self.run_of] for i in (3, 4))
+        rest, some = (np.concatenate([_unpack(p[i]) for p in parts] or [self.runs]) for i in (3, 4))
+        held = rest + np.bincount(self.run_of, weights=count, minlength=len(rest))
+        many = np.bincount(self.run_of, weights=count > 0, minlength=len(rest))
+        many[rest > 0] += 1
+        many[rest >= 2 * known.least] += some
+        held, many = held[self.run_of], many[self.run_of]
         of, total, types = known.sums[n]
-        at, hit = _found(of, self.of_h)
-        hit &= self.often
+        at, hit = _found(of, self.code)
         held[hit], many[hit] = total[at[hit]], types[at[hit]]
-        context = self.count[self.h].astype(float)
-        left = np.maximum(1.0 - (held - discount * many) / context, 1e-12)
-        own = np.where(count > 0, count - discount, 0.0) / context
+        left = np.maximum(1.0 - (held - discount * many) / self.context, 1e-12)
+        own = np.where(count > 0, count - discount, 0.0) / self.context
         return own[self.inverse], left[self.inverse]
 
-    def hear(self, n: int, parts: list[tuple], known: Known) -> None:
-        """Takes the answers: the n-grams kept are the histories of longer ones."""
+    def hear(self, n: int, parts: list[tuple], known: Known, discount: float | None = None):
+        """Takes the answers: the n-grams kept are the histories of longer ones.
+        With a discount: the ``shares`` of the tokens."""
         count = number = np.zeros(0, np.int64)
-        if parts:
-            count, number = self._answers(parts, known.first[n], len(self.h))
+        if parts or len(self.c):
+            count, number = self._answers(n, parts, self.c, known)
+        out = None if discount is None else self.shares(n, count, parts, known, discount)
         self.count, self.number = count, number
         self.own = np.full(len(self.tokens), -1, self.tokens.dtype)
         self.own[self.at] = np.where(count[self.inverse] > 0, self.inverse, -1)
+        return out
 
 
 def _heard(answers: pa.Table) -> dict[int, list[tuple]]:
@@ -341,9 +387,8 @@ def _score(sent, order: int, discount: float, total: int, places: int, ids: pa.D
             base = np.bincount(r.owner[token], weights=np.log10(p[token]), minlength=docs)
             for n in range(2, order + 1):
                 r.ask(n, known)
-                own, left = r.shares(n, heard.get(n, []), known, discount)
+                own, left = r.hear(n, heard.get(n, []), known, discount)
                 p[r.at] = own + left * p[r.at]
-                r.hear(n, heard.get(n, []), known)
             score = np.bincount(r.owner[token], weights=np.log10(p[token]), minlength=docs)
             out.append(pa.Table.from_arrays(
                 [pa.array(row["ids"], ids), pa.array(r.train.astype(bool)), pa.array(r.sizes - 1),
@@ -355,51 +400,61 @@ def _score(sent, order: int, discount: float, total: int, places: int, ids: pa.D
 
 
 # ------------------------------------------------------------- answers
-# ``chunk`` null: of a bucket, the number kept and what is frequent
+# ``chunk`` below 0: of a bucket, the numbers kept by class and what is frequent
 ANSWERED = "n tinyint, bucket int, chunk bigint, at binary, c binary, held binary, many binary, h binary"
 
 
 def _answer(n: int, least: int, often_from: float, numbers: bool, sent):
-    """Adds a bucket's counts up, numbers the n-grams seen ``least`` times in their order,
-    and answers each chunk: counts (0 if not kept), numbers unless no longer n-grams
-    come, and of each history the sum and number of the counts that follow it."""
-    def bucket(parts: list[tuple]) -> list[tuple]:
+    """Adds a bucket's counts up, numbers the n-grams seen ``least`` times (words: once), the
+    frequent first, and answers each chunk: counts (beyond its own; 0 if not kept), numbers
+    unless no longer n-grams come, and of each history the sum and number of the counts
+    that follow it, beyond those of the chunk (the number only where the sum leaves it open)."""
+    def bucket(at: int, parts: list[tuple]) -> list[tuple]:
         chunks, hs, ks, ss, ds, cs = zip(*parts, strict=True)
         c = [_unpack(x) for x in cs]
         if n == 1:
             u, inverse = np.unique(np.concatenate([_risen(x) for x in ss]).view(np.uint64), return_inverse=True)
             real = np.ones(len(u), bool)
         else:
-            h = [_risen(x) for x in hs]
+            h, k = [_risen(x) for x in hs], [_unpack(x) for x in ks]
             before, of = np.unique(np.concatenate(h), return_inverse=True)
-            long, first, steps = (np.concatenate([_unpack(x) for x in xs]) for xs in (ks, ss, ds))
-            s = _suffixes(long, first, steps)
+            long = np.concatenate(k)
+            s = _followers(long, *(np.concatenate([_unpack(x) for x in xs]) for xs in (ss, ds)))
             bits = int(s.max()).bit_length()
             key = np.repeat(of, long) << bits | s
             u, inverse = np.unique(key, return_inverse=True)
             real = (u & ((1 << bits) - 1)) > 0
         count = np.bincount(inverse, weights=np.concatenate(c), minlength=len(u)).astype(np.int64)
-        kept = real & (count >= least)
+        kept = real & (count >= (1 if n == 1 else least))
         count *= kept
-        number = np.cumsum(kept) - 1
+        place = np.flatnonzero(kept)
+        place = place[_frequent_first(count[place])]
+        number = np.zeros(len(u), np.int64)
+        number[place] = np.arange(len(place))
         out = []
         if n > 1:
             held = np.bincount(u >> bits, weights=count, minlength=len(before)).astype(np.int64)
             many = np.bincount(u >> bits, weights=kept, minlength=len(before)).astype(np.int64)
-            hot = np.flatnonzero(_found(sent.value.often[n - 1], before)[1])
+            hot = np.flatnonzero(before < len(sent.value.often[n - 1]))
         a = b = 0
         for i, chunk in enumerate(chunks):
             own = inverse[a:a + len(c[i])]
             a += len(own)
+            told = own[count[own] >= least]
+            told = told[_frequent_first(count[told])]
             sums = (None, None)
             if n > 1:
                 who = of[b:b + len(h[i])]
                 b += len(who)
-                sums = _pack(held[who]), _pack(many[who])
-            out.append((chunk, _rising(number[own][kept[own]]) if numbers else None, _pack(count[own]), *sums, None))
-        frequent = _rising(number[kept & (count >= often_from)])
+                run = np.repeat(np.arange(len(who)), k[i])
+                rest = held[who] - np.bincount(run, weights=count[own], minlength=len(who)).astype(np.int64)
+                some = many[who] - np.bincount(run, weights=kept[own], minlength=len(who)).astype(np.int64)
+                sums = _pack(rest), _pack(some[rest >= 2 * least] - 1)
+            out.append((chunk, _rising(number[told]) if numbers else None,
+                        _pack(np.where(kept[own], count[own] - c[i], 0)), *sums, None))
+        frequent = _rising(np.sort(number[kept & (count >= often_from)]))
         sums = (_pack(held[hot]), _pack(many[hot]), _rising(before[hot])) if n > 1 else (None, None, None)
-        out.append((None, frequent, _pack(np.array([kept.sum()])), *sums))
+        out.append((-1 - at, frequent, _pack(np.bincount(_class(count[place]), minlength=CLASSES)), *sums))
         return out
 
     def run(batches):
@@ -409,7 +464,7 @@ def _answer(n: int, least: int, often_from: float, numbers: bool, sent):
                 buckets.setdefault(at, []).append(tuple(part))
         while buckets:
             at, parts = buckets.popitem()
-            rows = bucket(parts)
+            rows = bucket(at, parts)
             cols = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([n] * len(rows), pa.int8()), pa.array([at] * len(rows), pa.int32()),
@@ -428,15 +483,21 @@ def _sums(batches):
 
 def _learn(known: Known, n: int, answers: DataFrame) -> None:
     """Takes what the buckets report of n into ``known``."""
-    of_buckets = answers.where("chunk is null")
-    kept = np.zeros(known.n_buckets + 1, np.int64)
+    of_buckets = answers.where((F.col("n") == n) & (F.col("chunk") < 0))
+    kept = np.zeros((known.n_buckets, CLASSES), np.int64)
     got = of_buckets.select("bucket", "at", "c").collect()
     for r in got:
-        kept[r.bucket + 1] = _unpack(bytes(r.c))[0]
-    known.first[n] = np.cumsum(kept)
-    known.often[n] = np.sort(np.concatenate(
-        [np.zeros(0, np.int64), *(_risen(bytes(r["at"])) + known.first[n][r.bucket] + 1 for r in got)]))
-    if n > 1:
+        kept[r.bucket] = _unpack(bytes(r.c))
+    # numbers go by class, the highest first, then by bucket; places in a bucket by class
+    ends = np.cumsum(kept[:, ::-1], axis=1)
+    before = (ends - kept[:, ::-1])[:, ::-1]
+    known.shift[n] = 1 + before.sum(axis=0) - before + np.cumsum(kept, axis=0) - kept
+    known.often[n] = np.sort(np.concatenate([np.zeros(0, np.int64), *(
+        at + known.shift[n][r.bucket, CLASSES - 1 - np.searchsorted(ends[r.bucket], at, side="right")]
+        for r in got for at in [_risen(bytes(r["at"]))])]))
+    if n == 1:
+        known.types = int(kept.sum())
+    else:
         t = (of_buckets.select("h", "held", "many").mapInArrow(_sums, "h bigint, held bigint, many bigint")
              .groupBy("h").agg(F.sum("held"), F.sum("many")).orderBy("h").toArrow())  # at most 1 / tau rows
         known.sums[n] = tuple(t.column(i).to_numpy() for i in range(3))
@@ -689,6 +750,14 @@ def fit(train: DataFrame, hashes: np.ndarray, counts: np.ndarray, total: int, ty
     return m
 
 
+def _by_chunk(df: DataFrame, name: str, n_buckets: int) -> DataFrame:
+    """Rows added to a table below the checkpoint folder, bucketed by chunk."""
+    spark = df.sparkSession
+    writer = df.write.format("parquet").bucketBy(n_buckets, "chunk").mode("append")
+    writer.option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
 def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     train_col: str = "train", tau: float = TAU, min_count: int = MIN_COUNT, order: int = ORDER,
                     discount: float = DISCOUNT) -> DataFrame:
@@ -704,29 +773,25 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     n_buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     kind = src.schema["doc_id"].dataType.simpleString()
     ids = to_arrow_type(src.schema["doc_id"].dataType)
-    # written by chunk, so that only answers are shuffled to the chunks
-    name = f"lm_chunks_{uuid4().hex}"
-    (src.mapInArrow(_chunk(ids), CHUNK.format(kind)).write.format("parquet").bucketBy(n_buckets, "chunk")
-     .option("path", scratch_path(spark, "lm-chunks")).saveAsTable(name))
-    chunks = spark.table(name)
+    # written by chunk, as the answers are, so that nothing is shuffled to the chunks twice
+    chunks = _by_chunk(src.mapInArrow(_chunk(ids), CHUNK.format(kind)), f"lm_chunks_{uuid4().hex}", n_buckets)
     total = chunks.agg(F.coalesce(F.sum("trained"), F.lit(0))).first()[0]
-    known = Known(n_buckets, total, {}, {}, {})
+    known = Known(n_buckets, total, min_count, 0, {}, {}, {})
     often = max(1.0, total * max(tau, 0.5 / n_buckets))
     asked = chunks.mapInArrow(_ask_words(n_buckets), ASKED)
-    answers = None
+    name = f"lm_answers_{uuid4().hex}"
     for n in range(1, order + 1):
         sent = spark.sparkContext.broadcast(known)
         if n > 1:
-            heard = answers.where("chunk is not null").withColumns({c: F.lit(None).cast("binary") for c in ("held", "many")})
+            heard = answers.where("chunk >= 0").withColumns({c: F.lit(None).cast("binary") for c in ("held", "many")})
             asked = (chunks.groupBy("chunk").cogroup(heard.groupBy("chunk")).applyInArrow(_ask(sent, n), ASKED))
-        own = anchored(asked.repartition(n_buckets, "bucket").mapInArrow(
-            _answer(n, 1 if n == 1 else min_count, often, n < order, sent), ANSWERED))
-        known = Known(n_buckets, total, dict(known.first), dict(known.often), dict(known.sums))
-        _learn(known, n, own)
-        answers = own if answers is None else answers.unionByName(own)
-    places = total + int(known.first[1][-1]) + 1
+        own = asked.repartition(n_buckets, "bucket").mapInArrow(_answer(n, min_count, often, n < order, sent), ANSWERED)
+        answers = _by_chunk(own.repartition(n_buckets, "chunk"), name, n_buckets)
+        known = Known(n_buckets, total, min_count, known.types, dict(known.shift), dict(known.often), dict(known.sums))
+        _learn(known, n, answers)
+    places = total + known.types + 1
     sent = spark.sparkContext.broadcast(known)
-    return (chunks.groupBy("chunk").cogroup(answers.where("chunk is not null").groupBy("chunk"))
+    return (chunks.groupBy("chunk").cogroup(answers.where("chunk >= 0").groupBy("chunk"))
             .applyInArrow(_score(sent, order, discount, total, places, ids),
                           f"doc_id {kind}, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                           "base_score double, score double"))
